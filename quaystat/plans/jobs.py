@@ -165,3 +165,18 @@ def warehouse_root_for(spark: SparkSession, sf_dir: str) -> str:
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     return read_warehouse(spark, VersionedStore(spark, warehouse_root_for(spark, sf_dir)))
+
+
+def two_batch_warehouse_root_for(spark: SparkSession, sf_dir: str) -> str:
+    """Two loads into one store: every mapped observation, then a later
+    re-observation of every departure (expected time moved by 25 hours)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/") + "#two-batch")
+    root = _BUILT.get(key)
+    if root is None:
+        root = scratch_path(spark, "warehouse2")
+        store = VersionedStore(spark, root)
+        first = testdata.observations(spark, sf_dir)
+        load_batch(spark, first, store)
+        load_batch(spark, testdata.second_batch(first), store)
+        _BUILT[key] = root
+    return root

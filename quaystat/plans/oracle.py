@@ -166,3 +166,161 @@ FROM latest x JOIN stops s USING (stop_key) GROUP BY s.stop_name"""
   LIMIT 15)"""
     ),
 }
+
+
+def _label(code: str, name: str, mode: str) -> str:
+    """Line label; the mode is title-cased per word (one-word modes here)."""
+    c, n = f"nullif({code}, '')", f"nullif({name}, '')"
+    return (
+        f"(CASE WHEN {c} IS NOT NULL AND {n} IS NOT NULL AND {n} <> {c} THEN concat({c}, ' — ', {n})"
+        f" ELSE coalesce({c}, {n}, 'Unnamed line') END"
+        f" || ' (' || upper(left({mode}, 1)) || lower(substr({mode}, 2)) || ')')"
+    )
+
+
+def _overview(where: str = "") -> str:
+    return f"""SELECT count(*) AS departures, count(DISTINCT stop_key) AS stops,
+  count(DISTINCT line_key) AS lines,
+  coalesce({ratio('sum(delay_seconds)', 'count(delay_seconds)')}, 0.0) AS average_delay_seconds,
+  coalesce({ratio(f'100 * {OVER3}', 'count(*)')}, 0.0) AS percent_over_threshold,
+  count(*) < 30 AS is_small_sample
+FROM dep {where}"""
+
+
+def _quality(src: str) -> str:
+    return f"""SELECT count(*) AS total_observations,
+  count(DISTINCT stop_place_id) AS distinct_stops,
+  count(DISTINCT line_id) AS distinct_lines,
+  CAST(sum(CAST(realtime AS INTEGER)) AS BIGINT) AS realtime_observations,
+  CAST(count(*) FILTER (WHERE service_journey_id IS NULL) AS BIGINT) AS missing_service_journey_id,
+  CAST(count(*) FILTER (WHERE aimed_departure_utc IS NULL) AS BIGINT) AS missing_aimed_departure,
+  CAST(count(*) FILTER (WHERE expected_departure_utc IS NULL) AS BIGINT) AS missing_expected_departure,
+  CAST(count(*) FILTER (WHERE delay_seconds < 0) AS BIGINT) AS negative_delay_observations,
+  CAST(count(*) FILTER (WHERE abs(delay_seconds) > 7200) AS BIGINT) AS delay_over_two_hours,
+  {rround('sum(delay_seconds)', 'count(delay_seconds)', 2)} AS average_delay_seconds,
+  quantile_disc(delay_seconds, 0.5) AS median_delay_seconds,
+  max(delay_seconds) AS maximum_delay_seconds
+FROM {src}"""
+
+
+_OBS_COLS = (
+    "collected_at_utc, stop_place_id, stop_name, quay_id, quay_name, service_journey_id, line_id, "
+    "line_public_code, line_name, transport_mode, destination, realtime, aimed_departure_utc, "
+    "expected_departure_utc, actual_departure_utc, delay_seconds, expected_departure_local, "
+    "service_date, departure_hour, weekday_number, is_weekend"
+)
+_DEDUP_REST = [
+    c.strip() for c in _OBS_COLS.split(",")
+    if c.strip() not in ("collected_at_utc", "stop_place_id", "service_journey_id", "quay_id", "aimed_departure_utc")
+]
+
+ORACLE.update(
+    {
+        "filtered_departures": with_gold(
+            """SELECT * FROM dep WHERE service_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+  AND stop_key IN (1, 2, 4) AND transport_mode IN ('bus', 'tram', 'rail')"""
+        ),
+        "overview": with_gold(_overview()),
+        "overview_empty": with_gold(_overview("WHERE service_date BETWEEN DATE '2030-01-01' AND DATE '2030-01-02'")),
+        "summary_by_mode": with_gold(_summary("transport_mode")),
+        "summary_by_stop": with_gold(_summary("stop_name")),
+        "summary_by_hour": with_gold(_summary("departure_hour")),
+        "sample_partition": with_gold(
+            f"""SELECT line_key, count(*) AS departures,
+  {ratio('sum(delay_seconds)', 'count(delay_seconds)')} AS average_delay_seconds,
+  quantile_cont(delay_seconds, 0.5) AS median_delay_seconds,
+  {ratio(f'100 * {OVER3}', 'count(*)')} AS percent_over_threshold,
+  count(*) >= 35 AS is_sufficient
+FROM dep GROUP BY line_key"""
+        ),
+        "elevated_lines": with_gold(
+            f"""SELECT *, {_label('line_public_code', 'line_name', 'transport_mode')} AS line_label FROM (
+  SELECT line_key, line_public_code, line_name, transport_mode, count(*) AS departures,
+    {ratio('sum(delay_seconds)', 'count(delay_seconds)')} AS average_delay_seconds,
+    quantile_cont(delay_seconds, 0.5) AS median_delay_seconds,
+    {ratio(f'100 * {OVER3}', 'count(*)')} AS percent_over_threshold
+  FROM dep GROUP BY line_key, line_public_code, line_name, transport_mode
+  HAVING count(*) >= 30
+  ORDER BY percent_over_threshold DESC, departures DESC, line_key
+  LIMIT 15)"""
+        ),
+        "options_stops": with_gold("SELECT DISTINCT stop_key, stop_name FROM dep"),
+        "options_modes": with_gold("SELECT DISTINCT transport_mode FROM dep"),
+        "options_lines": with_gold(
+            f"""SELECT DISTINCT line_key, line_public_code, line_name, transport_mode,
+  {_label('line_public_code', 'line_name', 'transport_mode')} AS line_label FROM dep"""
+        ),
+        "date_bounds": with_gold(
+            "SELECT min(service_date) AS minimum_date, max(service_date) AS maximum_date FROM dep"
+        ),
+        "quality_summary": with_obs(_quality("obs")),
+        "quality_summary_prefilter": with_obs(_quality("obs"), dirty=True),
+        "quality_by_mode": with_obs(
+            f"""SELECT transport_mode, count(*) AS observations,
+  {rround('sum(delay_seconds)', 'count(delay_seconds)', 2)} AS average_delay_seconds,
+  quantile_disc(delay_seconds, 0.5) AS median_delay_seconds
+FROM obs GROUP BY transport_mode"""
+        ),
+        "flatten_snapshots": with_obs(f"SELECT {_OBS_COLS} FROM obs"),
+        "dedup_observations": with_obs(
+            f"""SELECT {_OBS_COLS} FROM (
+  SELECT * REPLACE (time_bucket(INTERVAL '6 hours', collected_at_utc) AS collected_at_utc) FROM obs)
+QUALIFY ROW_NUMBER() OVER (
+  PARTITION BY collected_at_utc, stop_place_id, service_journey_id, quay_id, aimed_departure_utc
+  ORDER BY expected_departure_utc DESC NULLS LAST, {', '.join(c + ' ASC NULLS LAST' for c in _DEDUP_REST)}) = 1"""
+        ),
+        "reject_summary": with_obs(
+            """SELECT 'missing_required_field' AS reject_reason, count(*) AS rejected_rows
+FROM obs WHERE service_journey_id IS NULL""",
+            dirty=True,
+        ),
+        "dim_date": with_obs(
+            """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
+  CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+  CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name,
+  CAST(week(d) AS INTEGER) AS week_of_year, CAST(isodow(d) AS INTEGER) AS day_of_week,
+  dayname(d) AS day_name, isodow(d) IN (6, 7) AS is_weekend
+FROM (SELECT DISTINCT service_date AS d FROM obs)"""
+        ),
+        "dim_stop": with_gold("SELECT stop_key, stop_place_id, stop_name FROM stops"),
+        "dim_line": with_gold(
+            "SELECT line_key, line_id, line_public_code, line_name, transport_mode FROM lines"
+        ),
+        "dim_quay": with_gold(
+            """SELECT q.quay_key, q.quay_id, o.quay_name, s.stop_key
+FROM quays q JOIN (SELECT DISTINCT quay_id, quay_name, stop_place_id FROM obs) o USING (quay_id)
+JOIN stops s USING (stop_place_id)"""
+        ),
+        "fact_upsert": with_gold(
+            """SELECT collected_at_utc, date_key, stop_key, quay_key, line_key, service_journey_id,
+  destination, realtime, aimed_departure_utc,
+  expected_departure_utc + INTERVAL 90000 SECOND AS expected_departure_utc,
+  actual_departure_utc, delay_seconds + 90000 AS delay_seconds, departure_hour,
+  CAST(collected_at_utc AS DATE) AS collected_date
+FROM fact"""
+        ),
+        "fk_violations": with_gold(
+            """SELECT 'fact.line_key' AS relation, CAST(line_key AS VARCHAR) AS key_value, count(*) AS rows
+FROM fact f WHERE line_key NOT IN (SELECT line_key FROM lines) GROUP BY line_key
+UNION ALL
+SELECT 'fact.stop_key', CAST(stop_key AS VARCHAR), count(*) FROM fact
+WHERE stop_key NOT IN (SELECT stop_key FROM stops) GROUP BY stop_key
+UNION ALL
+SELECT 'fact.quay_key', CAST(quay_key AS VARCHAR), count(*) FROM fact
+WHERE quay_key IS NOT NULL AND quay_key NOT IN (SELECT quay_key FROM quays) GROUP BY quay_key"""
+        ),
+        "key_duplicates": with_gold(
+            """SELECT 'fact.natural' AS table_name,
+  concat_ws('|', collected_at_utc, stop_key, service_journey_id, aimed_departure_utc) AS key_text,
+  count(*) AS occurrences
+FROM fact GROUP BY collected_at_utc, stop_key, service_journey_id, aimed_departure_utc HAVING count(*) > 1
+UNION ALL
+SELECT 'dim_line.line_id', line_id, count(*) FROM lines GROUP BY line_id HAVING count(*) > 1
+UNION ALL
+SELECT 'dim_stop.stop_place_id', stop_place_id, count(*) FROM stops GROUP BY stop_place_id HAVING count(*) > 1"""
+        ),
+        "line_labels": with_gold(
+            f"SELECT line_key, {_label('line_public_code', 'line_name', 'transport_mode')} AS line_label FROM lines"
+        ),
+    }
+)

@@ -61,3 +61,190 @@ QUERIES: dict[str, Query] = {
     "delay_by_hour": q_delay_by_hour,
     "worst_lines": q_worst_lines,
 }
+
+
+# --- dashboard (K-06) -------------------------------------------------------
+import datetime as dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from quaystat.functions.labels import line_label  # noqa: E402
+from quaystat.operators import checks, summaries  # noqa: E402
+from quaystat.operators.flatten import (  # noqa: E402
+    REJECT_COLUMN,
+    dedup_observations,
+    flatten_snapshots,
+    validate,
+)
+from quaystat.plans import explore, quality  # noqa: E402
+from quaystat.plans.jobs import two_batch_warehouse_root_for  # noqa: E402
+from quaystat.plans.warehouse import read_warehouse  # noqa: E402
+from quaystat.schema import OBSERVATION_COLUMNS  # noqa: E402
+from quaystat.sources import testdata  # noqa: E402
+from quaystat.sources.boards import board_observations, snapshots_from_observations  # noqa: E402
+from quaystat.sources.store import VersionedStore  # noqa: E402
+
+# Fixed query parameters of the dashboard examples.
+EXAMPLE_FILTERS = explore.DashboardFilters(
+    start_date=dt.date(2024, 1, 5),
+    end_date=dt.date(2024, 1, 20),
+    stop_keys=(1, 2, 4),
+    transport_modes=("bus", "tram", "rail"),
+)
+EMPTY_FILTERS = explore.DashboardFilters(start_date=dt.date(2030, 1, 1), end_date=dt.date(2030, 1, 2))
+SAMPLE_FLOOR = 35
+
+
+def _departures(spark, sf_dir):
+    wh, latest = _latest(spark, sf_dir)
+    return explore.star(latest, wh.dim_date, wh.dim_stop, wh.dim_line)
+
+
+def q_filtered_departures(spark, sf_dir):
+    return explore.filter_departures(_departures(spark, sf_dir), EXAMPLE_FILTERS)
+
+
+def q_overview(spark, sf_dir):
+    return explore.overview(_departures(spark, sf_dir))
+
+
+def q_overview_empty(spark, sf_dir):
+    return explore.overview(explore.filter_departures(_departures(spark, sf_dir), EMPTY_FILTERS))
+
+
+def q_summary_by_mode(spark, sf_dir):
+    return explore.summary_by(_departures(spark, sf_dir), "transport_mode")
+
+
+def q_summary_by_stop(spark, sf_dir):
+    return explore.summary_by(_departures(spark, sf_dir), "stop_name")
+
+
+def q_summary_by_hour(spark, sf_dir):
+    return explore.summary_by(_departures(spark, sf_dir), "departure_hour")
+
+
+def q_sample_partition(spark, sf_dir):
+    summary = summaries.summarize_delays(_departures(spark, sf_dir), ["line_key"])
+    return summaries.flag_sample_groups(summary, SAMPLE_FLOOR)
+
+
+def q_elevated_lines(spark, sf_dir):
+    return explore.elevated_lines(_departures(spark, sf_dir))
+
+
+def q_options_stops(spark, sf_dir):
+    return explore.stop_options(_departures(spark, sf_dir))
+
+
+def q_options_modes(spark, sf_dir):
+    return explore.mode_options(_departures(spark, sf_dir))
+
+
+def q_options_lines(spark, sf_dir):
+    return explore.line_options(_departures(spark, sf_dir))
+
+
+def q_date_bounds(spark, sf_dir):
+    return explore.date_bounds(_departures(spark, sf_dir))
+
+
+# --- quality (K-04) ---------------------------------------------------------
+def q_quality_summary(spark, sf_dir):
+    return quality.quality_summary(testdata.observations(spark, sf_dir))
+
+
+def q_quality_summary_prefilter(spark, sf_dir):
+    return quality.quality_summary(testdata.observations(spark, sf_dir, dirty=True))
+
+
+def q_quality_by_mode(spark, sf_dir):
+    return quality.quality_by_mode(testdata.observations(spark, sf_dir))
+
+
+# --- raw path (K-01) --------------------------------------------------------
+def q_flatten_snapshots(spark, sf_dir):
+    snaps = snapshots_from_observations(testdata.observations(spark, sf_dir))
+    return flatten_snapshots(snaps)
+
+
+def q_dedup_observations(spark, sf_dir):
+    return dedup_observations(board_observations(testdata.observations(spark, sf_dir)))
+
+
+def q_reject_summary(spark, sf_dir):
+    snaps = snapshots_from_observations(testdata.observations(spark, sf_dir, dirty=True))
+    checked = validate(flatten_snapshots(snaps, keep_raw=True))
+    return (
+        checked.filter(F.col(REJECT_COLUMN).isNotNull())
+        .groupBy(REJECT_COLUMN)
+        .agg(F.count(F.lit(1)).alias("rejected_rows"))
+    )
+
+
+# --- warehouse (K-02) -------------------------------------------------------
+def q_dim_date(spark, sf_dir):
+    return warehouse_for(spark, sf_dir).dim_date
+
+
+def q_dim_stop(spark, sf_dir):
+    return warehouse_for(spark, sf_dir).dim_stop
+
+
+def q_dim_line(spark, sf_dir):
+    return warehouse_for(spark, sf_dir).dim_line
+
+
+def q_dim_quay(spark, sf_dir):
+    return warehouse_for(spark, sf_dir).dim_quay
+
+
+def q_fact_upsert(spark, sf_dir):
+    wh = read_warehouse(spark, VersionedStore(spark, two_batch_warehouse_root_for(spark, sf_dir)))
+    return wh.fact.drop("observation_key")
+
+
+def q_fk_violations(spark, sf_dir):
+    return checks.warehouse_fk_violations(warehouse_for(spark, sf_dir))
+
+
+def q_key_duplicates(spark, sf_dir):
+    return checks.warehouse_key_duplicates(warehouse_for(spark, sf_dir))
+
+
+def q_line_labels(spark, sf_dir):
+    dim = warehouse_for(spark, sf_dir).dim_line
+    return dim.select("line_key", line_label("line_public_code", "line_name", "transport_mode").alias("line_label"))
+
+
+QUERIES.update(
+    {
+        "filtered_departures": q_filtered_departures,
+        "overview": q_overview,
+        "overview_empty": q_overview_empty,
+        "summary_by_mode": q_summary_by_mode,
+        "summary_by_stop": q_summary_by_stop,
+        "summary_by_hour": q_summary_by_hour,
+        "sample_partition": q_sample_partition,
+        "elevated_lines": q_elevated_lines,
+        "options_stops": q_options_stops,
+        "options_modes": q_options_modes,
+        "options_lines": q_options_lines,
+        "date_bounds": q_date_bounds,
+        "quality_summary": q_quality_summary,
+        "quality_summary_prefilter": q_quality_summary_prefilter,
+        "quality_by_mode": q_quality_by_mode,
+        "flatten_snapshots": q_flatten_snapshots,
+        "dedup_observations": q_dedup_observations,
+        "reject_summary": q_reject_summary,
+        "dim_date": q_dim_date,
+        "dim_stop": q_dim_stop,
+        "dim_line": q_dim_line,
+        "dim_quay": q_dim_quay,
+        "fact_upsert": q_fact_upsert,
+        "fk_violations": q_fk_violations,
+        "key_duplicates": q_key_duplicates,
+        "line_labels": q_line_labels,
+    }
+)
+_ = OBSERVATION_COLUMNS
