@@ -86,3 +86,9 @@ def date_attributes(full_date: Column | str) -> dict[str, Column]:
         "day_name": F.date_format(d, "EEEE"),
         "is_weekend": iso_dow.isin(6, 7),
     }
+
+
+def to_instant(utc_ntz: Column | str) -> Column:
+    """UTC NTZ -> instant (``TIMESTAMP``) via epoch microseconds, for APIs
+    that need an instant, such as streaming watermarks."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), _col(utc_ntz)))

@@ -324,3 +324,9 @@ SELECT 'dim_stop.stop_place_id', stop_place_id, count(*) FROM stops GROUP BY sto
         ),
     }
 )
+
+ORACLE["stream_latest"] = with_obs(
+    f"""SELECT {_OBS_COLS} FROM obs
+QUALIFY ROW_NUMBER() OVER (PARTITION BY stop_place_id, service_journey_id, aimed_departure_utc
+                           ORDER BY collected_at_utc DESC) = 1"""
+)

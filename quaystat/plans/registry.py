@@ -248,3 +248,31 @@ QUERIES.update(
     }
 )
 _ = OBSERVATION_COLUMNS
+
+
+# --- streaming (R-03) ---------------------------------------------------------
+from quaystat.session import scratch_path  # noqa: E402
+from quaystat.streaming import ingest  # noqa: E402
+
+
+def q_stream_latest(spark, sf_dir):
+    """Latest estimates maintained by a streaming aggregate over the events
+    table read as a file stream; the update-mode output is collapsed to the
+    newest version per departure."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    events = (
+        spark.readStream.schema(spark.read.parquet(path).schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+    )
+    root = scratch_path(spark, "stream-latest")
+    ingest.run_available(
+        ingest.latest_state(testdata.observations_from_events(events)),
+        ingest.write_batches_to(f"{root}/updates"),
+        f"{root}/checkpoint",
+        mode="update",
+    )
+    return ingest.newest_versions(spark.read.parquet(f"{root}/updates")).select(*OBSERVATION_COLUMNS)
+
+
+QUERIES["stream_latest"] = q_stream_latest
