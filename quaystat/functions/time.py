@@ -20,8 +20,14 @@ WEEKEND_DAYS = (1, 7)
 EPOCH = dt.datetime(1970, 1, 1)
 
 
+def ntz_literal(value: dt.datetime) -> Column:
+    """An NTZ literal built from text: a Python ``datetime`` literal would be
+    read in the session zone, a string cast to NTZ is not."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _epoch() -> Column:
-    return F.lit(EPOCH).cast("timestamp_ntz")
+    return ntz_literal(EPOCH)
 
 
 def _col(c: Column | str) -> Column:

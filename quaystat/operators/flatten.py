@@ -126,9 +126,12 @@ def validate(flat: DataFrame, strict_fields: bool = True) -> DataFrame:
 
 
 def corrupt_snapshots(snapshots: DataFrame) -> DataFrame:
-    """Snapshot documents that failed to parse, with their file name."""
+    """Snapshot documents that failed to parse, with their file name (and
+    the raw collection text, so the scan reads more than the corrupt column)."""
     return snapshots.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(
-        F.col(SOURCE_FILE_COLUMN).alias("source_file"), F.lit(CORRUPT_FILE).alias(REJECT_COLUMN)
+        F.col(SOURCE_FILE_COLUMN).alias("source_file"),
+        F.lit(CORRUPT_FILE).alias(REJECT_COLUMN),
+        F.col("collected_at_utc").alias("raw_collected_at"),
     )
 
 

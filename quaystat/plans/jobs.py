@@ -73,25 +73,25 @@ def run_etl(spark: SparkSession, raw_path: str, silver_root: str, strict_fields:
     rej_path = store.table_path(version, "rejects")
     valid.write.mode("errorifexists").partitionBy("service_date").parquet(obs_path)
     bad_files = corrupt_snapshots(snapshots)
-    rejects.select(
+    reject_rows = rejects.select(
         F.col("source_file"), F.col(REJECT_COLUMN), F.col("raw_collected_at"), F.col("service_journey_id")
     ).unionByName(
         bad_files.select(
-            "source_file", REJECT_COLUMN,
-            F.lit(None).cast("string").alias("raw_collected_at"),
+            "source_file", REJECT_COLUMN, "raw_collected_at",
             F.lit(None).cast("string").alias("service_journey_id"),
         )
-    ).write.mode("errorifexists").parquet(rej_path)
+    )
+    reject_rows.write.mode("errorifexists").parquet(rej_path)
 
     raw_count = snapshots.count()
     if raw_count == 0:
         raise NoSnapshotsError(f"No JSON snapshots found in {raw_path}")
-    processed = spark.read.parquet(obs_path).count()
+    processed = spark.read.schema(valid.schema).parquet(obs_path).count()
     if processed == 0:
         raise NoObservationsError(
             "ETL produced no valid departure observations; check the raw snapshot structure and required fields"
         )
-    rejected = spark.read.parquet(rej_path).count()
+    rejected = spark.read.schema(reject_rows.schema).parquet(rej_path).count()
     store.publish(version, {"observations": obs_path, "rejects": rej_path, "raw_count": raw_count,
                             "processed_count": processed, "rejected_count": rejected})
     return EtlResult(raw_count, processed, rejected, version)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaystat.functions.time import EPOCH, epoch_seconds, to_local
+from quaystat.functions.time import EPOCH, epoch_seconds, ntz_literal, to_local
 
 # Fixed value: the "board" variant floors collection instants to 6 hours.
 BOARD_SECONDS = 6 * 3600
@@ -82,5 +82,5 @@ def board_observations(obs: DataFrame) -> DataFrame:
     epoch arithmetic, no session zone), so one departure is seen on several
     boards and one board can repeat a call."""
     secs = epoch_seconds("collected_at_utc")
-    floored = F.timestamp_add("SECOND", secs - secs % BOARD_SECONDS, F.lit(EPOCH).cast("timestamp_ntz"))
+    floored = F.timestamp_add("SECOND", secs - secs % BOARD_SECONDS, ntz_literal(EPOCH))
     return obs.withColumn("collected_at_utc", floored)

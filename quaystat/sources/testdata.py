@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystat.functions.time import local_features
+from quaystat.functions.time import local_features, ntz_literal
 from quaystat.schema import OBSERVATION_COLUMNS
 
 # --- Fixed values: the mapping rules from events to observations. ---
@@ -62,7 +62,7 @@ def _mapped_columns(events: DataFrame, dirty: bool) -> list[Column]:
     aimed = F.timestamp_add(
         "HOUR",
         (user * 7 + F.length(etype) * 5) % 72,
-        F.timestamp_add("DAY", bkt * 3, F.lit(BASE_TS).cast("timestamp_ntz")),
+        F.timestamp_add("DAY", bkt * 3, ntz_literal(BASE_TS)),
     )
     delay = F.floor(F.col("value") * 6) - 60
     journey = F.concat(F.lit("J"), user.cast("string"), F.lit(":"), etype)
