@@ -39,3 +39,16 @@ def latest_from_silver(silver: DataFrame) -> DataFrame:
     return latest_estimates(
         silver, key=("stop_place_id", "service_journey_id", "aimed_departure_utc"), columns=None
     )
+
+
+def refresh_latest(old_latest: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Incremental maintenance of a materialised latest table.
+
+    ``old_latest`` holds the stored latest rows of the affected partitions;
+    ``candidates`` holds fact rows (new or updated) of the same partitions.
+    The newest collected row wins; on a tie the candidate wins, because it is
+    the updated version of the same fact row.
+    """
+    both = old_latest.withColumn("_stored", F.lit(1)).unionByName(candidates.withColumn("_stored", F.lit(0)))
+    order = [F.col("collected_at_utc").desc(), F.col("_stored").asc(), F.col("observation_key").desc()]
+    return first_per_group(both, list(DEPARTURE_KEY), order).drop("_stored")

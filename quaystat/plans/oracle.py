@@ -330,3 +330,11 @@ ORACLE["stream_latest"] = with_obs(
 QUALIFY ROW_NUMBER() OVER (PARTITION BY stop_place_id, service_journey_id, aimed_departure_utc
                            ORDER BY collected_at_utc DESC) = 1"""
 )
+
+ORACLE["latest_incremental"] = with_gold(
+    """SELECT collected_at_utc, date_key, stop_key, quay_key, line_key, service_journey_id,
+  destination, realtime, aimed_departure_utc,
+  expected_departure_utc + INTERVAL 90000 SECOND AS expected_departure_utc,
+  actual_departure_utc, delay_seconds + 90000 AS delay_seconds, departure_hour
+FROM latest"""
+)

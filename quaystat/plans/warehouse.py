@@ -22,8 +22,11 @@ from quaystat.schema import (
     DIM_QUAY_DDL,
     DIM_STOP_DDL,
     FACT_DDL,
+    LATEST_COLUMNS,
+    LATEST_DDL,
     STAGING_COLUMNS,
 )
+from quaystat.operators.latest import refresh_latest
 from quaystat.sources.store import Manifest, VersionedStore
 
 DIMENSIONS = {
@@ -41,6 +44,7 @@ class Warehouse:
     dim_quay: DataFrame
     dim_line: DataFrame
     fact: DataFrame
+    latest: DataFrame
     manifest: Manifest | None = None
     stats: dict = field(default_factory=dict)
 
@@ -70,30 +74,36 @@ def read_warehouse(spark: SparkSession, store: VersionedStore, manifest: Manifes
     manifest = manifest or store.current()
     if manifest is None:
         tables = {name: _empty(spark, ddl) for name, ddl in DIMENSIONS.items()}
-        return Warehouse(fact=_empty(spark, FACT_DDL), **tables)
+        return Warehouse(fact=_empty(spark, FACT_DDL), latest=_empty(spark, LATEST_DDL), **tables)
     body = manifest.body
     tables = {name: spark.read.schema(DIMENSIONS[name]).parquet(path) for name, path in body["tables"].items()}
-    return Warehouse(fact=_read_fact(spark, store, body["fact"]), manifest=manifest, stats=body, **tables)
+    fact = _read_partitioned(spark, store, "fact", body["fact"], FACT_DDL, "collected_date")
+    latest = _read_partitioned(spark, store, "latest", body.get("latest", {}), LATEST_DDL, "aimed_date")
+    return Warehouse(fact=fact, latest=latest, manifest=manifest, stats=body, **tables)
 
 
-def _read_fact(spark: SparkSession, store: VersionedStore, partitions: dict[str, int]) -> DataFrame:
-    """Union of the fact partitions, each read from the version that wrote it
-    (static partition pruning on ``collected_date``)."""
+def _dates(days) -> list:
+    return [F.lit(d).cast("date") for d in days]
+
+
+def _read_partitioned(
+    spark: SparkSession, store: VersionedStore, table: str, partitions: dict[str, int], ddl: str, part_col: str
+) -> DataFrame:
+    """Union of a table's date partitions, each read from the version that
+    last wrote it (static partition pruning on ``part_col``)."""
     by_version: dict[int, list[str]] = {}
     for day, version in partitions.items():
         by_version.setdefault(int(version), []).append(day)
-    fact_cols = [f.split(" ")[0] for f in FACT_DDL.split(", ")]
+    typed = [F.col(c).cast(t) for c, t in (f.split(" ") for f in ddl.split(", "))]
     out = None
     for version, days in sorted(by_version.items()):
         part = (
-            spark.read.parquet(store.table_path(version, "fact"))
-            .filter(F.col("collected_date").isin([F.lit(d).cast("date") for d in days]))
-            .select(*fact_cols)
+            spark.read.schema(ddl).parquet(store.table_path(version, table))
+            .filter(F.col(part_col).isin(_dates(days)))
+            .select(*typed)
         )
         out = part if out is None else out.unionByName(part)
-    if out is None:
-        return _empty(spark, FACT_DDL)
-    return out.select(*[F.col(c).cast(t) for c, t in (f.split(" ") for f in FACT_DDL.split(", "))])
+    return _empty(spark, ddl) if out is None else out
 
 
 def _max_key(df: DataFrame, key: str) -> int:
@@ -141,7 +151,7 @@ def load_batch(spark: SparkSession, observations: DataFrame, store: VersionedSto
 
     current = store.current()
     old = read_warehouse(spark, store, current)
-    prev = current.body if current else {"max_keys": {}, "fact": {}, "fact_rows": {}}
+    prev = current.body if current else {"max_keys": {}, "fact": {}, "fact_rows": {}, "latest": {}}
     version = store.next_version()
 
     def write(df: DataFrame, name: str) -> DataFrame:
@@ -161,17 +171,32 @@ def load_batch(spark: SparkSession, observations: DataFrame, store: VersionedSto
     incoming_rows = incoming.count()
     days = sorted(str(r["collected_date"]) for r in incoming.select("collected_date").distinct().collect())
 
-    affected = old.fact.filter(F.col("collected_date").isin([F.lit(d).cast("date") for d in days]))
+    affected = old.fact.filter(F.col("collected_date").isin(_dates(days)))
     merged = upsert.upsert_fact(affected, incoming, prev["max_keys"].get("observation", 0))
     fact_path = store.table_path(version, "fact")
     merged.write.mode("errorifexists").partitionBy("collected_date").parquet(fact_path)
-    written = spark.read.parquet(fact_path)
+    written = spark.read.schema(FACT_DDL).parquet(fact_path)
     per_day = {
         str(r["collected_date"]): int(r["n"])
         for r in written.groupBy("collected_date").agg(F.count(F.lit(1)).alias("n")).collect()
     }
     fact_parts = {**prev["fact"], **{d: version for d in per_day}}
     fact_rows = {**prev.get("fact_rows", {}), **per_day}
+
+    # Latest estimates: recompute only the aimed dates the batch touches.
+    aimed_days = sorted(
+        str(r["d"]) for r in incoming.select(F.to_date("aimed_departure_utc").alias("d")).distinct().collect()
+    )
+    candidates = (
+        written.withColumn("aimed_date", F.to_date("aimed_departure_utc"))
+        .filter(F.col("aimed_date").isin(_dates(aimed_days)))
+        .select(*LATEST_COLUMNS, "aimed_date")
+    )
+    stored = old.latest.filter(F.col("aimed_date").isin(_dates(aimed_days)))
+    refresh_latest(stored, candidates).write.mode("errorifexists").partitionBy("aimed_date").parquet(
+        store.table_path(version, "latest")
+    )
+    latest_parts = {**prev.get("latest", {}), **{d: version for d in aimed_days}}
     body = {
         "tables": {
             "dim_date": store.table_path(version, "dim_date"),
@@ -181,6 +206,7 @@ def load_batch(spark: SparkSession, observations: DataFrame, store: VersionedSto
         },
         "fact": fact_parts,
         "fact_rows": fact_rows,
+        "latest": latest_parts,
         "max_keys": {
             "stop": _max_key(dim_stop, "stop_key"),
             "line": _max_key(dim_line, "line_key"),

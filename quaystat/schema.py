@@ -85,6 +85,16 @@ FACT_DDL = (
     "delay_seconds INT, departure_hour SMALLINT, collected_date DATE"
 )
 
+# Materialised latest estimates: the view's columns plus the partition
+# column ``aimed_date`` (date of the aimed time, fixed by the departure key).
+LATEST_DDL = (
+    "observation_key BIGINT, collected_at_utc TIMESTAMP_NTZ, date_key INT, "
+    "stop_key BIGINT, quay_key BIGINT, line_key BIGINT, service_journey_id STRING, "
+    "destination STRING, realtime BOOLEAN, aimed_departure_utc TIMESTAMP_NTZ, "
+    "expected_departure_utc TIMESTAMP_NTZ, actual_departure_utc TIMESTAMP_NTZ, "
+    "delay_seconds INT, departure_hour SMALLINT, aimed_date DATE"
+)
+
 # Columns of the latest-estimate view (the rank helper is dropped).
 LATEST_COLUMNS = [
     "observation_key", "collected_at_utc", "date_key", "stop_key", "quay_key",

@@ -37,6 +37,7 @@ def test_reload_updates_only_four_columns(spark, tmp_root):  # U1
     for col in ("date_key", "departure_hour", "quay_key", "line_key", "destination", "observation_key"):
         assert after[col] == before[col], col
     assert wh.dim_date.count() == 2  # the new service date is still inserted
+    assert [(r.delay_seconds, r.date_key) for r in wh.latest.collect()] == [(52200, before.date_key)]
 
 
 def test_dimensions_overwrite_including_nulls(spark, tmp_root):  # U2
@@ -100,8 +101,10 @@ def test_latest_ignores_load_order(spark, tmp_root):  # L1
     older = snapshot([call(expected="2026-09-03T10:01:00+02:00")], collected="2026-09-03T08:00:00+00:00")
     load_batch(spark, observations_df(spark, [newer]), store)
     load_batch(spark, observations_df(spark, [older]), store)
-    latest = latest_estimates(read_warehouse(spark, store).fact).collect()
+    wh = read_warehouse(spark, store)
+    latest = latest_estimates(wh.fact).collect()
     assert len(latest) == 1 and latest[0].delay_seconds == 540
+    assert [r.delay_seconds for r in wh.latest.collect()] == [540]  # materialised, maintained incrementally
 
 
 def test_filters_apply_after_ranking(spark, tmp_root):  # L2
