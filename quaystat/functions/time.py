@@ -45,8 +45,23 @@ def parse_instant(text: Column | str) -> Column:
 
 
 def epoch_seconds(ntz: Column | str) -> Column:
-    """Whole seconds since 1970 of a UTC NTZ value (floor for post-1970)."""
-    return F.timestamp_diff("SECOND", _epoch(), _col(ntz))
+    """Whole seconds since 1970 of an NTZ value (floored), from its fields.
+
+    ``timestamp_diff``/``unix_*`` would cast NTZ to a session-zone TIMESTAMP
+    first; date and clock fields of an NTZ value never consult a zone.
+    """
+    x = _col(ntz)
+    days = F.datediff(F.to_date(x), F.lit(EPOCH.date())).cast("long")
+    return days * 86400 + F.hour(x) * 3600 + F.minute(x) * 60 + F.second(x)
+
+
+def micros_of_second(ntz: Column | str) -> Column:
+    """Microseconds within the second (0..999999) of an NTZ value."""
+    return (F.date_part(F.lit("SECOND"), _col(ntz)) * 1_000_000).cast("long") % 1_000_000
+
+
+def epoch_micros(ntz: Column | str) -> Column:
+    return epoch_seconds(ntz) * 1_000_000 + micros_of_second(ntz)
 
 
 def delay_seconds(expected: Column | str, aimed: Column | str) -> Column:
@@ -81,7 +96,7 @@ def date_attributes(full_date: Column | str) -> dict[str, Column]:
     d = _col(full_date)
     iso_dow = F.weekday(d) + 1
     return {
-        "date_key": F.date_format(d, "yyyyMMdd").cast("int"),
+        "date_key": (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int"),
         "full_date": d,
         "year": F.year(d),
         "quarter": F.quarter(d),
@@ -97,4 +112,4 @@ def date_attributes(full_date: Column | str) -> dict[str, Column]:
 def to_instant(utc_ntz: Column | str) -> Column:
     """UTC NTZ -> instant (``TIMESTAMP``) via epoch microseconds, for APIs
     that need an instant, such as streaming watermarks."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), _col(utc_ntz)))
+    return F.timestamp_micros(epoch_micros(utc_ntz))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,15 +141,29 @@ def load_batch(spark: SparkSession, observations: DataFrame, store: VersionedSto
     only when the manifest is published at the very end.
     """
     staging = observations.select(*STAGING_COLUMNS)
-    if strict:
-        bad = staging_violations(staging).limit(1).count()
-        if bad:
-            raise StagingConstraintError("staged rows break NOT NULL rules of the warehouse")
-    else:
+    if not strict:
         staging = staging.filter(~staging_violation(staging))
-    if staging.limit(1).count() == 0:
+    # Read by five steps below; spillable, and recomputable from its source
+    # if an executor is lost.
+    staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = staging.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(staging_violation(staging)).alias("bad")
+    ).first()
+    staged_rows = int(counts["rows"])
+    if strict and counts["bad"]:
+        staging.unpersist()
+        raise StagingConstraintError(f"{counts['bad']} staged rows break NOT NULL rules of the warehouse")
+    if staged_rows == 0:
+        staging.unpersist()
         raise EmptyLoadError("no staged rows; previous version left in place")
 
+    try:
+        return _upsert_and_publish(spark, staging, staged_rows, store)
+    finally:
+        staging.unpersist()
+
+
+def _upsert_and_publish(spark: SparkSession, staging: DataFrame, staged_rows: int, store: VersionedStore) -> LoadResult:
     current = store.current()
     old = read_warehouse(spark, store, current)
     prev = current.body if current else {"max_keys": {}, "fact": {}, "fact_rows": {}, "latest": {}}
@@ -167,7 +182,6 @@ def load_batch(spark: SparkSession, observations: DataFrame, store: VersionedSto
     )
 
     incoming = write(upsert.fact_rows(staging, dim_date, dim_stop, dim_line, dim_quay), "_incoming_fact")
-    staged_rows = staging.count()
     incoming_rows = incoming.count()
     days = sorted(str(r["collected_date"]) for r in incoming.select("collected_date").distinct().collect())
 

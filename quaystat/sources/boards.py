@@ -12,14 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaystat.functions.time import EPOCH, epoch_seconds, ntz_literal, to_local
+from quaystat.functions.time import EPOCH, epoch_seconds, micros_of_second, ntz_literal, to_local
 
 # Fixed value: the "board" variant floors collection instants to 6 hours.
 BOARD_SECONDS = 6 * 3600
 
 
 def _offset_text(utc: Column, local: Column) -> Column:
-    minutes = F.timestamp_diff("MINUTE", utc, local)
+    minutes = F.call_function("div", epoch_seconds(local) - epoch_seconds(utc), F.lit(60))
     sign = F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+"))
     m = F.abs(minutes)
     return F.concat(sign, F.lpad((m / 60).cast("int").cast("string"), 2, "0"), F.lit(":"),
@@ -30,13 +30,21 @@ def iso_local(utc: Column | str) -> Column:
     """UTC NTZ -> 'yyyy-MM-ddTHH:mm:ss[.ffffff]+hh:mm' in local time."""
     u = F.col(utc) if isinstance(utc, str) else utc
     local = to_local(u)
-    text = F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.when(u.isNotNull(), F.concat(text, _offset_text(u, local)))
+    return F.when(u.isNotNull(), F.concat(_iso_text(local), _offset_text(u, local)))
+
+
+def _iso_text(ntz: Column) -> Column:
+    """'yyyy-MM-ddTHH:mm:ss.ffffff' from the NTZ fields (no session zone)."""
+    return F.format_string(
+        "%04d-%02d-%02dT%02d:%02d:%02d.%06d",
+        F.year(ntz), F.month(ntz), F.dayofmonth(ntz), F.hour(ntz), F.minute(ntz), F.second(ntz),
+        micros_of_second(ntz),
+    )
 
 
 def iso_utc(utc: Column | str) -> Column:
     u = F.col(utc) if isinstance(utc, str) else utc
-    return F.when(u.isNotNull(), F.concat(F.date_format(u, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")))
+    return F.when(u.isNotNull(), F.concat(_iso_text(u), F.lit("+00:00")))
 
 
 def snapshots_from_observations(obs: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystat.functions.time import local_features, ntz_literal
+from quaystat.functions.time import delay_seconds, local_features, ntz_literal
 from quaystat.schema import OBSERVATION_COLUMNS
 
 # --- Fixed values: the mapping rules from events to observations. ---
@@ -144,7 +144,7 @@ def scale_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         aimed.alias("aimed_departure_utc"),
         expected.alias("expected_departure_utc"),
         F.lit(None).cast("timestamp_ntz").alias("actual_departure_utc"),
-        F.timestamp_diff("SECOND", aimed, expected).alias("delay_seconds"),
+        delay_seconds(expected, aimed).alias("delay_seconds"),
     )
     feats = local_features("expected_departure_utc")
     return flat.select(*flat.columns, *[c.alias(n) for n, c in feats.items()]).select(
