@@ -163,8 +163,23 @@ def warehouse_root_for(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+_READ: dict[tuple[str, str, int], Warehouse] = {}
+
+
+def current_warehouse(spark: SparkSession, root: str) -> Warehouse:
+    """Gold DataFrames of the current published version, reused while that
+    version stays current (a new publish changes the key)."""
+    store = VersionedStore(spark, root)
+    manifest = store.current()
+    key = (spark.sparkContext.applicationId, root, manifest.version if manifest else 0)
+    wh = _READ.get(key)
+    if wh is None:
+        wh = _READ[key] = read_warehouse(spark, store, manifest)
+    return wh
+
+
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return read_warehouse(spark, VersionedStore(spark, warehouse_root_for(spark, sf_dir)))
+    return current_warehouse(spark, warehouse_root_for(spark, sf_dir))
 
 
 def two_batch_warehouse_root_for(spark: SparkSession, sf_dir: str) -> str:

@@ -6,14 +6,23 @@ loads from them once per session) and runs over whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quaystat.functions.labels import line_label
+from quaystat.operators import checks, summaries
+from quaystat.operators.flatten import REJECT_COLUMN, dedup_observations, flatten_snapshots, validate
 from quaystat.operators.latest import latest_estimates
-from quaystat.plans import reports
-from quaystat.plans.jobs import warehouse_for
-from quaystat.schema import LATEST_COLUMNS
+from quaystat.plans import explore, quality, reports
+from quaystat.plans.jobs import current_warehouse, two_batch_warehouse_root_for, warehouse_for
+from quaystat.schema import LATEST_COLUMNS, OBSERVATION_COLUMNS
+from quaystat.session import scratch_path
+from quaystat.sources import testdata
+from quaystat.sources.boards import board_observations, snapshots_from_observations
+from quaystat.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,25 +75,8 @@ QUERIES: dict[str, Query] = {
 
 
 # --- dashboard (K-06) -------------------------------------------------------
-import datetime as dt  # noqa: E402
 
-from pyspark.sql import functions as F  # noqa: E402
 
-from quaystat.functions.labels import line_label  # noqa: E402
-from quaystat.operators import checks, summaries  # noqa: E402
-from quaystat.operators.flatten import (  # noqa: E402
-    REJECT_COLUMN,
-    dedup_observations,
-    flatten_snapshots,
-    validate,
-)
-from quaystat.plans import explore, quality  # noqa: E402
-from quaystat.plans.jobs import two_batch_warehouse_root_for  # noqa: E402
-from quaystat.plans.warehouse import read_warehouse  # noqa: E402
-from quaystat.schema import OBSERVATION_COLUMNS  # noqa: E402
-from quaystat.sources import testdata  # noqa: E402
-from quaystat.sources.boards import board_observations, snapshots_from_observations  # noqa: E402
-from quaystat.sources.store import VersionedStore  # noqa: E402
 
 # Fixed query parameters of the dashboard examples.
 EXAMPLE_FILTERS = explore.DashboardFilters(
@@ -202,13 +194,13 @@ def q_dim_quay(spark, sf_dir):
 
 
 def q_fact_upsert(spark, sf_dir):
-    wh = read_warehouse(spark, VersionedStore(spark, two_batch_warehouse_root_for(spark, sf_dir)))
+    wh = current_warehouse(spark, two_batch_warehouse_root_for(spark, sf_dir))
     return wh.fact.drop("observation_key")
 
 
 def q_latest_incremental(spark, sf_dir):
     """Materialised latest table after two loads (maintained incrementally)."""
-    wh = read_warehouse(spark, VersionedStore(spark, two_batch_warehouse_root_for(spark, sf_dir)))
+    wh = current_warehouse(spark, two_batch_warehouse_root_for(spark, sf_dir))
     return wh.latest.select(*[c for c in LATEST_COLUMNS if c != "observation_key"])
 
 
@@ -256,12 +248,9 @@ QUERIES.update(
         "line_labels": q_line_labels,
     }
 )
-_ = OBSERVATION_COLUMNS
 
 
 # --- streaming (R-03) ---------------------------------------------------------
-from quaystat.session import scratch_path  # noqa: E402
-from quaystat.streaming import ingest  # noqa: E402
 
 
 def q_stream_latest(spark, sf_dir):
