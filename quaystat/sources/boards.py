@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaystat.functions.time import EPOCH, epoch_seconds, micros_of_second, ntz_literal, to_local
+from quaystat.functions.time import EPOCH, epoch_seconds, ntz_literal, to_local
 
 # Fixed value: the "board" variant floors collection instants to 6 hours.
 BOARD_SECONDS = 6 * 3600
@@ -26,34 +26,38 @@ def _offset_text(utc: Column, local: Column) -> Column:
                     F.lpad((m % 60).cast("string"), 2, "0"))
 
 
-def iso_local(utc: Column | str) -> Column:
-    """UTC NTZ -> 'yyyy-MM-ddTHH:mm:ss[.ffffff]+hh:mm' in local time."""
+def iso_local(utc: Column | str, local: Column | str | None = None) -> Column:
+    """UTC NTZ -> 'yyyy-MM-ddTHH:mm:ss[.f]+hh:mm' in local time (NULL stays NULL).
+
+    Pass a precomputed ``local`` column when formatting many rows: the zone
+    conversion is the expensive part and should run once per value.
+    """
     u = F.col(utc) if isinstance(utc, str) else utc
-    local = to_local(u)
-    return F.when(u.isNotNull(), F.concat(_iso_text(local), _offset_text(u, local)))
+    loc = to_local(u) if local is None else (F.col(local) if isinstance(local, str) else local)
+    return F.concat(_iso_text(loc), _offset_text(u, loc))
 
 
 def _iso_text(ntz: Column) -> Column:
-    """'yyyy-MM-ddTHH:mm:ss.ffffff' from the NTZ fields (no session zone)."""
-    return F.format_string(
-        "%04d-%02d-%02dT%02d:%02d:%02d.%06d",
-        F.year(ntz), F.month(ntz), F.dayofmonth(ntz), F.hour(ntz), F.minute(ntz), F.second(ntz),
-        micros_of_second(ntz),
-    )
+    """'yyyy-MM-ddTHH:mm:ss[.fraction]': the NTZ string cast (no session
+    zone, unlike ``date_format``) with the date/time separator as 'T'."""
+    text = ntz.cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 32))
 
 
 def iso_utc(utc: Column | str) -> Column:
     u = F.col(utc) if isinstance(utc, str) else utc
-    return F.when(u.isNotNull(), F.concat(_iso_text(u), F.lit("+00:00")))
+    return F.concat(_iso_text(u), F.lit("+00:00"))
 
 
 def snapshots_from_observations(obs: DataFrame) -> DataFrame:
     """One nested snapshot per (collected_at_utc, stop_place_id)."""
+    instants = ["aimed_departure_utc", "expected_departure_utc", "actual_departure_utc"]
+    obs = obs.select("*", *[to_local(c).alias(f"_local_{c}") for c in instants])
     call = F.struct(
         F.col("realtime").alias("realtime"),
-        iso_local("aimed_departure_utc").alias("aimedDepartureTime"),
-        iso_local("expected_departure_utc").alias("expectedDepartureTime"),
-        iso_local("actual_departure_utc").alias("actualDepartureTime"),
+        iso_local("aimed_departure_utc", "_local_aimed_departure_utc").alias("aimedDepartureTime"),
+        iso_local("expected_departure_utc", "_local_expected_departure_utc").alias("expectedDepartureTime"),
+        iso_local("actual_departure_utc", "_local_actual_departure_utc").alias("actualDepartureTime"),
         F.when(F.col("quay_id").isNotNull() | F.col("quay_name").isNotNull(),
                F.struct(F.col("quay_id").alias("id"), F.col("quay_name").alias("name"))).alias("quay"),
         F.struct(F.col("destination").alias("frontText")).alias("destinationDisplay"),

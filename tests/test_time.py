@@ -32,6 +32,7 @@ def test_iso_local_round_trip_in_summer(spark):
     value = dt.datetime(2024, 7, 1, 22, 30, 0, 123456)
     text = _one(spark, iso_local("x"), value)
     assert text == "2024-07-02T00:30:00.123456+02:00"
+    assert _one(spark, iso_local("x"), dt.datetime(2024, 1, 1, 5)) == "2024-01-01T06:00:00+01:00"
     assert _one(spark, parse_instant("x"), text, "x STRING") == value
 
 
