@@ -94,8 +94,13 @@ def _departures(spark, sf_dir):
     return explore.star(latest, wh.dim_date, wh.dim_stop, wh.dim_line)
 
 
+def _selected(spark, sf_dir, filters):
+    wh, latest = _latest(spark, sf_dir)
+    return explore.selected_departures(latest, wh.dim_date, wh.dim_stop, wh.dim_line, filters)
+
+
 def q_filtered_departures(spark, sf_dir):
-    return explore.filter_departures(_departures(spark, sf_dir), EXAMPLE_FILTERS)
+    return _selected(spark, sf_dir, EXAMPLE_FILTERS)
 
 
 def q_overview(spark, sf_dir):
@@ -103,7 +108,7 @@ def q_overview(spark, sf_dir):
 
 
 def q_overview_empty(spark, sf_dir):
-    return explore.overview(explore.filter_departures(_departures(spark, sf_dir), EMPTY_FILTERS))
+    return explore.overview(_selected(spark, sf_dir, EMPTY_FILTERS))
 
 
 def q_summary_by_mode(spark, sf_dir):
