@@ -4,15 +4,16 @@ New natural keys are range-partitioned and sorted, checkpointed (reliable,
 in the shared checkpoint folder) so that every later read sees the same rows
 in the same partitions, then numbered as
 ``start + rows in earlier partitions + position in partition``.
-The per-partition counts table has one row per partition, so broadcasting it
-is bounded by the partition count, not by the data.
+The per-partition counts have one row per partition, so bringing them to
+the driver (as a literal offsets array) is bounded by the partition count,
+not by the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaystat.session import ensure_checkpoint_dir
@@ -21,15 +22,15 @@ from quaystat.session import ensure_checkpoint_dir
 def with_sequential_keys(
     df: DataFrame,
     key_column: str,
-    start: Column | int = 0,
+    start: int = 0,
     order: Sequence[str] | None = None,
-) -> DataFrame:
-    """Append ``key_column`` = start+1, start+2, ... (unique, gap-free).
+) -> tuple[DataFrame, int]:
+    """Append ``key_column`` = start+1, start+2, ... (unique, gap-free) and
+    return ``(frame, number of keys issued)``.
 
     With ``order`` the keys follow that order (dense rank of a unique key);
     without it they follow the stored partition layout, which is fixed by the
-    checkpoint. ``start`` may be a literal or a one-row scalar column
-    expression such as a broadcast max of existing keys.
+    checkpoint.
     """
     ensure_checkpoint_dir(df.sparkSession)
     staged = df
@@ -38,14 +39,16 @@ def with_sequential_keys(
     staged = staged.checkpoint(eager=True)
 
     pid = F.spark_partition_id()
-    positioned = staged.withColumn("_pid", pid).withColumn(
-        "_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    # One row per partition: bounded by the partition count, not the data.
+    counts = dict(
+        (r["_pid"], r["_n"])
+        for r in staged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect()
     )
-    counts = positioned.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    start_col = start if isinstance(start, Column) else F.lit(start)
-    keyed = positioned.join(F.broadcast(offsets), "_pid").withColumn(
-        key_column, (start_col + F.col("_off") + F.col("_pos") + 1).cast("long")
-    )
-    return keyed.drop("_pid", "_pos", "_off")
+    offsets, running = [], 0
+    for p in range(staged.rdd.getNumPartitions()):
+        offsets.append(running)
+        running += counts.get(p, 0)
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")]), pid + 1)
+    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    keyed = staged.withColumn(key_column, (F.lit(start).cast("long") + offset + position + 1).cast("long"))
+    return keyed, running

@@ -39,8 +39,10 @@ def upsert_dimension(
     surrogate_key: str,
     attrs: Sequence[str],
     max_key: int,
-) -> DataFrame:
-    """Type-1 upsert of ``incoming`` (one row per natural key) into ``existing``."""
+) -> tuple[DataFrame, int]:
+    """Type-1 upsert of ``incoming`` (one row per natural key) into ``existing``.
+
+    Returns ``(table, new max key)``."""
     cols = [surrogate_key, natural_key, *attrs]
     inc = incoming.select(natural_key, *[F.col(a).alias(f"_new_{a}") for a in attrs]).withColumn(
         PRESENT, F.lit(True)
@@ -54,8 +56,8 @@ def upsert_dimension(
         ],
     )
     new = incoming.join(existing.select(natural_key), natural_key, "left_anti")
-    inserted = with_sequential_keys(new.select(natural_key, *attrs), surrogate_key, max_key, order=[natural_key])
-    return updated.select(*cols).unionByName(inserted.select(*cols))
+    inserted, issued = with_sequential_keys(new.select(natural_key, *attrs), surrogate_key, max_key, order=[natural_key])
+    return updated.select(*cols).unionByName(inserted.select(*cols)), max_key + issued
 
 
 def incoming_dim_date(staging: DataFrame) -> DataFrame:
@@ -70,18 +72,20 @@ def upsert_dim_date(existing: DataFrame, staging: DataFrame) -> DataFrame:
     return existing.unionByName(new.select(*existing.columns))
 
 
-def upsert_dim_stop(existing: DataFrame, staging: DataFrame, max_key: int) -> DataFrame:
+def upsert_dim_stop(existing: DataFrame, staging: DataFrame, max_key: int) -> tuple[DataFrame, int]:
     incoming = _newest_per_key(staging, "stop_place_id", ["stop_name"])
     return upsert_dimension(existing, incoming, "stop_place_id", "stop_key", ["stop_name"], max_key)
 
 
-def upsert_dim_line(existing: DataFrame, staging: DataFrame, max_key: int) -> DataFrame:
+def upsert_dim_line(existing: DataFrame, staging: DataFrame, max_key: int) -> tuple[DataFrame, int]:
     attrs = ["line_public_code", "line_name", "transport_mode"]
     incoming = _newest_per_key(staging, "line_id", attrs)
     return upsert_dimension(existing, incoming, "line_id", "line_key", attrs, max_key)
 
 
-def upsert_dim_quay(existing: DataFrame, staging: DataFrame, dim_stop: DataFrame, max_key: int) -> DataFrame:
+def upsert_dim_quay(
+    existing: DataFrame, staging: DataFrame, dim_stop: DataFrame, max_key: int
+) -> tuple[DataFrame, int]:
     """Quays seen with a non-null id; the stop key comes from the (already
     upserted) stop dimension, so a quay reported at another stop moves."""
     with_stop = staging.filter(F.col("quay_id").isNotNull()).join(
@@ -131,10 +135,11 @@ def fact_rows(
 UPDATED_ON_CONFLICT = ["expected_departure_utc", "actual_departure_utc", "delay_seconds", "realtime"]
 
 
-def upsert_fact(existing: DataFrame, incoming: DataFrame, max_key: int) -> DataFrame:
+def upsert_fact(existing: DataFrame, incoming: DataFrame, max_key: int) -> tuple[DataFrame, int]:
     """Merge ``incoming`` (one row per fact key) into the affected part of the
     fact. ``existing`` should already be pruned to the incoming
-    ``collected_date`` partitions; the result replaces exactly those."""
+    ``collected_date`` partitions; the result replaces exactly those.
+    Returns ``(rows, new max observation key)``."""
     cols = existing.columns
     inc = incoming.select(
         *FACT_KEY, *[F.col(c).alias(f"_new_{c}") for c in incoming.columns if c not in FACT_KEY]
@@ -150,5 +155,5 @@ def upsert_fact(existing: DataFrame, incoming: DataFrame, max_key: int) -> DataF
         ]
     )
     new = incoming.join(existing.select(*FACT_KEY), FACT_KEY, "left_anti")
-    inserted = with_sequential_keys(new, "observation_key", max_key)
-    return updated.unionByName(inserted.select(*cols))
+    inserted, issued = with_sequential_keys(new, "observation_key", max_key)
+    return updated.unionByName(inserted.select(*cols)), max_key + issued

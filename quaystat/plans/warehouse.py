@@ -107,11 +107,6 @@ def _read_partitioned(
     return _empty(spark, ddl) if out is None else out
 
 
-def _max_key(df: DataFrame, key: str) -> int:
-    row = df.agg(F.max(key).alias("m")).first()
-    return int(row["m"] or 0)
-
-
 def staging_violation(staging: DataFrame):
     """Condition: the row breaks a NOT NULL rule of the staging table."""
     return (
@@ -174,19 +169,28 @@ def _upsert_and_publish(spark: SparkSession, staging: DataFrame, staged_rows: in
         df.write.mode("errorifexists").parquet(path)
         return spark.read.parquet(path)
 
+    keys = prev["max_keys"]
     dim_date = write(upsert.upsert_dim_date(old.dim_date, staging), "dim_date")
-    dim_stop = write(upsert.upsert_dim_stop(old.dim_stop, staging, prev["max_keys"].get("stop", 0)), "dim_stop")
-    dim_line = write(upsert.upsert_dim_line(old.dim_line, staging, prev["max_keys"].get("line", 0)), "dim_line")
-    dim_quay = write(
-        upsert.upsert_dim_quay(old.dim_quay, staging, dim_stop, prev["max_keys"].get("quay", 0)), "dim_quay"
-    )
+    stops, stop_max = upsert.upsert_dim_stop(old.dim_stop, staging, keys.get("stop", 0))
+    dim_stop = write(stops, "dim_stop")
+    lines, line_max = upsert.upsert_dim_line(old.dim_line, staging, keys.get("line", 0))
+    dim_line = write(lines, "dim_line")
+    quays, quay_max = upsert.upsert_dim_quay(old.dim_quay, staging, dim_stop, keys.get("quay", 0))
+    dim_quay = write(quays, "dim_quay")
 
     incoming = write(upsert.fact_rows(staging, dim_date, dim_stop, dim_line, dim_quay), "_incoming_fact")
-    incoming_rows = incoming.count()
-    days = sorted(str(r["collected_date"]) for r in incoming.select("collected_date").distinct().collect())
+    # One small grouped pass gives the row count and both date sets (bounded by days).
+    shape = (
+        incoming.groupBy("collected_date", F.to_date("aimed_departure_utc").alias("aimed_date"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()
+    )
+    incoming_rows = sum(int(r["n"]) for r in shape)
+    days = sorted({str(r["collected_date"]) for r in shape})
+    aimed_days = sorted({str(r["aimed_date"]) for r in shape})
 
     affected = old.fact.filter(F.col("collected_date").isin(_dates(days)))
-    merged = upsert.upsert_fact(affected, incoming, prev["max_keys"].get("observation", 0))
+    merged, obs_max = upsert.upsert_fact(affected, incoming, keys.get("observation", 0))
     fact_path = store.table_path(version, "fact")
     merged.write.mode("errorifexists").partitionBy("collected_date").parquet(fact_path)
     written = spark.read.schema(FACT_DDL).parquet(fact_path)
@@ -198,9 +202,6 @@ def _upsert_and_publish(spark: SparkSession, staging: DataFrame, staged_rows: in
     fact_rows = {**prev.get("fact_rows", {}), **per_day}
 
     # Latest estimates: recompute only the aimed dates the batch touches.
-    aimed_days = sorted(
-        str(r["d"]) for r in incoming.select(F.to_date("aimed_departure_utc").alias("d")).distinct().collect()
-    )
     candidates = (
         written.withColumn("aimed_date", F.to_date("aimed_departure_utc"))
         .filter(F.col("aimed_date").isin(_dates(aimed_days)))
@@ -221,12 +222,7 @@ def _upsert_and_publish(spark: SparkSession, staging: DataFrame, staged_rows: in
         "fact": fact_parts,
         "fact_rows": fact_rows,
         "latest": latest_parts,
-        "max_keys": {
-            "stop": _max_key(dim_stop, "stop_key"),
-            "line": _max_key(dim_line, "line_key"),
-            "quay": _max_key(dim_quay, "quay_key"),
-            "observation": max(prev["max_keys"].get("observation", 0), _max_key(written, "observation_key")),
-        },
+        "max_keys": {"stop": stop_max, "line": line_max, "quay": quay_max, "observation": obs_max},
         "staged_rows": staged_rows,
     }
     store.publish(version, body)

@@ -120,8 +120,9 @@ def test_filters_apply_after_ranking(spark, tmp_root):  # L2
 
 def test_sequential_keys_dense_and_ordered(spark):  # U-06
     df = spark.range(0, 1000, numPartitions=7).select(F.format_string("k%04d", (999 - F.col("id"))).alias("nk"))
-    keyed = with_sequential_keys(df, "key", 100, order=["nk"]).collect()
-    got = sorted((r.nk, r.key) for r in keyed)
+    keyed, issued = with_sequential_keys(df, "key", 100, order=["nk"])
+    got = sorted((r.nk, r.key) for r in keyed.collect())
+    assert issued == 1000
     assert [k for _, k in got] == list(range(101, 1101))
 
 
