@@ -5,8 +5,8 @@ in the shared checkpoint folder) so that every later read sees the same rows
 in the same partitions, then numbered as
 ``start + rows in earlier partitions + position in partition``.
 The per-partition counts have one row per partition, so bringing them to
-the driver (as a literal offsets array) is bounded by the partition count,
-not by the data.
+the driver and broadcasting the offsets back is bounded by the partition
+count, not by the data.
 """
 
 from __future__ import annotations
@@ -48,7 +48,12 @@ def with_sequential_keys(
     for p in range(staged.rdd.getNumPartitions()):
         offsets.append(running)
         running += counts.get(p, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")]), pid + 1)
-    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    keyed = staged.withColumn(key_column, (F.lit(start).cast("long") + offset + position + 1).cast("long"))
-    return keyed, running
+    spark = df.sparkSession
+    offsets_df = spark.createDataFrame(list(enumerate(offsets)), "_pid INT, _off LONG")
+    positioned = staged.withColumn("_pid", pid).withColumn(
+        "_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    )
+    keyed = positioned.join(F.broadcast(offsets_df), "_pid").withColumn(
+        key_column, (F.lit(start).cast("long") + F.col("_off") + F.col("_pos") + 1).cast("long")
+    )
+    return keyed.drop("_pid", "_pos", "_off"), running
