@@ -84,3 +84,16 @@ def test_micro_batch_upsert_replay_is_harmless(spark, tmp_root):  # R-04
     sink(silver, 0)  # replay the same rows
     assert read_warehouse(spark, store).fact.count() == before == 3
     assert read_warehouse(spark, store).fact.filter(F.col("delay_seconds") == 420).count() == 1
+
+
+def test_incremental_etl_appends_new_files_only(spark, tmp_root):  # R-01, U5
+    raw = tmp_root + "/raw"
+    silver, rejects, ck = tmp_root + "/silver", tmp_root + "/rejects", tmp_root + "/ck4"
+    write_landed(raw, snapshot([call(), call(journey=None)], collected="2026-09-03T08:00:00+00:00"))
+    ingest.run_incremental_etl(spark, raw, silver, rejects, ck)
+    write_landed(raw, snapshot([call(journey="J2")], collected="2026-09-03T08:05:00+00:00"))
+    ingest.run_incremental_etl(spark, raw, silver, rejects, ck)
+    rows = spark.read.parquet(silver)
+    assert rows.count() == 2
+    assert sorted(r.batch_id for r in rows.select("batch_id").distinct().collect()) == [0, 1]
+    assert spark.read.parquet(rejects).count() == 1
