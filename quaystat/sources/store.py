@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 
 MANIFEST_DIR = "_manifests"
 _VERSION = re.compile(r"^v(\d+)\.json$")
+_DIR = re.compile(r"^v(\d+)$")
 
 
 @dataclass
@@ -64,8 +65,16 @@ class VersionedStore:
         return Manifest(vs[-1], self._read_text(self._manifest_path(vs[-1])))
 
     def next_version(self) -> int:
-        vs = self.versions()
-        return (vs[-1] + 1) if vs else 1
+        """One past every published manifest *and* every version directory, so
+        a load that died before publishing never collides with its retry."""
+        used = list(self.versions())
+        root = self._Path(self.root)
+        if self._fs.exists(root):
+            for status in self._fs.listStatus(root):
+                m = _DIR.match(status.getPath().getName())
+                if m and status.isDirectory():
+                    used.append(int(m.group(1)))
+        return max(used) + 1 if used else 1
 
     def publish(self, version: int, body: dict) -> Manifest:
         """Write the manifest under a temporary name, then rename it."""

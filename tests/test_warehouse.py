@@ -133,3 +133,14 @@ def test_date_dimension_iso_week_vs_calendar_year(spark, tmp_root):  # T8
     d = read_warehouse(spark, store).dim_date.first()
     assert (d.date_key, d.year, d.week_of_year, d.day_of_week, d.day_name, d.is_weekend) == (
         20270101, 2027, 53, 5, "Friday", False)
+
+
+def test_retry_after_crash_before_publish(spark, tmp_root):  # U4
+    store = _store(spark, tmp_root)
+    load_batch(spark, observations_df(spark, [snapshot([call()])]), store)
+    # a load that died after writing some tables of version 2, before publishing
+    spark.range(1).write.parquet(store.table_path(2, "dim_date"))
+    assert store.current().version == 1 and store.next_version() == 3
+    load_batch(spark, observations_df(spark, [snapshot([call(journey="J2")])]), store)
+    assert store.current().version == 3
+    assert read_warehouse(spark, store).fact.count() == 2
