@@ -38,14 +38,3 @@ def round_ratio(num: Column, den: Column, digits: int = 1) -> Column:
 def ratio(num: Column, den: Column) -> Column:
     """Unrounded ``num / den`` as one IEEE division of exact values."""
     return F.when(den > 0, num.cast("double") / den.cast("double"))
-
-
-def percent_over(delay: Column, threshold: int) -> tuple[Column, Column]:
-    """(100 * #(delay > threshold), #rows); NULL delay is "not over"."""
-    over = F.count_if(F.coalesce(delay > F.lit(threshold), F.lit(False)))
-    return over * 100, F.count(F.lit(1))
-
-
-def round_double(value: Column, digits: int) -> Column:
-    """Round a double half-up on its decimal value (``round`` in Spark)."""
-    return F.round(value, digits)
