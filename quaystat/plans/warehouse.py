@@ -4,8 +4,15 @@ Fact layout: Parquet partitioned by ``collected_date`` (= date of
 ``collected_at_utc``). That column is fixed by the fact key, so an upsert
 touches only the incoming batch's partitions; ``date_key`` is not (the
 expected time may move to another day), which is why it is not the
-partition column. A manifest maps each collected date to the version that
-last wrote it, so unchanged partitions are never copied.
+partition column. The latest table is partitioned by ``aimed_date`` (fixed
+by the departure key) in the same way.
+
+Both live in one directory each, partitioned by (date, ``v``): a load appends
+only the partitions it rewrites, under its own version number. The manifest
+maps each date to the version that last wrote it, so unchanged partitions are
+never copied, and a read is a single scan whose partition filter keeps just
+the published (date, version) pairs. Dimensions are small and are written in
+full per version.
 """
 
 from __future__ import annotations
@@ -87,24 +94,36 @@ def _dates(days) -> list:
     return [F.lit(d).cast("date") for d in days]
 
 
+VERSION_COLUMN = "v"
+
+
 def _read_partitioned(
     spark: SparkSession, store: VersionedStore, table: str, partitions: dict[str, int], ddl: str, part_col: str
 ) -> DataFrame:
-    """Union of a table's date partitions, each read from the version that
-    last wrote it (static partition pruning on ``part_col``)."""
-    by_version: dict[int, list[str]] = {}
-    for day, version in partitions.items():
-        by_version.setdefault(int(version), []).append(day)
+    """One scan of ``<root>/<table>`` (partitioned by ``part_col`` and ``v``)
+    keeping, per date, only the version the manifest names. The filter is on
+    partition columns only, so it prunes directories at planning time and
+    unpublished or superseded versions are never read."""
+    if not partitions:
+        return _empty(spark, ddl)
+    wanted = [f"{day}/{int(version)}" for day, version in partitions.items()]
     typed = [F.col(c).cast(t) for c, t in (f.split(" ") for f in ddl.split(", "))]
-    out = None
-    for version, days in sorted(by_version.items()):
-        part = (
-            spark.read.schema(ddl).parquet(store.table_path(version, table))
-            .filter(F.col(part_col).isin(_dates(days)))
-            .select(*typed)
-        )
-        out = part if out is None else out.unionByName(part)
-    return _empty(spark, ddl) if out is None else out
+    return (
+        spark.read.schema(f"{ddl}, {VERSION_COLUMN} INT")
+        .parquet(f"{store.root}/{table}")
+        .filter(F.concat_ws("/", F.col(part_col).cast("string"), F.col(VERSION_COLUMN).cast("string")).isin(wanted))
+        .select(*typed)
+    )
+
+
+def _append_version(df: DataFrame, store: VersionedStore, table: str, part_col: str, version: int) -> None:
+    """Add this version's partitions next to the older ones (never overwrites)."""
+    (
+        df.withColumn(VERSION_COLUMN, F.lit(version))
+        .write.mode("append")
+        .partitionBy(part_col, VERSION_COLUMN)
+        .parquet(f"{store.root}/{table}")
+    )
 
 
 def staging_violation(staging: DataFrame):
@@ -191,9 +210,8 @@ def _upsert_and_publish(spark: SparkSession, staging: DataFrame, staged_rows: in
 
     affected = old.fact.filter(F.col("collected_date").isin(_dates(days)))
     merged, obs_max = upsert.upsert_fact(affected, incoming, keys.get("observation", 0))
-    fact_path = store.table_path(version, "fact")
-    merged.write.mode("errorifexists").partitionBy("collected_date").parquet(fact_path)
-    written = spark.read.schema(FACT_DDL).parquet(fact_path)
+    _append_version(merged, store, "fact", "collected_date", version)
+    written = _read_partitioned(spark, store, "fact", {d: version for d in days}, FACT_DDL, "collected_date")
     per_day = {
         str(r["collected_date"]): int(r["n"])
         for r in written.groupBy("collected_date").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -208,9 +226,7 @@ def _upsert_and_publish(spark: SparkSession, staging: DataFrame, staged_rows: in
         .select(*LATEST_COLUMNS, "aimed_date")
     )
     stored = old.latest.filter(F.col("aimed_date").isin(_dates(aimed_days)))
-    refresh_latest(stored, candidates).write.mode("errorifexists").partitionBy("aimed_date").parquet(
-        store.table_path(version, "latest")
-    )
+    _append_version(refresh_latest(stored, candidates), store, "latest", "aimed_date", version)
     latest_parts = {**prev.get("latest", {}), **{d: version for d in aimed_days}}
     body = {
         "tables": {
