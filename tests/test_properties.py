@@ -6,6 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from quaystat.functions.time import ntz_literal
 from quaystat.operators.latest import latest_estimates
 from quaystat.plans.warehouse import load_batch, read_warehouse
 from quaystat.sources import testdata
@@ -31,7 +32,8 @@ def _natural(wh, table):
 @pytest.fixture(scope="module")
 def batches(spark):
     obs = testdata.observations(spark, SF)
-    return obs.filter(F.col("collected_at_utc") < F.lit(SPLIT)), obs.filter(F.col("collected_at_utc") >= F.lit(SPLIT)), obs
+    split = ntz_literal(SPLIT)  # a datetime literal would be read in the session zone
+    return obs.filter(F.col("collected_at_utc") < split), obs.filter(F.col("collected_at_utc") >= split), obs
 
 
 def _load(spark, root, *parts):
@@ -48,6 +50,11 @@ def test_split_equals_whole_and_order_does_not_matter(spark, tmp_root, batches):
     ba = _load(spark, tmp_root + "/ba", b, a)
     assert _natural(one, "fact") == _natural(ab, "fact") == _natural(ba, "fact")
     assert _natural(one, "latest") == _natural(ab, "latest") == _natural(ba, "latest")
+    # the second load rewrote only its own collected dates; the rest still point at version 1
+    versions = ab.manifest.body["fact"]
+    first_days = {str(r[0]) for r in a.select(F.to_date("collected_at_utc")).distinct().collect()}
+    assert {versions[d] for d in first_days} == {1}
+    assert set(versions.values()) == {1, 2}
 
 
 def test_incremental_latest_equals_full_rank(spark, tmp_root, batches):
