@@ -57,6 +57,7 @@ HEADLINE = [
     "flatten_snapshots",
     "dedup_observations",
     "reject_summary",
+    "raw_json_roundtrip",
     "key_duplicates",
     "fk_violations",
 ]

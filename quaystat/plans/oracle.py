@@ -338,3 +338,5 @@ ORACLE["latest_incremental"] = with_gold(
   actual_departure_utc, delay_seconds + 90000 AS delay_seconds, departure_hour
 FROM latest"""
 )
+
+ORACLE["raw_json_roundtrip"] = with_obs(f"SELECT {_OBS_COLS} FROM obs")

@@ -17,11 +17,17 @@ from quaystat.operators import checks, summaries
 from quaystat.operators.flatten import REJECT_COLUMN, dedup_observations, flatten_snapshots, validate
 from quaystat.operators.latest import latest_estimates
 from quaystat.plans import explore, quality, reports
-from quaystat.plans.jobs import current_warehouse, two_batch_warehouse_root_for, warehouse_for
+from quaystat.plans.jobs import (
+    current_warehouse,
+    silver_from_snapshots,
+    two_batch_warehouse_root_for,
+    warehouse_for,
+)
 from quaystat.schema import LATEST_COLUMNS, OBSERVATION_COLUMNS
 from quaystat.session import scratch_path
 from quaystat.sources import testdata
 from quaystat.sources.boards import board_observations, snapshots_from_observations
+from quaystat.sources.snapshots import read_snapshots
 from quaystat.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,6 +173,16 @@ def q_flatten_snapshots(spark, sf_dir):
     return flatten_snapshots(snaps)
 
 
+def q_raw_json_roundtrip(spark, sf_dir):
+    """Bronze -> silver through files: mapped events rebuilt as nested
+    snapshots, written as JSON Lines to the shared scratch folder, read back
+    with the fixed schema, then validated and deduplicated."""
+    path = scratch_path(spark, "bronze")
+    snapshots_from_observations(testdata.observations(spark, sf_dir)).write.json(path)
+    valid, _ = silver_from_snapshots(read_snapshots(spark, path, multi_line=False))
+    return valid
+
+
 def q_dedup_observations(spark, sf_dir):
     return dedup_observations(board_observations(testdata.observations(spark, sf_dir)))
 
@@ -241,6 +257,7 @@ QUERIES.update(
         "quality_by_mode": q_quality_by_mode,
         "flatten_snapshots": q_flatten_snapshots,
         "dedup_observations": q_dedup_observations,
+        "raw_json_roundtrip": q_raw_json_roundtrip,
         "reject_summary": q_reject_summary,
         "dim_date": q_dim_date,
         "dim_stop": q_dim_stop,
