@@ -30,6 +30,7 @@ def test_nested_row_becomes_one_observation(spark):
     assert r.delay_seconds == 300
     assert r.departure_hour == 10
     assert r.is_weekend is False
+    assert r.weekday_number == 5  # Thursday with 1 = Sunday (T7)
     assert r.aimed_departure_utc == dt.datetime(2026, 9, 3, 8, 0)  # offset honoured (T2)
     assert r.collected_at_utc == dt.datetime(2026, 9, 3, 8, 0)
     assert r.service_date == dt.date(2026, 9, 3)
