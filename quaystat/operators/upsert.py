@@ -103,7 +103,9 @@ def fact_rows(
     dim_quay: DataFrame,
 ) -> DataFrame:
     """Staging resolved to surrogate keys and collapsed to one row per fact
-    key. Returns the row count before collapsing in ``_collapsed`` per key."""
+    key (newest expected time, then a total order). The fact key omits the
+    quay, so one journey seen at two quays in one snapshot becomes one row;
+    the load reports how many rows collapsed."""
     j = (
         staging.join(dim_date.select(F.col("full_date").alias("service_date"), "date_key"), "service_date")
         .join(dim_stop.select("stop_place_id", "stop_key"), "stop_place_id")
