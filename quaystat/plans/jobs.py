@@ -116,6 +116,35 @@ def register_latest_view(spark: SparkSession, warehouse_root: str, name: str = "
     return latest
 
 
+# The warehouse's table and view names.
+VIEW_NAMES = {
+    "dim_date": "dim_date",
+    "dim_stop": "dim_stop",
+    "dim_quay": "dim_quay",
+    "dim_line": "dim_line",
+    "fact": "fact_departure_observation",
+    "latest": "v_latest_departure_estimate",
+}
+
+
+def register_views(spark: SparkSession, warehouse_root: str) -> dict[str, DataFrame]:
+    """Expose the current gold version under the warehouse's names, so the
+    analysis can also be written as Spark SQL. The latest view is the
+    materialised table (same rows as the window over the fact)."""
+    wh = current_warehouse(spark, warehouse_root)
+    frames = {
+        "dim_date": wh.dim_date,
+        "dim_stop": wh.dim_stop,
+        "dim_quay": wh.dim_quay,
+        "dim_line": wh.dim_line,
+        "fact": wh.fact,
+        "latest": wh.latest.drop("aimed_date"),
+    }
+    for key, df in frames.items():
+        df.createOrReplaceTempView(VIEW_NAMES[key])
+    return frames
+
+
 Stage = tuple[str, Callable[[], object]]
 
 

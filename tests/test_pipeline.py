@@ -97,3 +97,24 @@ def test_incremental_etl_appends_new_files_only(spark, tmp_root):  # R-01, U5
     assert rows.count() == 2
     assert sorted(r.batch_id for r in rows.select("batch_id").distinct().collect()) == [0, 1]
     assert spark.read.parquet(rejects).count() == 1
+
+
+def test_views_answer_business_sql(spark, tmp_root):  # S-09, K-05 as SQL
+    from quaystat.plans import reports
+    from quaystat.plans.warehouse import load_batch, read_warehouse
+    from quaystat.sources import testdata
+    from quaystat.sources.store import VersionedStore
+
+    root = tmp_root + "/gold"
+    load_batch(spark, testdata.observations(spark, "/root/testdata/sf0.001"), VersionedStore(spark, root))
+    jobs.register_views(spark, root)
+    sql = spark.sql(
+        """SELECT line.transport_mode, COUNT(*) AS departures,
+                  COUNT_IF(estimate.delay_seconds > 180) AS over
+           FROM v_latest_departure_estimate AS estimate
+           JOIN dim_line AS line ON estimate.line_key = line.line_key
+           GROUP BY line.transport_mode"""
+    )
+    wh = read_warehouse(spark, VersionedStore(spark, root))
+    api = {r.transport_mode: r.departures for r in reports.delay_by_mode(wh.latest, wh.dim_line).collect()}
+    assert {r.transport_mode: r.departures for r in sql.collect()} == api
