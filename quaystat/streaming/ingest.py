@@ -90,8 +90,12 @@ def upsert_each_batch(spark: SparkSession, warehouse_root: str) -> Callable[[Dat
     return sink
 
 
-def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
-    """Process everything available now, then stop (restartable from checkpoint)."""
+def run_available(
+    stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> int:
+    """Process everything available now, then stop (restartable from
+    checkpoint). Returns the rows stateful operators dropped as later than
+    their watermark during this run, so lost late data is visible."""
     query = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(sink)
@@ -100,6 +104,11 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
         .start()
     )
     query.awaitTermination()
+    return sum(
+        int(op.get("numRowsDroppedByWatermark", 0))
+        for progress in query.recentProgress
+        for op in (progress.get("stateOperators") or [])
+    )
 
 
 def silver_batches_sink(silver_path: str, rejects_path: str) -> Callable[[DataFrame, int], None]:

@@ -53,7 +53,8 @@ def test_streaming_latest_equals_batch_latest_with_late_file(spark, tmp_root):
     stream = ingest.latest_state(ingest.snapshot_observations(spark, raw, max_files_per_trigger=1))
     ingest.run_available(stream, ingest.write_batches_to(out), ck, mode="update")
     write_landed(raw, snapshot([call(expected="2026-09-03T10:01:00+02:00")], collected="2026-09-03T08:00:00+00:00"))
-    ingest.run_available(stream, ingest.write_batches_to(out), ck, mode="update")
+    dropped = ingest.run_available(stream, ingest.write_batches_to(out), ck, mode="update")
+    assert dropped == 0  # the late file is within the 7-day watermark
     streamed = ingest.newest_versions(spark.read.parquet(out)).collect()
     batch = latest_from_silver(jobs.silver_from_snapshots(
         __import__("quaystat.sources.snapshots", fromlist=["x"]).read_snapshots(spark, raw))[0]).collect()
@@ -118,3 +119,14 @@ def test_views_answer_business_sql(spark, tmp_root):  # S-09, K-05 as SQL
     wh = read_warehouse(spark, VersionedStore(spark, root))
     api = {r.transport_mode: r.departures for r in reports.delay_by_mode(wh.latest, wh.dim_line).collect()}
     assert {r.transport_mode: r.departures for r in sql.collect()} == api
+
+
+def test_streaming_counts_rows_later_than_watermark(spark, tmp_root):  # R-03 drops are visible
+    raw, out, ck = tmp_root + "/raw", tmp_root + "/upd", tmp_root + "/ck5"
+    write_landed(raw, snapshot([call()], collected="2026-09-03T08:00:00+00:00"))
+    stream = ingest.latest_state(ingest.snapshot_observations(spark, raw), watermark="1 hour")
+    assert ingest.run_available(stream, ingest.write_batches_to(out), ck, mode="update") == 0
+    old = snapshot([call(journey="J-old", aimed="2026-09-01T10:00:00+02:00", expected="2026-09-01T10:00:00+02:00")],
+                   collected="2026-09-03T08:05:00+00:00")
+    write_landed(raw, old)
+    assert ingest.run_available(stream, ingest.write_batches_to(out), ck, mode="update") == 1
