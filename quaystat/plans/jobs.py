@@ -9,6 +9,7 @@ registered query runs over Spark-derived gold tables.
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -178,17 +179,19 @@ def quality_report(observations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # --- gold built from the shared driver tables ----------------------------------
 _BUILT: dict[tuple[str, str], str] = {}
+_BUILD_LOCK = threading.Lock()
 
 
 def warehouse_root_for(spark: SparkSession, sf_dir: str) -> str:
     """Load the mapped ``events`` observations into a fresh store (once per
     application and table directory) and return its root."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    root = _BUILT.get(key)
-    if root is None:
-        root = scratch_path(spark, "warehouse")
-        load_batch(spark, testdata.observations(spark, sf_dir), VersionedStore(spark, root))
-        _BUILT[key] = root
+    with _BUILD_LOCK:
+        root = _BUILT.get(key)
+        if root is None:
+            root = scratch_path(spark, "warehouse")
+            load_batch(spark, testdata.observations(spark, sf_dir), VersionedStore(spark, root))
+            _BUILT[key] = root
     return root
 
 
@@ -215,12 +218,13 @@ def two_batch_warehouse_root_for(spark: SparkSession, sf_dir: str) -> str:
     """Two loads into one store: every mapped observation, then a later
     re-observation of every departure (expected time moved by 25 hours)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/") + "#two-batch")
-    root = _BUILT.get(key)
-    if root is None:
-        root = scratch_path(spark, "warehouse2")
-        store = VersionedStore(spark, root)
-        first = testdata.observations(spark, sf_dir)
-        load_batch(spark, first, store)
-        load_batch(spark, testdata.second_batch(first), store)
-        _BUILT[key] = root
+    with _BUILD_LOCK:
+        root = _BUILT.get(key)
+        if root is None:
+            root = scratch_path(spark, "warehouse2")
+            store = VersionedStore(spark, root)
+            first = testdata.observations(spark, sf_dir)
+            load_batch(spark, first, store)
+            load_batch(spark, testdata.second_batch(first), store)
+            _BUILT[key] = root
     return root
