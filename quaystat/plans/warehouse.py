@@ -34,9 +34,12 @@ from quaystat.schema import (
     LATEST_DDL,
     STAGING_COLUMNS,
 )
+from quaystat.operators.keys import with_sequential_keys
 from quaystat.operators.latest import refresh_latest
 from quaystat.sources.store import Manifest, VersionedStore
 
+FACT_COLUMNS = [part.split(" ")[0] for part in FACT_DDL.split(", ")]
+
 DIMENSIONS = {
     "dim_date": DIM_DATE_DDL,
     "dim_stop": DIM_STOP_DDL,
@@ -208,8 +211,22 @@ def _upsert_and_publish(spark: SparkSession, staging: DataFrame, staged_rows: in
     days = sorted({str(r["collected_date"]) for r in shape})
     aimed_days = sorted({str(r["aimed_date"]) for r in shape})
 
-    affected = old.fact.filter(F.col("collected_date").isin(_dates(days)))
-    merged, obs_max = upsert.upsert_fact(affected, incoming, keys.get("observation", 0))
+    # A fact key fixes its collected date, so rows on dates the warehouse does
+    # not hold yet cannot conflict: they are inserted without the upsert joins.
+    stored_days = [d for d in days if d in prev["fact"]]
+    obs_max = keys.get("observation", 0)
+    on_stored = F.col("collected_date").isin(_dates(stored_days))
+    parts = []
+    if stored_days:
+        affected = old.fact.filter(on_stored)
+        upserted, obs_max = upsert.upsert_fact(affected, incoming.filter(on_stored), obs_max)
+        parts.append(upserted)
+    if len(stored_days) < len(days):
+        fresh = incoming.filter(~on_stored) if stored_days else incoming
+        inserted, issued = with_sequential_keys(fresh, "observation_key", obs_max)
+        obs_max += issued
+        parts.append(inserted.select(*FACT_COLUMNS))
+    merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     _append_version(merged, store, "fact", "collected_date", version)
     written = _read_partitioned(spark, store, "fact", {d: version for d in days}, FACT_DDL, "collected_date")
     per_day = {

@@ -65,3 +65,13 @@ def test_incremental_latest_equals_full_rank(spark, tmp_root, batches):
     assert sorted(map(repr, map(tuple, full.collect()))) == sorted(map(repr, map(tuple, stored.select(*full.columns).collect())))
     keys = wh.fact.select("stop_key", "service_journey_id", "aimed_departure_utc").distinct().count()
     assert wh.latest.count() == keys
+
+
+def test_batch_mixing_stored_and_new_dates(spark, tmp_root, batches):
+    a, _, whole = batches
+    once = _load(spark, tmp_root + "/once", whole)
+    mixed = _load(spark, tmp_root + "/mixed", a, whole)  # second batch: A's dates stored, B's dates new
+    assert _natural(once, "fact") == _natural(mixed, "fact")
+    assert _natural(once, "latest") == _natural(mixed, "latest")
+    keys = mixed.fact.select("observation_key")
+    assert keys.distinct().count() == keys.count() == whole.count()
