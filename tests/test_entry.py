@@ -16,8 +16,9 @@ def test_entry_runs(spark):
     assert "average_delay_seconds" in df.columns
 
 
-def test_every_oracle_has_a_query():
-    assert set(E.oracle_sql()) <= set(E.queries())
+def test_every_query_has_an_oracle():
+    assert set(E.oracle_sql()) == set(E.queries())
+    assert len(E.queries()) == 35
 
 
 @pytest.mark.parametrize("name", ["latest_estimate", "delay_by_hour", "flatten_snapshots", "dim_date", "quality_by_mode"])
