@@ -18,14 +18,14 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept per worker process before the memory is emptied.
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 400_000
 #: Longer words are encoded each time.
 WORD_CHARS_KEPT = 48
 #: Closing marks that form one token run of their own behind a word of letters.
 MARKS = ".,;:!?%$&*#|"
 END_ID = 1
 #: Characters of text encoded as one group.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
 
 _END = np.array([END_ID], "<u4").tobytes()
 

@@ -53,7 +53,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, limit: int = SEQUENCE_TOKENS) ->
         words = memory(tokenizer)
         for b in batches:
             rows = []
-            for doc, ids in zip(b.column(0).to_pylist(), words.encode(b.column(1).to_pylist()), strict=True):
+            parts = (b.slice(at, 1000) for at in range(0, b.num_rows, 1000))
+            for doc, ids in ((d, i) for p in parts for d, i in zip(p.column(0).to_pylist(), words.encode(p.column(1).to_pylist()), strict=True)):
                 for k, at in enumerate(range(0, len(ids), 4 * limit)):
                     part = ids[at : at + 4 * limit]
                     rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -41,6 +41,8 @@ PART_KEYS = 50_000
 #: Bits of a level of the hash for each key that reaches it.
 LEVEL_BITS = 2
 LEVELS = 40
+#: Texts encoded between two Arrow batches of ids.
+ENCODE_ROWS = 1000
 DIRECTORY = "key long, shard int, position long, offset long, n_tokens long"
 
 
@@ -122,10 +124,11 @@ def _encoder(tokenizer: str, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = memory(tokenizer)
         for b in batches:
-            ids = list(words.encode(b.column(1).to_pylist()))
-            if width == 2:
-                ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
-            yield batch({"key": b.column(0), "ids": ids}, kinds)
+            for at in range(0, b.num_rows, ENCODE_ROWS):
+                part = b.slice(at, ENCODE_ROWS)
+                ids = words.encode(part.column(1).to_pylist())
+                packed = [np.frombuffer(x, "<u4").astype("<u2").tobytes() if width == 2 else x for x in ids]
+                yield batch({"key": part.column(0), "ids": packed}, kinds)
 
     return run
 
