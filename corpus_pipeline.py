@@ -1,16 +1,121 @@
-"""Corpus pipeline: quality, near duplicates, repeated passages, benchmark text, packing."""
+"""Corpus pipeline: quality, near duplicates, repeated passages, benchmark text, packing.
+
+Each stage works on every row its predecessor kept and returns the columns it
+was given, but for the last, which returns the packed pieces. Rules for odd
+rows: a null text is judged as empty text and stays null unless a stage cuts it;
+rows without id are told apart by their text; columns beside those of documents
+are handed on as they are. An empty table gives empty results.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from quaystat.llm import common, decontaminate, packing, quality, simhash, suffix_dedup
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the quality ranking, learnt from the labels, accepts."""
+    ranker = quality.learn(docs, common.table(spark, sf_dir, "labels"))
+    return quality.score(docs, ranker, docs.columns).where(F.col("score") >= quality.THRESHOLD).drop("score")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each SimHash component: that of the least id (rows without id last, then by text)."""
+    found = simhash.near_duplicates(docs)
+    best = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("text_hash").isNull().alias("no_text"), "text_hash")
+    chosen = found.groupBy("component").agg(F.min(best).alias("best")).select("best.*").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    marked = docs.withColumn("__hash_of", F.xxhash64("text"))
+    kept = marked.join(chosen, marked["doc_id"].eqNullSafe(chosen["__id"]) & marked["__hash_of"].eqNullSafe(chosen["__hash"]), "left_semi")
+    # Repeated rows share id and text: the first stands for them.
+    copy = F.row_number().over(Window.partitionBy("doc_id", "__hash_of").orderBy(F.lit(0)))
+    return kept.withColumn("__copy", copy).where("__copy = 1").select(*docs.columns)
+
+
+def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that occur elsewhere; one left without words goes."""
+    _, _, kept = suffix_dedup.repeated_passages(docs)
+    whole = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    key = F.xxhash64("doc_id", F.unhex(F.sha2(whole, 256)))
+    return _replace_texts(docs.withColumn("__key", key), kept.select(F.col("key").alias("__key"), "kept"), docs.columns)
+
+
+def _replace_texts(docs: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:
+    """``docs`` with the bytes ``kept`` by __key for text, where there are any; part characters at the cuts go."""
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [None if x is None else x.decode(errors="ignore") for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["__key", "__kept"])
+
+    texts = kept.mapInArrow(decode, "__key long, __kept string")
+    joined = docs.join(texts, "__key", "left")
+    joined = joined.where(F.col("__kept").isNull() | F.col("__kept").rlike("\\S"))
+    text = F.coalesce("__kept", "text")
+    new = {"text": text, "n_chars": F.when(F.col("__kept").isNotNull(), F.length("__kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in columns else {"text": text}
+    return joined.select(*[new.get(c, F.col(c)).alias(c) for c in columns])
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words inside benchmark windows; one left without words goes."""
+    found = decontaminate.hits(docs, common.table(spark, sf_dir, "benchmark")).where(F.size("starts") > 0)
+    spans = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "starts", "stops").distinct()
+    marked = docs.withColumn("__hash_of", F.xxhash64("text"))
+    joined = marked.join(spans, marked["doc_id"].eqNullSafe(spans["__id"]) & (marked["__hash_of"] == spans["__hash"]), "left")
+    names = docs.columns
+    at = names.index("text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [_without(t, x, y) if x else t for t, x, y in zip(*(c.to_pylist() for c in (b.column(at), b.column(len(names)), b.column(len(names) + 1))), strict=True)]
+            arrays = [pa.array(texts, b.column(at).type) if k == at else b.column(k) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*arrays, b.column(len(names)).is_valid()], names=[*names, "__hit"])
+
+    cleaned = joined.select(*names, "starts", "stops").mapInArrow(clean, docs.select(*names).schema.add("__hit", "boolean"))
+    cleaned = cleaned.where(~F.col("__hit") | F.col("text").rlike("\\S"))
+    if "n_chars" in names:
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("__hit"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return cleaned.drop("__hit")
+
+
+def _without(text: str, starts: list[int], stops: list[int]) -> str:
+    """``text`` without the words (numbered from 0) of the given runs and what lies between them."""
+    raw = text.encode()
+    blank = raw.translate(decontaminate._TO_WORDS)
+    edges, inside = [], False
+    for i, c in enumerate(blank):
+        if (c != 32) != inside:
+            edges.append(i)
+            inside = not inside
+    if inside:
+        edges.append(len(raw))
+    begins, ends = edges[::2], edges[1::2]
+    out, last = [], 0
+    for x, y in zip(starts, stops, strict=True):
+        out.append(raw[last : begins[x]])
+        last = ends[y - 1]
+    return b"".join([*out, raw[last:]]).decode()
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document with their sequence and place in it."""
+    return packing.pack(packing.cut_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
 
-from quaystat.llm import common
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", drop_low_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("passages", cut_passages),
+    ("benchmark", drop_benchmark),
+    ("packing", pack),
+]
 
-#: Rows of run() hold learnt scores and token places, which SQL can't express.
+#: Scores learnt from labels, the trie join's components and token places are beyond SQL.
 ORACLE_SQL = None
 
 

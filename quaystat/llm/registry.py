@@ -2,9 +2,31 @@
 
 from __future__ import annotations
 
+from quaystat.llm.chat import op4_chat
+from quaystat.llm.decontaminate import op5_decontamination
+from quaystat.llm.merkle import op2_merkle
 from quaystat.llm.packing import op1_best_fit_packing
+from quaystat.llm.quality import op3_quality
+from quaystat.llm.simhash import op10_simhash
+from quaystat.llm.suffix_dedup import op7_suffix_dedup
+from quaystat.llm.token_counts import op6_token_counts
 from quaystat.llm.token_shards import op8_token_shards
+from quaystat.llm.toxicity import op9_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op8_token_shards)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op2_merkle,
+        op3_quality,
+        op4_chat,
+        op5_decontamination,
+        op6_token_counts,
+        op7_suffix_dedup,
+        op8_token_shards,
+        op9_toxicity,
+        op10_simhash,
+    )
+}
 
 ORACLE: dict[str, str] = {}
