@@ -84,7 +84,7 @@ def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
     if low is None:
         low = high = 0
     stretch = (F.col(key) - F.lit(low)) / F.lit(float(high) - float(low) + 1.0)
-    place = F.coalesce(F.least(F.floor(stretch * buckets), F.lit(buckets - 1)), F.lit(-1)).cast("long")
+    place = F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.least(F.floor(stretch * buckets), F.lit(buckets - 1))).cast("long")
     placed = df.select(key, text, place.alias("bucket"))
     # One narrow row for each bucket in use: its least key and the bucket before it, the last one's before the first.
     least = placed.groupBy("bucket").agg(F.min(key).alias("least"))
