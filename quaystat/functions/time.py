@@ -34,14 +34,21 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Date and time of day, perhaps with a UTC offset behind them; nothing less is an instant.
+_OFFSET = r"(Z|[+-]\d{2}(:?\d{2})?)$"
+_ISO = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?" + _OFFSET.replace("$", "?$")
+
+
 def parse_instant(text: Column | str) -> Column:
-    """ISO-8601 text with offset -> UTC ``TIMESTAMP_NTZ`` (NULL if malformed).
+    """ISO-8601 text -> UTC ``TIMESTAMP_NTZ`` (NULL if malformed).
 
-    ``try_to_timestamp`` yields an instant; adding its epoch microseconds to
-    the NTZ epoch is integer arithmetic, so the session zone never enters.
+    A date and a time of day down to the second are required; text without an offset is UTC, so
+    the session zone never matters. ``try_to_timestamp`` yields an instant;
+    adding its epoch microseconds to the NTZ epoch is integer arithmetic.
     """
-    instant = F.try_to_timestamp(_col(text))
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
+    c = F.trim(_col(text))
+    whole = F.when(c.rlike(_ISO), F.when(c.rlike(_OFFSET), c).otherwise(F.concat(c, F.lit("Z"))))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(F.try_to_timestamp(whole)), _epoch())
 
 
 def epoch_seconds(ntz: Column | str) -> Column:

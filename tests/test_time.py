@@ -40,3 +40,18 @@ def test_local_time_and_instant(spark):
     assert _one(spark, to_local("x"), dt.datetime(2026, 10, 25, 0, 30)) == dt.datetime(2026, 10, 25, 2, 30)
     inst = _one(spark, F.unix_seconds(to_instant("x")), dt.datetime(2024, 7, 1))
     assert inst == 1719792000
+
+
+def test_instant_texts_in_any_session_zone(spark):  # P-03
+    cases = {
+        "2026-09-17T08:00:00": dt.datetime(2026, 9, 17, 8), "2026-09-17 08:00:00": dt.datetime(2026, 9, 17, 8), "2026-09-17 08:00": None, "2026-09-17T10:00:00+02:00": dt.datetime(2026, 9, 17, 8),
+        "2026-09-17T10:00:00.25+0200": dt.datetime(2026, 9, 17, 8, 0, 0, 250000), "2026-09-17T08:00:00Z": dt.datetime(2026, 9, 17, 8), " 2026-09-17T03:00:00-05 ": dt.datetime(2026, 9, 17, 8),
+        "12:30": None, "2026-09-17": None, "now": None, "": None, None: None, "2026-13-17T08:00:00": None, "2026-09-17T25:00:00Z": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "x STRING")
+    for zone in ("America/New_York", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert {r.x: r.y for r in df.select("x", parse_instant("x").alias("y")).collect()} == cases
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "America/New_York")
