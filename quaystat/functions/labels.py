@@ -33,9 +33,3 @@ def line_label(code: Column | str, name: Column | str, mode: Column | str) -> Co
         .otherwise(F.coalesce(code_c, name_c, F.lit(UNNAMED_LINE)))
     )
     return F.concat(identity, F.lit(" ("), F.initcap(mode_c), F.lit(")"))
-
-
-def seconds_to_minutes(seconds: Column | str) -> Column:
-    """Average seconds -> minutes (display unit)."""
-    c = F.col(seconds) if isinstance(seconds, str) else seconds
-    return c / F.lit(60.0)

@@ -8,71 +8,81 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaystat.schema import FACT_KEY
 
+# Keys that must be unique, by the name a violation is reported under.
+UNIQUE = {
+    "dim_date": [("dim_date", ["date_key"]), ("dim_date.full_date", ["full_date"])],
+    "dim_stop": [("dim_stop", ["stop_key"]), ("dim_stop.stop_place_id", ["stop_place_id"])],
+    "dim_quay": [("dim_quay", ["quay_key"]), ("dim_quay.quay_id", ["quay_id"])],
+    "dim_line": [("dim_line", ["line_key"]), ("dim_line.line_id", ["line_id"])],
+    "fact": [("fact", ["observation_key"]), ("fact.natural", FACT_KEY)],
+}
+# References: child column -> parent table and key.
+FACT_REFERENCES = {
+    "date_key": ("dim_date", "date_key"),
+    "stop_key": ("dim_stop", "stop_key"),
+    "quay_key": ("dim_quay", "quay_key"),
+    "line_key": ("dim_line", "line_key"),
+}
+
+
+def _key_text(key: Sequence[str]) -> Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("<null>")) for k in key])
 
-def key_duplicates(df: DataFrame, key: Sequence[str], table: str) -> DataFrame:
-    """Keys occurring more than once: (table, key_text, occurrences)."""
-    return (
-        df.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("occurrences"))
-        .filter(F.col("occurrences") > 1)
-        .select(
-            F.lit(table).alias("table_name"),
-            F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("<null>")) for k in key]).alias("key_text"),
-            "occurrences",
-        )
-    )
 
+def key_duplicates(df: DataFrame, keys: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """Keys occurring more than once: (table_name, key_text, occurrences). All keys of a table in one scan."""
+    names = F.explode(F.array(*[F.struct(F.lit(n).alias("table_name"), _key_text(k).alias("key_text")) for n, k in keys]))
+    rows = df.select(names.alias("k")).groupBy("k.table_name", "k.key_text").agg(F.count(F.lit(1)).alias("occurrences"))
+    return rows.filter(F.col("occurrences") > 1)
 
-def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str, relation: str) -> DataFrame:
-    """Non-null child keys without a parent row: (relation, key_value, rows)."""
-    missing = child.filter(F.col(fk).isNotNull()).join(
-        parent.select(F.col(pk).alias(fk)), fk, "left_anti"
-    )
-    return missing.groupBy(fk).agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit(relation).alias("relation"), F.col(fk).cast("string").alias("key_value"), "rows"
-    )
+
+def fk_violations(child: DataFrame, references: dict[str, tuple[DataFrame, str]], table: str) -> DataFrame:
+    """Non-null child keys without a parent row: (relation, key_value, rows).
+
+    One scan of the child: each parent is joined by a left join with a flag.
+    """
+    checked = child
+    for column, (parent, pk) in references.items():
+        flag = parent.select(F.col(pk).alias(column), F.lit(True).alias(f"_has_{column}")).distinct()
+        checked = checked.join(flag, column, "left")
+    broken = [
+        F.when(
+            F.col(c).isNotNull() & F.col(f"_has_{c}").isNull(),
+            F.struct(F.lit(f"{table}.{c}").alias("relation"), F.col(c).cast("string").alias("key_value")),
+        )
+        for c in references
+    ]
+    rows = checked.select(F.explode(F.filter(F.array(*broken), lambda b: b.isNotNull())).alias("b"))
+    return rows.groupBy("b.relation", "b.key_value").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def warehouse_key_duplicates(wh) -> DataFrame:
     """Uniqueness of every primary, natural and fact key."""
-    checks = [
-        key_duplicates(wh.dim_date, ["date_key"], "dim_date"),
-        key_duplicates(wh.dim_date, ["full_date"], "dim_date.full_date"),
-        key_duplicates(wh.dim_stop, ["stop_key"], "dim_stop"),
-        key_duplicates(wh.dim_stop, ["stop_place_id"], "dim_stop.stop_place_id"),
-        key_duplicates(wh.dim_quay, ["quay_key"], "dim_quay"),
-        key_duplicates(wh.dim_quay, ["quay_id"], "dim_quay.quay_id"),
-        key_duplicates(wh.dim_line, ["line_key"], "dim_line"),
-        key_duplicates(wh.dim_line, ["line_id"], "dim_line.line_id"),
-        key_duplicates(wh.fact, ["observation_key"], "fact"),
-        key_duplicates(wh.fact, FACT_KEY, "fact.natural"),
-    ]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
+    frames = [key_duplicates(getattr(wh, table), keys) for table, keys in UNIQUE.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
     return out
 
 
 def warehouse_fk_violations(wh) -> DataFrame:
     """The five references of the schema."""
-    checks = [
-        fk_violations(wh.dim_quay, "stop_key", wh.dim_stop, "stop_key", "dim_quay.stop_key"),
-        fk_violations(wh.fact, "date_key", wh.dim_date, "date_key", "fact.date_key"),
-        fk_violations(wh.fact, "stop_key", wh.dim_stop, "stop_key", "fact.stop_key"),
-        fk_violations(wh.fact, "quay_key", wh.dim_quay, "quay_key", "fact.quay_key"),
-        fk_violations(wh.fact, "line_key", wh.dim_line, "line_key", "fact.line_key"),
-    ]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out
+    fact = {c: (getattr(wh, table), pk) for c, (table, pk) in FACT_REFERENCES.items()}
+    quay = {"stop_key": (wh.dim_stop, "stop_key")}
+    return fk_violations(wh.fact, fact, "fact").unionByName(fk_violations(wh.dim_quay, quay, "dim_quay"))
+
+
+def valid_hour(hour: Column) -> Column:
+    """``hour`` if within 0..23 (or NULL); anything else fails the job that evaluates it."""
+    message = F.concat(F.lit("departure hour outside 0..23: "), hour.cast("string"))
+    return F.when(hour.isNull() | hour.between(0, 23), hour).otherwise(F.raise_error(message).cast("int"))
 
 
-def hour_violations(fact: DataFrame) -> DataFrame:
+def hour_violations(rows: DataFrame) -> DataFrame:
     """Rows breaking the 0..23 hour constraint."""
-    return fact.filter(~F.col("departure_hour").between(0, 23))
+    return rows.filter(~F.col("departure_hour").between(0, 23))

@@ -25,6 +25,10 @@ BAD_TIMESTAMP = "malformed_timestamp"
 MISSING_LOAD_FIELD = "missing_warehouse_field"
 DELAY_RANGE = "delay_out_of_range"
 CORRUPT_FILE = "corrupt_snapshot"
+# Labels of snapshots that hold no call. They are counted, not rejected.
+EMPTY_BOARD = "empty_board"
+NULL_BOARD = "null_board"
+BOARD_COLUMN = "board_note"
 
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
@@ -33,19 +37,27 @@ def _raw(path: str) -> Column:
     return F.col(f"call.{path}")
 
 
-def flatten_snapshots(snapshots: DataFrame, keep_raw: bool = False) -> DataFrame:
+def flatten_snapshots(snapshots: DataFrame, keep_raw: bool = False, keep_empty: bool = False) -> DataFrame:
     """One row per estimated call per snapshot (observation columns).
 
     With ``keep_raw`` the raw timestamp strings and source file are kept as
-    ``raw_*`` columns for reject diagnosis.
+    ``raw_*`` columns for reject diagnosis. With ``keep_empty`` a snapshot without
+    calls gives one row too, told apart by ``board_note`` (NULL on calls).
     """
+    note = (
+        F.when(F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in snapshots.columns else F.lit(False), F.lit(CORRUPT_FILE))
+        .when(F.col("data.stopPlace").isNull(), F.lit(NULL_BOARD))
+        .when(F.coalesce(F.size("data.stopPlace.estimatedCalls"), F.lit(0)) <= 0, F.lit(EMPTY_BOARD))
+    )
+    explode = F.explode_outer if keep_empty else F.explode
     calls = snapshots.select(
         "collected_at_utc",
         "stop_place_id",
         F.col("data.stopPlace.id").alias("_payload_stop_id"),
         F.col("data.stopPlace.name").alias("_stop_name"),
         *([F.col(SOURCE_FILE_COLUMN)] if SOURCE_FILE_COLUMN in snapshots.columns else []),
-        F.explode("data.stopPlace.estimatedCalls").alias("call"),
+        explode("data.stopPlace.estimatedCalls").alias("call"),
+        *([note.alias(BOARD_COLUMN)] if keep_empty else []),
     )
     line = "serviceJourney.journeyPattern.line"
     flat = calls.select(
@@ -68,7 +80,7 @@ def flatten_snapshots(snapshots: DataFrame, keep_raw: bool = False) -> DataFrame
         _raw("aimedDepartureTime").alias("raw_aimed"),
         _raw("expectedDepartureTime").alias("raw_expected"),
         _raw("actualDepartureTime").alias("raw_actual"),
-        *([F.col(SOURCE_FILE_COLUMN)] if SOURCE_FILE_COLUMN in calls.columns else []),
+        *[F.col(c) for c in (SOURCE_FILE_COLUMN, BOARD_COLUMN) if c in calls.columns],
     )
     feats = {
         "delay_seconds": delay_seconds("expected_departure_utc", "aimed_departure_utc"),
@@ -76,7 +88,8 @@ def flatten_snapshots(snapshots: DataFrame, keep_raw: bool = False) -> DataFrame
     }
     out = flat.select(*flat.columns, *[c.alias(n) for n, c in feats.items()])
     extra = [c for c in out.columns if c.startswith("raw_") or c == SOURCE_FILE_COLUMN]
-    return out.select(*OBSERVATION_COLUMNS, *(extra if keep_raw else []))
+    noted = [BOARD_COLUMN] if keep_empty else []
+    return out.select(*OBSERVATION_COLUMNS, *(extra if keep_raw else []), *noted)
 
 
 def _bad_instant(parsed: str, raw: str) -> Column:
@@ -125,24 +138,17 @@ def validate(flat: DataFrame, strict_fields: bool = True) -> DataFrame:
     return flat.withColumn(REJECT_COLUMN, reject_reason(strict_fields))
 
 
-def corrupt_snapshots(snapshots: DataFrame) -> DataFrame:
-    """Snapshot documents that failed to parse, with their file name (and
-    the raw collection text, so the scan reads more than the corrupt column)."""
-    return snapshots.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(
-        F.col(SOURCE_FILE_COLUMN).alias("source_file"),
-        F.lit(CORRUPT_FILE).alias(REJECT_COLUMN),
-        F.col("collected_at_utc").alias("raw_collected_at"),
-    )
+def label(flat: DataFrame, strict_fields: bool = True) -> DataFrame:
+    """``validate`` for a ``flatten_snapshots(keep_raw=True, keep_empty=True)`` frame: corrupt
+    documents are rejects, rows of empty boards carry their note and no reject reason."""
+    note = F.col(BOARD_COLUMN)
+    reason = F.when(note == CORRUPT_FILE, F.lit(CORRUPT_FILE)).when(note.isNull(), reject_reason(strict_fields))
+    return flat.withColumn(REJECT_COLUMN, reason)
 
 
-def required_field_filter(df: DataFrame) -> DataFrame:
-    """The reference's filter: stop id, journey id, aimed and expected present."""
-    return df.filter(
-        F.col("stop_place_id").isNotNull()
-        & F.col("service_journey_id").isNotNull()
-        & F.col("aimed_departure_utc").isNotNull()
-        & F.col("expected_departure_utc").isNotNull()
-    )
+def is_valid() -> Column:
+    """Condition: a labelled row is a valid observation."""
+    return F.col(BOARD_COLUMN).isNull() & F.col(REJECT_COLUMN).isNull()
 
 
 def dedup_observations(df: DataFrame) -> DataFrame:

@@ -1,59 +1,41 @@
-"""Surrogate keys without a single-partition window.
-
-New natural keys are range-partitioned and sorted, checkpointed (reliable,
-in the shared checkpoint folder) so that every later read sees the same rows
-in the same partitions, then numbered as
-``start + rows in earlier partitions + position in partition``.
-The per-partition counts have one row per partition, so bringing them to
-the driver and broadcasting the offsets back is bounded by the partition
-count, not by the data.
+"""Surrogate keys without a single-partition window over the data.
+
+Dense keys follow the order of a natural key whose rows lie in range buckets:
+``start + rows in earlier buckets + position in the bucket``. The buckets are
+stored with the rows (written once, so every later read agrees), and the sizes
+of earlier buckets come from one row per bucket, joined back.
+
+Row ids need no order: they are taken while the rows are written, from the
+version, the writing task and the position in it, so they are unique and, once
+written, never change.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaystat.session import ensure_checkpoint_dir
-
-
-def with_sequential_keys(
-    df: DataFrame,
-    key_column: str,
-    start: int = 0,
-    order: Sequence[str] | None = None,
-) -> tuple[DataFrame, int]:
-    """Append ``key_column`` = start+1, start+2, ... (unique, gap-free) and
-    return ``(frame, number of keys issued)``.
-
-    With ``order`` the keys follow that order (dense rank of a unique key);
-    without it they follow the stored partition layout, which is fixed by the
-    checkpoint.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    staged = df
-    if order:
-        staged = staged.repartitionByRange(*order).sortWithinPartitions(*order)
-    staged = staged.checkpoint(eager=True)
-
-    pid = F.spark_partition_id()
-    # One row per partition: bounded by the partition count, not the data.
-    counts = dict(
-        (r["_pid"], r["_n"])
-        for r in staged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect()
-    )
-    offsets, running = [], 0
-    for p in range(staged.rdd.getNumPartitions()):
-        offsets.append(running)
-        running += counts.get(p, 0)
-    spark = df.sparkSession
-    offsets_df = spark.createDataFrame(list(enumerate(offsets)), "_pid INT, _off LONG")
-    positioned = staged.withColumn("_pid", pid).withColumn(
-        "_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    )
-    keyed = positioned.join(F.broadcast(offsets_df), "_pid").withColumn(
-        key_column, (F.lit(start).cast("long") + F.col("_off") + F.col("_pos") + 1).cast("long")
+# Bits of a row id: version (19), task (16), position in the task's output (28).
+TASK_BITS, POSITION_BITS = 16, 28
+
+
+def with_dense_keys(rows: DataFrame, key_column: str, order: str, bucket: str, start: int = 0) -> DataFrame:
+    """Append ``key_column`` = start+1, start+2, ... in the order of ``order``, whose ranges ``bucket`` numbers."""
+    position = F.row_number().over(Window.partitionBy(bucket).orderBy(order))
+    ahead = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    sizes = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select(bucket, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    numbered = rows.withColumn("_pos", position).join(sizes, bucket)
+    key = F.lit(start).cast("long") + F.col("_ahead") + F.col("_pos")
+    return numbered.withColumn(key_column, key.cast("long")).drop("_pos", "_ahead")
+
+
+def row_id(version: int) -> Column:
+    """Unique id of a row in the write that evaluates it."""
+    task = F.spark_partition_id().cast("long")
+    position = F.monotonically_increasing_id() - F.shiftleft(task, 33)
+    in_task = F.shiftleft(task, POSITION_BITS) + position
+    fits = (task < 2**TASK_BITS) & (position < 2**POSITION_BITS)
+    return F.when(fits, in_task + F.lit(version << (TASK_BITS + POSITION_BITS)).cast("long")).otherwise(
+        F.raise_error(F.lit("row id out of range: more tasks or rows in a task than its bits hold")).cast("long")
     )
-    return keyed.drop("_pid", "_pos", "_off"), running

@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaystat.operators.ranking import first_per_group
+from quaystat.operators.ranking import first_per_group, total_order
 from quaystat.schema import DEPARTURE_KEY, LATEST_COLUMNS
 
 
@@ -41,14 +41,7 @@ def latest_from_silver(silver: DataFrame) -> DataFrame:
     )
 
 
-def refresh_latest(old_latest: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Incremental maintenance of a materialised latest table.
-
-    ``old_latest`` holds the stored latest rows of the affected partitions;
-    ``candidates`` holds fact rows (new or updated) of the same partitions.
-    The newest collected row wins; on a tie the candidate wins, because it is
-    the updated version of the same fact row.
-    """
-    both = old_latest.withColumn("_stored", F.lit(1)).unionByName(candidates.withColumn("_stored", F.lit(0)))
-    order = [F.col("collected_at_utc").desc(), F.col("_stored").asc(), F.col("observation_key").desc()]
-    return first_per_group(both, list(DEPARTURE_KEY), order).drop("_stored")
+def newest_first(columns: Sequence[str], key: Sequence[str]) -> list[Column]:
+    """Total order within a departure: newest collected, then newest expected time, then every other column."""
+    rest = [c for c in columns if c not in key and c not in ("collected_at_utc", "expected_departure_utc")]
+    return total_order([F.col("collected_at_utc").desc(), F.col("expected_departure_utc").desc_nulls_last()], rest)

@@ -18,81 +18,83 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaystat.functions.time import date_attributes
-from quaystat.operators.keys import with_sequential_keys
+from quaystat.operators.checks import valid_hour
+from quaystat.operators.keys import row_id, with_dense_keys
 from quaystat.operators.ranking import first_per_group, total_order
 from quaystat.schema import FACT_KEY
 
 PRESENT = "_incoming"
 
+# Dimensions by name: natural key, its attributes in the staging.
+NATURAL = {
+    "stop": ("stop_place_id", ["stop_name"]),
+    "line": ("line_id", ["line_public_code", "line_name", "transport_mode"]),
+    "quay": ("quay_id", ["quay_name", "stop_place_id"]),
+}
+_WIDTH = max(len(attrs) for _, attrs in NATURAL.values())
 
-def _newest_per_key(staging: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
-    """Newest ``collected_at_utc`` wins; attributes break ties (asc, nulls last)."""
-    narrow = staging.select(key, "collected_at_utc", *attrs).filter(F.col(key).isNotNull())
-    order = total_order([F.col("collected_at_utc").desc()], attrs)
-    return first_per_group(narrow, [key], order).drop("collected_at_utc")
 
+def newest_attributes(staging: DataFrame) -> DataFrame:
+    """Newest attributes of every natural key of every dimension: dim, nk, attrs.
 
-def upsert_dimension(
-    existing: DataFrame,
-    incoming: DataFrame,
-    natural_key: str,
-    surrogate_key: str,
-    attrs: Sequence[str],
-    max_key: int,
-) -> tuple[DataFrame, int]:
-    """Type-1 upsert of ``incoming`` (one row per natural key) into ``existing``.
-
-    Returns ``(table, new max key)``."""
-    cols = [surrogate_key, natural_key, *attrs]
-    inc = incoming.select(natural_key, *[F.col(a).alias(f"_new_{a}") for a in attrs]).withColumn(
-        PRESENT, F.lit(True)
-    )
-    updated = existing.join(inc, natural_key, "left").select(
-        surrogate_key,
-        natural_key,
+    The attribute values are first pre-aggregated by hash to one row each with
+    their newest instant; only that small result is ranked. Among equally new
+    values the least wins (NULLs last).
+    """
+    kinds = F.array(
         *[
-            F.when(F.col(PRESENT).isNotNull(), F.col(f"_new_{a}")).otherwise(F.col(a)).alias(a)
-            for a in attrs
-        ],
+            F.struct(F.lit(dim).alias("dim"), F.col(key).alias("nk"), F.array(*[F.col(a) for a in attrs]).alias("attrs"))
+            for dim, (key, attrs) in NATURAL.items()
+        ]
     )
-    new = incoming.join(existing.select(natural_key), natural_key, "left_anti")
-    inserted, issued = with_sequential_keys(new.select(natural_key, *attrs), surrogate_key, max_key, order=[natural_key])
-    return updated.select(*cols).unionByName(inserted.select(*cols)), max_key + issued
+    rows = staging.select("collected_at_utc", F.explode(kinds).alias("k")).select("collected_at_utc", "k.*")
+    seen = rows.filter(F.col("nk").isNotNull()).groupBy("dim", "nk", "attrs").agg(F.max("collected_at_utc").alias("at"))
+    order = [F.col("at").desc(), *[F.get("attrs", F.lit(i)).asc_nulls_last() for i in range(_WIDTH)]]
+    return first_per_group(seen, ["dim", "nk"], order).drop("at")
 
 
-def incoming_dim_date(staging: DataFrame) -> DataFrame:
-    dates = staging.select(F.col("service_date").alias("full_date")).distinct()
-    attrs = date_attributes("full_date")
-    return dates.select(*[c.alias(n) for n, c in attrs.items()])
+def incoming_dimension(newest: DataFrame, dim: str) -> DataFrame:
+    """Rows of one dimension from the stored ``newest_attributes`` (with their range bucket)."""
+    key, attrs = NATURAL[dim]
+    return newest.filter(F.col("dim") == dim).select(
+        F.col("nk").alias(key), *[F.get("attrs", F.lit(i)).alias(a) for i, a in enumerate(attrs)], "bucket"
+    )
 
 
-def upsert_dim_date(existing: DataFrame, staging: DataFrame) -> DataFrame:
-    """Insert dates not yet present; existing rows never change."""
-    new = incoming_dim_date(staging).join(existing.select("full_date"), "full_date", "left_anti")
-    return existing.unionByName(new.select(*existing.columns))
+def upsert_dimension(
+    existing: DataFrame, incoming: DataFrame, natural_key: str, surrogate_key: str, attrs: Sequence[str], max_key: int
+) -> DataFrame:
+    """Type-1 upsert of ``incoming`` (one row per natural key, with its range
+    ``bucket``) into ``existing``: one full join, then keys for the new rows."""
+    cols = [surrogate_key, natural_key, *attrs]
+    inc = incoming.select(
+        natural_key, "bucket", *[F.col(a).alias(f"_new_{a}") for a in attrs], F.lit(True).alias(PRESENT)
+    )
+    joined = existing.join(inc, natural_key, "full_outer").select(
+        surrogate_key, natural_key, "bucket",
+        *[F.when(F.col(PRESENT), F.col(f"_new_{a}")).otherwise(F.col(a)).alias(a) for a in attrs],
+    )
+    new = joined.filter(F.col(surrogate_key).isNull()).drop(surrogate_key)
+    keyed = with_dense_keys(new, surrogate_key, natural_key, "bucket", max_key)
+    return joined.filter(F.col(surrogate_key).isNotNull()).select(*cols).unionByName(keyed.select(*cols))
 
 
-def upsert_dim_stop(existing: DataFrame, staging: DataFrame, max_key: int) -> tuple[DataFrame, int]:
-    incoming = _newest_per_key(staging, "stop_place_id", ["stop_name"])
-    return upsert_dimension(existing, incoming, "stop_place_id", "stop_key", ["stop_name"], max_key)
+def dates_dimension(dates: DataFrame) -> DataFrame:
+    """Calendar rows of the distinct dates in column ``full_date``."""
+    return dates.select(*[c.alias(n) for n, c in date_attributes("full_date").items()])
 
 
-def upsert_dim_line(existing: DataFrame, staging: DataFrame, max_key: int) -> tuple[DataFrame, int]:
-    attrs = ["line_public_code", "line_name", "transport_mode"]
-    incoming = _newest_per_key(staging, "line_id", attrs)
-    return upsert_dimension(existing, incoming, "line_id", "line_key", attrs, max_key)
+def upsert_dim_date(existing: DataFrame, dates: DataFrame) -> DataFrame:
+    """Insert dates not yet present; existing rows never change."""
+    new = dates_dimension(dates).join(existing.select("full_date"), "full_date", "left_anti")
+    return existing.unionByName(new.select(*existing.columns))
 
 
-def upsert_dim_quay(
-    existing: DataFrame, staging: DataFrame, dim_stop: DataFrame, max_key: int
-) -> tuple[DataFrame, int]:
-    """Quays seen with a non-null id; the stop key comes from the (already
-    upserted) stop dimension, so a quay reported at another stop moves."""
-    with_stop = staging.filter(F.col("quay_id").isNotNull()).join(
-        dim_stop.select("stop_place_id", "stop_key"), "stop_place_id"
-    )
-    incoming = _newest_per_key(with_stop, "quay_id", ["quay_name", "stop_key"])
-    return upsert_dimension(existing, incoming, "quay_id", "quay_key", ["quay_name", "stop_key"], max_key)
+def upsert_dim_quay(existing: DataFrame, incoming: DataFrame, dim_stop: DataFrame, max_key: int) -> DataFrame:
+    """The stop key comes from the (already upserted) stop dimension, so a quay
+    reported at another stop moves."""
+    with_stop = incoming.join(dim_stop.select("stop_place_id", "stop_key"), "stop_place_id").drop("stop_place_id")
+    return upsert_dimension(existing, with_stop, "quay_id", "quay_key", ["quay_name", "stop_key"], max_key)
 
 
 def fact_rows(
@@ -106,13 +108,23 @@ def fact_rows(
     key (newest expected time, then a total order). The fact key omits the
     quay, so one journey seen at two quays in one snapshot becomes one row;
     the load reports how many rows collapsed."""
+    rows = resolve_keys(staging, dim_date, dim_stop, dim_line, dim_quay)
+    rest = [c for c in rows.columns if c not in FACT_KEY]
+    order = total_order([F.col("expected_departure_utc").desc_nulls_last()], rest)
+    return first_per_group(rows, FACT_KEY, order).withColumn("collected_date", F.to_date("collected_at_utc"))
+
+
+def resolve_keys(
+    staging: DataFrame, dim_date: DataFrame, dim_stop: DataFrame, dim_line: DataFrame, dim_quay: DataFrame
+) -> DataFrame:
+    """Staging with surrogate keys in place of natural ones, one row each."""
     j = (
         staging.join(dim_date.select(F.col("full_date").alias("service_date"), "date_key"), "service_date")
         .join(dim_stop.select("stop_place_id", "stop_key"), "stop_place_id")
         .join(dim_line.select("line_id", "line_key"), "line_id")
         .join(dim_quay.select("quay_id", "quay_key"), "quay_id", "left")
     )
-    rows = j.select(
+    return j.select(
         "collected_at_utc",
         "date_key",
         "stop_key",
@@ -125,37 +137,33 @@ def fact_rows(
         "expected_departure_utc",
         "actual_departure_utc",
         F.col("delay_seconds").cast("int").alias("delay_seconds"),
-        F.col("departure_hour").cast("smallint").alias("departure_hour"),
-    )
-    rest = [c for c in rows.columns if c not in FACT_KEY]
-    order = total_order([F.col("expected_departure_utc").desc_nulls_last()], rest)
-    return first_per_group(rows, FACT_KEY, order).withColumn(
-        "collected_date", F.to_date("collected_at_utc")
+        valid_hour(F.col("departure_hour")).cast("smallint").alias("departure_hour"),
     )
 
 
 UPDATED_ON_CONFLICT = ["expected_departure_utc", "actual_departure_utc", "delay_seconds", "realtime"]
 
 
-def upsert_fact(existing: DataFrame, incoming: DataFrame, max_key: int) -> tuple[DataFrame, int]:
-    """Merge ``incoming`` (one row per fact key) into the affected part of the
-    fact. ``existing`` should already be pruned to the incoming
-    ``collected_date`` partitions; the result replaces exactly those.
-    Returns ``(rows, new max observation key)``."""
-    cols = existing.columns
-    inc = incoming.select(
-        *FACT_KEY, *[F.col(c).alias(f"_new_{c}") for c in incoming.columns if c not in FACT_KEY]
-    ).withColumn(PRESENT, F.lit(True))
-    updated = existing.join(inc, FACT_KEY, "left").select(
+def fact_delta(incoming: DataFrame, stored: DataFrame | None, version: int) -> DataFrame:
+    """What a batch changes: every incoming row (one per fact key), with the
+    stored values of the columns a conflict must not touch, and whether it is new.
+
+    ``stored`` holds the resolved fact of the batch's collected dates (None if
+    there are none, so nothing can conflict). Rows that the batch doesn't hold
+    are not part of the delta and stay as they are.
+    """
+    fresh = row_id(version)
+    if stored is None:
+        return incoming.withColumn("observation_key", fresh).withColumn("_new", F.lit(True))
+    kept = [c for c in stored.columns if c not in FACT_KEY and c not in UPDATED_ON_CONFLICT]
+    old = stored.select(*FACT_KEY, *[F.col(c).alias(f"_old_{c}") for c in kept], F.lit(True).alias("_was"))
+    known = F.col("_was").isNotNull()
+    return incoming.join(old, FACT_KEY, "left").select(
+        *FACT_KEY,
+        *UPDATED_ON_CONFLICT,
         *[
-            (
-                F.when(F.col(PRESENT).isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-                if c in UPDATED_ON_CONFLICT
-                else F.col(c)
-            )
-            for c in cols
-        ]
+            F.when(known, F.col(f"_old_{c}")).otherwise(fresh if c == "observation_key" else F.col(c)).alias(c)
+            for c in kept
+        ],
+        (~known).alias("_new"),
     )
-    new = incoming.join(existing.select(*FACT_KEY), FACT_KEY, "left_anti")
-    inserted, issued = with_sequential_keys(new, "observation_key", max_key)
-    return updated.unionByName(inserted.select(*cols)), max_key + issued

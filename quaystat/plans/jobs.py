@@ -1,5 +1,5 @@
 """User-level jobs: raw -> silver ETL (K-01), silver -> star schema (K-02),
-full refresh in order with named stages (K-03), quality report (K-04).
+full refresh (K-03), quality report (K-04).
 
 Also builds the whole chain from the shared driver tables (``events`` mapped
 to observations) once per session and table directory, so that every
@@ -8,32 +8,34 @@ registered query runs over Spark-derived gold tables.
 
 from __future__ import annotations
 
-import logging
 import threading
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quaystat.operators.flatten import (
+    BOARD_COLUMN,
+    CORRUPT_FILE,
+    EMPTY_BOARD,
+    NULL_BOARD,
     REJECT_COLUMN,
-    corrupt_snapshots,
     dedup_observations,
     flatten_snapshots,
+    is_valid,
+    label,
     validate,
 )
-from quaystat.operators.latest import latest_estimates
 from quaystat.plans import quality
 from quaystat.plans.warehouse import LoadResult, Warehouse, load_batch, read_warehouse
-from quaystat.schema import OBSERVATION_COLUMNS
+from quaystat.schema import OBSERVATION_COLUMNS, OBSERVATION_DDL
 from quaystat.session import scratch_path
 from quaystat.sources import testdata
+from quaystat.sources.boards import land_boards, snapshots_from_observations
 from quaystat.sources.snapshots import read_snapshots
 from quaystat.sources.store import VersionedStore
 
-LOGGER = logging.getLogger(__name__)
-
 
 class NoSnapshotsError(ValueError):
     """No snapshot documents under the input path."""
@@ -49,6 +51,9 @@ class EtlResult:
     processed_count: int
     rejected_count: int
     version: int
+    empty_boards: int = 0
+    null_boards: int = 0
+    corrupt_files: int = 0
 
 
 def silver_from_snapshots(snapshots: DataFrame, strict_fields: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -62,61 +67,46 @@ def silver_from_snapshots(snapshots: DataFrame, strict_fields: bool = True) -> t
 def run_etl(spark: SparkSession, raw_path: str, silver_root: str, strict_fields: bool = True) -> EtlResult:
     """Raw JSON -> silver Parquet partitioned by service date (full refresh).
 
-    The new version is written, counted and guarded before it is published;
-    with zero snapshots or zero valid rows nothing is published and the
-    previous version stays readable.
+    The documents are parsed once, into a labelled table (calls, rejects, boards without
+    calls); observations and rejects are split from that. All is counted while it is
+    written and guarded before it is published: with zero snapshots or zero valid rows
+    nothing is published and the previous version stays readable.
     """
-    snapshots = read_snapshots(spark, raw_path)
-    valid, rejects = silver_from_snapshots(snapshots, strict_fields)
     store = VersionedStore(spark, silver_root)
     version = store.next_version()
-    obs_path = store.table_path(version, "observations")
-    rej_path = store.table_path(version, "rejects")
-    valid.write.mode("errorifexists").partitionBy("service_date").parquet(obs_path)
-    bad_files = corrupt_snapshots(snapshots)
-    reject_rows = rejects.select(
-        F.col("source_file"), F.col(REJECT_COLUMN), F.col("raw_collected_at"), F.col("service_journey_id")
-    ).unionByName(
-        bad_files.select(
-            "source_file", REJECT_COLUMN, "raw_collected_at",
-            F.lit(None).cast("string").alias("service_journey_id"),
-        )
-    )
-    reject_rows.write.mode("errorifexists").parquet(rej_path)
-
-    raw_count = snapshots.count()
-    if raw_count == 0:
-        raise NoSnapshotsError(f"No JSON snapshots found in {raw_path}")
-    processed = spark.read.schema(valid.schema).parquet(obs_path).count()
-    if processed == 0:
-        raise NoObservationsError(
-            "ETL produced no valid departure observations; check the raw snapshot structure and required fields"
-        )
-    rejected = spark.read.schema(reject_rows.schema).parquet(rej_path).count()
-    store.publish(version, {"observations": obs_path, "rejects": rej_path, "raw_count": raw_count,
-                            "processed_count": processed, "rejected_count": rejected})
-    return EtlResult(raw_count, processed, rejected, version)
+    path = {name: store.table_path(version, name) for name in ("labelled", "observations", "rejects")}
+    documents, notes, kept, dropped = (Observation() for _ in range(4))
+    count = F.count(F.lit(1)).alias("n")
+    snapshots = read_snapshots(spark, raw_path).observe(documents, count)
+    labelled = label(flatten_snapshots(snapshots, keep_raw=True, keep_empty=True), strict_fields)
+    by_note = [F.count_if(F.col(BOARD_COLUMN) == n).alias(n) for n in (EMPTY_BOARD, NULL_BOARD, CORRUPT_FILE)]
+    labelled.observe(notes, *by_note).write.mode("errorifexists").parquet(path["labelled"])
+    if documents.get["n"] == 0:
+        raise NoSnapshotsError(f"nothing to process: no *.json document below {raw_path}")
+    rows = spark.read.schema(labelled.schema).parquet(path["labelled"])
+    valid = dedup_observations(rows.filter(is_valid()).select(*OBSERVATION_COLUMNS)).observe(kept, count)
+    valid.hint("rebalance", "service_date").write.mode("errorifexists").partitionBy("service_date").parquet(path["observations"])
+    if kept.get["n"] == 0:
+        raise NoObservationsError(f"no call among {documents.get['n']} documents passed validation; see {path['labelled']}")
+    rejects = rows.filter(F.col(REJECT_COLUMN).isNotNull()).select("source_file", REJECT_COLUMN, "raw_collected_at", "service_journey_id")
+    rejects.observe(dropped, count).write.mode("errorifexists").parquet(path["rejects"])
+    boards = notes.get
+    result = EtlResult(documents.get["n"], kept.get["n"], dropped.get["n"], version, boards[EMPTY_BOARD], boards[NULL_BOARD], boards[CORRUPT_FILE])
+    store.publish(version, {"observations": path["observations"], "rejects": path["rejects"], "counts": vars(result)})
+    return result
 
 
 def read_silver(spark: SparkSession, silver_root: str) -> DataFrame:
     m = VersionedStore(spark, silver_root).current()
     if m is None:
         raise FileNotFoundError(f"no published silver version in {silver_root}")
-    return spark.read.parquet(m.body["observations"])
+    return spark.read.schema(OBSERVATION_DDL).parquet(m.body["observations"])
 
 
 def load_warehouse(spark: SparkSession, silver: DataFrame, warehouse_root: str, strict: bool = True) -> LoadResult:
     return load_batch(spark, silver, VersionedStore(spark, warehouse_root), strict=strict)
 
 
-def register_latest_view(spark: SparkSession, warehouse_root: str, name: str = "v_latest_departure_estimate") -> DataFrame:
-    """Create-or-replace the latest-estimate temp view over the current version."""
-    wh = read_warehouse(spark, VersionedStore(spark, warehouse_root))
-    latest = latest_estimates(wh.fact)
-    latest.createOrReplaceTempView(name)
-    return latest
-
-
 # The warehouse's table and view names.
 VIEW_NAMES = {
     "dim_date": "dim_date",
@@ -146,53 +136,56 @@ def register_views(spark: SparkSession, warehouse_root: str) -> dict[str, DataFr
     return frames
 
 
-Stage = tuple[str, Callable[[], object]]
+def refresh(spark: SparkSession, raw_path: str, silver_root: str, warehouse_root: str) -> tuple[EtlResult, LoadResult]:
+    """Raw snapshots to silver, silver to gold, views over gold; an error stops it where it occurs,
+    with what was published before still in place."""
+    etl = run_etl(spark, raw_path, silver_root)
+    load = load_warehouse(spark, read_silver(spark, silver_root), warehouse_root)
+    register_views(spark, warehouse_root)
+    return etl, load
 
 
-class PipelineRefreshError(RuntimeError):
-    pass
+def quality_report(observations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return quality.quality_summary(observations), quality.quality_by_mode(observations)
 
 
-def run_refresh(stages: Sequence[Stage]) -> list[object]:
-    """Run stages in order; a failure names the stage and stops the rest."""
-    results = []
-    for number, (name, stage) in enumerate(stages, start=1):
-        LOGGER.info("Stage %d/%d started: %s", number, len(stages), name)
-        try:
-            results.append(stage())
-        except Exception as error:  # noqa: BLE001 - re-raised with the stage name
-            raise PipelineRefreshError(f"Pipeline refresh failed during {name}: {error}") from error
-    return results
+# --- tables built once per application from the shared driver tables ---------------
+_BUILT: dict[tuple[str, str, str], str] = {}
+_BUILD_LOCK = threading.RLock()  # a table may be built from another
 
 
-def default_stages(spark: SparkSession, raw_path: str, silver_root: str, warehouse_root: str) -> list[Stage]:
-    return [
-        ("Spark ETL", lambda: run_etl(spark, raw_path, silver_root)),
-        ("warehouse load", lambda: load_warehouse(spark, read_silver(spark, silver_root), warehouse_root)),
-        ("latest-estimate view", lambda: register_latest_view(spark, warehouse_root)),
-    ]
+def built(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], object]) -> str:
+    """Path of a derived table, built by ``build(path)`` once per application and table directory."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    with _BUILD_LOCK:
+        path = _BUILT.get(key)
+        if path is None:
+            path = scratch_path(spark, name)
+            build(path)
+            _BUILT[key] = path
+    return path
 
 
-def quality_report(observations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return quality.quality_summary(observations), quality.quality_by_mode(observations)
+def warehouse_root_for(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a store loaded with the mapped ``events`` observations."""
+    load = lambda root: load_batch(spark, testdata.observations(spark, sf_dir), VersionedStore(spark, root))
+    return built(spark, sf_dir, "warehouse", load)
 
 
-# --- gold built from the shared driver tables ----------------------------------
-_BUILT: dict[tuple[str, str], str] = {}
-_BUILD_LOCK = threading.Lock()
+def snapshots_for(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
+    """Nested snapshots of the mapped observations, as a stored table."""
+    obs = lambda: snapshots_from_observations(testdata.observations(spark, sf_dir, dirty=dirty))
+    return spark.read.parquet(built(spark, sf_dir, f"snapshots-{dirty}", lambda p: obs().write.parquet(p)))
 
 
-def warehouse_root_for(spark: SparkSession, sf_dir: str) -> str:
-    """Load the mapped ``events`` observations into a fresh store (once per
-    application and table directory) and return its root."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    with _BUILD_LOCK:
-        root = _BUILT.get(key)
-        if root is None:
-            root = scratch_path(spark, "warehouse")
-            load_batch(spark, testdata.observations(spark, sf_dir), VersionedStore(spark, root))
-            _BUILT[key] = root
-    return root
+def json_lines_for(spark: SparkSession, sf_dir: str) -> str:
+    """The same snapshots as JSON Lines files."""
+    return built(spark, sf_dir, "json-lines", lambda p: snapshots_for(spark, sf_dir).write.json(p))
+
+
+def landed_boards_for(spark: SparkSession, sf_dir: str) -> str:
+    """Board snapshots (many calls each, some empty, some without payload) as one file each."""
+    return built(spark, sf_dir, "landed", lambda p: land_boards(testdata.observations(spark, sf_dir), p))
 
 
 _READ: dict[tuple[str, str, int], Warehouse] = {}
@@ -215,16 +208,12 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def two_batch_warehouse_root_for(spark: SparkSession, sf_dir: str) -> str:
-    """Two loads into one store: every mapped observation, then a later
-    re-observation of every departure (expected time moved by 25 hours)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/") + "#two-batch")
-    with _BUILD_LOCK:
-        root = _BUILT.get(key)
-        if root is None:
-            root = scratch_path(spark, "warehouse2")
-            store = VersionedStore(spark, root)
-            first = testdata.observations(spark, sf_dir)
-            load_batch(spark, first, store)
-            load_batch(spark, testdata.second_batch(first), store)
-            _BUILT[key] = root
-    return root
+    """Two loads into one store: every mapped observation, then a batch with
+    updates, new keys on stored dates and new keys on a fresh date."""
+
+    def load(root: str) -> None:
+        store = VersionedStore(spark, root)
+        load_batch(spark, testdata.observations(spark, sf_dir), store)
+        load_batch(spark, testdata.second_batch(spark, sf_dir), store)
+
+    return built(spark, sf_dir, "warehouse-two-batch", load)

@@ -18,6 +18,7 @@ ev AS (
 ),
 obs0 AS (
   SELECT
+    event_id,
     ts AS collected_at_utc,
     concat('S', user_id % 5) AS stop_place_id,
     concat('Stop ', user_id % 5) AS stop_name,
@@ -69,7 +70,7 @@ fact AS (
          o.aimed_departure_utc, o.expected_departure_utc, o.actual_departure_utc,
          CAST(o.delay_seconds AS INTEGER) AS delay_seconds,
          CAST(o.departure_hour AS SMALLINT) AS departure_hour,
-         o.service_date
+         o.service_date, o.event_id
   FROM obs o JOIN stops s USING (stop_place_id) JOIN lines l USING (line_id)
   LEFT JOIN quays q USING (quay_id)
 ),
@@ -107,6 +108,29 @@ def ratio(num: str, den: str) -> str:
     return f"(CASE WHEN ({den}) > 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END)"
 
 
+# The fact after the second batch of the two-batch variant (rules in sources.testdata).
+_SECOND = """, fact2 AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 7 = 0 THEN expected_departure_utc + INTERVAL 90000 SECOND ELSE expected_departure_utc END AS expected_departure_utc,
+    CASE WHEN event_id % 7 = 0 THEN delay_seconds + 90000 ELSE delay_seconds END AS delay_seconds)
+  FROM fact
+  UNION ALL SELECT * REPLACE (service_journey_id || 'N' AS service_journey_id) FROM fact WHERE event_id % 7 = 1
+  UNION ALL SELECT * REPLACE (service_journey_id || 'F' AS service_journey_id, collected_at_utc + INTERVAL 400 DAY AS collected_at_utc)
+    FROM fact WHERE event_id % 7 = 2
+)
+"""
+
+# Board variant: collection instants floored to 6 hours.
+_BOARD = """, board AS (SELECT * REPLACE (time_bucket(INTERVAL '6 hours', collected_at_utc) AS collected_at_utc) FROM obs)
+"""
+# Calls that the landed boards hold: some boards are empty, some have no payload.
+_LANDED = (
+    _BOARD
+    + """, landed AS (SELECT * FROM board
+  WHERE NOT (stop_place_id = 'S3' AND hour(collected_at_utc) = 6) AND NOT (stop_place_id = 'S4' AND hour(collected_at_utc) = 12))
+"""
+)
+
 OVER3 = "count(*) FILTER (WHERE delay_seconds > 180)"
 OVER5 = "count(*) FILTER (WHERE delay_seconds > 300)"
 
@@ -292,12 +316,20 @@ FROM quays q JOIN (SELECT DISTINCT quay_id, quay_name, stop_place_id FROM obs) o
 JOIN stops s USING (stop_place_id)"""
         ),
         "fact_upsert": with_gold(
-            """SELECT collected_at_utc, date_key, stop_key, quay_key, line_key, service_journey_id,
-  destination, realtime, aimed_departure_utc,
-  expected_departure_utc + INTERVAL 90000 SECOND AS expected_departure_utc,
-  actual_departure_utc, delay_seconds + 90000 AS delay_seconds, departure_hour,
-  CAST(collected_at_utc AS DATE) AS collected_date
-FROM fact"""
+            _SECOND
+            + """SELECT collected_at_utc, date_key, stop_key, quay_key, line_key, service_journey_id,
+  destination, realtime, aimed_departure_utc, expected_departure_utc, actual_departure_utc,
+  delay_seconds, departure_hour, CAST(collected_at_utc AS DATE) AS collected_date
+FROM fact2"""
+        ),
+        "fact_row_count": with_gold(_SECOND + "SELECT count(*) AS fact_rows FROM fact2"),
+        "dim_line_second_load": with_gold(
+            """, renamed AS (SELECT DISTINCT line_id FROM obs WHERE event_id % 7 = 2)
+SELECT line_key, line_id, line_public_code,
+  CASE WHEN line_id NOT IN (SELECT line_id FROM renamed) THEN line_name
+       WHEN CAST(substr(line_id, 2) AS BIGINT) % 2 = 1 THEN line_name || ' II' END AS line_name,
+  transport_mode
+FROM lines"""
         ),
         "fk_violations": with_gold(
             """SELECT 'fact.line_key' AS relation, CAST(line_key AS VARCHAR) AS key_value, count(*) AS rows
@@ -332,11 +364,104 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY stop_place_id, service_journey_id, aimed
 )
 
 ORACLE["latest_incremental"] = with_gold(
-    """SELECT collected_at_utc, date_key, stop_key, quay_key, line_key, service_journey_id,
-  destination, realtime, aimed_departure_utc,
-  expected_departure_utc + INTERVAL 90000 SECOND AS expected_departure_utc,
-  actual_departure_utc, delay_seconds + 90000 AS delay_seconds, departure_hour
-FROM latest"""
+    _SECOND
+    + """SELECT collected_at_utc, date_key, stop_key, quay_key, line_key, service_journey_id,
+  destination, realtime, aimed_departure_utc, expected_departure_utc, actual_departure_utc,
+  delay_seconds, departure_hour
+FROM fact2 QUALIFY ROW_NUMBER() OVER (PARTITION BY stop_key, service_journey_id, aimed_departure_utc
+                                      ORDER BY collected_at_utc DESC) = 1"""
 )
 
 ORACLE["raw_json_roundtrip"] = with_obs(f"SELECT {_OBS_COLS} FROM obs")
+ORACLE["stream_dedup"] = ORACLE["dedup_observations"]
+ORACLE["flatten_boards"] = with_obs(_LANDED + f"SELECT {_OBS_COLS} FROM landed")
+ORACLE["etl_silver"] = with_obs(
+    _LANDED
+    + f"""SELECT {_OBS_COLS} FROM landed
+QUALIFY ROW_NUMBER() OVER (
+  PARTITION BY collected_at_utc, stop_place_id, service_journey_id, quay_id, aimed_departure_utc
+  ORDER BY expected_departure_utc DESC NULLS LAST, {', '.join(c + ' ASC NULLS LAST' for c in _DEDUP_REST)}) = 1"""
+)
+ORACLE["etl_counts"] = with_obs(
+    _LANDED
+    + """, docs AS (SELECT DISTINCT collected_at_utc AS seen, stop_place_id AS stop FROM board)
+SELECT (SELECT count(*) FROM docs) AS raw_count,
+  (SELECT count(*) FROM (SELECT DISTINCT collected_at_utc, stop_place_id, service_journey_id, quay_id, aimed_departure_utc FROM landed)) AS processed_count,
+  CAST(0 AS BIGINT) AS rejected_count,
+  (SELECT count(*) FROM docs WHERE stop = 'S3' AND hour(seen) = 6) AS empty_boards,
+  (SELECT count(*) FROM docs WHERE stop = 'S4' AND hour(seen) = 12) AS null_boards,
+  CAST(0 AS BIGINT) AS corrupt_files"""
+)
+ORACLE["parse_instants"] = "SELECT event_id, CASE WHEN event_id % 6 < 3 THEN CAST(ts AS TIMESTAMP) END AS instant FROM events"
+ORACLE["stream_upsert"] = with_obs(
+    """SELECT collected_at_utc, stop_place_id, line_id, service_journey_id, aimed_departure_utc,
+  CAST(delay_seconds AS INTEGER) AS delay_seconds FROM obs
+QUALIFY ROW_NUMBER() OVER (PARTITION BY stop_place_id, service_journey_id, aimed_departure_utc
+                           ORDER BY collected_at_utc DESC) = 1"""
+)
+
+
+def _twice(name: str, table: str, value: str, even: str) -> str:
+    """Keys of rows that stand twice because their ``even`` key is even."""
+    return f"SELECT '{name}' AS table_name, CAST({value} AS VARCHAR) AS key_text, count(*) AS occurrences FROM (SELECT * FROM {table} UNION ALL SELECT * FROM {table} WHERE {even} % 2 = 0) GROUP BY 2 HAVING count(*) > 1"
+
+
+_DATES = "(SELECT DISTINCT CAST(strftime(service_date, '%Y%m%d') AS INTEGER) AS date_key, service_date FROM obs)"
+ORACLE["key_duplicates_found"] = with_gold(
+    _BOARD
+    + """, bfact AS (SELECT b.collected_at_utc, s.stop_key, b.service_journey_id, b.aimed_departure_utc FROM board b JOIN stops s USING (stop_place_id))
+SELECT 'fact.natural' AS table_name,
+  concat_ws('|', strftime(collected_at_utc, '%Y-%m-%d %H:%M:%S'), stop_key, service_journey_id, strftime(aimed_departure_utc, '%Y-%m-%d %H:%M:%S')) AS key_text,
+  count(*) AS occurrences
+FROM bfact GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT 'fact', CAST(CAST(epoch(collected_at_utc) AS BIGINT) AS VARCHAR), count(*) FROM bfact GROUP BY 2 HAVING count(*) > 1
+UNION ALL """
+    + " UNION ALL ".join(
+        [
+            _twice("dim_date", _DATES, "date_key", "date_key"),
+            _twice("dim_date.full_date", _DATES, "service_date", "date_key"),
+            _twice("dim_stop", "stops", "stop_key", "stop_key"),
+            _twice("dim_stop.stop_place_id", "stops", "stop_place_id", "stop_key"),
+            _twice("dim_quay", "quays", "quay_key", "quay_key"),
+            _twice("dim_quay.quay_id", "quays", "quay_id", "quay_key"),
+            _twice("dim_line", "lines", "line_key", "line_key"),
+            _twice("dim_line.line_id", "lines", "line_id", "line_key"),
+        ]
+    )
+)
+ORACLE["fk_violations_found"] = with_gold(
+    " UNION ALL ".join(
+        f"SELECT 'fact.{c}' AS relation, CAST({c} AS VARCHAR) AS key_value, count(*) AS rows FROM fact WHERE {c} % 3 = 0 GROUP BY 2"
+        for c in ("date_key", "stop_key", "quay_key", "line_key")
+    )
+    + """ UNION ALL SELECT 'dim_quay.stop_key', CAST(s.stop_key AS VARCHAR), count(*)
+FROM quays q JOIN (SELECT DISTINCT quay_id, stop_place_id FROM obs) o USING (quay_id) JOIN stops s USING (stop_place_id)
+WHERE s.stop_key % 3 = 0 GROUP BY 2"""
+)
+ORACLE["hour_violations"] = with_gold(
+    """SELECT departure_hour + line_key % 3 AS departure_hour, count(*) AS rows FROM fact
+WHERE departure_hour + line_key % 3 > 23 GROUP BY 1"""
+)
+ORACLE["line_filter"] = with_gold(_overview("WHERE service_date BETWEEN DATE '2024-01-01' AND DATE '2024-12-31' AND line_key IN (1, 2, 3, 10)"))
+ORACLE["option_order"] = with_gold(
+    """SELECT 'stop' AS kind, CAST(row_number() OVER (ORDER BY stop_name, stop_key) AS INTEGER) AS position, CAST(stop_key AS VARCHAR) AS value
+FROM (SELECT DISTINCT stop_key, stop_name FROM dep)
+UNION ALL SELECT 'mode', CAST(row_number() OVER (ORDER BY transport_mode) AS INTEGER), transport_mode FROM (SELECT DISTINCT transport_mode FROM dep)
+UNION ALL SELECT 'line', CAST(row_number() OVER (ORDER BY transport_mode, line_public_code NULLS LAST, line_name NULLS LAST, line_key) AS INTEGER), CAST(line_key AS VARCHAR)
+FROM (SELECT DISTINCT line_key, line_public_code, line_name, transport_mode FROM dep)"""
+)
+ORACLE["worst_line_order"] = with_gold(
+    f"""SELECT 'elevated' AS kind, CAST(row_number() OVER (ORDER BY late DESC, n DESC, line_key) AS INTEGER) AS position, CAST(line_key AS VARCHAR) AS value
+FROM (SELECT line_key, count(*) AS n, {ratio(f'100 * {OVER3}', 'count(*)')} AS late FROM dep GROUP BY line_key HAVING count(*) >= 30)
+QUALIFY position <= 15"""
+)
+ORACLE["view_sql"] = with_gold(
+    "SELECT transport_mode, count(*) AS departures, count(*) FILTER (WHERE delay_seconds > 180) AS late FROM dep GROUP BY transport_mode"
+)
+ORACLE["scale_delay_by_mode"] = f"""WITH j AS (
+  SELECT l_suppkey, l_orderkey, o_orderdate, l_linenumber, l_partkey,
+    date_diff('second', CAST(o_orderdate AS TIMESTAMP), CAST(l_shipdate AS TIMESTAMP)) AS delay_seconds
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY l_suppkey, l_orderkey, o_orderdate ORDER BY l_linenumber DESC) = 1)
+SELECT (['bus', 'tram', 'metro', 'rail', 'coach'])[CAST(l_partkey % 5 AS INTEGER) + 1] AS transport_mode, {_stats(p90=True, long_rate=True)}
+FROM j GROUP BY 1"""

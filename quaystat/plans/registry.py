@@ -13,21 +13,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaystat.functions.labels import line_label
+from quaystat.functions.time import epoch_seconds, parse_instant
 from quaystat.operators import checks, summaries
 from quaystat.operators.flatten import REJECT_COLUMN, dedup_observations, flatten_snapshots, validate
 from quaystat.operators.latest import latest_estimates
+from quaystat.operators.ranking import first_per_group
+from quaystat.operators.upsert import resolve_keys
 from quaystat.plans import explore, quality, reports
 from quaystat.plans.jobs import (
+    built,
     current_warehouse,
+    json_lines_for,
+    landed_boards_for,
+    read_silver,
+    register_views,
+    run_etl,
     silver_from_snapshots,
+    snapshots_for,
     two_batch_warehouse_root_for,
     warehouse_for,
+    warehouse_root_for,
 )
-from quaystat.schema import LATEST_COLUMNS, OBSERVATION_COLUMNS
+from quaystat.plans.warehouse import Warehouse, fact_row_count, latest_between
+from quaystat.schema import LATEST_COLUMNS
 from quaystat.session import scratch_path
 from quaystat.sources import testdata
-from quaystat.sources.boards import board_observations, snapshots_from_observations
+from quaystat.sources.boards import board_observations, iso_local
 from quaystat.sources.snapshots import read_snapshots
+from quaystat.sources.store import VersionedStore
 from quaystat.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +105,7 @@ EXAMPLE_FILTERS = explore.DashboardFilters(
     transport_modes=("bus", "tram", "rail"),
 )
 EMPTY_FILTERS = explore.DashboardFilters(start_date=dt.date(2030, 1, 1), end_date=dt.date(2030, 1, 2))
+LINE_FILTERS = explore.DashboardFilters(start_date=dt.date(2024, 1, 1), end_date=dt.date(2024, 12, 31), line_keys=(1, 2, 3, 10))
 SAMPLE_FLOOR = 35
 
 
@@ -101,7 +115,9 @@ def _departures(spark, sf_dir):
 
 
 def _selected(spark, sf_dir, filters):
-    wh, latest = _latest(spark, sf_dir)
+    wh = warehouse_for(spark, sf_dir)
+    keys = (int(d.strftime("%Y%m%d")) for d in (filters.start_date, filters.end_date))
+    latest = latest_between(spark, VersionedStore(spark, warehouse_root_for(spark, sf_dir)), wh, *keys)
     return explore.selected_departures(latest, wh.dim_date, wh.dim_stop, wh.dim_line, filters)
 
 
@@ -169,27 +185,56 @@ def q_quality_by_mode(spark, sf_dir):
 
 # --- raw path (K-01) --------------------------------------------------------
 def q_flatten_snapshots(spark, sf_dir):
-    snaps = snapshots_from_observations(testdata.observations(spark, sf_dir))
-    return flatten_snapshots(snaps)
+    return flatten_snapshots(snapshots_for(spark, sf_dir))
 
 
 def q_raw_json_roundtrip(spark, sf_dir):
-    """Bronze -> silver through files: mapped events rebuilt as nested
-    snapshots, written as JSON Lines to the shared scratch folder, read back
-    with the fixed schema, then validated and deduplicated."""
-    path = scratch_path(spark, "bronze")
-    snapshots_from_observations(testdata.observations(spark, sf_dir)).write.json(path)
-    valid, _ = silver_from_snapshots(read_snapshots(spark, path, multi_line=False))
+    """Bronze -> silver through JSON Lines files, read back with the fixed
+    schema, then validated and deduplicated."""
+    valid, _ = silver_from_snapshots(read_snapshots(spark, json_lines_for(spark, sf_dir), multi_line=False))
     return valid
 
 
+def q_flatten_boards(spark, sf_dir):
+    """Boards of many calls, some empty, some without payload or stop id."""
+    return flatten_snapshots(read_snapshots(spark, landed_boards_for(spark, sf_dir)))
+
+
+def _silver(spark, sf_dir) -> str:
+    raw = landed_boards_for(spark, sf_dir)
+    return built(spark, sf_dir, "silver", lambda root: run_etl(spark, raw, root))
+
+
+def q_etl_silver(spark, sf_dir):
+    """Landed files -> published silver -> read back."""
+    return read_silver(spark, _silver(spark, sf_dir))
+
+
+def q_etl_counts(spark, sf_dir):
+    """What the ETL counted while it wrote."""
+    body = VersionedStore(spark, _silver(spark, sf_dir)).current().body["counts"]
+    names = ["raw_count", "processed_count", "rejected_count", "empty_boards", "null_boards", "corrupt_files"]
+    return spark.createDataFrame([tuple(body[n] for n in names)], ", ".join(f"{n} BIGINT" for n in names))
+
+
+def q_parse_instants(spark, sf_dir):
+    """Instants read from texts of every kind, by event_id % 6: local time with offset, UTC, no
+    offset, time only, date only, no time at all."""
+    utc = F.col("ts").cast("timestamp_ntz")
+    plain = F.regexp_replace(utc.cast("string"), " ", "T")
+    day, clock = F.substring(plain, 1, 10), F.substring(plain, 12, 5)
+    kinds = [iso_local(utc), F.concat(plain, F.lit("Z")), plain, clock, day, F.concat(F.lit("x"), plain)]
+    text = F.element_at(F.array(*kinds), (F.col("event_id") % 6 + 1).cast("int"))
+    events = testdata.read_table(spark, sf_dir, "events")
+    return events.select("event_id", parse_instant(text).alias("instant"))
+
+
 def q_dedup_observations(spark, sf_dir):
     return dedup_observations(board_observations(testdata.observations(spark, sf_dir)))
 
 
 def q_reject_summary(spark, sf_dir):
-    snaps = snapshots_from_observations(testdata.observations(spark, sf_dir, dirty=True))
-    checked = validate(flatten_snapshots(snaps, keep_raw=True))
+    checked = validate(flatten_snapshots(snapshots_for(spark, sf_dir, dirty=True), keep_raw=True))
     return (
         checked.filter(F.col(REJECT_COLUMN).isNotNull())
         .groupBy(REJECT_COLUMN)
@@ -233,6 +278,84 @@ def q_key_duplicates(spark, sf_dir):
     return checks.warehouse_key_duplicates(warehouse_for(spark, sf_dir))
 
 
+def q_dim_line_second_load(spark, sf_dir):
+    """Lines after a load that renames some and takes the name from others."""
+    return current_warehouse(spark, two_batch_warehouse_root_for(spark, sf_dir)).dim_line
+
+
+def _broken_warehouse(spark, sf_dir) -> Warehouse:
+    """Facts of the board variant before they are collapsed, ids by collection instant, and
+    dimensions in which rows with an even key stand twice and those of a third are missing."""
+    wh = warehouse_for(spark, sf_dir)
+    twice = lambda df, key: df.unionByName(df.filter(F.col(key) % 2 == 0))
+    dims = {"dim_date": twice(wh.dim_date, "date_key"), **{f"dim_{d}": twice(getattr(wh, f"dim_{d}"), f"{d}_key") for d in ("stop", "quay", "line")}}
+    boards = board_observations(testdata.observations(spark, sf_dir))
+    rows = resolve_keys(boards, wh.dim_date, wh.dim_stop, wh.dim_line, wh.dim_quay)
+    fact = rows.withColumn("observation_key", epoch_seconds("collected_at_utc"))
+    return Warehouse(fact=fact, latest=wh.latest, **dims)
+
+
+def q_key_duplicates_found(spark, sf_dir):
+    return checks.warehouse_key_duplicates(_broken_warehouse(spark, sf_dir))
+
+
+def q_fk_violations_found(spark, sf_dir):
+    """The five references against dimensions that lack the rows whose key divides by three."""
+    wh = warehouse_for(spark, sf_dir)
+    keep = lambda df, key: df.filter(F.col(key) % 3 != 0)
+    dims = {"dim_date": keep(wh.dim_date, "date_key"), "dim_stop": keep(wh.dim_stop, "stop_key"), "dim_line": keep(wh.dim_line, "line_key")}
+    quays = wh.dim_quay.withColumn("quay_key", F.when(F.col("quay_key") % 3 != 0, F.col("quay_key")))
+    return checks.warehouse_fk_violations(Warehouse(fact=wh.fact, latest=wh.latest, dim_quay=quays, **dims))
+
+
+def q_hour_violations(spark, sf_dir):
+    """The hour check over hours moved on by the line's number."""
+    fact = warehouse_for(spark, sf_dir).fact
+    moved = fact.withColumn("departure_hour", F.col("departure_hour") + F.col("line_key") % 3)
+    return checks.hour_violations(moved).groupBy("departure_hour").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_fact_row_count(spark, sf_dir):
+    wh = current_warehouse(spark, two_batch_warehouse_root_for(spark, sf_dir))
+    return spark.createDataFrame([(fact_row_count(wh),)], "fact_rows BIGINT")
+
+
+def q_line_filter(spark, sf_dir):
+    return explore.overview(_selected(spark, sf_dir, LINE_FILTERS))
+
+
+def q_option_order(spark, sf_dir):
+    """The option lists with their positions."""
+    departures = _departures(spark, sf_dir)
+    lists = [("stop", explore.stop_options(departures), "stop_key"), ("mode", explore.mode_options(departures), "transport_mode"), ("line", explore.line_options(departures), "line_key")]
+    frames = [explore.numbered(df, kind, key) for kind, df, key in lists]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+def q_worst_line_order(spark, sf_dir):
+    """Positions in the top list of lines with elevated delays."""
+    return explore.numbered(explore.elevated_lines(_departures(spark, sf_dir)), "elevated", "line_key")
+
+
+def q_view_sql(spark, sf_dir):
+    """A business question as SQL over the registered views."""
+    register_views(spark, warehouse_root_for(spark, sf_dir))
+    return spark.sql(
+        """SELECT line.transport_mode, COUNT(*) AS departures, COUNT_IF(estimate.delay_seconds > 180) AS late
+           FROM v_latest_departure_estimate AS estimate JOIN dim_line AS line ON estimate.line_key = line.line_key
+           GROUP BY line.transport_mode"""
+    )
+
+
+def q_scale_delay_by_mode(spark, sf_dir):
+    """Join-heavy variant: order lines as observations, the newest of each departure by a narrow
+    ranking (the line number orders the collection instants of an order), then delay by mode."""
+    obs = testdata.scale_observations(spark, sf_dir)
+    narrow = obs.select("stop_place_id", "service_journey_id", "aimed_departure_utc", "collected_at_utc", "transport_mode", "delay_seconds")
+    latest = first_per_group(narrow, ["stop_place_id", "service_journey_id", "aimed_departure_utc"], [F.col("collected_at_utc").desc()])
+    return latest.groupBy("transport_mode").agg(*summaries.rounded_stats([reports.MEDIAN, reports.P90], long_rate=True))
+
+
 def q_line_labels(spark, sf_dir):
     dim = warehouse_for(spark, sf_dir).dim_line
     return dim.select("line_key", line_label("line_public_code", "line_name", "transport_mode").alias("line_label"))
@@ -268,31 +391,70 @@ QUERIES.update(
         "fk_violations": q_fk_violations,
         "key_duplicates": q_key_duplicates,
         "line_labels": q_line_labels,
+        "flatten_boards": q_flatten_boards,
+        "etl_silver": q_etl_silver,
+        "etl_counts": q_etl_counts,
+        "parse_instants": q_parse_instants,
+        "dim_line_second_load": q_dim_line_second_load,
+        "key_duplicates_found": q_key_duplicates_found,
+        "fk_violations_found": q_fk_violations_found,
+        "hour_violations": q_hour_violations,
+        "fact_row_count": q_fact_row_count,
+        "line_filter": q_line_filter,
+        "option_order": q_option_order,
+        "worst_line_order": q_worst_line_order,
+        "view_sql": q_view_sql,
+        "scale_delay_by_mode": q_scale_delay_by_mode,
     }
 )
 
 
-# --- streaming (R-03) ---------------------------------------------------------
+# --- streaming (R-01..R-04) -----------------------------------------------------
+def _quarters(spark, sf_dir):
+    """The events in four parts by time, each landed as a folder of files: paths, oldest first."""
+    events = testdata.read_table(spark, sf_dir, "events")
+
+    def land(root: str) -> None:
+        second = epoch_seconds(F.col("ts").cast("timestamp_ntz"))
+        cuts = events.select(F.percentile_approx(second, [0.25, 0.5, 0.75], 100).alias("c")).first()["c"]
+        part = sum((second > c).cast("int") for c in cuts)
+        events.withColumn("part", part).write.partitionBy("part").parquet(root)
+
+    root = built(spark, sf_dir, "event-quarters", land)
+    return [f"{root}/part={i}" for i in range(4)]
+
+
+def _feed(spark, paths, sink, checkpoint, columns):
+    """Stream one folder after another into ``sink``, each in a run of its own."""
+    for i, path in enumerate(paths):
+        obs = testdata.observations_from_events(ingest.stream_table(spark, path))
+        # Batch numbers go on from run to run: each run has its own checkpoint here, being another source.
+        ingest.run_available(columns(obs), lambda batch, n, i=i: sink(batch, 1000 * i + n), f"{checkpoint}-{i}")
 
 
 def q_stream_latest(spark, sf_dir):
-    """Latest estimates maintained by a streaming aggregate over the events
-    table read as a file stream; the update-mode output is collapsed to the
-    newest version per departure."""
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    events = (
-        spark.readStream.schema(spark.read.parquet(path).schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    """Latest estimates over a stream that brings the newest quarter of the events first."""
     root = scratch_path(spark, "stream-latest")
-    ingest.run_available(
-        ingest.latest_state(testdata.observations_from_events(events)),
-        ingest.write_batches_to(f"{root}/updates"),
-        f"{root}/checkpoint",
-        mode="update",
-    )
-    return ingest.newest_versions(spark.read.parquet(f"{root}/updates")).select(*OBSERVATION_COLUMNS)
+    _feed(spark, _quarters(spark, sf_dir)[::-1], ingest.latest_sink(f"{root}/rows"), f"{root}/checkpoint", lambda o: o)
+    return ingest.read_latest(spark, f"{root}/rows")
+
+
+def q_stream_dedup(spark, sf_dir):
+    """Board observations streamed with two quarters repeated: each key is stored once."""
+    root = scratch_path(spark, "stream-dedup")
+    quarters = _quarters(spark, sf_dir)
+    whole = built(spark, sf_dir, "events-copy", lambda p: testdata.read_table(spark, sf_dir, "events").write.parquet(p))
+    _feed(spark, [whole, quarters[2], quarters[0]], ingest.dedup_sink(f"{root}/rows"), f"{root}/checkpoint", board_observations)
+    return ingest.read_dedup(spark, f"{root}/rows")
+
+
+def q_stream_upsert(spark, sf_dir):
+    """Every quarter loaded into the star schema, newest first."""
+    root = scratch_path(spark, "stream-upsert")
+    _feed(spark, _quarters(spark, sf_dir)[::-1], ingest.upsert_each_batch(spark, f"{root}/gold"), f"{root}/checkpoint", lambda o: o)
+    wh = current_warehouse(spark, f"{root}/gold")
+    rows = wh.latest.join(wh.dim_line.select("line_key", "line_id"), "line_key").join(wh.dim_stop.select("stop_key", "stop_place_id"), "stop_key")
+    return rows.select("collected_at_utc", "stop_place_id", "line_id", "service_journey_id", "aimed_departure_utc", "delay_seconds")
 
 
-QUERIES["stream_latest"] = q_stream_latest
+QUERIES.update({"stream_latest": q_stream_latest, "stream_dedup": q_stream_dedup, "stream_upsert": q_stream_upsert})

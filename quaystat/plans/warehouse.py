@@ -1,41 +1,41 @@
 """The star schema (gold): read a published version, or load a batch into it.
 
 Fact layout: Parquet partitioned by ``collected_date`` (= date of
-``collected_at_utc``). That column is fixed by the fact key, so an upsert
-touches only the incoming batch's partitions; ``date_key`` is not (the
-expected time may move to another day), which is why it is not the
-partition column. The latest table is partitioned by ``aimed_date`` (fixed
-by the departure key) in the same way.
-
-Both live in one directory each, partitioned by (date, ``v``): a load appends
-only the partitions it rewrites, under its own version number. The manifest
-maps each date to the version that last wrote it, so unchanged partitions are
-never copied, and a read is a single scan whose partition filter keeps just
-the published (date, version) pairs. Dimensions are small and are written in
-full per version.
+``collected_at_utc``) and the version ``v`` that wrote the rows. The collected
+date is fixed by the fact key; ``date_key`` is not (the expected time may move to
+another day), which is why it is not the partition column. The latest table is
+partitioned by ``aimed_date`` (fixed by the departure key) in the same way.
+
+A load writes its batch once, as a delta beside what is stored: the incoming
+rows, already carrying the stored values that a conflict must not change. The
+manifest lists for each date the versions that wrote to it. A date with one version
+is read as it is; for a date with several the newest version of each key wins.
+``compact`` folds the deltas of such dates into one, and ``retain`` deletes what no
+kept manifest names. Reads open exactly the listed directories, so planning does
+not grow with superseded versions. Dimensions are written in full per version.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quaystat.operators import upsert
+from quaystat.operators.ranking import first_per_group
 from quaystat.schema import (
+    DEPARTURE_KEY,
     DIM_DATE_DDL,
     DIM_LINE_DDL,
     DIM_QUAY_DDL,
     DIM_STOP_DDL,
     FACT_DDL,
-    LATEST_COLUMNS,
+    FACT_KEY,
     LATEST_DDL,
     STAGING_COLUMNS,
 )
-from quaystat.operators.keys import with_sequential_keys
-from quaystat.operators.latest import refresh_latest
 from quaystat.sources.store import Manifest, VersionedStore
 
 FACT_COLUMNS = [part.split(" ")[0] for part in FACT_DDL.split(", ")]
@@ -88,43 +88,83 @@ def read_warehouse(spark: SparkSession, store: VersionedStore, manifest: Manifes
         return Warehouse(fact=_empty(spark, FACT_DDL), latest=_empty(spark, LATEST_DDL), **tables)
     body = manifest.body
     tables = {name: spark.read.schema(DIMENSIONS[name]).parquet(path) for name, path in body["tables"].items()}
-    fact = _read_partitioned(spark, store, "fact", body["fact"], FACT_DDL, "collected_date")
-    latest = _read_partitioned(spark, store, "latest", body.get("latest", {}), LATEST_DDL, "aimed_date")
+    fact = _read_versions(spark, store, "fact", body["fact"])
+    latest = _read_versions(spark, store, "latest", body["latest"])
     return Warehouse(fact=fact, latest=latest, manifest=manifest, stats=body, **tables)
 
 
-def _dates(days) -> list:
-    return [F.lit(d).cast("date") for d in days]
+def latest_between(spark: SparkSession, store: VersionedStore, warehouse: Warehouse, first: int, last: int) -> DataFrame:
+    """Latest estimates whose ``date_key`` can lie in first..last: partitions that hold none of these are not read.
+
+    Ranking is by departure, and a departure has one aimed date, so choosing aimed dates before it is safe.
+    """
+    body = warehouse.stats
+    if not body:
+        return warehouse.latest
+    days = [d for d, (lo, hi) in body["latest_dates"].items() if lo <= last and hi >= first]
+    return _read_versions(spark, store, "latest", body["latest"], days)
 
 
 VERSION_COLUMN = "v"
 
 
-def _read_partitioned(
-    spark: SparkSession, store: VersionedStore, table: str, partitions: dict[str, int], ddl: str, part_col: str
+@dataclass(frozen=True)
+class Layout:
+    """A table of dated versions: its columns, date partition, key and which row of a key is current."""
+
+    ddl: str
+    date_column: str
+    key: Sequence[str]
+    order: Sequence[str]
+
+    @property
+    def columns(self) -> list[str]:
+        return [part.split(" ")[0] for part in self.ddl.split(", ")]
+
+    def newest_first(self) -> list[Column]:
+        return [F.col(c).desc() for c in self.order]
+
+
+LAYOUTS = {
+    "fact": Layout(FACT_DDL, "collected_date", FACT_KEY, [VERSION_COLUMN]),
+    "latest": Layout(LATEST_DDL, "aimed_date", DEPARTURE_KEY, ["collected_at_utc", VERSION_COLUMN, "observation_key"]),
+}
+
+
+def _read_versions(
+    spark: SparkSession, store: VersionedStore, table: str, dates: dict[str, list[int]], days: Sequence[str] | None = None
 ) -> DataFrame:
-    """One scan of ``<root>/<table>`` (partitioned by ``part_col`` and ``v``)
-    keeping, per date, only the version the manifest names. The filter is on
-    partition columns only, so it prunes directories at planning time and
-    unpublished or superseded versions are never read."""
-    if not partitions:
-        return _empty(spark, ddl)
-    wanted = [f"{day}/{int(version)}" for day, version in partitions.items()]
-    typed = [F.col(c).cast(t) for c, t in (f.split(" ") for f in ddl.split(", "))]
-    return (
-        spark.read.schema(f"{ddl}, {VERSION_COLUMN} INT")
-        .parquet(f"{store.root}/{table}")
-        .filter(F.concat_ws("/", F.col(part_col).cast("string"), F.col(VERSION_COLUMN).cast("string")).isin(wanted))
-        .select(*typed)
-    )
+    """Current rows of the given dates (all by default), from exactly the listed directories."""
+    layout = LAYOUTS[table]
+    wanted = {d: vs for d, vs in dates.items() if days is None or d in days}
+
+    def scan(some: dict[str, list[int]]) -> DataFrame:
+        root = f"{store.root}/{table}"
+        paths = [f"{root}/{layout.date_column}={d}/{VERSION_COLUMN}={v}" for d, vs in some.items() for v in vs]
+        return spark.read.schema(f"{layout.ddl}, {VERSION_COLUMN} INT").option("basePath", root).parquet(*paths)
+
+    single = {d: vs for d, vs in wanted.items() if len(vs) == 1}
+    several = {d: vs for d, vs in wanted.items() if len(vs) > 1}
+    out = scan(single).select(*layout.columns) if single else None
+    if several:
+        current = first_per_group(scan(several), list(layout.key), layout.newest_first()).select(*layout.columns)
+        out = current if out is None else out.unionByName(current)
+    return out if out is not None else _empty(spark, layout.ddl)
 
 
-def _append_version(df: DataFrame, store: VersionedStore, table: str, part_col: str, version: int) -> None:
-    """Add this version's partitions next to the older ones (never overwrites)."""
+def _append(df: DataFrame, store: VersionedStore, table: str, version: int) -> None:
+    """Write rows as this version's directories beside the older ones (never overwrites).
+
+    Rows are clustered by date first, so a date's number of files follows its size and not the
+    number of tasks; a date too large for one task is split.
+    """
+    layout = LAYOUTS[table]
     (
-        df.withColumn(VERSION_COLUMN, F.lit(version))
+        df.select(*layout.columns)
+        .hint("rebalance", layout.date_column)
+        .withColumn(VERSION_COLUMN, F.lit(version))
         .write.mode("append")
-        .partitionBy(part_col, VERSION_COLUMN)
+        .partitionBy(layout.date_column, VERSION_COLUMN)
         .parquet(f"{store.root}/{table}")
     )
 
@@ -154,114 +194,138 @@ def staging_violations(staging: DataFrame) -> DataFrame:
 def load_batch(spark: SparkSession, observations: DataFrame, store: VersionedStore, strict: bool = True) -> LoadResult:
     """Upsert one batch of silver observations and publish a new version.
 
-    All-or-nothing: tables go to a new version directory and become visible
-    only when the manifest is published at the very end.
+    All-or-nothing: tables become visible only when the manifest is published at the very
+    end. The batch is read three times with pruned columns (a guard pass, the natural keys, the
+    fact rows), so hand over stored observations rather than an expensive plan.
     """
     staging = observations.select(*STAGING_COLUMNS)
     if not strict:
         staging = staging.filter(~staging_violation(staging))
-    # Read by five steps below; spillable, and recomputable from its source
-    # if an executor is lost.
-    staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = staging.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(staging_violation(staging)).alias("bad")
+    # Dates only: bounded by the days a batch spans.
+    shape = staging.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(staging_violation(staging)).alias("bad"),
+        F.collect_set("service_date").alias("service"),
+        F.collect_set(F.to_date("collected_at_utc")).alias("collected"),
+        F.collect_set(F.to_date("aimed_departure_utc")).alias("aimed"),
     ).first()
-    staged_rows = int(counts["rows"])
-    if strict and counts["bad"]:
-        staging.unpersist()
-        raise StagingConstraintError(f"{counts['bad']} staged rows break NOT NULL rules of the warehouse")
-    if staged_rows == 0:
-        staging.unpersist()
+    if strict and shape["bad"]:
+        raise StagingConstraintError(f"{shape['bad']} staged rows lack a value the warehouse requires")
+    if not shape["rows"]:
         raise EmptyLoadError("no staged rows; previous version left in place")
+    return _upsert_and_publish(spark, staging, shape, store)
 
-    try:
-        return _upsert_and_publish(spark, staging, staged_rows, store)
-    finally:
-        staging.unpersist()
 
-
-def _upsert_and_publish(spark: SparkSession, staging: DataFrame, staged_rows: int, store: VersionedStore) -> LoadResult:
+def _upsert_and_publish(spark: SparkSession, staging: DataFrame, shape, store: VersionedStore) -> LoadResult:
     current = store.current()
     old = read_warehouse(spark, store, current)
-    prev = current.body if current else {"max_keys": {}, "fact": {}, "fact_rows": {}, "latest": {}}
+    prev = current.body if current else {"max_keys": {}, "fact": {}, "fact_rows": 0, "latest": {}}
     version = store.next_version()
+    days, aimed_days = ({str(d) for d in shape[c]} for c in ("collected", "aimed"))
 
-    def write(df: DataFrame, name: str) -> DataFrame:
+    def write(df: DataFrame, name: str, schema: str | None = None) -> DataFrame:
         path = store.table_path(version, name)
         df.write.mode("errorifexists").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(schema or df.schema).parquet(path)
 
+    dates = spark.createDataFrame([(d,) for d in shape["service"]], "full_date DATE")
+    dim_date = write(upsert.upsert_dim_date(old.dim_date, dates), "dim_date")
+    # Stored with its range buckets, from which all three dimensions take dense keys.
+    newest = upsert.newest_attributes(staging).repartitionByRange("dim", "nk")
+    newest = write(newest.withColumn("bucket", F.spark_partition_id()), "natural_keys")
     keys = prev["max_keys"]
-    dim_date = write(upsert.upsert_dim_date(old.dim_date, staging), "dim_date")
-    stops, stop_max = upsert.upsert_dim_stop(old.dim_stop, staging, keys.get("stop", 0))
-    dim_stop = write(stops, "dim_stop")
-    lines, line_max = upsert.upsert_dim_line(old.dim_line, staging, keys.get("line", 0))
-    dim_line = write(lines, "dim_line")
-    quays, quay_max = upsert.upsert_dim_quay(old.dim_quay, staging, dim_stop, keys.get("quay", 0))
-    dim_quay = write(quays, "dim_quay")
-
-    incoming = write(upsert.fact_rows(staging, dim_date, dim_stop, dim_line, dim_quay), "_incoming_fact")
-    # One small grouped pass gives the row count and both date sets (bounded by days).
-    shape = (
-        incoming.groupBy("collected_date", F.to_date("aimed_departure_utc").alias("aimed_date"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    incoming_rows = sum(int(r["n"]) for r in shape)
-    days = sorted({str(r["collected_date"]) for r in shape})
-    aimed_days = sorted({str(r["aimed_date"]) for r in shape})
-
-    # A fact key fixes its collected date, so rows on dates the warehouse does
-    # not hold yet cannot conflict: they are inserted without the upsert joins.
-    stored_days = [d for d in days if d in prev["fact"]]
-    obs_max = keys.get("observation", 0)
-    on_stored = F.col("collected_date").isin(_dates(stored_days))
-    parts = []
-    if stored_days:
-        affected = old.fact.filter(on_stored)
-        upserted, obs_max = upsert.upsert_fact(affected, incoming.filter(on_stored), obs_max)
-        parts.append(upserted)
-    if len(stored_days) < len(days):
-        fresh = incoming.filter(~on_stored) if stored_days else incoming
-        inserted, issued = with_sequential_keys(fresh, "observation_key", obs_max)
-        obs_max += issued
-        parts.append(inserted.select(*FACT_COLUMNS))
-    merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    _append_version(merged, store, "fact", "collected_date", version)
-    written = _read_partitioned(spark, store, "fact", {d: version for d in days}, FACT_DDL, "collected_date")
-    per_day = {
-        str(r["collected_date"]): int(r["n"])
-        for r in written.groupBy("collected_date").agg(F.count(F.lit(1)).alias("n")).collect()
-    }
-    fact_parts = {**prev["fact"], **{d: version for d in per_day}}
-    fact_rows = {**prev.get("fact_rows", {}), **per_day}
-
-    # Latest estimates: recompute only the aimed dates the batch touches.
-    candidates = (
-        written.withColumn("aimed_date", F.to_date("aimed_departure_utc"))
-        .filter(F.col("aimed_date").isin(_dates(aimed_days)))
-        .select(*LATEST_COLUMNS, "aimed_date")
-    )
-    stored = old.latest.filter(F.col("aimed_date").isin(_dates(aimed_days)))
-    _append_version(refresh_latest(stored, candidates), store, "latest", "aimed_date", version)
-    latest_parts = {**prev.get("latest", {}), **{d: version for d in aimed_days}}
+    incoming = {d: upsert.incoming_dimension(newest, d) for d in upsert.NATURAL}
+    dims = {}
+    for dim in ("stop", "line"):
+        nk, attrs = upsert.NATURAL[dim]
+        table = upsert.upsert_dimension(getattr(old, f"dim_{dim}"), incoming[dim], nk, f"{dim}_key", attrs, keys.get(dim, 0))
+        dims[dim] = write(table, f"dim_{dim}")
+    dims["quay"] = write(upsert.upsert_dim_quay(old.dim_quay, incoming["quay"], dims["stop"], keys.get("quay", 0)), "dim_quay")
+    tops = [dims[d].select(F.lit(d).alias("dim"), F.col(f"{d}_key").alias("key")) for d in dims]
+    highest = tops[0].unionByName(tops[1]).unionByName(tops[2]).groupBy("dim").agg(F.max("key").alias("top")).collect()
+    max_keys = {**keys, **{r["dim"]: r["top"] for r in highest}}
+
+    rows = upsert.fact_rows(staging, dim_date, dims["stop"], dims["line"], dims["quay"])
+    known = [d for d in days if d in prev["fact"]]
+    stored = _read_versions(spark, store, "fact", prev["fact"], known) if known else None
+    counts = Observation()
+    delta = upsert.fact_delta(rows, stored, version)
+    delta = delta.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if("_new").alias("new"))
+    _append(delta, store, "fact", version)
+    # Candidates for the latest estimates come from the rows just written, keys included.
+    written = _read_versions(spark, store, "fact", {d: [version] for d in days})
+    candidates = written.withColumn("aimed_date", F.to_date("aimed_departure_utc"))
+    order = [F.col("collected_at_utc").desc(), F.col("observation_key").desc()]
+    _append(first_per_group(candidates, DEPARTURE_KEY, order), store, "latest", version)
+    # Which service dates each aimed date holds, so that date filters can choose partitions.
+    spans = {d: list(r) for d, r in prev.get("latest_dates", {}).items()}
+    news = _read_versions(spark, store, "latest", {d: [version] for d in aimed_days})
+    for r in news.groupBy("aimed_date").agg(F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).collect():
+        lo, hi = spans.get(str(r["aimed_date"]), (r["lo"], r["hi"]))
+        spans[str(r["aimed_date"])] = [min(lo, r["lo"]), max(hi, r["hi"])]
+
+    def add(table: str, new: set[str]) -> dict[str, list[int]]:
+        return {**prev[table], **{d: [*prev[table].get(d, []), version] for d in sorted(new)}}
+
     body = {
-        "tables": {
-            "dim_date": store.table_path(version, "dim_date"),
-            "dim_stop": store.table_path(version, "dim_stop"),
-            "dim_quay": store.table_path(version, "dim_quay"),
-            "dim_line": store.table_path(version, "dim_line"),
-        },
-        "fact": fact_parts,
-        "fact_rows": fact_rows,
-        "latest": latest_parts,
-        "max_keys": {"stop": stop_max, "line": line_max, "quay": quay_max, "observation": obs_max},
-        "staged_rows": staged_rows,
+        "tables": {"dim_date": store.table_path(version, "dim_date"), **{f"dim_{d}": store.table_path(version, f"dim_{d}") for d in dims}},
+        "fact": add("fact", days),
+        "fact_rows": prev["fact_rows"] + counts.get["new"],
+        "latest": add("latest", aimed_days),
+        "latest_dates": spans,
+        "max_keys": max_keys,
+        "staged_rows": shape["rows"],
     }
     store.publish(version, body)
-    return LoadResult(
-        staged_rows=staged_rows,
-        fact_rows=sum(fact_rows.values()),
-        collapsed_rows=staged_rows - incoming_rows,
-        version=version,
-    )
+    return LoadResult(shape["rows"], body["fact_rows"], shape["rows"] - counts.get["rows"], version)
+
+
+def compact(spark: SparkSession, store: VersionedStore, max_versions: int = 1) -> int | None:
+    """Fold the deltas of every date with more than ``max_versions`` versions into one new
+    version and publish it; returns that version, or None if nothing was to be done.
+
+    Meant for once a day or so: a load itself never rewrites a stored day.
+    """
+    current = store.current()
+    body = dict(current.body) if current else {"fact": {}, "latest": {}}
+    many = {t: [d for d, vs in body[t].items() if len(vs) > max_versions] for t in LAYOUTS}
+    if not any(many.values()):
+        return None
+    version = store.next_version()
+    for table, days in many.items():
+        if days:
+            _append(_read_versions(spark, store, table, body[table], days), store, table, version)
+            body[table] = {**body[table], **{d: [version] for d in days}}
+    store.publish(version, body)
+    return version
+
+
+def retain(store: VersionedStore, keep: int = 1) -> int:
+    """Delete the manifests but for the newest ``keep``, and all files that those no longer name;
+    returns the number of deleted directories. Run it when no reader uses an older version."""
+    versions = store.versions()
+    kept = versions[-keep:]
+    if not kept:
+        return 0
+    bodies = [store.manifest(v).body for v in kept]
+    paths = {p for b in bodies for p in b["tables"].values()}
+    live = {(t, d, v) for b in bodies for t in LAYOUTS for d, vs in b[t].items() for v in vs}
+    for v in versions[:-keep]:
+        store.delete_manifest(v)
+    gone = 0
+    for table, layout in LAYOUTS.items():
+        for date_dir in store.list_dirs(table):
+            for version_dir in store.list_dirs(f"{table}/{date_dir}"):
+                day, v = date_dir.split("=", 1)[1], int(version_dir.split("=", 1)[1])
+                if v <= kept[-1] and (table, day, v) not in live:
+                    gone += store.delete(f"{table}/{date_dir}/{version_dir}")
+    for version_dir in store.version_dirs():
+        for name in store.list_dirs(f"v{version_dir}"):
+            if version_dir <= kept[-1] and store.table_path(version_dir, name) not in paths:
+                gone += store.delete(f"v{version_dir}/{name}")
+    return gone
+
+
+def fact_row_count(warehouse: Warehouse) -> int:
+    """Number of fact rows of the published version, from its manifest."""
+    return int(warehouse.stats.get("fact_rows", 0))

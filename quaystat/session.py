@@ -1,12 +1,13 @@
 """Session-level helpers: scratch/checkpoint locations and a local session.
 
 Library code never creates, configures or stops the caller's session, except
-for :func:`ensure_checkpoint_dir`, which only fills in a checkpoint directory
-when the cluster has not named one (local runs and tests).
+for :func:`ensure_checkpoint_dir`, which fills in a checkpoint directory for
+sessions within one machine that have named none.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,22 +15,19 @@ from pyspark.sql import SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint root, setting a local one only if unset.
+    """The folder that ``spark.checkpoint.dir`` names, which all executors share.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder; we use it
-    as is. Locally (tests) nothing is configured, so a temporary directory
-    is created once per session.
+    Where it is unset, a session that runs within one machine gets a temporary folder of
+    that machine, once; on a cluster such a folder would differ from executor to executor,
+    so there it is an error.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # conf key absent
-            root = None
+    root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="quaystat-ckpt-")
     if sc.getCheckpointDir() is None:
-        if not root:
-            root = tempfile.mkdtemp(prefix="quaystat-ckpt-")
         sc.setCheckpointDir(root)
     return root or sc.getCheckpointDir()
 

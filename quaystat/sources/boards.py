@@ -96,3 +96,25 @@ def board_observations(obs: DataFrame) -> DataFrame:
     secs = epoch_seconds("collected_at_utc")
     floored = F.timestamp_add("SECOND", secs - secs % BOARD_SECONDS, ntz_literal(EPOCH))
     return obs.withColumn("collected_at_utc", floored)
+
+
+def board_snapshots(obs: DataFrame) -> DataFrame:
+    """Boards of the "board" variant with the odd documents of a real feed.
+
+    Fixed values: the payload of stop S1 lacks its id; boards of S3 at hour 6 have no
+    calls; those of S4 at hour 12 have no payload.
+    """
+    docs = snapshots_from_observations(board_observations(obs))
+    hour = F.substring("collected_at_utc", 12, 2)
+    stop = F.col("stop_place_id")
+    place = F.col("data.stopPlace")
+    emptied = F.filter(place["estimatedCalls"], lambda _: ~((stop == "S3") & (hour == "06")))
+    payload = F.struct(F.when(stop != "S1", place["id"]).alias("id"), place["name"].alias("name"), emptied.alias("estimatedCalls"))
+    return docs.withColumn("data", F.struct(F.when(~((stop == "S4") & (hour == "12")), payload).alias("stopPlace")))
+
+
+def land_boards(obs: DataFrame, path: str) -> None:
+    """Write board snapshots as landed files: one document a file, by day and stop."""
+    day, stop = F.substring("collected_at_utc", 1, 10), F.col("stop_place_id")
+    docs = board_snapshots(obs).withColumns({"day": day, "stop": stop})
+    docs.write.option("maxRecordsPerFile", 1).partitionBy("day", "stop").json(path)

@@ -30,7 +30,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def require_path(spark: SparkSession, path: str, what: str) -> None:
     if not path_exists(spark, path):
-        raise MissingInputError(f"{what} not found: {path}")
+        raise MissingInputError(f"no {what} at {path}")
 
 
 def _reader_schema() -> str:
@@ -56,7 +56,7 @@ def read_snapshots(spark: SparkSession, path: str, multi_line: bool = True) -> D
     Adds ``source_file`` (from the file metadata) and keeps
     ``_corrupt_record`` so malformed files can be rejected with their name.
     """
-    require_path(spark, path, "Raw data directory")
+    require_path(spark, path, "snapshot folder")
     df = _options(spark.read, multi_line).json(path)
     return df.withColumn(SOURCE_FILE_COLUMN, F.col("_metadata.file_path"))
 
@@ -68,9 +68,3 @@ def stream_snapshots(spark: SparkSession, path: str, max_files_per_trigger: int
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.json(path)
     return df.withColumn(SOURCE_FILE_COLUMN, F.col("_metadata.file_path"))
-
-
-def landing_file_name(stop_place_id: str, collected_at) -> str:
-    """Relative landing path of one snapshot (see module docstring)."""
-    stop_dir = stop_place_id.replace(":", "_")
-    return f"{collected_at:%Y-%m-%d}/{stop_dir}/{collected_at:%Y%m%dT%H%M%SZ}.json"

@@ -62,7 +62,28 @@ class VersionedStore:
         vs = self.versions()
         if not vs:
             return None
-        return Manifest(vs[-1], self._read_text(self._manifest_path(vs[-1])))
+        return self.manifest(vs[-1])
+
+    def manifest(self, version: int) -> Manifest:
+        return Manifest(version, self._read_text(self._manifest_path(version)))
+
+    # --- retention -------------------------------------------------------
+    def list_dirs(self, relative: str) -> list[str]:
+        """Names of the directories below ``<root>/<relative>``."""
+        path = self._Path(f"{self.root}/{relative}")
+        if not self._fs.exists(path):
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(path) if s.isDirectory()]
+
+    def version_dirs(self) -> list[int]:
+        return sorted(int(m.group(1)) for d in self.list_dirs("") if (m := _DIR.match(d)))
+
+    def delete(self, relative: str) -> int:
+        """Delete ``<root>/<relative>``; 1 if it was there."""
+        return int(self._fs.delete(self._Path(f"{self.root}/{relative}"), True))
+
+    def delete_manifest(self, version: int) -> None:
+        self._fs.delete(self._Path(self._manifest_path(version)), False)
 
     def next_version(self) -> int:
         """One past every published manifest *and* every version directory, so

@@ -33,8 +33,11 @@ BASE_DATE = dt.date(2024, 1, 1)
 BASE_TS = dt.datetime(2024, 1, 1)
 # "dirty" variant: journey id missing when k % 50 = 7.
 DIRTY_MOD, DIRTY_REMAINDER = 50, 7
-# "two-batch" variant: a later batch moves every expected time by this much.
+# "two-batch" variant, by event_id % 7. 0: seen again, expected time later by the shift.
+# 1: a new journey ('N' behind its id) on a stored collected date. 2: a new journey ('F')
+# collected this many days later, its line's name missing for even user ids, else ending in ' II'.
 SECOND_BATCH_SHIFT_SECONDS = 90_000
+SECOND_BATCH_FRESH_DAYS = 400
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -102,17 +105,28 @@ def observations(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataF
     return observations_from_events(read_table(spark, sf_dir, "events"), dirty=dirty)
 
 
-def second_batch(obs: DataFrame) -> DataFrame:
-    """A later re-observation of every departure: same keys, expected time
-    moved by 25 h (so it crosses midnight), delay updated to match."""
-    shifted = F.timestamp_add("SECOND", F.lit(SECOND_BATCH_SHIFT_SECONDS), F.col("expected_departure_utc"))
-    out = obs.withColumn("expected_departure_utc", shifted).withColumn(
-        "delay_seconds", F.col("delay_seconds") + SECOND_BATCH_SHIFT_SECONDS
+def second_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later batch of the "two-batch" variant (rules above)."""
+    events = read_table(spark, sf_dir, "events")
+    part = {k: observations_from_events(events.filter(F.col("event_id") % 7 == k)) for k in (0, 1, 2)}
+    shift = F.lit(SECOND_BATCH_SHIFT_SECONDS)
+    again = part[0].withColumns(
+        {
+            "expected_departure_utc": F.timestamp_add("SECOND", shift, "expected_departure_utc"),
+            "delay_seconds": F.col("delay_seconds") + shift,
+        }
     )
-    feats = local_features("expected_departure_utc")
-    for name, c in feats.items():
-        out = out.withColumn(name, c)
-    return out.select(*OBSERVATION_COLUMNS)
+    again = again.withColumns(local_features("expected_departure_utc"))
+    stored = part[1].withColumn("service_journey_id", F.concat("service_journey_id", F.lit("N")))
+    even = F.substring("line_id", 2, 20).cast("long") % 2 == 0
+    fresh = part[2].withColumns(
+        {
+            "service_journey_id": F.concat("service_journey_id", F.lit("F")),
+            "collected_at_utc": F.timestamp_add("DAY", F.lit(SECOND_BATCH_FRESH_DAYS), "collected_at_utc"),
+            "line_name": F.when(~even, F.concat("line_name", F.lit(" II"))),
+        }
+    )
+    return again.unionByName(stored).unionByName(fresh).select(*OBSERVATION_COLUMNS)
 
 
 def scale_observations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,19 +1,15 @@
 """Incremental processing of recurring snapshots (Structured Streaming).
 
 * R-01 ``snapshot_observations``: new snapshot files -> valid observations.
-* R-02 ``dedup_stream``: the silver dedup key within a watermark on the
-  collection instant.
-* R-03 ``latest_state``: latest estimate per departure kept in the state
-  store (``max_by`` on the collection instant, update mode). The watermark is
-  on the *aimed* time, a grouping column, so state for departures older than
-  the watermark is evicted and state stays bounded. The bound must exceed the
-  longest a departure stays on a board plus the arrival lag of snapshots;
-  the default here is 7 days.
+* R-02 ``dedup_sink``: rows whose dedup key was not stored before.
+* R-03 ``latest_sink``: latest estimate per departure.
 * R-04 ``upsert_each_batch``: every micro-batch is loaded into the star schema
   (replaying a batch is harmless: conflicts resolve on natural keys).
 
-Instants are UTC ``TIMESTAMP_NTZ`` in the data; watermarks need an instant, so
-``*_instant`` columns are derived zone-independently.
+All state lives in stored tables, one directory per micro-batch, and not behind
+a watermark: a snapshot that arrives late, in whatever order, counts as if it had
+come in time. A replayed batch overwrites its own directory, so a restart never
+repeats a row.
 """
 
 from __future__ import annotations
@@ -23,113 +19,131 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystat.functions.time import to_instant
-from quaystat.operators.flatten import REJECT_COLUMN, flatten_snapshots, validate
+from quaystat.operators.flatten import (
+    REJECT_COLUMN,
+    dedup_observations,
+    flatten_snapshots,
+    validate,
+)
+from quaystat.operators.latest import newest_first
 from quaystat.operators.ranking import first_per_group
 from quaystat.plans.warehouse import load_batch
-from quaystat.schema import DEDUP_KEY, OBSERVATION_COLUMNS
-from quaystat.sources.snapshots import stream_snapshots
+from quaystat.schema import DEDUP_KEY, OBSERVATION_COLUMNS, OBSERVATION_DDL
+from quaystat.sources.snapshots import path_exists, stream_snapshots
 from quaystat.sources.store import VersionedStore
 
+Sink = Callable[[DataFrame, int], None]
+
 LATEST_KEY = ["stop_place_id", "service_journey_id", "aimed_departure_utc"]
-DEFAULT_DEDUP_WATERMARK = "1 hour"
-DEFAULT_LATEST_WATERMARK = "7 days"
 
 
 def snapshot_observations(spark: SparkSession, raw_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Valid observations from newly landed snapshot files."""
     snaps = stream_snapshots(spark, raw_path, max_files_per_trigger)
     checked = validate(flatten_snapshots(snaps, keep_raw=True))
-    return checked.filter(F.col(REJECT_COLUMN).isNull()).select(*OBSERVATION_COLUMNS)
+    return checked.filter(REJECT_COLUMN + " IS NULL").select(*OBSERVATION_COLUMNS)
 
 
-def dedup_stream(obs: DataFrame, watermark: str = DEFAULT_DEDUP_WATERMARK) -> DataFrame:
-    """Drop repeated (collected, stop, journey, quay, aimed) within the watermark."""
-    return (
-        obs.withColumn("collected_instant", to_instant("collected_at_utc"))
-        .withWatermark("collected_instant", watermark)
-        .dropDuplicatesWithinWatermark(DEDUP_KEY)
-        .drop("collected_instant")
-    )
+def _batch_path(path: str, batch_id: int) -> str:
+    return f"{path}/batch_id={batch_id}"
 
 
-def latest_state(obs: DataFrame, watermark: str = DEFAULT_LATEST_WATERMARK) -> DataFrame:
-    """Newest estimate per (stop, journey, aimed) as an updating aggregate."""
-    payload = [c for c in obs.columns if c not in LATEST_KEY]
-    keyed = obs.withColumn("aimed_instant", to_instant("aimed_departure_utc")).withWatermark(
-        "aimed_instant", watermark
-    )
-    agg = keyed.groupBy(*LATEST_KEY, "aimed_instant").agg(
-        F.max_by(F.struct(*payload), F.col("collected_at_utc")).alias("_newest")
-    )
-    return agg.select(*LATEST_KEY, "_newest.*")
+def _stored(spark: SparkSession, path: str, date_column: str) -> DataFrame:
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], f"{OBSERVATION_DDL}, batch_id BIGINT, {date_column} DATE")
+    return spark.read.schema(f"{OBSERVATION_DDL}, batch_id BIGINT, {date_column} DATE").parquet(path)
+
 
+def latest_sink(path: str) -> Sink:
+    """Keep the newest row of each departure of every micro-batch under ``path``, by aimed date.
 
-def newest_versions(updates: DataFrame) -> DataFrame:
-    """Collapse update-mode output (several versions of a key across batches)
-    to the newest version per key."""
-    return first_per_group(updates, LATEST_KEY, [F.col("collected_at_utc").desc()])
+    A batch is written once and no stored row is touched; ``read_latest`` ranks what the batches hold.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        newest = first_per_group(batch, LATEST_KEY, newest_first(OBSERVATION_COLUMNS, LATEST_KEY))
+        dated = newest.withColumn("aimed_date", F.to_date("aimed_departure_utc")).hint("rebalance", "aimed_date")
+        dated.write.mode("overwrite").partitionBy("aimed_date").parquet(_batch_path(path, batch_id))
+
+    return sink
 
 
-def write_batches_to(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink: one directory per batch id, overwritten on replay."""
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """Latest estimate of every departure over all micro-batches; filters on the aimed date prune the scan."""
+    stored = _stored(spark, path, "aimed_date")
+    # The aimed date follows from the key, so ranking within it is the same and lets date filters through.
+    key = ["aimed_date", *LATEST_KEY]
+    return first_per_group(stored, key, newest_first(OBSERVATION_COLUMNS, key)).select(*OBSERVATION_COLUMNS)
+
+
+def dedup_sink(path: str) -> Sink:
+    """Store rows whose (collected, stop, journey, quay, aimed) no earlier batch stored, by collected date.
+
+    Earlier rows are looked up on the batch's own dates only: the date is part of the join and prunes the scan.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        own = dedup_observations(batch.select(*OBSERVATION_COLUMNS))
+        own = own.withColumn("collected_date", F.to_date("collected_at_utc"))
+        earlier = _stored(spark, path, "collected_date").filter(F.col("batch_id") < batch_id)
+        same = earlier["collected_date"] == own["collected_date"]
+        for c in DEDUP_KEY:
+            same &= earlier[c].eqNullSafe(own[c])
+        new = own.join(earlier, same, "left_anti").hint("rebalance", "collected_date")
+        new.write.mode("overwrite").partitionBy("collected_date").parquet(_batch_path(path, batch_id))
 
     return sink
 
 
-def upsert_each_batch(spark: SparkSession, warehouse_root: str) -> Callable[[DataFrame, int], None]:
+def read_dedup(spark: SparkSession, path: str) -> DataFrame:
+    return _stored(spark, path, "collected_date").select(*OBSERVATION_COLUMNS)
+
+
+def upsert_each_batch(spark: SparkSession, warehouse_root: str) -> Sink:
     store = VersionedStore(spark, warehouse_root)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.limit(1).count():
+        if not batch.isEmpty():
             load_batch(spark, batch, store)
 
     return sink
 
 
-def run_available(
-    stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
-) -> int:
-    """Process everything available now, then stop (restartable from
-    checkpoint). Returns the rows stateful operators dropped as later than
-    their watermark during this run, so lost late data is visible."""
+def run_available(stream: DataFrame, sink: Sink, checkpoint: str) -> None:
+    """Process everything available now, then stop (restartable from ``checkpoint``)."""
     query = (
-        stream.writeStream.outputMode(mode)
-        .foreachBatch(sink)
+        stream.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return sum(
-        int(op.get("numRowsDroppedByWatermark", 0))
-        for progress in query.recentProgress
-        for op in (progress.get("stateOperators") or [])
-    )
 
 
-def silver_batches_sink(silver_path: str, rejects_path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink for the incremental ETL: valid, deduplicated rows to
-    ``silver_path/batch_id=<n>`` (partitioned by service date), rejects to
-    ``rejects_path/batch_id=<n>``. A replayed batch overwrites its own
-    directories, so a restart never duplicates rows."""
-    from quaystat.operators.flatten import dedup_observations
+def stream_table(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Files of a Parquet table (a directory, part files at any depth) as a stream."""
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("recursiveFileLookup", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
+
+
+def silver_batches_sink(silver_path: str, rejects_path: str) -> Sink:
+    """foreachBatch sink for the incremental ETL: the labelled batch is written once,
+    rejects are split from it, and valid rows go through ``dedup_sink``, so a call
+    seen again in a later batch is stored once."""
+    store_valid = dedup_sink(silver_path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        checked = batch.persist()
-        try:
-            valid = checked.filter(F.col(REJECT_COLUMN).isNull()).select(*OBSERVATION_COLUMNS)
-            dedup_observations(valid).write.mode("overwrite").partitionBy("service_date").parquet(
-                f"{silver_path}/batch_id={batch_id}"
-            )
-            checked.filter(F.col(REJECT_COLUMN).isNotNull()).select(
-                "source_file", REJECT_COLUMN, "raw_collected_at", "service_journey_id"
-            ).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
-        finally:
-            checked.unpersist()
+        spark = batch.sparkSession
+        labelled = f"{_batch_path(rejects_path + '-labelled', batch_id)}"
+        batch.write.mode("overwrite").parquet(labelled)
+        checked = spark.read.schema(batch.schema).parquet(labelled)
+        store_valid(checked.filter(F.col(REJECT_COLUMN).isNull()), batch_id)
+        checked.filter(F.col(REJECT_COLUMN).isNotNull()).select(
+            "source_file", REJECT_COLUMN, "raw_collected_at", "service_journey_id"
+        ).write.mode("overwrite").parquet(_batch_path(rejects_path, batch_id))
 
     return sink
 

@@ -25,15 +25,15 @@ def test_nested_row_becomes_one_observation(spark):
     rows = _flat(spark, [snapshot([call()])]).collect()
     assert len(rows) == 1
     r = rows[0]
-    assert r.stop_name == "Oslo S"
-    assert r.line_public_code == "L1"
+    assert r.stop_name == "Quayside"
+    assert r.line_public_code == "8X"
     assert r.delay_seconds == 300
     assert r.departure_hour == 10
     assert r.is_weekend is False
     assert r.weekday_number == 5  # Thursday with 1 = Sunday (T7)
-    assert r.aimed_departure_utc == dt.datetime(2026, 9, 3, 8, 0)  # offset honoured (T2)
-    assert r.collected_at_utc == dt.datetime(2026, 9, 3, 8, 0)
-    assert r.service_date == dt.date(2026, 9, 3)
+    assert r.aimed_departure_utc == dt.datetime(2026, 9, 17, 8, 0)  # offset honoured (T2)
+    assert r.collected_at_utc == dt.datetime(2026, 9, 17, 8, 0)
+    assert r.service_date == dt.date(2026, 9, 17)
 
 
 def test_null_journey_is_filtered(spark):
@@ -50,7 +50,7 @@ def test_malformed_timestamp_is_rejected_not_fatal(spark):  # T3
 
 
 def test_delay_floors_each_instant_first(spark):  # T4
-    docs = [snapshot([call(aimed="2026-09-03T08:00:00.9Z", expected="2026-09-03T08:00:01.1Z")])]
+    docs = [snapshot([call(aimed="2026-09-17T08:00:00.9Z", expected="2026-09-17T08:00:01.1Z")])]
     assert _flat(spark, docs).first().delay_seconds == 1
 
 
@@ -78,8 +78,8 @@ def test_empty_or_missing_calls_give_no_rows(spark):  # N1
 
 
 def test_dedup_treats_null_quays_as_equal_and_is_deterministic(spark):  # N3
-    docs = [snapshot([call(quay=None, expected="2026-09-03T10:05:00+02:00"),
-                      call(quay=None, expected="2026-09-03T10:07:00+02:00")])]
+    docs = [snapshot([call(quay=None, expected="2026-09-17T10:05:00+02:00"),
+                      call(quay=None, expected="2026-09-17T10:07:00+02:00")])]
     flat = _flat(spark, docs)
     out = [dedup_observations(flat.repartition(2)).collect() for _ in range(3)]
     assert all(len(o) == 1 for o in out)
@@ -93,9 +93,9 @@ def test_strict_fields_reject_missing_stop_name(spark):  # N4
 
 def test_reader_skips_tmp_files_and_reports_corrupt_ones(spark, tmp_root):  # S-01, N2
     write_landed(tmp_root, snapshot([call()]))
-    write_landed(tmp_root, snapshot([call()]), name="2026-09-03/x/partial.json.tmp")
-    bad = write_landed(tmp_root, snapshot([call()]), name="2026-09-03/x/broken.json")
-    bad.write_text('{"collected_at_utc": "2026-09-03T08:00:00+00:00", "data": {', encoding="utf-8")
+    write_landed(tmp_root, snapshot([call()]), name="2026-09-17/x/partial.json.tmp")
+    bad = write_landed(tmp_root, snapshot([call()]), name="2026-09-17/x/broken.json")
+    bad.write_text('{"collected_at_utc": "2026-09-17T08:00:00+00:00", "data": {', encoding="utf-8")
     snaps = read_snapshots(spark, tmp_root)
     rows = snaps.collect()
     assert len(rows) == 2

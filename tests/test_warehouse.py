@@ -7,10 +7,19 @@ from pyspark.sql import functions as F
 
 from helpers import call, observations_df, snapshot
 from quaystat.operators import checks
-from quaystat.operators.keys import with_sequential_keys
+from quaystat.operators.keys import with_dense_keys
 from quaystat.operators.latest import latest_estimates
 from quaystat.plans import explore
-from quaystat.plans.warehouse import EmptyLoadError, StagingConstraintError, load_batch, read_warehouse
+from quaystat.plans.warehouse import (
+    EmptyLoadError,
+    StagingConstraintError,
+    compact,
+    fact_row_count,
+    latest_between,
+    load_batch,
+    read_warehouse,
+    retain,
+)
 from quaystat.sources.store import VersionedStore
 
 
@@ -26,14 +35,14 @@ def test_reload_updates_only_four_columns(spark, tmp_root):  # U1
     store = _store(spark, tmp_root)
     load_batch(spark, observations_df(spark, [snapshot([call()])]), store)
     before = read_warehouse(spark, store).fact.first()
-    moved = snapshot([call(expected="2026-09-04T00:30:00+02:00", realtime=False, quay=("NSR:Quay:2", "P2"),
+    moved = snapshot([call(expected="2026-09-18T00:30:00+02:00", realtime=False, quay=("quay:32", "P2"),
                            destination="Elsewhere")])
     load_batch(spark, observations_df(spark, [moved]), store)
     wh = read_warehouse(spark, store)
     after = wh.fact.first()
     assert wh.fact.count() == 1
     assert after.delay_seconds == 52200 and after.realtime is False
-    assert after.expected_departure_utc == dt.datetime(2026, 9, 3, 22, 30)
+    assert after.expected_departure_utc == dt.datetime(2026, 9, 17, 22, 30)
     for col in ("date_key", "departure_hour", "quay_key", "line_key", "destination", "observation_key"):
         assert after[col] == before[col], col
     assert wh.dim_date.count() == 2  # the new service date is still inserted
@@ -43,13 +52,13 @@ def test_reload_updates_only_four_columns(spark, tmp_root):  # U1
 def test_dimensions_overwrite_including_nulls(spark, tmp_root):  # U2
     store = _store(spark, tmp_root)
     load_batch(spark, observations_df(spark, [snapshot([call()])]), store)
-    later = snapshot([call(line=("TEST:Line:1", "L1", None, "rail"))], collected="2026-09-03T09:00:00+00:00",
-                     stop_id="NSR:StopPlace:2", stop_name="Other")
+    later = snapshot([call(line=("line:8", "8X", None, "rail"))], collected="2026-09-17T09:00:00+00:00",
+                     stop_id="stop:377", stop_name="Other")
     load_batch(spark, observations_df(spark, [later]), store)
     wh = read_warehouse(spark, store)
     assert wh.dim_line.first().line_name is None
     quay = wh.dim_quay.first()
-    stop2 = wh.dim_stop.filter("stop_place_id = 'NSR:StopPlace:2'").first()
+    stop2 = wh.dim_stop.filter("stop_place_id = 'stop:377'").first()
     assert quay.stop_key == stop2.stop_key
     assert checks.warehouse_fk_violations(wh).count() == 0
 
@@ -81,7 +90,7 @@ def test_failed_load_keeps_previous_version(spark, tmp_root):  # U4, U6
 
 def test_one_journey_two_quays_collapses(spark, tmp_root):  # N5
     store = _store(spark, tmp_root)
-    obs = observations_df(spark, [snapshot([call(), call(quay=("NSR:Quay:9", "P9"))])])
+    obs = observations_df(spark, [snapshot([call(), call(quay=("quay:39", "P9"))])])
     assert obs.count() == 2
     res = load_batch(spark, obs, store)
     assert res.collapsed_rows == 1 and res.fact_rows == 1
@@ -89,16 +98,16 @@ def test_one_journey_two_quays_collapses(spark, tmp_root):  # N5
 
 def test_newest_name_wins(spark, tmp_root):  # N6
     store = _store(spark, tmp_root)
-    docs = [snapshot([call()], collected="2026-09-03T08:00:00+00:00", stop_name="Old"),
-            snapshot([call()], collected="2026-09-03T09:00:00+00:00", stop_name="New")]
+    docs = [snapshot([call()], collected="2026-09-17T08:00:00+00:00", stop_name="Old"),
+            snapshot([call()], collected="2026-09-17T09:00:00+00:00", stop_name="New")]
     load_batch(spark, observations_df(spark, docs), store)
     assert read_warehouse(spark, store).dim_stop.first().stop_name == "New"
 
 
 def test_latest_ignores_load_order(spark, tmp_root):  # L1
     store = _store(spark, tmp_root)
-    newer = snapshot([call(expected="2026-09-03T10:09:00+02:00")], collected="2026-09-03T08:05:00+00:00")
-    older = snapshot([call(expected="2026-09-03T10:01:00+02:00")], collected="2026-09-03T08:00:00+00:00")
+    newer = snapshot([call(expected="2026-09-17T10:09:00+02:00")], collected="2026-09-17T08:05:00+00:00")
+    older = snapshot([call(expected="2026-09-17T10:01:00+02:00")], collected="2026-09-17T08:00:00+00:00")
     load_batch(spark, observations_df(spark, [newer]), store)
     load_batch(spark, observations_df(spark, [older]), store)
     wh = read_warehouse(spark, store)
@@ -109,23 +118,63 @@ def test_latest_ignores_load_order(spark, tmp_root):  # L1
 
 def test_filters_apply_after_ranking(spark, tmp_root):  # L2
     store = _store(spark, tmp_root)
-    day1 = snapshot([call(expected="2026-09-03T23:50:00+02:00")], collected="2026-09-03T08:00:00+00:00")
-    day2 = snapshot([call(expected="2026-09-04T00:10:00+02:00")], collected="2026-09-03T09:00:00+00:00")
+    day1 = snapshot([call(expected="2026-09-17T23:50:00+02:00")], collected="2026-09-17T08:00:00+00:00")
+    day2 = snapshot([call(expected="2026-09-18T00:10:00+02:00")], collected="2026-09-17T09:00:00+00:00")
     load_batch(spark, observations_df(spark, [day1, day2]), store)
     wh = read_warehouse(spark, store)
     dep = explore.star(latest_estimates(wh.fact), wh.dim_date, wh.dim_stop, wh.dim_line)
-    only_day1 = explore.DashboardFilters(start_date=dt.date(2026, 9, 3), end_date=dt.date(2026, 9, 3))
+    only_day1 = explore.DashboardFilters(start_date=dt.date(2026, 9, 17), end_date=dt.date(2026, 9, 17))
     assert explore.filter_departures(dep, only_day1).count() == 0
 
 
-def test_sequential_keys_dense_and_ordered(spark):  # U-06
+def test_keys_dense_and_ordered(spark, tmp_root):  # U-06
     df = spark.range(0, 1000, numPartitions=7).select(F.format_string("k%04d", (999 - F.col("id"))).alias("nk"))
-    keyed, issued = with_sequential_keys(df, "key", 100, order=["nk"])
+    df.repartitionByRange(5, "nk").withColumn("bucket", F.spark_partition_id()).write.parquet(tmp_root + "/keys")
+    keyed = with_dense_keys(spark.read.parquet(tmp_root + "/keys"), "key", "nk", "bucket", 100)
     got = sorted((r.nk, r.key) for r in keyed.collect())
-    assert issued == 1000
     assert [k for _, k in got] == list(range(101, 1101))
 
 
+def test_compaction_and_retention(spark, tmp_root):
+    store = _store(spark, tmp_root)
+    for minute, late in ((0, 5), (5, 7), (10, 9)):
+        doc = snapshot([call(expected=f"2026-09-17T10:0{late}:00+02:00"), call(journey=f"J{minute}")], collected=f"2026-09-17T08:{minute:02d}:00+00:00")
+        load_batch(spark, observations_df(spark, [doc]), store)
+    load_batch(spark, observations_df(spark, [doc]), store)  # replay: nothing new
+    before = read_warehouse(spark, store)
+    fact, latest = _rows(before.fact, *before.fact.columns), _rows(before.latest, *before.latest.columns)
+    assert len(fact) == fact_row_count(before) == 6
+    assert before.manifest.body["fact"] == {"2026-09-17": [1, 2, 3, 4]}
+    assert compact(spark, store) == 5 and compact(spark, store) is None
+    assert retain(store) > 0
+    after = read_warehouse(spark, store)
+    assert _rows(after.fact, *after.fact.columns) == fact and _rows(after.latest, *after.latest.columns) == latest
+    stored = spark.read.option("recursiveFileLookup", True).parquet(store.root + "/fact")
+    assert stored.count() == 6 and store.versions() == [5]
+    load_batch(spark, observations_df(spark, [doc]), store)
+    assert _rows(read_warehouse(spark, store).fact, *before.fact.columns) == fact
+
+
+def test_date_filter_chooses_partitions(spark, tmp_root):  # F-03
+    store = _store(spark, tmp_root)
+    days = [snapshot([call(aimed=f"2026-09-{d}T10:00:00+02:00", expected=f"2026-09-{d}T10:05:00+02:00")]) for d in (17, 18, 19)]
+    load_batch(spark, observations_df(spark, days), store)
+    moved = call(aimed="2026-09-17T10:00:00+02:00", expected="2026-09-19T00:30:00+02:00", journey="J-late")
+    load_batch(spark, observations_df(spark, [snapshot([moved])]), store)
+    wh = read_warehouse(spark, store)
+    some = latest_between(spark, store, wh, 20260919, 20260919)
+    assert sorted(r.date_key for r in some.filter("date_key = 20260919").collect()) == [20260919, 20260919]
+    assert not any("2026-09-18" in f for f in some.inputFiles())
+
+
+def test_bad_hour_fails_the_load(spark, tmp_root):  # P-15
+    store = _store(spark, tmp_root)
+    obs = observations_df(spark, [snapshot([call()])]).withColumn("departure_hour", F.lit(24))
+    with pytest.raises(Exception, match="outside 0..23"):
+        load_batch(spark, obs, store)
+    assert store.current() is None
+
+
 def test_date_dimension_iso_week_vs_calendar_year(spark, tmp_root):  # T8
     store = _store(spark, tmp_root)
     load_batch(spark, observations_df(spark, [snapshot([call(aimed="2027-01-01T10:00:00+01:00",
