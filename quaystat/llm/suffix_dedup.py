@@ -15,6 +15,11 @@ more. An interval of one suffix is given up. After ``a`` steps, neighbours whose
 forward prefixes agree on ``length - a`` bytes share a string of ``length`` bytes
 that starts ``a`` bytes before the anchor; expansion stops at that length.
 
+A gram of more than ``HOT_SUFFIXES`` suffixes isn't gathered. Its suffixes are dealt by
+all the bytes around them: where two are wholly alike, every string there is
+repeated; one of them then stands for its kind. The strings of those that
+remain are counted one by one by digest, with partial counts before the shuffle.
+
 Exact copies of a text are seen first: each of their strings occurs elsewhere, so
 copies of at least ``length`` bytes lose everything, and one of them stands
 for all in the search. The texts are shuffled once; grams and groups refer to them.
@@ -26,6 +31,7 @@ told apart by doc_id and text alone, so null ids are allowed; other columns are
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +46,7 @@ LENGTH = 200
 GRAM = 50
 #: Suffixes expanded, and windows of grams searched, at once; windows and grams of one search must be fewer than 2^20.
 GROUP_SUFFIXES = 60_000
+HOT_SUFFIXES = 20_000
 WINDOWS = 500_000
 _PLACE = np.uint64((1 << 20) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -144,28 +151,109 @@ def _anchor_rows(length: int):
     return run
 
 
+SUFFIX = "key long, gram long, place int, hot boolean, before binary, after binary"
+SUFFIX_KINDS = {"key": pa.int64(), "gram": pa.int64(), "place": pa.int32(), "hot": pa.bool_(), "before": pa.binary(), "after": pa.binary()}
+
+
 def _contexts(length: int):
     """For each suffix at a repeated gram: the bytes that lie before it, nearest first, and its next bytes."""
-    kinds = {"key": pa.int64(), "gram": pa.int64(), "place": pa.int32(), "before": pa.binary(), "after": pa.binary()}
     reach = length - GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 200):
                 part = b.slice(at, 200)
-                rows = {k: [] for k in kinds}
-                for key, text, grams, places in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    for gram, place in zip(grams, places, strict=True):
+                rows = {k: [] for k in SUFFIX_KINDS}
+                for key, text, anchors_ in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    for anchor in anchors_:
+                        place = anchor["place"]
                         rows["key"].append(key)
-                        rows["gram"].append(gram)
+                        rows["gram"].append(anchor["gram"])
                         rows["place"].append(place)
+                        rows["hot"].append(anchor["hot"])
                         rows["before"].append(text[max(0, place - reach) : place][::-1])
                         rows["after"].append(text[place : place + length])
+                yield batch(rows, SUFFIX_KINDS)
+
+    return run
+
+
+def _kinds_of(length: int):
+    """Suffixes of hot grams, wholly like ones in a row: for each kind its first row and whether there are more.
+
+    Of a kind with several rows, all but the first come back as covered runs (start and stop set).
+    """
+    kinds = SUFFIX_KINDS | {"several": pa.bool_(), "start": pa.int64(), "stop": pa.int64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, several = None, False
+        for b in batches:
+            for at in range(0, b.num_rows, 2000):
+                out = []
+                for row in zip(*(c.to_pylist() for c in b.slice(at, 2000).columns), strict=True):
+                    if open_ is not None and row[1] == open_[1] and row[4:] == open_[4:]:
+                        several = True
+                        out.append((*row, True, *_whole(row, length)))
+                        continue
+                    if open_ is not None:
+                        out.append((*open_, several, None, None))
+                    open_, several = row, False
+                yield batch(dict(zip(kinds, zip(*out) if out else [[]] * len(kinds), strict=True)), kinds)
+        if open_ is not None:
+            yield batch(dict(zip(kinds, zip(*[(*open_, several, None, None)]), strict=True)), kinds)
+
+    return run
+
+
+def _whole(row: tuple, length: int) -> tuple[int, int]:
+    """The run of bytes around a suffix that all its strings cover; empty if there are too few bytes for one."""
+    place, before, after = row[2], row[4], row[5]
+    if len(before) + len(after) < length:
+        return 0, 0
+    return place - len(before), place + len(after)
+
+
+def _strings(length: int):
+    """Digest of every string of ``length`` bytes that holds the gram at a suffix, with the gram and its place in the string.
+
+    So one string seen from two anchors isn't taken for two.
+    """
+    kinds = {"key": pa.int64(), "place": pa.int32(), "step": pa.int32(), "string": pa.binary()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 200):
+                rows = {k: [] for k in kinds}
+                for key, gram, place, before, after in zip(*(c.to_pylist() for c in b.slice(at, 200).columns), strict=True):
+                    around = before[::-1] + after
+                    for step in range(max(0, length - len(after)), len(before) + 1):
+                        start = len(before) - step
+                        rows["key"].append(key)
+                        rows["place"].append(place)
+                        rows["step"].append(step)
+                        rows["string"].append(hashlib.md5(b"%d,%d:" % (gram, step) + around[start : start + length]).digest())
                 yield batch(rows, kinds)
 
     return run
 
 
+def _hot_covers(dealt: DataFrame, length: int) -> DataFrame:
+    """Covered runs (key, start, stop) of suffixes at hot grams."""
+    # The condition that never fails keeps the filter behind the shuffle, which the other grams share.
+    hot = dealt.where(F.col("hot") & (F.monotonically_increasing_id() >= 0)).sortWithinPartitions("dealt", "gram", "before", "after")
+    kinds = hot.select(*SUFFIX_KINDS).mapInArrow(_kinds_of(length), f"{SUFFIX}, several boolean, start long, stop long")
+    alike = kinds.where("start is not null and stop > start").select("key", "start", "stop")
+    first = kinds.where("start is null")
+    size = F.octet_length("before") + F.octet_length("after")
+    place = F.col("place").cast("long")
+    whole = first.where(F.col("several") & (size >= length)).select("key", (place - F.octet_length("before")).alias("start"), (place + F.octet_length("after")).alias("stop"))
+    strings = first.select("key", "gram", "place", "before", "after").mapInArrow(_strings(length), "key long, place int, step int, string binary")
+    twice = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
+    found = strings.join(twice, "string").groupBy("key", "place").agg(F.min("step").alias("least"), F.max("step").alias("most"))
+    single = found.select("key", (F.col("place") - F.col("most")).cast("long").alias("start"), (F.col("place") - F.col("least") + length).cast("long").alias("stop"))
+    return alike.unionAll(whole).unionAll(single)
+
+
 def expand(group: np.ndarray, before: list[bytes], after: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """First and last step (or -1) at which each suffix shares a string of ``length`` bytes with another of its group."""
     n, reach = len(group), length - GRAM
@@ -230,7 +318,7 @@ def _covers(length: int):
     kinds = {"key": pa.int64(), "start": pa.int64(), "stop": pa.int64()}
 
     def solve(cols: list[list]) -> pa.RecordBatch:
-        key, gram, place, before, after = cols
+        key, gram, place, _, before, after = cols
         _, group = np.unique(np.array(gram, np.int64), return_inverse=True)
         first, last = expand(group, before, after, length)
         hit = np.flatnonzero(last >= 0)
@@ -239,7 +327,7 @@ def _covers(length: int):
         return batch({"key": np.array(key, np.int64)[hit], "start": at - last[hit], "stop": at - first[hit] + length}, kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[], [], [], [], []]
+        held: list[list] = [[] for _ in SUFFIX_KINDS]
         for b in batches:
             for at in range(0, b.num_rows, 5000):
                 for h, c in zip(held, b.slice(at, 5000).columns, strict=True):
@@ -296,9 +384,12 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
 
     grams = own.mapInArrow(_anchor_rows(length), "key long, gram long, place int")
     several = grams.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).where("n > 1")
-    at = several.groupBy("key").agg(F.collect_list(F.struct("gram", "place")).alias("at")).select("key", F.col("at.gram").alias("grams"), F.col("at.place").alias("places"))
-    suffixes = own.join(at.hint("merge"), "key").select("key", "text", "grams", "places").mapInArrow(_contexts(length), "key long, gram long, place int, before binary, after binary")
-    covers = suffixes.repartition(n, "gram").sortWithinPartitions("gram").select("key", "gram", "place", "before", "after").mapInArrow(_covers(length), "key long, start long, stop long")
+    at = several.groupBy("key").agg(F.collect_list(F.struct("gram", "place", (F.col("n") > HOT_SUFFIXES).alias("hot"))).alias("at"))
+    suffixes = own.join(at.hint("merge"), "key").select("key", "text", "at").mapInArrow(_contexts(length), SUFFIX)
+    dealt = F.when(F.col("hot"), F.xxhash64("gram", "before", "after")).otherwise(F.col("gram"))
+    suffixes = suffixes.withColumn("dealt", dealt).repartition(n, "dealt")
+    plain = suffixes.where(~F.col("hot") & (F.monotonically_increasing_id() >= 0)).sortWithinPartitions("dealt")
+    covers = plain.select(*SUFFIX_KINDS).mapInArrow(_covers(length), "key long, start long, stop long").unionAll(_hot_covers(suffixes, length))
     runs = covers.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
     kept = own.join(runs.hint("merge"), "key").select("key", "text", "runs").mapInArrow(_removed(length), "key long, starts array<long>, stops array<long>, kept binary")
     return rows, by_text, kept

@@ -225,7 +225,9 @@ def test_passages(docs, empty):
     assert suffix_dedup.repeated_passages(empty)[0].count() == 0
 
 
-def test_passages_with_overlaps_and_periods(spark):
+@pytest.mark.parametrize("hot", [1, 20_000])
+def test_passages_with_overlaps_and_periods(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT_SUFFIXES", hot)
     rng = np.random.default_rng(3)
     parts = [bytes(rng.integers(97, 100, n).tolist()).decode() for n in (230, 199, 200, 201, 450, 90)]
     period = "abcde" * 80
@@ -235,9 +237,11 @@ def test_passages_with_overlaps_and_periods(spark):
     assert passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == expected_passages(rows)
 
 
-def test_passages_over_random_joins(spark, monkeypatch):
-    """Many texts sharing random stretches, in small suffix groups and windows."""
+@pytest.mark.parametrize("hot", [1, 3, 20_000])
+def test_passages_over_random_joins(spark, monkeypatch, hot):
+    """Many texts sharing random stretches, in small windows, with grams held to be hot and not."""
     monkeypatch.setattr(suffix_dedup, "WINDOWS", 300)
+    monkeypatch.setattr(suffix_dedup, "HOT_SUFFIXES", hot)
     rng = np.random.default_rng(8)
     pool = [bytes(rng.integers(97, 123, 400).tolist()).decode() for _ in range(12)]
     rows = []
