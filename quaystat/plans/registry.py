@@ -410,7 +410,7 @@ QUERIES.update(
 
 
 # --- streaming (R-01..R-04) -----------------------------------------------------
-def _quarters(spark, sf_dir):
+def event_quarters(spark, sf_dir):
     """The events in four parts by time, each landed as a folder of files: paths, oldest first."""
     events = testdata.read_table(spark, sf_dir, "events")
 
@@ -435,14 +435,14 @@ def _feed(spark, paths, sink, checkpoint, columns):
 def q_stream_latest(spark, sf_dir):
     """Latest estimates over a stream that brings the newest quarter of the events first."""
     root = scratch_path(spark, "stream-latest")
-    _feed(spark, _quarters(spark, sf_dir)[::-1], ingest.latest_sink(f"{root}/rows"), f"{root}/checkpoint", lambda o: o)
+    _feed(spark, event_quarters(spark, sf_dir)[::-1], ingest.latest_sink(f"{root}/rows"), f"{root}/checkpoint", lambda o: o)
     return ingest.read_latest(spark, f"{root}/rows")
 
 
 def q_stream_dedup(spark, sf_dir):
     """Board observations streamed with two quarters repeated: each key is stored once."""
     root = scratch_path(spark, "stream-dedup")
-    quarters = _quarters(spark, sf_dir)
+    quarters = event_quarters(spark, sf_dir)
     whole = built(spark, sf_dir, "events-copy", lambda p: testdata.read_table(spark, sf_dir, "events").write.parquet(p))
     _feed(spark, [whole, quarters[2], quarters[0]], ingest.dedup_sink(f"{root}/rows"), f"{root}/checkpoint", board_observations)
     return ingest.read_dedup(spark, f"{root}/rows")
@@ -451,7 +451,7 @@ def q_stream_dedup(spark, sf_dir):
 def q_stream_upsert(spark, sf_dir):
     """Every quarter loaded into the star schema, newest first."""
     root = scratch_path(spark, "stream-upsert")
-    _feed(spark, _quarters(spark, sf_dir)[::-1], ingest.upsert_each_batch(spark, f"{root}/gold"), f"{root}/checkpoint", lambda o: o)
+    _feed(spark, event_quarters(spark, sf_dir)[::-1], ingest.upsert_each_batch(spark, f"{root}/gold"), f"{root}/checkpoint", lambda o: o)
     wh = current_warehouse(spark, f"{root}/gold")
     rows = wh.latest.join(wh.dim_line.select("line_key", "line_id"), "line_key").join(wh.dim_stop.select("stop_key", "stop_place_id"), "stop_key")
     return rows.select("collected_at_utc", "stop_place_id", "line_id", "service_journey_id", "aimed_departure_utc", "delay_seconds")
