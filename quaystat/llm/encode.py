@@ -9,6 +9,8 @@ of texts that are new are encoded together.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import re
 import unicodedata
@@ -18,14 +20,14 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept per worker process before the memory is emptied.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 300_000
 #: Longer words are encoded each time.
 WORD_CHARS_KEPT = 48
 #: Closing marks that form one token run of their own behind a word of letters.
 MARKS = ".,;:!?%$&*#|"
 END_ID = 1
 #: Characters of text encoded as one group.
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 1_000_000
 
 _END = np.array([END_ID], "<u4").tobytes()
 
@@ -160,3 +162,14 @@ def memory(path: str) -> WordMemory:
     if path not in _MEMORIES:
         _MEMORIES[path] = WordMemory(path)
     return _MEMORIES[path]
+
+
+def forget() -> None:
+    """Give back the memory of words held by a worker process that goes on to other work."""
+    if _MEMORIES:
+        _MEMORIES.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: freed memory stays with the process
+            pass

@@ -22,7 +22,7 @@ import io
 import os
 import posixpath
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quaystat.llm.common import batch, cut, drop_at_exit
-from quaystat.llm.encode import memory
+from quaystat.llm.encode import forget, memory
 from quaystat.session import scratch_path
 
 #: Keys of one index part; a part is built and searched within one task.
@@ -137,6 +137,7 @@ def _writer(path: str, width: int):
     kinds = {"key": pa.int64(), "shard": pa.int32(), "position": pa.int64(), "offset": pa.int64(), "n_tokens": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         fs, root = _fs(path)
         shard, out, name, offset, position = None, None, "", 0, 0
         for b in batches:
@@ -260,16 +261,18 @@ def build_store(spark: SparkSession, docs: DataFrame, tokenizer: str, shards: in
     return Store(path, width, directory, index, starts)
 
 
-def read_documents(places: DataFrame, store: Store) -> DataFrame:
+def read_documents(places: DataFrame, store: Store, each: Callable[[bytes], object] | None = None, kind: tuple[str, pa.DataType] = ("binary", pa.binary())) -> DataFrame:
     """Ids of the documents at ``places`` (from ``lookup`` or the directory), read from the shard files.
 
     One row per document: key, shard, offset, n_tokens and ids (raw
-    little-endian uint32). Each task opens a shard once and reads its places in order.
+    little-endian uint32), or what ``each`` makes of them, of type ``kind``.
+    Each task opens a shard once and reads its places in order.
     """
     path, width = store.path, store.width
-    kinds = {"key": pa.int64(), "shard": pa.int32(), "offset": pa.int64(), "n_tokens": pa.int64(), "ids": pa.binary()}
+    kinds = {"key": pa.int64(), "shard": pa.int32(), "offset": pa.int64(), "n_tokens": pa.int64(), "ids": kind[1]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         fs, root = _fs(path)
         shard, file = None, None
         for b in batches:
@@ -281,12 +284,13 @@ def read_documents(places: DataFrame, store: Store) -> DataFrame:
                     if s != shard:
                         shard, file = s, fs.open_input_file(shard_name(root, s))
                     raw = file.read_at(k * width, o * width)
-                    ids.append(np.frombuffer(raw, f"<u{width}").astype("<u4").tobytes())
+                    raw = np.frombuffer(raw, f"<u{width}").astype("<u4").tobytes()
+                    ids.append(each(raw) if each else raw)
                 yield batch(dict(zip(kinds, (key, at, off, n, ids), strict=True)), kinds)
 
     n = int(store.directory.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = places.select("key", F.col("shard").cast("int").alias("shard"), "offset", "n_tokens")
-    return rows.repartition(n, "shard", (F.col("offset") / F.lit(4_000_000)).cast("long")).sortWithinPartitions("shard", "offset").mapInArrow(run, "key long, shard int, offset long, n_tokens long, ids binary")
+    return rows.repartition(n, "shard", (F.col("offset") / F.lit(4_000_000)).cast("long")).sortWithinPartitions("shard", "offset").mapInArrow(run, f"key long, shard int, offset long, n_tokens long, ids {kind[0]}")
 
 
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,13 +306,6 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     single = found.where("copies = 1").select("key", "shard", "offset", "n_tokens")
     several = found.where("copies > 1").select("key").join(store.directory, "key").select("key", F.col("shard").cast("long"), "offset", "n_tokens")
     unnamed = store.directory.where("key is null").select("key", F.col("shard").cast("long"), "offset", "n_tokens")
-    ids = read_documents(single.unionAll(several).unionAll(unnamed), store)
-
-    kinds = {"doc_id": pa.int64(), "shard": pa.int32(), "offset": pa.int64(), "n_tokens": pa.int64(), "ids_crc32": pa.int64()}
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield batch({"doc_id": b.column(0), "shard": b.column(1), "offset": b.column(2), "n_tokens": b.column(3), "ids_crc32": [zlib.crc32(x) for x in b.column(4).to_pylist()]}, kinds)
-
-    digests = ids.mapInArrow(digest, "doc_id long, shard int, offset long, n_tokens long, ids_crc32 long")
+    rows = read_documents(single.unionAll(several).unionAll(unnamed), store, zlib.crc32, ("long", pa.int64()))
+    digests = rows.select(F.col("key").alias("doc_id"), "shard", "offset", "n_tokens", F.col("ids").alias("ids_crc32"))
     return digests.join(F.broadcast(store.starts), "shard").select("doc_id", (F.col("shard_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
