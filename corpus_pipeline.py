@@ -23,7 +23,7 @@ from quaystat.llm import common, decontaminate, packing, quality, simhash, suffi
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality ranking, learnt from the labels, accepts."""
     ranker = quality.learn(docs, common.table(spark, sf_dir, "labels"))
-    return quality.score(docs, ranker, docs.columns).where(F.col("score") >= quality.THRESHOLD).drop("score")
+    return quality.score(docs, ranker, docs.columns, "__quality").where(F.col("__quality") >= quality.THRESHOLD).drop("__quality")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,41 +65,16 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents without the words inside benchmark windows; one left without words goes."""
     found = decontaminate.hits(docs, common.table(spark, sf_dir, "benchmark")).where(F.size("starts") > 0)
     spans = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "starts", "stops").distinct()
-    marked = docs.withColumn("__hash_of", F.xxhash64("text"))
-    joined = marked.join(spans, marked["doc_id"].eqNullSafe(spans["__id"]) & (marked["__hash_of"] == spans["__hash"]), "left")
-    names = docs.columns
-    at = names.index("text")
+    marked = docs.withColumn("__key", F.xxhash64("doc_id", "text")).withColumn("__hash_of", F.xxhash64("text"))
+    same = marked["doc_id"].eqNullSafe(spans["__id"]) & (marked["__hash_of"] == spans["__hash"])
+    hit = marked.join(spans, same).select("__key", F.col("text").cast("binary"), "starts", "stops").dropDuplicates(["__key"])
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [_without(t, x, y) if x else t for t, x, y in zip(*(c.to_pylist() for c in (b.column(at), b.column(len(names)), b.column(len(names) + 1))), strict=True)]
-            arrays = [pa.array(texts, b.column(at).type) if k == at else b.column(k) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*arrays, b.column(len(names)).is_valid()], names=[*names, "__hit"])
-
-    cleaned = joined.select(*names, "starts", "stops").mapInArrow(clean, docs.select(*names).schema.add("__hit", "boolean"))
-    cleaned = cleaned.where(~F.col("__hit") | F.col("text").rlike("\\S"))
-    if "n_chars" in names:
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("__hit"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return cleaned.drop("__hit")
-
-
-def _without(text: str, starts: list[int], stops: list[int]) -> str:
-    """``text`` without the words (numbered from 0) of the given runs and what lies between them."""
-    raw = text.encode()
-    blank = raw.translate(decontaminate._TO_WORDS)
-    edges, inside = [], False
-    for i, c in enumerate(blank):
-        if (c != 32) != inside:
-            edges.append(i)
-            inside = not inside
-    if inside:
-        edges.append(len(raw))
-    begins, ends = edges[::2], edges[1::2]
-    out, last = [], 0
-    for x, y in zip(starts, stops, strict=True):
-        out.append(raw[last : begins[x]])
-        last = ends[y - 1]
-    return b"".join([*out, raw[last:]]).decode()
+            texts = [decontaminate.without(t, x, y) for t, x, y in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary())], names=["__key", "kept"])
+
+    return _replace_texts(marked, hit.mapInArrow(clean, "__key long, kept binary"), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

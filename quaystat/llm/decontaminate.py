@@ -44,6 +44,18 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_TO_WORDS).split()
 
 
+def without(text: bytes, starts: list[int], stops: list[int]) -> bytes:
+    """``text`` without the words (numbered from 0) of the given runs and what lies between them."""
+    inside = np.frombuffer(text.translate(_TO_WORDS), np.uint8) != 32
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], inside.astype(np.int8), [0]])))
+    begins, ends = edges[::2].tolist(), edges[1::2].tolist()
+    out, last = [], 0
+    for x, y in zip(starts, stops, strict=True):
+        out.append(text[last : begins[x]])
+        last = ends[y - 1]
+    return b"".join([*out, text[last:]])
+
+
 def windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """Distinct windows (words) with the sorted ids of the items that hold them."""
     words = F.expr(f"regexp_extract_all(low, '{WORD}', 0)".replace("\\", "\\\\"))
