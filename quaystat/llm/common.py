@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,15 +34,6 @@ def drop_at_exit(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
 
 
-def map_batches(
-    df: DataFrame,
-    fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    schema: str,
-) -> DataFrame:
-    """``mapInArrow`` that turns yielded column dicts or lists into record batches of ``schema``."""
-    return df.mapInArrow(fn, schema)
-
-
 def batch(columns: dict[str, object], types: dict[str, pa.DataType]) -> pa.RecordBatch:
     """A record batch with exactly the columns of ``types``, in their order."""
     return pa.RecordBatch.from_arrays(
