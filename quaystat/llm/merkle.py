@@ -4,9 +4,11 @@ A paragraph is a line; its node is the SHA-256 of its text. A section ends with
 paragraph whose node begins with one of ``SECTION_ENDS``, so an insertion moves no
 later section's bounds; its node is the digest of its paragraphs' nodes, and
 the root that of the sections'. Equal texts have equal roots; unequal roots are
-told apart branch by branch (``differing``). The leaves below the paragraphs are
-clauses (text up to a mark of punctuation and a blank), kept as 64-bit hashes:
-the likeness of two trees is the share of distinct clauses they have in common.
+told apart branch by branch (``differing``). Below a paragraph are its clauses (text up to
+a mark of punctuation and a blank), long ones cut further by their own bytes, kept as
+64-bit hashes with their length. A paragraph's node is the digest of its whole text, not
+of these hashes; they follow from that text alone. The likeness of two trees is the share
+of text in leaves that both have, each as often as it occurs.
 
 Defined cases: null text is empty, one empty paragraph with one empty clause; a
 text without line breaks is one paragraph; repeated rows have equal trees; an empty
@@ -15,6 +17,8 @@ table gives no row; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,6 +28,10 @@ from quaystat.llm.common import table
 #: First hex digits that end a section: one paragraph in four, on average.
 SECTION_ENDS = "048c"
 CLAUSE_END = "(?<=[.,;:!?|*%&$#]) "
+#: Bytes of a longer clause's leaves, at most; such a clause is cut behind two bytes of the classes that follow.
+LEAF_BYTES = 64
+_CLASSES = ["".join(f"\\x{b:02x}" for b in range(256) if b % 4 == k) for k in (1, 2)]
+LEAF = f"(?s).{{16,{LEAF_BYTES}}}?(?<=[{_CLASSES[0]}][{_CLASSES[1]}])|.{{1,{LEAF_BYTES}}}"
 #: Rows of one bucket of consecutive ids, on average.
 BUCKET_ROWS = 2000
 
@@ -43,14 +51,39 @@ def root_node(sections: Column) -> Column:
     return F.sha2(F.concat_ws("", sections), 256)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once for a row."""
+    return F.transform(F.array(value), body)[0]
+
+
 def clauses(text: Column) -> Column:
-    """Distinct hashes of the text's clauses."""
-    return F.array_distinct(F.transform(F.split(F.translate(text, "\n", " "), CLAUSE_END, -1), lambda c: F.xxhash64(c)))
+    """Leaves of the text's paragraphs in order, with repeats: hash and weight (bytes and the sign behind them)."""
+
+    def leaves(clause: Column) -> Column:
+        # One letter for each byte, so that the cuts need no white space and know every script.
+        pieces = F.regexp_extract_all(F.decode(clause.cast("binary"), "ISO-8859-1"), F.lit(LEAF), F.lit(0))
+        cut = F.transform(pieces, lambda p: F.struct(F.xxhash64(F.encode(p, "ISO-8859-1")).alias("hash"), (F.length(p) + 1).cast("long").alias("weight")))
+        whole = F.array(F.struct(F.xxhash64(clause).alias("hash"), (F.octet_length(clause) + 1).cast("long").alias("weight")))
+        return F.when(F.octet_length(clause) > LEAF_BYTES, cut).otherwise(whole)
+
+    # A line break ends a clause as well: no leaf reaches into another paragraph.
+    return F.flatten(F.transform(F.split(text, f"\n|{CLAUSE_END}", -1), leaves))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of clauses in common, 0 to 1: twice the common ones over the sum of both."""
-    return 2.0 * F.size(F.array_intersect(a, b)) / (F.size(a) + F.size(b))
+    """Share of the weight of leaves in common, 0 to 1, each counted as often as it occurs."""
+    signed = F.sort_array(F.concat(a, F.transform(b, lambda x: F.struct(x["hash"].alias("hash"), (-x["weight"]).alias("weight")))))
+
+    def state(hash: Column, rest: Column, apart: Column, total: Column) -> Column:
+        return F.struct(hash.alias("hash"), rest.alias("rest"), apart.alias("apart"), total.alias("total"))
+
+    def add(s: Column, x: Column) -> Column:
+        same = s["hash"] == x["hash"]
+        rest = F.when(same, s["rest"]).otherwise(0) + x["weight"]
+        return state(x["hash"], rest, s["apart"] + F.when(same, 0).otherwise(F.abs(s["rest"])), s["total"] + F.abs(x["weight"]))
+
+    zero = F.lit(0).cast("long")
+    return F.aggregate(signed, state(zero, zero, zero, zero), add, lambda s: 1.0 - (s["apart"] + F.abs(s["rest"])) / s["total"])
 
 
 def with_tree(df: DataFrame, text: str, prefix: str = "") -> DataFrame:

@@ -344,6 +344,23 @@ def test_merkle_sections_are_runs_of_paragraphs(docs):
         assert r["root"] == hashlib.sha256("".join(r["sections"]).encode()).hexdigest()
 
 
+@pytest.mark.parametrize("text", ["wordsandmore " * 400, "日本語文章" * 300, "".join(prose(s, 30)[:-1] for s in range(9))])
+def test_merkle_likeness_of_text_without_marks(spark, text):
+    other = "another sentence. " * (len(text) // 18)
+    half = len(text) // 2
+    rows = spark.createDataFrame([(text, text[:half] + other[:half], other)], "text string, edited string, other string")
+    near = [merkle.likeness(merkle.clauses(F.col("text")), merkle.clauses(F.col(c))) for c in ("text", "edited", "other")]
+    same, edited, apart = rows.select(*near).first()
+    assert same == 1.0 and 0.3 < edited < 0.9 and apart < 0.05
+
+
+def test_merkle_likeness_counts_repeats_within_paragraphs(spark):
+    rows = [("One. Two.", "One. Two.", 1.0), ("Same. Same. Same. Same.", "Same.", 0.4), ("a b\nc d", "a b c d", 0.0), ("a, " + "long clause " * 4 + ".", "b, " + "long clause " * 4 + ".", 50 / 53), ("", "", 1.0), ("", "x", 0.0)]
+    df = spark.createDataFrame(rows, "a string, b string, near double")
+    for r in df.withColumn("got", merkle.likeness(merkle.clauses(F.col("a")), merkle.clauses(F.col("b")))).collect():
+        assert r["got"] == pytest.approx(r["near"]), r
+
+
 @pytest.mark.parametrize("bucket", [2, 1000])
 def test_next_row(spark, docs, empty, monkeypatch, bucket):
     monkeypatch.setattr(merkle, "BUCKET_ROWS", bucket)
