@@ -4,7 +4,7 @@ A paragraph is a line; its node is the SHA-256 of its text. A section ends with
 paragraph whose node begins with one of ``SECTION_ENDS``, so an insertion moves no
 later section's bounds; its node is the digest of its paragraphs' nodes, and
 the root that of the sections'. Equal texts have equal roots; unequal roots are
-told apart branch by branch (``differing``). Below a paragraph are its clauses (text up to
+told apart branch by branch (``changes``). Below a paragraph are its clauses (text up to
 a mark of punctuation and a blank), long ones cut further by their own bytes, kept as
 64-bit hashes with their length. A paragraph's node is the digest of its whole text, not
 of these hashes; they follow from that text alone. The likeness of two trees is the share
@@ -97,10 +97,106 @@ def with_tree(df: DataFrame, text: str, prefix: str = "") -> DataFrame:
     )
 
 
+def _alike(a: Column, b: Column) -> Column:
+    """How many nodes at the front are the same."""
+    unlike = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
+    return F.when(unlike == 0, F.size(a)).otherwise(unlike.cast("int") - 1)
+
+
+def _pairs(a: Column, b: Column) -> Column:
+    """Places of like nodes, the first in ``a`` with the first in ``b`` and so on; null where the other has no more."""
+
+    def placed(nodes: Column, name: str) -> Column:
+        return F.transform(nodes, lambda n, i: F.struct(n.alias("node"), F.lit(name).alias("side"), i.alias("place")))
+
+    # As in section_nodes, bars cut the sorted places into those of one node each.
+    def joined(s: Column) -> Column:
+        sign = lambda x, i: F.when(i == 0, "").when(x["node"] == F.get(s, i - 1)["node"], ",").otherwise("|")
+        return F.concat_ws("", F.transform(s, lambda x, i: F.concat(sign(x, i), x["side"], x["place"].cast("string"))))
+
+    runs = F.split(bound(F.sort_array(F.concat(placed(a, "a"), placed(b, "b"))), joined), "[|]", -1)
+
+    def side(run: Column, name: str) -> Column:
+        return F.transform(F.filter(run, lambda x: x.startswith(name)), lambda x: F.substring(x, 2, 12).cast("int"))
+
+    return F.flatten(F.transform(runs, lambda r: bound(F.split(r, ","), lambda x: F.zip_with(side(x, "a"), side(x, "b"), lambda i, j: F.struct(i.alias("a"), j.alias("b"))))))
+
+
+def _moved(kept: Column) -> Column:
+    """Of pairs in order of ``a``, those that stand behind another pair in ``b`` than in ``a``."""
+    by_b = F.transform(F.sort_array(F.transform(kept, lambda p, r: F.struct(p["b"].alias("b"), r.alias("r")))), lambda x: x["r"])
+    breaks = bound(by_b, lambda o: F.filter(F.transform(o, lambda r, j: F.when(r != F.coalesce(F.get(o, j - 1), F.lit(-1)) + 1, r)), lambda r: r.isNotNull()))
+    return F.transform(breaks, lambda r: F.get(kept, r))
+
+
+def changes(a: Column, b: Column) -> Column:
+    """Struct of the places (from 0) in ``a`` and in ``b`` of the nodes that an edit touched; both are empty only for equal trees.
+
+    Like nodes at both ends are set aside; of the rest, like nodes are paired in
+    order. Touched are those without partner, as repeats taken out or put
+    in are, and paired ones that follow another paired node than on the other
+    side: a moved run gives the place of its first node and that of the one that was behind it.
+    """
+
+    def middle(t: Column) -> Column:
+        def rest(n: Column, name: str) -> Column:
+            return F.slice(t[name], n + 1, F.size(t[name]) - n).alias(name)
+
+        return bound(_alike(t["a"], t["b"]), lambda n: F.struct(n.alias("at"), rest(n, "a"), rest(n, "b")))
+
+    def trimmed(t: Column) -> Column:
+        def rest(n: Column, name: str) -> Column:
+            return F.slice(t[name], F.lit(1), F.size(t[name]) - n).alias(name)
+
+        return bound(_alike(F.reverse(t["a"]), F.reverse(t["b"])), lambda n: F.struct(t["at"].alias("at"), rest(n, "a"), rest(n, "b")))
+
+    def places(t: Column) -> Column:
+        def found(p: Column) -> Column:
+            alone = F.filter(p, lambda x: x["a"].isNull() | x["b"].isNull())
+            kept = F.sort_array(F.filter(p, lambda x: x["a"].isNotNull() & x["b"].isNotNull()))
+            return F.concat(alone, bound(kept, _moved))
+
+        return touched(t["at"], bound(_pairs(t["a"], t["b"]), found))
+
+    def touched(at: Column, found: Column) -> Column:
+        def side(p: Column, name: str) -> Column:
+            return F.sort_array(F.filter(F.transform(p, lambda x: x[name] + at), lambda i: i.isNotNull())).alias(name)
+
+        return bound(found, lambda p: F.struct(side(p, "a"), side(p, "b")))
+
+    return bound(bound(bound(F.struct(a.alias("a"), b.alias("b")), middle), trimmed), places)
+
+
 def differing(a: Column, b: Column) -> Column:
-    """Places (from 0) of the nodes of ``a`` that ``b`` doesn't have: the branches that an edit touched."""
-    gone = F.array_except(a, b)
-    return F.filter(F.transform(a, lambda n, i: F.when(F.array_contains(gone, n), i)), lambda i: i.isNotNull())
+    """Places (from 0) in ``a`` of ``changes``."""
+    return changes(a, b)["a"]
+
+
+def paragraph_places(paragraphs: Column) -> Column:
+    """For each section the places of its paragraphs."""
+    marked = F.concat_ws("", F.transform(paragraphs, lambda p, i: F.concat(i.cast("string"), F.when(F.substring(p, 1, 1).isin(*SECTION_ENDS), "|").otherwise(","))))
+    return F.transform(F.split(F.regexp_replace(marked, "[|,]$", ""), "[|]", -1), lambda s: F.transform(F.split(s, ","), lambda i: i.cast("int")))
+
+
+def paragraph_changes(changed: Column, a: Column, b: Column) -> Column:
+    """``changes`` of the paragraphs ``a`` and ``b``, looked for in the sections that ``changed`` names only."""
+
+    def below(t: Column, s: str) -> Column:
+        return bound(paragraph_places(t[s]), lambda own: F.flatten(F.transform(t["changed"][s], lambda k: F.get(own, k))))
+
+    def nodes(t: Column, u: Column, s: str) -> Column:
+        return F.transform(u[s], lambda i: F.get(t[s], i))
+
+    def places(t: Column, u: Column) -> Column:
+        def whole(c: Column, s: str) -> Column:
+            return F.transform(c[s], lambda i: F.get(u[s], i)).alias(s)
+
+        return bound(changes(nodes(t, u, "a"), nodes(t, u, "b")), lambda c: F.struct(whole(c, "a"), whole(c, "b")))
+
+    def descend(t: Column) -> Column:
+        return bound(F.struct(below(t, "a").alias("a"), below(t, "b").alias("b")), lambda u: places(t, u))
+
+    return bound(F.struct(changed.alias("changed"), a.alias("a"), b.alias("b")), descend)
 
 
 def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -139,9 +235,11 @@ def op2_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     edited = F.concat(F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 2) as int))"), F.expr("substring(next_text, 1, cast(floor(n_chars / 2) as int))"))
     rows = rows.withColumn("edited", F.when(half > 0, edited).otherwise(F.col("text")))
     rows = with_tree(with_tree(rows, "text"), "edited", "edited_").withColumn("next_clauses", clauses(F.col("next_text")))
+    rows = rows.withColumn("changed", changes(F.col("sections"), F.col("edited_sections")))
+    rows = rows.withColumn("below", paragraph_changes(F.col("changed"), F.col("paragraphs"), F.col("edited_paragraphs")))
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         F.col("root").alias("fingerprint"), F.col("edited_root").alias("edited_fingerprint"),
         likeness(F.col("clauses"), F.col("edited_clauses")).alias("near_edited"), likeness(F.col("clauses"), F.col("next_clauses")).alias("near_next"),
-        F.size("paragraphs").alias("n_paragraphs"), F.size("sections").alias("n_sections"), F.size(differing(F.col("sections"), F.col("edited_sections"))).alias("sections_changed"),
+        F.size("paragraphs").alias("n_paragraphs"), F.size("sections").alias("n_sections"), *((F.size(f"{c}.a") + F.size(f"{c}.b")).alias(name) for c, name in (("changed", "sections_changed"), ("below", "paragraphs_changed"))),
     )

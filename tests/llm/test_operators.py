@@ -361,6 +361,40 @@ def test_merkle_likeness_counts_repeats_within_paragraphs(spark):
         assert r["got"] == pytest.approx(r["near"]), r
 
 
+MOVES = [
+    ("abcd", "bcda", {0, 1}, {0, 3}), ("abca", "abc", {3}, set()), ("abc", "abca", set(), {3}), ("abc", "abxyc", set(), {2, 3}), ("aab", "ab", {1}, set()), ("abc", "abc", set(), set()), ("", "a", set(), {0}), ("abcde", "abXde", {2}, {2}),
+]
+
+
+def test_merkle_changes_tell_moves_and_repeats(spark):
+    rows = [(list(a), list(b), a, b) for a, b, _, _ in MOVES]
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        a, b = ("".join(rng.choice(list("abcd"), rng.integers(0, 7))) for _ in "ab")
+        rows.append((list(a), list(b), a, b))
+    found = spark.createDataFrame(rows, "a array<string>, b array<string>, x string, y string").withColumn("c", merkle.changes(F.col("a"), F.col("b"))).collect()
+    got = {(r["x"], r["y"]): r["c"] for r in found}
+    for a, b, in_a, in_b in MOVES:
+        assert (set(got[a, b]["a"]), set(got[a, b]["b"])) == (in_a, in_b), (a, b)
+    for (a, b), c in got.items():
+        assert (a == b) == (not c["a"] and not c["b"])
+        # What is left besides occurs as often on either side.
+        left = [Counter(n for i, n in enumerate(t) if i not in c[s]) for t, s in ((a, "a"), (b, "b"))]
+        assert left[0] == left[1]
+
+
+def test_merkle_descends_into_differing_sections(spark):
+    lines = [f"line {i}" for i in range(60)]
+    other = {"edit": lines[:30] + ["edited"] + lines[31:], "insert": lines[:30] + ["new 1", "new 2"] + lines[30:], "move": lines[40:] + lines[:40], "same": lines}
+    df = spark.createDataFrame([(k, "\n".join(lines), "\n".join(v)) for k, v in other.items()], "k string, text string, other string")
+    both = merkle.with_tree(merkle.with_tree(df, "text"), "other", "o_").withColumn("changed", merkle.changes(F.col("sections"), F.col("o_sections")))
+    found = both.withColumn("below", merkle.paragraph_changes(F.col("changed"), F.col("paragraphs"), F.col("o_paragraphs"))).collect()
+    got = {r["k"]: (r["below"]["a"], r["below"]["b"]) for r in found}
+    assert got["edit"] == ([30], [30]) and got["insert"] == ([], [30, 31]) and got["same"] == ([], []) and got["move"][0] and got["move"][1]
+    for r in found:
+        assert (r["root"] == r["o_root"]) == (not r["changed"]["a"] and not r["changed"]["b"])
+
+
 @pytest.mark.parametrize("bucket", [2, 1000])
 def test_next_row(spark, docs, empty, monkeypatch, bucket):
     monkeypatch.setattr(merkle, "BUCKET_ROWS", bucket)
