@@ -45,15 +45,19 @@ def _byte_letters() -> dict[int, str]:
 _RUN_CUT = re.compile(r"(?:[^\w\s]|_)[.,]")
 
 
-def split_words(text: str) -> list[str]:
+def split_words(text: str, special: tuple[str, ...] = ()) -> list[str]:
     """The text's words in lower case, closing commas and stops set apart.
 
     A stop or comma behind a letter, digit or blank starts a run of marks of
     its own, so a blank before it changes no token; texts with one inside a
-    run, and the few with rules of case or composition, keep words whole.
+    run, and the few with rules of case or composition, keep words whole. So do
+    texts where this would make or break one of the ``special`` strings, which
+    the vocabulary looks for in the text as it stands.
     """
     if _RUN_CUT.search(text) is None and (text.isascii() or _simple(text)):
-        text = text.lower().replace(",", " ,").replace(".", " .")
+        made = text.lower().replace(",", " ,").replace(".", " .")
+        if all(made.count(s) == text.count(s) for s in special):
+            text = made
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
@@ -84,6 +88,7 @@ class WordMemory:
         ends = np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
         ends[[i for t, i in spec["model"]["vocab"].items() if t.endswith(suffix)]] = True
         self.ends = ends
+        self.special = tuple(t["content"] for t in spec["added_tokens"])
         # The same merges over words that are already byte letters, split at blanks.
         spec |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
         self.by_word = Tokenizer.from_str(json.dumps(spec))
@@ -129,7 +134,7 @@ class WordMemory:
             words[word] = words[core] + words[marks]
 
     def group(self, texts: list[str]) -> list[bytes]:
-        found = [split_words(t) for t in texts]
+        found = [split_words(t, self.special) for t in texts]
         new = set().union(*found).difference(self.words)
         if new:
             if len(self.words) + len(new) > WORDS_KEPT:  # emptied: the group's own words are learnt again

@@ -59,6 +59,14 @@ def test_encoder_equals_the_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tok.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_encoder_knows_special_strings_by_their_case():
+    tok = Tokenizer.from_file(WORDS)
+    odd = ["<|ENDOFTEXT|>", "<|EndOfText|>", "a <|endoftext|> b <|ENDOFTEXT|>, c.", "Word.<|StartOfText|>.", "<|endoftext|>", "x<|endOfText|>y it's. %.", "<|STARTOFTEXT|><|startoftext|>"]
+    for texts in (odd, odd[::-1]):
+        got = encode.WordMemory(WORDS).encode(texts, end=False)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_encoder_forgets_without_changing_results(monkeypatch):
     monkeypatch.setattr(encode, "WORDS_KEPT", 50)
     monkeypatch.setattr(encode, "GROUP_CHARS", 200)
