@@ -12,6 +12,8 @@ from quaystat.llm.suffix_dedup import op7_suffix_dedup
 from quaystat.llm.token_counts import op6_token_counts
 from quaystat.llm.token_shards import op8_token_shards
 from quaystat.llm.toxicity import op9_toxicity
+from quaystat.llm.turn_trie import ORACLE_SQL as TURN_TRIE_SQL
+from quaystat.llm.turn_trie import op12_turn_trie
 from quaystat.llm.vector_codes import ORACLE_SQL as VECTOR_CODES_SQL
 from quaystat.llm.vector_codes import op13_vector_codes
 
@@ -28,8 +30,9 @@ QUERIES = {
         op8_token_shards,
         op9_toxicity,
         op10_simhash,
+        op12_turn_trie,
         op13_vector_codes,
     )
 }
 
-ORACLE: dict[str, str] = {"op13_vector_codes": VECTOR_CODES_SQL}
+ORACLE: dict[str, str] = {"op12_turn_trie": TURN_TRIE_SQL, "op13_vector_codes": VECTOR_CODES_SQL}
