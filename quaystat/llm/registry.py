@@ -16,6 +16,8 @@ from quaystat.llm.turn_trie import ORACLE_SQL as TURN_TRIE_SQL
 from quaystat.llm.turn_trie import op12_turn_trie
 from quaystat.llm.vector_codes import ORACLE_SQL as VECTOR_CODES_SQL
 from quaystat.llm.vector_codes import op13_vector_codes
+from quaystat.llm.window_dedup import ORACLE_SQL as WINDOW_DEDUP_SQL
+from quaystat.llm.window_dedup import op11_window_dedup
 
 QUERIES = {
     f.__name__: f
@@ -30,9 +32,10 @@ QUERIES = {
         op8_token_shards,
         op9_toxicity,
         op10_simhash,
+        op11_window_dedup,
         op12_turn_trie,
         op13_vector_codes,
     )
 }
 
-ORACLE: dict[str, str] = {"op12_turn_trie": TURN_TRIE_SQL, "op13_vector_codes": VECTOR_CODES_SQL}
+ORACLE: dict[str, str] = {"op11_window_dedup": WINDOW_DEDUP_SQL, "op12_turn_trie": TURN_TRIE_SQL, "op13_vector_codes": VECTOR_CODES_SQL}
