@@ -7,24 +7,28 @@ document with a smaller id. Windows are compared level by level:
   hash, leftmost on ties, speaks for it; equal windows have it at the same place, so one
   short window in four is enough. Those that occur in one text alone end there, and with
   them every window they speak for.
-* Level 2 extends the rest to ``words`` words and decides what is removed.
+* Level 2 extends the rest to ``words`` words and decides what is removed. Each window repeated
+  there gets its origin, the first place of the first text that has it, which names its content.
 * Each further level extends windows repeated at one length, where the next window of that
-  length is repeated as well, to twice the length, until no candidate survives. A window's hash is
-  made of its two halves' hashes, so levels behind the second need no text. They tell
-  how long a text's repeated passages are, down to a factor of two.
+  length is repeated as well, to twice the length, until no candidate survives. Two windows whose
+  origins follow each other are one passage of the origin's text, so their union is known without
+  a search; only unions across two passages are looked for, by the pair of origins. So a text's
+  state is a few runs of places, and no level reads texts. The levels tell how long a
+  text's repeated passages are, down to a factor of two.
 
-Hashes of level 1 have 64 bits, as a false match there only costs work; all others have 128.
+Hashes of level 1 have 48 bits, as a false match there only costs work; those of level 2 have 96 and
+pairs of origins 128.
 
 Exact copies are seen first: the one of least id stands for all, and in the others every
 window starts in a smaller document. A window that a sample of documents shows to be
 frequent isn't gathered: it skips level 1, and later its rows are spread over tasks, its
-least document is found by partial aggregates, and the result, at most ``HOT`` rows, is broadcast.
+origin is found by partial aggregates, and the result, at most ``HOT`` hashes, is broadcast.
 The sample decides on routes only, never on results.
 
 Defined cases: null text has no words; a text of fewer words keeps all; rows without id come after
 all others and not before each other; rows of one id are not before each other; repeated
 rows get the same result; an empty table gives no row; a text's words are hashed in
-blocks, so memory grows by some 5 bytes a byte of its text; other columns are ignored.
+blocks, so memory grows by 16 bytes a word and the text itself; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,11 +36,12 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -46,60 +51,105 @@ WORDS = 13
 #: Frequent windows are looked for in about this many documents; those in more than this share of them, at most so many, are spread.
 SAMPLE, SHARE, HOT = 4000, 0.005, 1000
 #: Bytes of text split into words, and windows hashed, at once.
-BLOCK, STRETCH = 1 << 22, 1 << 20
-#: Words whose hashes a worker process keeps.
-KEPT = 1_000_000
+BLOCK, STRETCH = 1 << 20, 1 << 18
+#: Bytes of short texts hashed together.
+TOGETHER = 1 << 16
+_PLACE = np.uint64((1 << 20) - 1)
+#: Bits that are kept of a short window's hash, and of the second half of a window's.
+_SHORT, _SECOND = np.uint64((1 << 48) - 1), np.uint64((1 << 32) - 1)
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
-_MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
-_AGAIN = np.array([0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
+# Fixed values of the hashes, one column per lane: odd multipliers, the base of a word's polynomial and a number for each byte.
+_MULTIPLY = np.array([[0x9E3779B97F4A7C15], [0xC2B2AE3D27D4EB4F]], np.uint64)
+_AGAIN = np.array([[0xD6E8FEB86659FD93], [0xFF51AFD7ED558CCD]], np.uint64)
+_BASE = (0x9FB21C651E98DF25, 0xA0761D6478BD642F)
+_BYTES = np.random.Generator(np.random.PCG64(11)).integers(0, 2**64, (2, 256), np.uint64)
 
 
-class WordHashes(dict):
-    """word -> 16 bytes of hash."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= KEPT:
-            self.clear()
-        got = self[word] = xxhash.xxh3_128_digest(word)
-        return got
-
-
-def word_blocks(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text, a block at a time. Words are runs without ASCII white space, as ``bytes.split`` has them."""
+def word_blocks(text: bytes) -> Iterator[bytes]:
+    """A text in blocks that end between words."""
     at = 0
     while at < len(text):
         gap = _SPACE.search(text, at + BLOCK) if at + BLOCK < len(text) else None
         stop = gap.start() if gap else len(text)
-        yield text[at:stop].split()
+        yield text[at:stop]
         at = stop
 
 
-def word_hashes(text: bytes, memory: WordHashes) -> np.ndarray:
-    """Two 64-bit hashes of each word of a text."""
-    whole = b"".join([b"".join(map(memory.__getitem__, words)) for words in word_blocks(text)])
-    return np.frombuffer(whole, np.uint64).reshape(-1, 2)
+class WordHashes:
+    """Hashes of the words of texts, by sums of byte numbers times powers of a base modulo 2^64.
+
+    Sums from the block's begin are taken once; a word's is a difference, brought to a common power.
+    """
+
+    def __init__(self):
+        self.powers = self.back = np.ones((2, 1), np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if self.powers.shape[1] < n:
+            size = max(2 * self.powers.shape[1], n)
+            with np.errstate(over="ignore"):
+                steps = np.ones((2, size), np.uint64)
+                steps[:, 1:] = np.array([_BASE], np.uint64).T
+                self.powers = np.multiply.accumulate(steps, axis=1)
+                steps[:, 1:] = np.array([[pow(b, -1, 2**64) for b in _BASE]], np.uint64).T
+                self.back = np.multiply.accumulate(steps, axis=1)
+
+    def block(self, text: bytes, lanes: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where words start, and their hashes."""
+        data = np.frombuffer(text, np.uint8)
+        inside = np.zeros(len(data) + 2, np.int8)
+        inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, stops = edges[::2], edges[1::2]
+        self._grow(len(data))
+        out = np.empty((lanes, len(starts)), np.uint64)
+        for lane in range(lanes):
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(_BYTES[lane].take(data) * self.powers[lane, : len(data)], out=sums[1:])
+            out[lane] = (sums.take(stops) - sums.take(starts)) * self.back[lane].take(starts)
+        return starts, joined(out, (stops - starts).astype(np.uint64))
+
+    def each(self, texts: list[bytes], lanes: int = 2) -> Iterator[np.ndarray]:
+        """For each text one column for each word and one row for each lane of 64 bits; short texts are hashed together."""
+        at = 0
+        while at < len(texts):
+            upto, size = at + 1, len(texts[at])
+            while upto < len(texts) and size + len(texts[upto]) <= TOGETHER:
+                size += len(texts[upto]) + 1
+                upto += 1
+            if upto == at + 1:
+                found = [self.block(b, lanes)[1] for b in word_blocks(texts[at])]
+                yield found[0] if len(found) == 1 else np.concatenate([np.zeros((lanes, 0), np.uint64), *found], axis=1)
+            else:
+                starts, h = self.block(b"\n".join(texts[at:upto]), lanes)
+                ends = np.cumsum([len(t) + 1 for t in texts[at:upto]])
+                cuts = np.searchsorted(starts, ends).tolist()
+                for x, y in zip([0, *cuts], cuts, strict=False):
+                    yield h[:, x:y]
+            at = upto
 
 
 def joined(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Hashes of windows from those of a beginning and an end that cover them."""
-    lanes = x.shape[1]
     with np.errstate(over="ignore"):
-        z = x * _MULTIPLY[:lanes] + y
+        z = x * _MULTIPLY[: len(x)]
+        z += y
         z ^= z >> np.uint64(29)
-        z *= _AGAIN[:lanes]
+        z *= _AGAIN[: len(x)]
         z ^= z >> np.uint64(32)
     return z
 
 
 def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
     """Hashes of all windows of ``length`` words, by doubling."""
-    if len(words) < length:
-        return words[:0]
+    count = words.shape[1] - length + 1
+    if count < 1:
+        return words[:, :0]
     h, n = words, 1
     while 2 * n <= length:
-        h = joined(h[: len(h) - n], h[n:])
+        h = joined(h[:, : h.shape[1] - n], h[:, n:])
         n *= 2
-    return h if n == length else joined(h[: len(words) - length + 1], h[length - n :][: len(words) - length + 1])
+    return h if n == length else joined(h[:, :count], h[:, length - n : length - n + count])
 
 
 def short_length(words: int) -> int:
@@ -111,11 +161,21 @@ def spoken_for(words: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray
     ``length`` words the place (in the stretch) of the short one that speaks for it."""
     short = short_length(length)
     width = length - short + 1
-    for at in range(0, max(0, len(words) - length + 1), STRETCH):
-        h = window_hashes(words[at : at + STRETCH + length - 1], short)
-        first = h[:, 0]
-        least = np.lib.stride_tricks.sliding_window_view(first, width).argmin(axis=1)
-        yield at, h, least + np.arange(len(least))
+    for at in range(0, max(0, words.shape[1] - length + 1), STRETCH):
+        h = window_hashes(words[:, at : at + STRETCH + length - 1], short)
+        # The low bits of a hash give way to its place, so that one minimum finds both, the leftmost on ties.
+        least, n = (h[0] & ~_PLACE) | np.arange(h.shape[1], dtype=np.uint64), 1
+        while 2 * n <= width:
+            least = np.minimum(least[: len(least) - n], least[n:])
+            n *= 2
+        if n < width:
+            least = np.minimum(least[: len(least) - (width - n)], least[width - n :])
+        yield at, h, (least & _PLACE).astype(np.int64)
+
+
+def _speakers(place: np.ndarray) -> np.ndarray:
+    """Distinct places, which never fall."""
+    return place[np.concatenate([[True], place[1:] != place[:-1]])] if len(place) else place
 
 
 def _short_windows(length: int, hot: np.ndarray):
@@ -123,59 +183,55 @@ def _short_windows(length: int, hot: np.ndarray):
     kinds = {"key": pa.int64(), "h": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = WordHashes()
+        hashes = WordHashes()
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
-                keys, found = [], [np.zeros(0, np.uint64)]
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    of = [np.unique(h[np.unique(place), 0]) for _, h, place in spoken_for(word_hashes(text, memory), length)]
+                keys, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+                for key, words in zip(part.column(0).to_pylist(), hashes.each(part.column(1).to_pylist(), lanes=1), strict=True):
+                    of = [h[0, _speakers(place)] & _SHORT for _, h, place in spoken_for(words, length)]
                     if of:
-                        h = of[0] if len(of) == 1 else np.unique(np.concatenate(of))
-                        h = h[~np.isin(h, hot)] if len(hot) else h
-                        found.append(h)
-                        keys.append(np.full(len(h), key, np.int64))
-                yield batch({"key": np.concatenate([np.zeros(0, np.int64), *keys]), "h": np.concatenate(found).view(np.int64)}, kinds)
+                        found.append(np.unique(of[0] if len(of) == 1 else np.concatenate(of)))
+                        keys.append(np.full(len(found[-1]), key, np.int64))
+                key, h = np.concatenate(keys), np.concatenate(found)
+                keep = ~np.isin(h, hot)
+                yield batch({"key": key[keep], "h": h[keep].view(np.int64)}, kinds)
 
     return run
 
 
-WINDOW = "key long, doc long, place int, h1 long, h2 long, hot boolean, dealt long"
-WINDOW_KINDS = {"key": pa.int64(), "doc": pa.int64(), "place": pa.int32(), "h1": pa.int64(), "h2": pa.int64(), "hot": pa.bool_(), "dealt": pa.int64()}
-
-
-def _dealt(keys: np.ndarray, h1: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which rows are hot, and what rows are dealt by: the window's hash, or the document's key for hot ones."""
-    is_hot = np.isin(h1, hot)
-    return is_hot, np.where(is_hot, keys, h1.view(np.int64))
+# A window by its hashes. It is dealt by h1, or by its text where h1 is hot: only there h1 is kept beside that.
+WINDOW = "key long, doc long, place int, dealt long, h1 long, h2 long"
+WINDOW_KINDS = {"key": pa.int64(), "doc": pa.int64(), "place": pa.int32(), "dealt": pa.int64(), "h1": pa.int64(), "h2": pa.int64()}
 
 
 def _windows(length: int, hot_short: np.ndarray, hot: np.ndarray):
     """Rows of ``WINDOW``: the windows of a text whose short window is repeated."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, short = WordHashes(), short_length(length)
+        hashes, short = WordHashes(), short_length(length)
         for b in batches:
             for at in range(0, b.num_rows, 200):
                 part = b.slice(at, 200)
-                cols: list[list[np.ndarray]] = [[], [], [], []]
-                none: list[bool] = []
-                for key, doc, text, alive in zip(*(part.column(c).to_pylist() for c in ("key", "doc", "text", "alive")), strict=True):
+                cols: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(3)]
+                found, none = [np.zeros((2, 0), np.uint64)], [np.zeros(0, bool)]
+                rows = [r for r in zip(*(part.column(c).to_pylist() for c in ("key", "doc", "text", "alive")), strict=True) if r[3] or len(hot_short)]
+                for (key, doc, _, alive), words in zip(rows, hashes.each([r[2] for r in rows]), strict=True):
                     known = np.concatenate([np.array(alive or [], np.int64).view(np.uint64), hot_short])
-                    if not len(known):
-                        continue
-                    for start, h, place in spoken_for(word_hashes(text, memory), length):
-                        p = np.flatnonzero(np.isin(h[place, 0], known))
-                        cols[0].append(np.full(len(p), key, np.int64))
-                        cols[1].append(np.full(len(p), doc or 0, np.int64))
-                        cols[2].append(p + start)
-                        cols[3].append(joined(h[p], h[p + length - short]))
-                        none += [doc is None] * len(p)
-                key, doc, place = (np.concatenate([np.zeros(0, np.int64), *c]) for c in cols[:3])
-                h = np.concatenate([np.zeros((0, 2), np.uint64), *cols[3]])
-                is_hot, dealt = _dealt(key, h[:, 0], hot)
-                doc = pa.array(doc, mask=np.array(none, bool))
-                yield batch({"key": key, "doc": doc, "place": place, "h1": h[:, 0].view(np.int64), "h2": h[:, 1].view(np.int64), "hot": is_hot, "dealt": dealt}, WINDOW_KINDS)
+                    for start, h, place in spoken_for(words, length):
+                        speaks = np.zeros(h.shape[1], bool)
+                        at_ = _speakers(place)
+                        speaks[at_] = np.isin(h[0, at_] & _SHORT, known)
+                        p = np.flatnonzero(speaks[place])
+                        for c, v in zip(cols, (np.full(len(p), key), np.full(len(p), doc or 0), p + start), strict=True):
+                            c.append(v)
+                        found.append(joined(h[:, p], h[:, p + length - short]))
+                        none.append(np.full(len(p), doc is None))
+                key, doc, place = (np.concatenate(c) for c in cols)
+                h = np.concatenate(found, axis=1)
+                doc, h1, h2 = pa.array(doc, mask=np.concatenate(none)), h[0].view(np.int64), (h[1] & _SECOND).view(np.int64)
+                is_hot = np.isin(h[0], hot)
+                yield batch({"key": key, "doc": doc, "place": place, "dealt": np.where(is_hot, key, h1), "h1": pa.array(h1, mask=~is_hot), "h2": h2}, WINDOW_KINDS)
 
     return run
 
@@ -183,44 +239,99 @@ def _windows(length: int, hot_short: np.ndarray, hot: np.ndarray):
 def repeated(windows: DataFrame) -> DataFrame:
     """key and hits of every text with windows (rows of ``WINDOW``) that several texts have.
 
-    A hit is twice the place, plus one if the window also starts in a document with a smaller id.
+    A hit is (at, origin): at is twice the place, plus one if the window also starts in a document with a smaller id;
+    the origin is null where it is the window itself.
     """
-    n = partition_count(windows.sparkSession)
-    dealt = windows.repartition(n, "dealt")
-    # The condition that never fails keeps the filter behind the shuffle, which both kinds share.
-    here = F.monotonically_increasing_id() >= 0
+    dealt = windows.repartition(partition_count(windows.sparkSession), "dealt")
+    place = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "key", "place")
+    least, several = F.min(place).alias("least"), (F.min("key") < F.max("key")).alias("several")
     same = Window.partitionBy("dealt", "h2")
-    several = (F.min("key").over(same) < F.max("key").over(same)).alias("several")
-    cold = dealt.where(~F.col("hot") & here).select("key", "doc", "place", F.min("doc").over(same).alias("least"), several)
-    hot = dealt.where(F.col("hot") & here)
-    firsts = hot.groupBy("h1", "h2").agg(F.min("doc").alias("least"), (F.min("key") < F.max("key")).alias("several"))
-    spread = hot.join(F.broadcast(firsts), ["h1", "h2"])  # as many as there are hot hashes, at most HOT
-    rows = cold.unionAll(spread.select("key", "doc", "place", "least", "several")).where("several")
-    late = F.coalesce(F.col("doc") > F.col("least"), F.col("least").isNotNull())
-    return rows.groupBy("key").agg(F.collect_list(F.col("place").cast("long") * 2 + late.cast("long")).alias("hits"))
+    rows = behind(dealt, F.lit(True)).select("key", "doc", "place", "h1", "h2", F.min(place).over(same).alias("own_least"), (F.min("key").over(same) < F.max("key").over(same)).alias("own_several"))
+    # As many as there are hot hashes, at most HOT.
+    firsts = F.broadcast(behind(dealt, F.col("h1").isNotNull()).groupBy("h1", "h2").agg(least, several))
+    rows = rows.join(firsts, ["h1", "h2"], "left").withColumn("least", F.coalesce("least", "own_least")).where(F.coalesce("several", "own_several"))
+    late = F.coalesce(F.col("doc") > F.col("least.doc"), F.col("least.doc").isNotNull())
+    at = F.col("place").cast("long") * 2 + late.cast("long")
+    origin = F.when((F.col("key") != F.col("least.key")) | (F.col("place") != F.col("least.place")), begin_of("least.key") + F.col("least.place"))
+    return rows.groupBy("key").agg(F.collect_list(F.struct(at.alias("at"), origin.alias("origin"))).alias("hits"))
+
+
+def begin_of(key: str) -> Column:
+    """Origin of a text's first place. Only differences of origins within one text have a meaning."""
+    return F.shiftright(F.xxhash64(key), 1)
+
+
+def behind(rows: DataFrame, condition: Column) -> DataFrame:
+    """``rows`` that meet the condition, filtered above whatever made them and with all columns, so that several uses share that."""
+    whole = (F.monotonically_increasing_id() >= 0) | (F.xxhash64(*rows.columns) == 0)  # always true
+    return rows.where(F.when(whole, condition))
+
+
+NEXT = "key long, doc long, late boolean, starts array<int>, counts array<int>, origins array<long>, lates array<boolean>, places array<int>, h1 array<long>, h2 array<long>"
+NEXT_KINDS = {
+    "key": pa.int64(), "doc": pa.int64(), "late": pa.bool_(), "starts": pa.list_(pa.int32()), "counts": pa.list_(pa.int32()), "origins": pa.list_(pa.int64()),
+    "lates": pa.list_(pa.bool_()), "places": pa.list_(pa.int32()), "h1": pa.list_(pa.int64()), "h2": pa.list_(pa.int64()),
+}
+Runs = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def as_runs(places: np.ndarray, origins: np.ndarray, late: np.ndarray) -> Runs:
+    """Windows (by rising place) as runs: first place, number, first origin and whether they are late."""
+    if not len(places):
+        return places, places, origins, late
+    first = np.concatenate([[True], (places[1:] != places[:-1] + 1) | (origins[1:] != origins[:-1] + 1) | (late[1:] != late[:-1])])
+    at = np.flatnonzero(first)
+    return places[at], np.diff(np.append(at, len(places))), origins[at], late[at]
+
+
+def twice(runs_: Runs, length: int) -> tuple[Runs, np.ndarray, np.ndarray, np.ndarray]:
+    """From windows of a level those of twice the length: runs within one passage, and the places and
+    pairs of origins of those that two passages make."""
+    starts, counts, origins, late = runs_
+    inner = counts > length
+    known = (starts[inner], counts[inner] - length, origins[inner], late[inner])
+    # A window whose next one lies behind its run; at most ``length`` in a run.
+    size = np.minimum(counts, length)
+    run = np.repeat(np.arange(len(starts)), size)
+    p = (starts + counts)[run] - np.repeat(np.cumsum(size), size) + np.arange(len(run))
+    other = np.searchsorted(starts, p + length, "right") - 1
+    ok = (other > run) & (p + length < (starts + counts)[other])
+    p, run, other = p[ok], run[ok], other[ok]
+    return known, p, origins[run] + p - starts[run], origins[other] + p + length - starts[other]
+
+
+def _hits(part: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places (rising), origins and lateness of each row's hits; a text's own origins follow its begin."""
+    column = part.column("hits")
+    flat = column.flatten()
+    at, origin = flat.field(0).to_numpy(zero_copy_only=False), pc.fill_null(flat.field(1), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    begin = np.repeat(part.column("begin").to_numpy(zero_copy_only=False), sizes)
+    origin = np.where(flat.field(1).is_null().to_numpy(zero_copy_only=False), begin + (at >> 1), origin)
+    stops = np.cumsum(sizes).tolist()
+    out = []
+    for x, y in zip([0, *stops], stops, strict=False):
+        a, first = np.unique(at[x:y], return_index=True)
+        out.append((a >> 1, origin[x:y][first], (a & 1).astype(bool)))
+    return out
 
 
 def _result(length: int):
     """What a text loses, and its windows of twice the length that may be repeated."""
-    kinds = {
-        "key": pa.int64(), "doc": pa.int64(), "digest": pa.binary(), "n_words": pa.int64(), "starts": pa.list_(pa.int64()), "stops": pa.list_(pa.int64()),
-        "kept_sha256": pa.string(), "kept": pa.binary(), "places": pa.list_(pa.int32()), "h1": pa.list_(pa.int64()), "h2": pa.list_(pa.int64()),
-    }
+    kinds = {"digest": pa.binary(), "n_words": pa.int64(), "lost_starts": pa.list_(pa.int64()), "lost_stops": pa.list_(pa.int64()), "kept_sha256": pa.string(), "kept": pa.binary(), **NEXT_KINDS}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = WordHashes()
         for b in batches:
             for at in range(0, b.num_rows, 200):
-                rows = {k: [] for k in kinds}
-                for key, doc, digest, text, hits in zip(*(b.slice(at, 200).column(c).to_pylist() for c in ("key", "doc", "digest", "text", "hits")), strict=True):
-                    hits = np.array(hits or [], np.int64)
-                    starts, stops = runs(np.sort(hits[hits % 2 == 1] // 2), length)
+                part = b.slice(at, 200)
+                rows = []
+                for key, doc, digest, text, hits in zip(*(part.column(c).to_pylist() for c in ("key", "doc", "digest", "text")), _hits(part), strict=True):
+                    places, origins, late = hits
+                    starts, stops = runs(places[late], length)
                     n, kept = without(text, starts, stops)
-                    places, h = extended(np.unique(hits // 2), word_hashes(text, memory) if len(hits) > 1 else None, length)
-                    values = (key, doc, digest, n, starts, stops, hashlib.sha256(kept).hexdigest(), kept, places, h[:, 0].view(np.int64), h[:, 1].view(np.int64))
-                    for k, v in zip(kinds, values, strict=True):
-                        rows[k].append(v)
-                yield batch(rows, kinds)
+                    known, *pairs = twice(as_runs(places, origins, late), length)
+                    rows.append((digest, n, starts, stops, hashlib.sha256(kept).hexdigest(), kept, key, doc, len(starts) > 0, *known, *pairs))
+                yield batch(dict(zip(kinds, zip(*rows) if rows else [[]] * len(kinds), strict=True)), kinds)
 
     return run
 
@@ -236,10 +347,11 @@ def runs(places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 def without(text: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[int, bytes]:
     """How many words a text has, and those outside the runs, joined by one space."""
     n, kept = 0, []
-    for words in word_blocks(text):
-        at, own = 0, []
-        for x, y in zip(np.clip(starts - n, 0, len(words)).tolist(), np.clip(stops - n, 0, len(words)).tolist(), strict=True):
-            own += words[at:x]
+    for block in word_blocks(text):
+        words, at, own = block.split(), 0, []
+        first, last = np.searchsorted(stops, n, "right"), np.searchsorted(starts, n + len(words))
+        for x, y in zip((starts[first:last] - n).tolist(), (stops[first:last] - n).tolist(), strict=True):
+            own += words[at : max(x, 0)]
             at = y
         own += words[at:]
         n += len(words)
@@ -248,66 +360,49 @@ def without(text: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[int, by
     return n, b" ".join(kept)
 
 
-def extended(places: np.ndarray, words: np.ndarray | None, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows of twice the ``length`` whose halves are windows at ``places``."""
-    both = places[np.isin(places + length, places)]
-    if not len(both):
-        return both, np.zeros((0, 2), np.uint64)
-    out = []
-    for at in range(int(both[0]), int(both[-1]) + 1, STRETCH):
-        own = both[(both >= at) & (both < at + STRETCH)] - at
-        h = window_hashes(words[at : at + STRETCH + 2 * length], length)
-        out.append(joined(h[own], h[own + length]))
-    return both, np.concatenate(out)
-
-
-def _twice(length: int):
-    """From windows of a level and their hits, those of twice the length that may be repeated."""
-    kinds = {"key": pa.int64(), "doc": pa.int64(), "places": pa.list_(pa.int32()), "h1": pa.list_(pa.int64()), "h2": pa.list_(pa.int64())}
+def _extend(length: int):
+    """From a level's candidates and the hits among their pairs, whether a window is late, and the candidates of twice the length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 200):
-                rows = {k: [] for k in kinds}
-                for key, doc, places, h1, h2, hits in zip(*(b.slice(at, 200).column(c).to_pylist() for c in (*kinds, "hits")), strict=True):
-                    alive = np.unique(np.array(hits, np.int64) // 2)
-                    both = alive[np.isin(alive + length, alive)]
-                    if not len(both):
-                        continue
-                    places, h = np.array(places, np.int64), np.array([h1, h2], np.int64).view(np.uint64).T
-                    h = joined(h[np.searchsorted(places, both)], h[np.searchsorted(places, both + length)])
-                    for k, v in zip(kinds, (key, doc, both, h[:, 0].view(np.int64), h[:, 1].view(np.int64)), strict=True):
-                        rows[k].append(v)
-                yield batch(rows, kinds)
+                part = b.slice(at, 200)
+                rows = []
+                known = ("starts", "counts", "origins", "lates")
+                for key, doc, starts, counts, origins, lates, hits in zip(*(part.column(c).to_pylist() for c in ("key", "doc", *known)), _hits(part), strict=True):
+                    counts = np.array(counts, np.int64)
+                    step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                    places, origin = (np.concatenate([np.repeat(np.array(v, np.int64), counts) + step, h]) for v, h in ((starts, hits[0]), (origins, hits[1])))
+                    late = np.concatenate([np.repeat(np.array(lates, bool), counts), hits[2]])
+                    order = np.argsort(places)
+                    runs_, *pairs = twice(as_runs(places[order], origin[order], late[order]), length)
+                    if late.any() or len(runs_[0]) or len(pairs[0]):
+                        rows.append((key, doc, bool(late.any()), *runs_, *pairs))
+                yield batch(dict(zip(NEXT_KINDS, zip(*rows) if rows else [[]] * len(NEXT_KINDS), strict=True)), NEXT_KINDS)
 
     return run
 
 
-STATE = "key long, doc long, places array<int>, h1 array<long>, h2 array<long>"
-
-
 def longest(state: DataFrame, length: int) -> DataFrame:
-    """key and longest: for texts of ``state`` (windows of twice ``length`` that may be repeated) the greatest length of the
+    """key and longest: for texts of ``state`` (rows of ``NEXT``: candidates of twice ``length``) the greatest length of the
     levels at which a window also starts in a smaller document. Texts without one are not listed."""
     spark = state.sparkSession
-    found = []
+    found = [state.where("late").select("key", F.lit(length).cast("long").alias("longest"))]
     while True:
         length *= 2
-        size = state.agg(F.count("*"), F.sum(F.size("places"))).first()
-        if not size[1]:
+        size = state.agg(F.count_if(F.size("starts") + F.size("places") > 0).alias("texts"), F.sum(F.size("places")).alias("pairs")).first()
+        if not size["texts"]:
             break
+        state = state.where(F.size("starts") + F.size("places") > 0)
         rows = state.select("key", "doc", F.explode(F.arrays_zip("places", "h1", "h2")).alias("w")).select("key", "doc", F.col("w.places").alias("place"), "w.h1", "w.h2")
-        some = rows.join(state.select("key").sample(min(1.0, SAMPLE / size[0]), seed=11), "key", "left_semi") if size[0] > SAMPLE else rows
-        hot = frequent(some.select("key", "h1").distinct(), "h1", min(SAMPLE, size[0]))
+        some = state.sample(min(1.0, SAMPLE / size["texts"]), seed=11).select("key", F.explode("h1").alias("h1")).distinct()
+        hot = frequent(some, "h1", min(SAMPLE, size["texts"]))
         is_hot = F.col("h1").isin([int(x) for x in hot.view(np.int64)]) if len(hot) else F.lit(False)
-        windows = rows.withColumn("hot", is_hot).withColumn("dealt", F.when(F.col("hot"), F.col("key")).otherwise(F.col("h1")))
-        hits = cut(repeated(windows), "window-hits")
-        found.append(hits.where(F.exists("hits", lambda x: x % 2 == 1)).select("key", F.lit(length).cast("long").alias("longest")))
-        state = cut(state.join(hits, "key").select("key", "doc", "places", "h1", "h2", "hits").mapInArrow(_twice(length), STATE), "window-state")
-    out = spark.createDataFrame([], "key long, longest long")
-    for f in found:
-        out = out.unionAll(f)
-    return out.groupBy("key").agg(F.max("longest").alias("longest"))
+        windows = rows.select("key", "doc", "place", F.when(is_hot, F.col("key")).otherwise(F.col("h1")).alias("dealt"), F.when(is_hot, F.col("h1")).alias("h1"), "h2")
+        both = state.join(repeated(windows), "key", "left").withColumn("begin", begin_of("key"))
+        state = cut(both.mapInArrow(_extend(length), NEXT), "window-level")
+        found.append(state.where("late").select("key", F.lit(length).cast("long").alias("longest")))
+    return reduce(DataFrame.unionAll, found).groupBy("key").agg(F.max("longest").alias("longest"))
 
 
 def frequent(rows: DataFrame, column: str, documents: int) -> np.ndarray:
@@ -321,12 +416,12 @@ def _sampled(length: int):
     kinds = {"level": pa.int32(), "h": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, short = WordHashes(), short_length(length)
+        hashes, short = WordHashes(), short_length(length)
         for b in batches:
-            for text in b.column(0).to_pylist():
-                for _, h, place in spoken_for(word_hashes(text, memory), length):
-                    whole = joined(h[: len(place)], h[length - short :][: len(place)])
-                    for level, values in ((1, np.unique(h[place, 0])), (2, np.unique(whole[:, 0]))):
+            for words in hashes.each(b.column(0).to_pylist(), lanes=1):
+                for _, h, place in spoken_for(words, length):
+                    whole = joined(h[:, : len(place)], h[:, length - short : length - short + len(place)])
+                    for level, values in ((1, np.unique(h[0, _speakers(place)] & _SHORT)), (2, np.unique(whole[0]))):
                         yield batch({"level": np.full(len(values), level), "h": values.view(np.int64)}, kinds)
 
     return run
@@ -336,8 +431,8 @@ def removals(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]
     """What of ``docs`` is repeated, as two tables.
 
     Rows: doc_id and digest (SHA-256 of the text), one row per document, stored.
-    Texts: of each distinct text key, doc (least id), digest, n (its documents), n_words, starts and stops (maximal removed runs, in
-    words), kept (the other words joined by a space), kept_sha256, and places, h1, h2 for ``longest``.
+    Texts: of each distinct text digest, n (its documents), first (their least id), n_words, lost_starts and lost_stops (maximal
+    removed runs, in words), kept (the other words joined by a space), kept_sha256, and what ``longest`` goes on from.
     """
     spark = docs.sparkSession
     n = partition_count(spark)
@@ -347,37 +442,38 @@ def removals(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]
     pairs = rows.groupBy("doc_id", "digest").agg(F.count("*").alias("n"))
     size = pairs.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
     by_text = pairs.groupBy("digest").agg(F.min("doc_id").alias("first"), F.sum("n").alias("n"))
+    total = size["rows"] or 0
 
-    few = whole.select("text").sample(min(1.0, SAMPLE / max(1, size["rows"] or 0)), seed=11)
+    few = whole.select("text").sample(min(1.0, SAMPLE / max(1, total)), seed=11)
     seen = cut(few.mapInArrow(_sampled(words), "level int, h long"), "window-sample")
-    hot_short, hot = (frequent(seen.where(F.col("level") == k), "h", min(SAMPLE, size["rows"] or 0)) for k in (1, 2))
+    hot_short, hot = (frequent(seen.where(F.col("level") == k), "h", min(SAMPLE, total)) for k in (1, 2))
 
     if (size["most"] or 0) > 1:  # repeated rows become one before they move
         whole = whole.groupBy("doc", "digest").agg(F.first("text").alias("text"))
-    key = F.xxhash64("doc", "digest").alias("key")
+    # An id that names one text is its key; where one doesn't, digests make keys.
+    shared = pairs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").limit(1).count()
+    key = (lambda doc: F.xxhash64(doc, "digest")) if shared else F.col
     # The text of least id stands for its copies; texts are shuffled once, for all three passes.
-    moved = whole.select(key, "doc", "digest", "text").repartition(n, "key")
-    own = moved.join(by_text.select(F.xxhash64("first", "digest").alias("key")).hint("merge"), "key", "left_semi")
-    short = own.select("key", "text").mapInArrow(_short_windows(words, np.sort(hot_short)), "key long, h long")
+    moved = whole.select(key("doc").alias("key"), "doc", "digest", "text").repartition(n, "key")
+    own = behind(moved, F.lit(True)).join(by_text.select(key("first").alias("key")).hint("merge"), "key", "left_semi")
+    short = own.select("key", "text").mapInArrow(_short_windows(words, hot_short), "key long, h long")
     often = short.withColumn("n", F.count("*").over(Window.partitionBy("h"))).where("n > 1")
     alive = often.groupBy("key").agg(F.collect_list("h").alias("alive"))
-    windows = own.join(alive.hint("merge"), "key", "left").mapInArrow(_windows(words, hot_short, np.sort(hot)), WINDOW)
+    windows = own.join(alive.hint("merge"), "key", "left").select("key", "doc", "text", "alive").mapInArrow(_windows(words, hot_short, hot), WINDOW)
+    result = f"digest binary, n_words long, lost_starts array<long>, lost_stops array<long>, kept_sha256 string, kept binary, {NEXT}"
     hits = repeated(windows)
-    result = (
-        "key long, doc long, digest binary, n_words long, starts array<long>, stops array<long>, kept_sha256 string, kept binary, "
-        "places array<int>, h1 array<long>, h2 array<long>"
-    )
-    texts = own.join(hits.hint("merge"), "key", "left").mapInArrow(_result(words), result)
-    return rows, texts.join(by_text.select("digest", "n"), "digest")
+    texts = own.join(hits.hint("merge"), "key", "left").withColumn("begin", begin_of("key")).mapInArrow(_result(words), result)
+    # Were two keys equal, a copy could pass beside its text of least id.
+    return rows, texts.join(by_text, "digest").where(F.col("doc").eqNullSafe(F.col("first")))
 
 
 def op11_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words removed from every document, the digest of what stays, and the level its longest repeated passage reaches."""
     rows, texts = removals(table(spark, sf_dir, "documents"))
-    texts = cut(texts.drop("kept"), "window-texts").dropDuplicates(["digest"])
-    longer = longest(texts.where(F.size("places") > 0).select("key", "doc", "places", "h1", "h2"), WORDS)
-    lost = F.aggregate(F.zip_with("starts", "stops", lambda x, y: y - x), F.lit(0).cast("long"), lambda a, x: a + x)
-    groups = texts.join(longer, "key", "left").select("digest", F.col("doc").alias("first"), "n", "n_words", lost.alias("lost"), "kept_sha256", "longest")
+    texts = cut(texts.drop("kept"), "window-texts")
+    longer = longest(texts.select(*NEXT_KINDS), WORDS)
+    lost = F.aggregate(F.zip_with("lost_starts", "lost_stops", lambda x, y: y - x), F.lit(0).cast("long"), lambda a, x: a + x)
+    groups = texts.join(longer, "key", "left").select("digest", "first", "n", "n_words", lost.alias("lost"), "kept_sha256", F.coalesce("longest", F.lit(0).cast("long")).alias("longest"))
     found = join_groups(rows, groups, ["digest"])
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.col("first").isNotNull())
     gone = copy & (F.col("n_words") >= WORDS)
@@ -386,7 +482,7 @@ def op11_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words",
         F.when(gone, F.col("n_words")).otherwise(F.col("lost")).alias("n_removed"),
         F.when(gone, F.sha2(F.lit(b""), 256)).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
-        F.when(gone, level.cast("long")).when(F.col("lost") > 0, F.coalesce("longest", F.lit(WORDS).cast("long"))).otherwise(F.lit(0).cast("long")).alias("longest"),
+        F.when(gone, level.cast("long")).otherwise(F.col("longest")).alias("longest"),
     )
 
 
