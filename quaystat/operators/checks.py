@@ -7,6 +7,7 @@ it can be counted, shown or written like any other result.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,15 +42,16 @@ def key_duplicates(df: DataFrame, keys: Sequence[tuple[str, Sequence[str]]]) ->
     return rows.filter(F.col("occurrences") > 1)
 
 
-def fk_violations(child: DataFrame, references: dict[str, tuple[DataFrame, str]], table: str) -> DataFrame:
+def fk_violations(child: DataFrame, references: dict[str, tuple[DataFrame, str]], table: str, unique: bool = False) -> DataFrame:
     """Non-null child keys without a parent row: (relation, key_value, rows).
 
-    One scan of the child: each parent is joined by a left join with a flag.
+    One scan of the child: each parent is joined by a left join with a flag. ``unique``: parents' keys are
+    known to be (or are checked elsewhere).
     """
     checked = child
     for column, (parent, pk) in references.items():
-        flag = parent.select(F.col(pk).alias(column), F.lit(True).alias(f"_has_{column}")).distinct()
-        checked = checked.join(flag, column, "left")
+        flag = parent.select(F.col(pk).alias(column), F.lit(True).alias(f"_has_{column}"))
+        checked = checked.join(flag if unique else flag.distinct(), column, "left")
     broken = [
         F.when(
             F.col(c).isNotNull() & F.col(f"_has_{c}").isNull(),
@@ -77,12 +79,31 @@ def warehouse_fk_violations(wh) -> DataFrame:
     return fk_violations(wh.fact, fact, "fact").unionByName(fk_violations(wh.dim_quay, quay, "dim_quay"))
 
 
-def valid_hour(hour: Column) -> Column:
-    """``hour`` if within 0..23 (or NULL); anything else fails the job that evaluates it."""
-    message = F.concat(F.lit("departure hour outside 0..23: "), hour.cast("string"))
-    return F.when(hour.isNull() | hour.between(0, 23), hour).otherwise(F.raise_error(message).cast("int"))
-
-
 def hour_violations(rows: DataFrame) -> DataFrame:
     """Rows breaking the 0..23 hour constraint."""
     return rows.filter(~F.col("departure_hour").between(0, 23))
+
+
+NOT_NULL = [
+    "collected_at_utc", "stop_place_id", "stop_name", "line_id", "transport_mode", "service_journey_id",
+    "realtime", "aimed_departure_utc", "expected_departure_utc", "delay_seconds", "departure_hour", "service_date",
+]
+INT_MIN, INT_MAX = -(2**31), 2**31 - 1
+
+
+def broken_rules() -> Column:
+    """Names of the rules of a staged row's own that it breaks: missing values, hour and delay out of range."""
+    missing = [F.when(F.col(c).isNull(), F.lit(f"not_null.{c}")) for c in NOT_NULL]
+    hour = F.when(~F.col("departure_hour").between(0, 23), F.lit("hour outside 0..23"))
+    delay = F.when(~F.col("delay_seconds").between(INT_MIN, INT_MAX), F.lit("delay outside the integer range"))
+    return F.filter(F.array(*missing, hour, delay), lambda r: r.isNotNull())
+
+
+def delta_violations(delta: DataFrame, dims: dict[str, DataFrame], changed: Sequence[str]) -> DataFrame:
+    """(rule, key_text, rows) of what a load would break, from its delta and the dimensions it changed: keys that occur twice
+    (a key that the store held twice comes back twice in the delta) and references without a dimension row."""
+    keyed = [(delta, [("fact.natural", FACT_KEY)]), *((dims[name], UNIQUE[name]) for name in changed)]
+    texts = [df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), _key_text(k).alias("key_text")) for n, k in keys])).alias("k")) for df, keys in keyed]
+    twice = reduce(DataFrame.unionAll, texts).groupBy("k.rule", "k.key_text").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
+    references = fk_violations(delta, {c: (dims[t], pk) for c, (t, pk) in FACT_REFERENCES.items()}, "fact", unique=True)
+    return twice.unionByName(references.select(F.col("relation").alias("rule"), F.col("key_value").alias("key_text"), "rows"))

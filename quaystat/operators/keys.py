@@ -5,9 +5,9 @@ Dense keys follow the order of a natural key whose rows lie in range buckets:
 stored with the rows (written once, so every later read agrees), and the sizes
 of earlier buckets come from one row per bucket, joined back.
 
-Row ids need no order: they are taken while the rows are written, from the
-version, the writing task and the position in it, so they are unique and, once
-written, never change.
+Row ids need no order. Rows are stored with the task that wrote them and their
+position in it; rows in earlier tasks, from one count per task, and that position
+make the id. Nothing in it is limited in bits but the id itself.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bits of a row id: version (19), task (16), position in the task's output (28).
-TASK_BITS, POSITION_BITS = 16, 28
+# Parts whose counts are summed in one group.
+PARTS_IN_BLOCK = 10_000
 
 
 def with_dense_keys(rows: DataFrame, key_column: str, order: str, bucket: str, start: int = 0) -> DataFrame:
@@ -30,12 +30,34 @@ def with_dense_keys(rows: DataFrame, key_column: str, order: str, bucket: str, s
     return numbered.withColumn(key_column, key.cast("long")).drop("_pos", "_ahead")
 
 
-def row_id(version: int) -> Column:
-    """Unique id of a row in the write that evaluates it."""
-    task = F.spark_partition_id().cast("long")
-    position = F.monotonically_increasing_id() - F.shiftleft(task, 33)
-    in_task = F.shiftleft(task, POSITION_BITS) + position
-    fits = (task < 2**TASK_BITS) & (position < 2**POSITION_BITS)
-    return F.when(fits, in_task + F.lit(version << (TASK_BITS + POSITION_BITS)).cast("long")).otherwise(
-        F.raise_error(F.lit("row id out of range: more tasks or rows in a task than its bits hold")).cast("long")
-    )
+def placed(rows: DataFrame) -> DataFrame:
+    """``rows`` with _part (the task that evaluates them) and _pos (from 0 within it), to be stored with them."""
+    part = F.spark_partition_id()
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    return rows.withColumn("_part", part).withColumn("_pos", position)
+
+
+def parts_ahead(counts: DataFrame) -> DataFrame:
+    """_part and _ahead, the rows in parts before it, from a table of _part and _n.
+
+    Sums are taken within blocks of parts and over blocks, so no task sees all parts.
+    """
+    blocks = counts.withColumn("_block", F.floor(F.col("_part") / PARTS_IN_BLOCK))
+    before = Window.partitionBy("_block").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per block
+    sums = blocks.groupBy("_block").agg(F.sum("_n").alias("_n"))
+    sums = sums.select("_block", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_blocks_ahead"))
+    inside = blocks.select("_block", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_in_block"))
+    return inside.join(sums, "_block").select("_part", (F.col("_in_block") + F.col("_blocks_ahead")).alias("_ahead"))
+
+
+def with_row_ids(stored: DataFrame, key_column: str, start: int, fresh: Column) -> DataFrame:
+    """Give rows of a stored ``placed`` table for which ``fresh`` holds ids above ``start``; other rows keep theirs.
+
+    An id is ``start`` + rows of earlier parts + position, so it is unique for any number
+    of tasks and rows. Ids of parts that hold rows with ids of their own have gaps.
+    """
+    counts = stored.groupBy("_part").agg((F.max("_pos") + 1).alias("_n"))
+    numbered = stored.join(parts_ahead(counts), "_part")
+    own = F.lit(start).cast("long") + F.col("_ahead") + F.col("_pos") + 1
+    return numbered.withColumn(key_column, F.when(fresh, own).otherwise(F.col(key_column))).drop("_part", "_pos", "_ahead")

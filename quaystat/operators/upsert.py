@@ -13,13 +13,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaystat.functions.time import date_attributes
-from quaystat.operators.checks import valid_hour
-from quaystat.operators.keys import row_id, with_dense_keys
+from quaystat.operators.keys import with_dense_keys
 from quaystat.operators.ranking import first_per_group, total_order
 from quaystat.schema import FACT_KEY
 
@@ -137,22 +137,22 @@ def resolve_keys(
         "expected_departure_utc",
         "actual_departure_utc",
         F.col("delay_seconds").cast("int").alias("delay_seconds"),
-        valid_hour(F.col("departure_hour")).cast("smallint").alias("departure_hour"),
+        F.col("departure_hour").cast("smallint").alias("departure_hour"),
     )
 
 
 UPDATED_ON_CONFLICT = ["expected_departure_utc", "actual_departure_utc", "delay_seconds", "realtime"]
 
 
-def fact_delta(incoming: DataFrame, stored: DataFrame | None, version: int) -> DataFrame:
+def fact_delta(incoming: DataFrame, stored: DataFrame | None) -> DataFrame:
     """What a batch changes: every incoming row (one per fact key), with the
     stored values of the columns a conflict must not touch, and whether it is new.
 
     ``stored`` holds the resolved fact of the batch's collected dates (None if
     there are none, so nothing can conflict). Rows that the batch doesn't hold
-    are not part of the delta and stay as they are.
+    are not part of the delta and stay as they are. New rows have no ``observation_key`` yet.
     """
-    fresh = row_id(version)
+    fresh = F.lit(None).cast("long")
     if stored is None:
         return incoming.withColumn("observation_key", fresh).withColumn("_new", F.lit(True))
     kept = [c for c in stored.columns if c not in FACT_KEY and c not in UPDATED_ON_CONFLICT]
@@ -167,3 +167,16 @@ def fact_delta(incoming: DataFrame, stored: DataFrame | None, version: int) -> D
         ],
         (~known).alias("_new"),
     )
+
+
+def changed_dimensions(newest: DataFrame, old: dict[str, DataFrame]) -> DataFrame:
+    """dim and changes: how many natural keys of the batch are new to a dimension or have other attributes than stored.
+
+    ``old`` has the dimensions with the natural attributes of ``NATURAL`` (a quay's stop by its natural id).
+    """
+    known = [
+        old[dim].select(F.lit(dim).alias("dim"), F.col(key).alias("nk"), F.array(*[F.col(a) for a in attrs]).alias("_stored"))
+        for dim, (key, attrs) in NATURAL.items()
+    ]
+    joined = newest.join(reduce(DataFrame.unionByName, known), ["dim", "nk"], "left")
+    return joined.filter(F.col("_stored").isNull() | ~F.col("attrs").eqNullSafe(F.col("_stored"))).groupBy("dim").agg(F.count(F.lit(1)).alias("changes"))

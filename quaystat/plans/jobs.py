@@ -73,7 +73,7 @@ def run_etl(spark: SparkSession, raw_path: str, silver_root: str, strict_fields:
     nothing is published and the previous version stays readable.
     """
     store = VersionedStore(spark, silver_root)
-    version = store.next_version()
+    version = store.claim()
     path = {name: store.table_path(version, name) for name in ("labelled", "observations", "rejects")}
     documents, notes, kept, dropped = (Observation() for _ in range(4))
     count = F.count(F.lit(1)).alias("n")

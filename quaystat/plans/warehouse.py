@@ -19,11 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystat.operators import upsert
+from quaystat.operators import checks, keys, upsert
 from quaystat.operators.ranking import first_per_group
 from quaystat.schema import (
     DEPARTURE_KEY,
@@ -36,7 +37,7 @@ from quaystat.schema import (
     LATEST_DDL,
     STAGING_COLUMNS,
 )
-from quaystat.sources.store import Manifest, VersionedStore
+from quaystat.sources.store import LostRaceError, Manifest, VersionedStore
 
 FACT_COLUMNS = [part.split(" ")[0] for part in FACT_DDL.split(", ")]
 
@@ -72,8 +73,20 @@ class EmptyLoadError(ValueError):
     """The batch holds no rows; nothing is published."""
 
 
-class StagingConstraintError(ValueError):
-    """Strict mode: a staged row breaks a warehouse NOT NULL rule."""
+class ConstraintError(ValueError):
+    """A batch breaks rules of the warehouse; nothing is published. ``path`` holds what it breaks."""
+
+    def __init__(self, message: str, path: str):
+        super().__init__(message)
+        self.path = path
+
+
+class StagingConstraintError(ConstraintError):
+    """Staged rows break rules of their own."""
+
+
+class DeltaConstraintError(ConstraintError):
+    """The rows to write break keys or references."""
 
 
 def _empty(spark: SparkSession, ddl: str) -> DataFrame:
@@ -169,58 +182,61 @@ def _append(df: DataFrame, store: VersionedStore, table: str, version: int) -> N
     )
 
 
-def staging_violation(staging: DataFrame):
-    """Condition: the row breaks a NOT NULL rule of the staging table."""
-    return (
-        F.col("collected_at_utc").isNull()
-        | F.col("stop_place_id").isNull()
-        | F.col("stop_name").isNull()
-        | F.col("line_id").isNull()
-        | F.col("transport_mode").isNull()
-        | F.col("service_journey_id").isNull()
-        | F.col("realtime").isNull()
-        | F.col("aimed_departure_utc").isNull()
-        | F.col("expected_departure_utc").isNull()
-        | F.col("delay_seconds").isNull()
-        | F.col("departure_hour").isNull()
-        | F.col("service_date").isNull()
-    )
-
-
-def staging_violations(staging: DataFrame) -> DataFrame:
-    return staging.filter(staging_violation(staging))
+#: Times a load is built anew when another one published first.
+RETRIES = 20
 
 
 def load_batch(spark: SparkSession, observations: DataFrame, store: VersionedStore, strict: bool = True) -> LoadResult:
     """Upsert one batch of silver observations and publish a new version.
 
     All-or-nothing: tables become visible only when the manifest is published at the very
-    end. The batch is read three times with pruned columns (a guard pass, the natural keys, the
+    end, and only if no other load published meanwhile; else this one is built anew on what
+    that one left. A batch that breaks a rule is refused: the broken rows or keys are stored
+    beside the version that wasn't published, and the error names the place. Without
+    ``strict``, rows that break a rule of their own are left out instead.
+
+    The batch is read three times with pruned columns (a guard pass, the natural keys, the
     fact rows), so hand over stored observations rather than an expensive plan.
     """
     staging = observations.select(*STAGING_COLUMNS)
+    whole = F.size(checks.broken_rules()) == 0
     if not strict:
-        staging = staging.filter(~staging_violation(staging))
+        staging = staging.filter(whole)
     # Dates only: bounded by the days a batch spans.
     shape = staging.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(staging_violation(staging)).alias("bad"),
+        F.count_if(~whole).alias("bad"),
         F.collect_set("service_date").alias("service"),
         F.collect_set(F.to_date("collected_at_utc")).alias("collected"),
         F.collect_set(F.to_date("aimed_departure_utc")).alias("aimed"),
     ).first()
-    if strict and shape["bad"]:
-        raise StagingConstraintError(f"{shape['bad']} staged rows lack a value the warehouse requires")
+    if shape["bad"]:
+        broken = staging.withColumn("rules", checks.broken_rules()).filter(F.size("rules") > 0)
+        path, rules = _refuse(broken, store, store.claim(), F.col("rules"))
+        raise StagingConstraintError(f"{shape['bad']} staged rows break rules of the warehouse ({rules}); see {path}", path)
     if not shape["rows"]:
         raise EmptyLoadError("no staged rows; previous version left in place")
-    return _upsert_and_publish(spark, staging, shape, store)
+    for _ in range(RETRIES):
+        try:
+            return _upsert_and_publish(spark, staging, shape, store)
+        except LostRaceError as e:
+            lost = e
+    raise lost
+
+
+def _refuse(broken: DataFrame, store: VersionedStore, version: int, rules: Column) -> tuple[str, str]:
+    """Store what a refused batch breaks; its path and the names of the rules."""
+    path = store.table_path(version, "refused")
+    broken.write.parquet(path)
+    names = broken.sparkSession.read.parquet(path).select(F.explode(rules).alias("rule")).distinct().orderBy("rule").collect()
+    return path, ", ".join(r["rule"] for r in names)
 
 
 def _upsert_and_publish(spark: SparkSession, staging: DataFrame, shape, store: VersionedStore) -> LoadResult:
     current = store.current()
     old = read_warehouse(spark, store, current)
-    prev = current.body if current else {"max_keys": {}, "fact": {}, "fact_rows": 0, "latest": {}}
-    version = store.next_version()
+    prev = current.body if current else {"tables": {}, "max_keys": {}, "fact": {}, "fact_rows": 0, "latest": {}}
+    version = store.claim()  # after reading the current version, so later versions have higher numbers
     days, aimed_days = ({str(d) for d in shape[c]} for c in ("collected", "aimed"))
 
     def write(df: DataFrame, name: str, schema: str | None = None) -> DataFrame:
@@ -228,56 +244,99 @@ def _upsert_and_publish(spark: SparkSession, staging: DataFrame, shape, store: V
         df.write.mode("errorifexists").parquet(path)
         return spark.read.schema(schema or df.schema).parquet(path)
 
-    dates = spark.createDataFrame([(d,) for d in shape["service"]], "full_date DATE")
-    dim_date = write(upsert.upsert_dim_date(old.dim_date, dates), "dim_date")
-    # Stored with its range buckets, from which all three dimensions take dense keys.
-    newest = upsert.newest_attributes(staging).repartitionByRange("dim", "nk")
-    newest = write(newest.withColumn("bucket", F.spark_partition_id()), "natural_keys")
-    keys = prev["max_keys"]
-    incoming = {d: upsert.incoming_dimension(newest, d) for d in upsert.NATURAL}
-    dims = {}
-    for dim in ("stop", "line"):
-        nk, attrs = upsert.NATURAL[dim]
-        table = upsert.upsert_dimension(getattr(old, f"dim_{dim}"), incoming[dim], nk, f"{dim}_key", attrs, keys.get(dim, 0))
-        dims[dim] = write(table, f"dim_{dim}")
-    dims["quay"] = write(upsert.upsert_dim_quay(old.dim_quay, incoming["quay"], dims["stop"], keys.get("quay", 0)), "dim_quay")
-    tops = [dims[d].select(F.lit(d).alias("dim"), F.col(f"{d}_key").alias("key")) for d in dims]
-    highest = tops[0].unionByName(tops[1]).unionByName(tops[2]).groupBy("dim").agg(F.max("key").alias("top")).collect()
-    max_keys = {**keys, **{r["dim"]: r["top"] for r in highest}}
-
-    rows = upsert.fact_rows(staging, dim_date, dims["stop"], dims["line"], dims["quay"])
+    tables, max_keys, dims, changed = _dimensions(spark, staging, shape["service"], old, prev, store, version, write)
+
+    # The delta is stored once without ids: then one count per task says where each task's ids begin.
+    rows = upsert.fact_rows(staging, dims["dim_date"], dims["dim_stop"], dims["dim_line"], dims["dim_quay"])
     known = [d for d in days if d in prev["fact"]]
     stored = _read_versions(spark, store, "fact", prev["fact"], known) if known else None
-    counts = Observation()
-    delta = upsert.fact_delta(rows, stored, version)
-    delta = delta.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if("_new").alias("new"))
+    delta = write(keys.placed(upsert.fact_delta(rows, stored)), "delta")
+    counts, spans = _delta_counts(delta, prev)
+    violations = write(checks.delta_violations(delta, dims, changed), "violations")
+    if not violations.isEmpty():
+        path = store.table_path(version, "violations")
+        rules = ", ".join(r["rule"] for r in violations.select("rule").distinct().orderBy("rule").collect())
+        raise DeltaConstraintError(f"the batch breaks rules of the warehouse ({rules}); see {path}", path)
+    start = max_keys.get("fact", 0)
+    delta = keys.with_row_ids(delta, "observation_key", start, F.col("_new"))
     _append(delta, store, "fact", version)
+    max_keys["fact"] = start + counts["rows"]
     # Candidates for the latest estimates come from the rows just written, keys included.
     written = _read_versions(spark, store, "fact", {d: [version] for d in days})
     candidates = written.withColumn("aimed_date", F.to_date("aimed_departure_utc"))
     order = [F.col("collected_at_utc").desc(), F.col("observation_key").desc()]
     _append(first_per_group(candidates, DEPARTURE_KEY, order), store, "latest", version)
-    # Which service dates each aimed date holds, so that date filters can choose partitions.
-    spans = {d: list(r) for d, r in prev.get("latest_dates", {}).items()}
-    news = _read_versions(spark, store, "latest", {d: [version] for d in aimed_days})
-    for r in news.groupBy("aimed_date").agg(F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).collect():
-        lo, hi = spans.get(str(r["aimed_date"]), (r["lo"], r["hi"]))
-        spans[str(r["aimed_date"])] = [min(lo, r["lo"]), max(hi, r["hi"])]
 
     def add(table: str, new: set[str]) -> dict[str, list[int]]:
         return {**prev[table], **{d: [*prev[table].get(d, []), version] for d in sorted(new)}}
 
     body = {
-        "tables": {"dim_date": store.table_path(version, "dim_date"), **{f"dim_{d}": store.table_path(version, f"dim_{d}") for d in dims}},
+        "tables": tables,
         "fact": add("fact", days),
-        "fact_rows": prev["fact_rows"] + counts.get["new"],
+        "fact_rows": prev["fact_rows"] + counts["new"],
         "latest": add("latest", aimed_days),
         "latest_dates": spans,
         "max_keys": max_keys,
         "staged_rows": shape["rows"],
     }
-    store.publish(version, body)
-    return LoadResult(shape["rows"], body["fact_rows"], shape["rows"] - counts.get["rows"], version)
+    store.publish(version, body, base=current.version if current else 0)
+    store.delete(f"v{version}/delta")
+    return LoadResult(shape["rows"], body["fact_rows"], shape["rows"] - counts["rows"], version)
+
+
+def _dimensions(spark, staging, service_dates, old: Warehouse, prev: dict, store: VersionedStore, version: int, write) -> tuple[dict, dict, dict, list]:
+    """Paths, highest keys and frames of the dimensions after a batch, and which were written. One that it doesn't change stays where it is."""
+    paths, highest = dict(prev["tables"]), dict(prev["max_keys"])
+    frames = {name: getattr(old, name) for name in DIMENSIONS}
+    renewed: list[str] = []
+
+    def renew(name: str, df: DataFrame) -> None:
+        frames[name] = write(df, name)
+        paths[name] = store.table_path(version, name)
+        renewed.append(name)
+
+    dates = spark.createDataFrame([(d,) for d in service_dates], "full_date DATE")
+    # Stored with its range buckets, from which all three dimensions take dense keys.
+    newest = upsert.newest_attributes(staging).repartitionByRange("dim", "nk")
+    newest = write(newest.withColumn("bucket", F.spark_partition_id()), "natural_keys")
+    natural = {
+        "stop": old.dim_stop, "line": old.dim_line,
+        "quay": old.dim_quay.join(old.dim_stop.select("stop_key", "stop_place_id"), "stop_key"),
+    }
+    fresh_dates = dates.join(old.dim_date, "full_date", "left_anti").select(F.lit("date").alias("dim")).groupBy("dim").agg(F.count(F.lit(1)).alias("changes"))
+    changed = {r["dim"] for r in upsert.changed_dimensions(newest, natural).unionByName(fresh_dates).collect()}
+    if "date" in changed:
+        renew("dim_date", upsert.upsert_dim_date(old.dim_date, dates))
+    for dim in ("stop", "line"):
+        if dim in changed:
+            nk, attrs = upsert.NATURAL[dim]
+            incoming = upsert.incoming_dimension(newest, dim)
+            renew(f"dim_{dim}", upsert.upsert_dimension(frames[f"dim_{dim}"], incoming, nk, f"{dim}_key", attrs, highest.get(dim, 0)))
+    if "quay" in changed:
+        renew("dim_quay", upsert.upsert_dim_quay(old.dim_quay, upsert.incoming_dimension(newest, "quay"), frames["dim_stop"], highest.get("quay", 0)))
+    tops = [frames[f"dim_{d}"].select(F.lit(d).alias("dim"), F.col(f"{d}_key").alias("key")) for d in sorted(changed - {"date"})]
+    if tops:
+        top = reduce(DataFrame.unionByName, tops).groupBy("dim").agg(F.max("key").alias("top"))
+        highest.update({r["dim"]: r["top"] for r in top.collect()})
+    for name in DIMENSIONS:  # a first load without quays has an empty dimension all the same
+        if name not in paths:
+            renew(name, frames[name])
+    return paths, highest, frames, renewed
+
+
+def _delta_counts(delta: DataFrame, prev: dict) -> tuple[dict, dict]:
+    """Rows and new rows of a delta, and which service dates each aimed date can hold, so that date filters choose partitions."""
+    spans = {d: list(r) for d, r in prev.get("latest_dates", {}).items()}
+    by_day = delta.groupBy(F.to_date("aimed_departure_utc").alias("day")).agg(
+        F.min("date_key").alias("lo"), F.max("date_key").alias("hi"), F.count(F.lit(1)).alias("rows"), F.count_if("_new").alias("new")
+    )
+    counts = {"rows": 0, "new": 0}
+    for r in by_day.collect():  # one row per day
+        lo, hi = spans.get(str(r["day"]), (r["lo"], r["hi"]))
+        spans[str(r["day"])] = [min(lo, r["lo"]), max(hi, r["hi"])]
+        counts["rows"] += r["rows"]
+        counts["new"] += r["new"]
+    return counts, spans
 
 
 def compact(spark: SparkSession, store: VersionedStore, max_versions: int = 1) -> int | None:
@@ -286,18 +345,23 @@ def compact(spark: SparkSession, store: VersionedStore, max_versions: int = 1) -
 
     Meant for once a day or so: a load itself never rewrites a stored day.
     """
-    current = store.current()
-    body = dict(current.body) if current else {"fact": {}, "latest": {}}
-    many = {t: [d for d, vs in body[t].items() if len(vs) > max_versions] for t in LAYOUTS}
-    if not any(many.values()):
-        return None
-    version = store.next_version()
-    for table, days in many.items():
-        if days:
-            _append(_read_versions(spark, store, table, body[table], days), store, table, version)
-            body[table] = {**body[table], **{d: [version] for d in days}}
-    store.publish(version, body)
-    return version
+    for _ in range(RETRIES):
+        current = store.current()
+        body = dict(current.body) if current else {"fact": {}, "latest": {}}
+        many = {t: [d for d, vs in body[t].items() if len(vs) > max_versions] for t in LAYOUTS}
+        if not any(many.values()):
+            return None
+        version = store.claim()
+        for table, days in many.items():
+            if days:
+                _append(_read_versions(spark, store, table, body[table], days), store, table, version)
+                body[table] = {**body[table], **{d: [version] for d in days}}
+        try:
+            store.publish(version, body, base=current.version)
+            return version
+        except LostRaceError as e:
+            lost = e
+    raise lost
 
 
 def retain(store: VersionedStore, keep: int = 1) -> int:

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from helpers import call, observations_df, snapshot
 from quaystat.operators import checks
-from quaystat.operators.keys import with_dense_keys
+from quaystat.operators.keys import parts_ahead, placed, with_dense_keys, with_row_ids
 from quaystat.operators.latest import latest_estimates
 from quaystat.plans import explore
 from quaystat.plans.warehouse import (
+    DeltaConstraintError,
     EmptyLoadError,
     StagingConstraintError,
     compact,
@@ -20,7 +21,7 @@ from quaystat.plans.warehouse import (
     read_warehouse,
     retain,
 )
-from quaystat.sources.store import VersionedStore
+from quaystat.sources.store import LostRaceError, VersionedStore
 
 
 def _store(spark, tmp_root):
@@ -193,3 +194,112 @@ def test_retry_after_crash_before_publish(spark, tmp_root):  # U4
     load_batch(spark, observations_df(spark, [snapshot([call(journey="J2")])]), store)
     assert store.current().version == 3
     assert read_warehouse(spark, store).fact.count() == 2
+
+
+def _overtaken(store, other):
+    """Let ``other`` run in full just before ``store`` publishes for the first time."""
+    publish = store.publish
+
+    def late(*args, **kwargs):
+        store.publish = publish
+        other()
+        return publish(*args, **kwargs)
+
+    store.publish = late
+    return store
+
+
+def _doc(journey, stop, minute=0, **kw):
+    return snapshot([call(journey=journey, **kw)], collected=f"2026-09-17T08:{minute:02d}:00+00:00", stop_id=stop, stop_name=stop)
+
+
+def test_overlapping_loads_keep_both(spark, tmp_root):  # U4
+    store = _store(spark, tmp_root)
+    load_batch(spark, observations_df(spark, [_doc("J0", "stop:0")]), store)
+    one, two = (observations_df(spark, [_doc(j, s), _doc("J0", "stop:0", minute=k, expected=f"2026-09-17T10:0{k}:00+02:00")]) for j, s, k in (("J1", "stop:1", 5), ("J2", "stop:2", 7)))
+    first = _overtaken(_store(spark, tmp_root), lambda: load_batch(spark, two, _store(spark, tmp_root)))
+    result = load_batch(spark, one, first)
+    wh = read_warehouse(spark, store)
+    assert result.version == store.current().version and result.fact_rows == wh.fact.count() == 5
+    assert _rows(wh.dim_stop, "stop_place_id") == [("stop:0",), ("stop:1",), ("stop:2",)]
+    assert sorted(r.delay_seconds for r in wh.latest.join(wh.dim_stop, "stop_key").filter("stop_place_id = 'stop:0'").collect()) == [420]
+    assert checks.warehouse_key_duplicates(wh).count() == 0 and checks.warehouse_fk_violations(wh).count() == 0
+
+
+def test_compaction_overtaken_by_a_load(spark, tmp_root):
+    store = _store(spark, tmp_root)
+    for minute in (0, 5):
+        load_batch(spark, observations_df(spark, [_doc(f"J{minute}", "stop:1", minute)]), store)
+    third = observations_df(spark, [_doc("J9", "stop:1", 9)])
+    version = compact(spark, _overtaken(_store(spark, tmp_root), lambda: load_batch(spark, third, _store(spark, tmp_root))))
+    wh = read_warehouse(spark, store)
+    assert store.current().version == version and wh.fact.count() == 3 and wh.manifest.body["fact"] == {"2026-09-17": [version]}
+
+
+def test_a_commit_without_its_manifest_is_completed(spark, tmp_root):
+    store = _store(spark, tmp_root)
+    load_batch(spark, observations_df(spark, [_doc("J0", "stop:0")]), store)
+    base, body = store.current().version, store.current().body
+    # A load committed its version and died before the manifest had its own name.
+    dead = store.claim()
+    assert store._create(f"_manifests/after-{base}.json", __import__("json").dumps({**body, "version": dead, "staged_rows": 77}))
+    assert store.current().version == base
+    with pytest.raises(LostRaceError):
+        store.publish(store.claim(), body, base=base)
+    assert store.current().version == dead and store.current().body["staged_rows"] == 77
+    result = load_batch(spark, observations_df(spark, [_doc("J1", "stop:1")]), store)
+    assert store.current().version == result.version > dead
+
+
+def test_claims_are_never_shared(spark, tmp_root):
+    stores = [_store(spark, tmp_root) for _ in range(3)]
+    numbers = [s.claim() for s in stores * 2]
+    assert numbers == sorted(set(numbers))
+    assert stores[0]._create("_claims/99", "") and not stores[1]._create("_claims/99", "")
+
+
+def test_row_ids_with_more_parts_than_any_bit_budget(spark, tmp_root):  # U-06
+    counts = spark.range(70_000).select(F.col("id").cast("int").alias("_part"), (F.col("id") % 5 + 2**33).alias("_n"))
+    ahead = {r._part: r._ahead for r in parts_ahead(counts).collect()}
+    assert len(ahead) == 70_000 and ahead[0] == 0
+    assert all(ahead[p + 1] == ahead[p] + p % 5 + 2**33 for p in range(69_999))
+    rows = spark.range(0, 1000, numPartitions=11).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("k"), (F.col("id") % 3 != 0).alias("fresh"))
+    placed(rows).write.parquet(tmp_root + "/placed")
+    got = with_row_ids(spark.read.parquet(tmp_root + "/placed"), "k", 5000, F.col("fresh")).collect()
+    fresh = [r.k for r in got if r.id % 3]
+    assert len(set(fresh)) == len(fresh) and min(fresh) > 5000 and max(fresh) <= 6000
+    assert all(r.k == r.id for r in got if r.id % 3 == 0)
+
+
+def test_broken_rows_are_refused_and_kept_for_reading(spark, tmp_root):  # P-15
+    store = _store(spark, tmp_root)
+    load_batch(spark, observations_df(spark, [_doc("J0", "stop:0")]), store)
+    good, bad = observations_df(spark, [_doc("J1", "stop:1")]), observations_df(spark, [_doc("J2", "stop:2")])
+    batch = good.unionByName(bad.withColumns({"departure_hour": F.lit(24), "delay_seconds": F.lit(2**40), "stop_name": F.lit(None).cast("string")}))
+    with pytest.raises(StagingConstraintError) as refused:
+        load_batch(spark, batch, store)
+    rows = spark.read.parquet(refused.value.path).collect()
+    assert [(r.service_journey_id, sorted(r.rules)) for r in rows] == [("J2", ["delay outside the integer range", "hour outside 0..23", "not_null.stop_name"])]
+    assert read_warehouse(spark, store).fact.count() == 1
+    assert load_batch(spark, batch, store, strict=False).fact_rows == 2
+
+
+def test_a_dimension_that_broke_refuses_the_next_batch(spark, tmp_root):  # U-08
+    store = _store(spark, tmp_root)
+    load_batch(spark, observations_df(spark, [_doc("J0", "stop:0")]), store)
+    wh = read_warehouse(spark, store)
+    extra = wh.dim_line.withColumn("line_key", F.col("line_key") + 100).collect()
+    spark.createDataFrame(extra, wh.dim_line.schema).write.mode("append").parquet(wh.manifest.body["tables"]["dim_line"])
+    renamed = observations_df(spark, [_doc("J1", "stop:0", line=("line:8", "8X", "Other name", "rail"))])
+    with pytest.raises(DeltaConstraintError, match="dim_line.line_id") as refused:
+        load_batch(spark, renamed, store)
+    assert store.current().version == wh.manifest.version
+    assert [(r["rule"], r["key_text"], r["rows"]) for r in spark.read.parquet(refused.value.path).collect()] == [("dim_line.line_id", "line:8", 2)]
+
+
+def test_unchanged_dimensions_are_not_written(spark, tmp_root):
+    store = _store(spark, tmp_root)
+    load_batch(spark, observations_df(spark, [_doc("J0", "stop:0")]), store)
+    load_batch(spark, observations_df(spark, [_doc("J1", "stop:0", quay=("quay:31", "Renamed"))]), store)
+    tables = store.current().body["tables"]
+    assert {n: p.split("/")[-2] for n, p in tables.items()} == {"dim_date": "v1", "dim_stop": "v1", "dim_line": "v1", "dim_quay": "v2"}
