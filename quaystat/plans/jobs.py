@@ -138,11 +138,21 @@ def register_views(spark: SparkSession, warehouse_root: str) -> dict[str, DataFr
 
 def refresh(spark: SparkSession, raw_path: str, silver_root: str, warehouse_root: str) -> tuple[EtlResult, LoadResult]:
     """Raw snapshots to silver, silver to gold, views over gold; an error stops it where it occurs,
-    with what was published before still in place."""
-    etl = run_etl(spark, raw_path, silver_root)
-    load = load_warehouse(spark, read_silver(spark, silver_root), warehouse_root)
-    register_views(spark, warehouse_root)
-    return etl, load
+    with what was published before still in place. The error keeps its type and names the stage (``stage`` and a note)."""
+    done = {}
+    stages: dict[str, Callable[[], object]] = {
+        "observations": lambda: run_etl(spark, raw_path, silver_root),
+        "warehouse": lambda: load_warehouse(spark, read_silver(spark, silver_root), warehouse_root),
+        "views": lambda: register_views(spark, warehouse_root),
+    }
+    for name, run in stages.items():
+        try:
+            done[name] = run()
+        except Exception as e:
+            e.stage = name
+            e.add_note(f"the refresh stopped in its stage '{name}'")
+            raise
+    return done["observations"], done["warehouse"]
 
 
 def quality_report(observations: DataFrame) -> tuple[DataFrame, DataFrame]:

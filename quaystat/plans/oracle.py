@@ -372,6 +372,86 @@ FROM fact2 QUALIFY ROW_NUMBER() OVER (PARTITION BY stop_key, service_journey_id,
                                       ORDER BY collected_at_utc DESC) = 1"""
 )
 
+# Latest estimates and lines after the second batch, for the reports from maintained counts.
+_AFTER = (
+    _SECOND
+    + """, latest2 AS (SELECT * REPLACE (CAST(delay_seconds AS INTEGER) AS delay_seconds) FROM fact2
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY stop_key, service_journey_id, aimed_departure_utc ORDER BY collected_at_utc DESC) = 1)
+"""
+)
+ORACLE["counts_coverage"] = with_gold(
+    _AFTER
+    + """SELECT strptime(CAST(min(date_key) AS VARCHAR), '%Y%m%d')::DATE AS first_service_date, strptime(CAST(max(date_key) AS VARCHAR), '%Y%m%d')::DATE AS last_service_date,
+  count(*) AS unique_departures, count(DISTINCT stop_key) AS monitored_stops, count(DISTINCT line_key) AS distinct_lines FROM latest2"""
+)
+ORACLE["counts_delay_by_mode"] = with_gold(_AFTER + f"SELECT l.transport_mode, {_stats(p90=True, long_rate=True)} FROM latest2 JOIN lines l USING (line_key) GROUP BY l.transport_mode")
+ORACLE["counts_delay_by_stop"] = with_gold(_AFTER + f"SELECT s.stop_name, {_stats()} FROM latest2 JOIN stops s USING (stop_key) GROUP BY s.stop_name")
+ORACLE["counts_delay_by_hour"] = with_gold(_AFTER + f"SELECT departure_hour, {_stats()} FROM latest2 GROUP BY departure_hour")
+ORACLE["counts_worst_lines"] = with_gold(
+    _AFTER
+    + f"""SELECT transport_mode, line_public_code, departures, average_delay_seconds, percent_over_3_minutes FROM (
+  SELECT l.line_id, l.transport_mode, l.line_public_code, {_stats(median=False)}
+  FROM latest2 JOIN lines l USING (line_key) GROUP BY l.line_id, l.transport_mode, l.line_public_code
+  HAVING count(*) >= 30 ORDER BY percent_over_3_minutes DESC, departures DESC, line_id LIMIT 15)"""
+)
+
+_PICKED = """, picked AS (SELECT * FROM dep WHERE service_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+  AND stop_key IN (1, 2, 4) AND transport_mode IN ('bus', 'tram', 'rail'))
+"""
+_VIEW_COLUMNS = ["transport_mode", "stop_name", "stop_key", "departure_hour", "line_key", "line_public_code", "line_name"]
+_VIEWS = {
+    "overview": [], "mode": ["transport_mode"], "stop": ["stop_name"], "stop_key": ["stop_key"], "hour": ["departure_hour"],
+    "line_key": ["line_key"], "line": ["line_key", "line_public_code", "line_name", "transport_mode"],
+}
+
+
+def _view(name: str, columns: list[str]) -> str:
+    """One view as a query of its own."""
+    out = ", ".join(c if c in columns else f"NULL AS {c}" for c in _VIEW_COLUMNS)
+    group = f"GROUP BY {', '.join(columns)}" if columns else ""
+    return f"""SELECT '{name}' AS view, {out}, count(*) AS departures, {ratio('sum(delay_seconds)', 'count(delay_seconds)')} AS average_delay_seconds,
+  quantile_cont(delay_seconds, 0.5) AS median_delay_seconds, {ratio(f'100 * {OVER3}', 'count(*)')} AS percent_over_threshold FROM picked {group}"""
+
+
+ORACLE["dashboard_views"] = with_gold(_PICKED + " UNION ALL ".join(_view(n, c) for n, c in _VIEWS.items()))
+ORACLE["dashboard_dataset"] = with_gold(
+    _PICKED
+    + f"""SELECT 'overview' AS part, 'all' AS name, count(*) AS departures FROM picked
+UNION ALL SELECT CASE WHEN count(*) >= 30 THEN 'by_mode' ELSE 'omitted_modes' END, transport_mode, count(*) FROM picked GROUP BY transport_mode
+UNION ALL SELECT 'by_stop', stop_name, count(*) FROM picked GROUP BY stop_name
+UNION ALL SELECT 'by_hour', CAST(departure_hour AS VARCHAR), count(*) FROM picked GROUP BY departure_hour
+UNION ALL SELECT 'elevated_lines', label, n FROM (
+  SELECT {_label('line_public_code', 'line_name', 'transport_mode')} AS label, count(*) AS n, {ratio(f'100 * {OVER3}', 'count(*)')} AS late, line_key FROM picked
+  GROUP BY line_key, line_public_code, line_name, transport_mode HAVING count(*) >= 30 ORDER BY late DESC, n DESC, line_key LIMIT 15)"""
+)
+ORACLE["export_order"] = with_gold(
+    _PICKED
+    + """SELECT CAST(row_number() OVER (ORDER BY aimed_departure_utc, stop_key, line_key, collected_at_utc) AS INTEGER) AS position, stop_key, line_key, aimed_departure_utc, collected_at_utc FROM picked"""
+)
+ORACLE["report_order"] = with_gold(
+    f""", m AS (SELECT transport_mode, {_stats()} FROM dep GROUP BY 1), s AS (SELECT stop_name, {_stats()} FROM dep GROUP BY 1)
+SELECT 'mode' AS kind, CAST(row_number() OVER (ORDER BY average_delay_seconds DESC, transport_mode) AS INTEGER) AS position, transport_mode AS value FROM m
+UNION ALL SELECT 'stop', CAST(row_number() OVER (ORDER BY average_delay_seconds DESC, stop_name) AS INTEGER), stop_name FROM s
+UNION ALL SELECT 'hour', CAST(row_number() OVER (ORDER BY departure_hour) AS INTEGER), CAST(departure_hour AS VARCHAR) FROM (SELECT DISTINCT departure_hour FROM dep)
+UNION ALL SELECT 'quality', CAST(row_number() OVER (ORDER BY n DESC, transport_mode) AS INTEGER), transport_mode FROM (SELECT transport_mode, count(*) AS n FROM obs GROUP BY 1)"""
+)
+ORACLE["overlapping_loads"] = with_gold(
+    """SELECT collected_at_utc, stop_place_id, line_id, service_journey_id, aimed_departure_utc, delay_seconds, date_key
+FROM fact JOIN stops USING (stop_key) JOIN lines USING (line_key)"""
+)
+ORACLE["refused_rows"] = with_obs(
+    """SELECT 'not_null.service_journey_id' AS rule, stop_place_id, count(*) AS rows FROM obs WHERE service_journey_id IS NULL GROUP BY 2
+UNION ALL SELECT 'hour outside 0..23', stop_place_id, count(*) FROM obs WHERE NOT realtime AND departure_hour + 12 > 23 GROUP BY 2""",
+    dirty=True,
+)
+ORACLE["dim_stop_second_load"] = with_gold(
+    "SELECT stop_key, stop_place_id, stop_name || CASE WHEN CAST(substr(stop_place_id, 2) AS INTEGER) % 2 = 0 THEN ' South' ELSE '' END AS stop_name FROM stops"
+)
+ORACLE["dim_quay_second_load"] = with_gold(
+    """SELECT quay_key, quay_id, CASE WHEN q <> 'Q2' THEN quay_name END AS quay_name,
+  CASE WHEN q = 'Q1' THEN concat('S', (n + 1) % 5) ELSE concat('S', n) END AS stop_place_id
+FROM (SELECT DISTINCT quay_key, quay_id, quay_name, split_part(quay_id, ':', 2) AS q, CAST(substr(split_part(quay_id, ':', 1), 2) AS INTEGER) AS n FROM quays JOIN obs USING (quay_id))"""
+)
 ORACLE["raw_json_roundtrip"] = with_obs(f"SELECT {_OBS_COLS} FROM obs")
 ORACLE["stream_dedup"] = ORACLE["dedup_observations"]
 ORACLE["flatten_boards"] = with_obs(_LANDED + f"SELECT {_OBS_COLS} FROM landed")
@@ -382,6 +462,7 @@ QUALIFY ROW_NUMBER() OVER (
   PARTITION BY collected_at_utc, stop_place_id, service_journey_id, quay_id, aimed_departure_utc
   ORDER BY expected_departure_utc DESC NULLS LAST, {', '.join(c + ' ASC NULLS LAST' for c in _DEDUP_REST)}) = 1"""
 )
+ORACLE["stream_ingest"] = ORACLE["etl_silver"]
 ORACLE["etl_counts"] = with_obs(
     _LANDED
     + """, docs AS (SELECT DISTINCT collected_at_utc AS seen, stop_place_id AS stop FROM board)

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quaystat.functions.labels import line_label
@@ -25,6 +26,7 @@ from quaystat.plans.jobs import (
     current_warehouse,
     json_lines_for,
     landed_boards_for,
+    quality_report,
     read_silver,
     register_views,
     run_etl,
@@ -34,14 +36,14 @@ from quaystat.plans.jobs import (
     warehouse_for,
     warehouse_root_for,
 )
-from quaystat.plans.warehouse import Warehouse, fact_row_count, latest_between
+from quaystat.plans.warehouse import StagingConstraintError, Warehouse, fact_row_count, latest_between, load_batch
 from quaystat.schema import LATEST_COLUMNS
 from quaystat.session import scratch_path
 from quaystat.sources import testdata
 from quaystat.sources.boards import board_observations, iso_local
 from quaystat.sources.snapshots import read_snapshots
 from quaystat.sources.store import VersionedStore
-from quaystat.streaming import ingest
+from quaystat.streaming import ingest, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -172,7 +174,7 @@ def q_date_bounds(spark, sf_dir):
 
 # --- quality (K-04) ---------------------------------------------------------
 def q_quality_summary(spark, sf_dir):
-    return quality.quality_summary(testdata.observations(spark, sf_dir))
+    return quality_report(testdata.observations(spark, sf_dir))[0]
 
 
 def q_quality_summary_prefilter(spark, sf_dir):
@@ -180,7 +182,7 @@ def q_quality_summary_prefilter(spark, sf_dir):
 
 
 def q_quality_by_mode(spark, sf_dir):
-    return quality.quality_by_mode(testdata.observations(spark, sf_dir))
+    return quality_report(testdata.observations(spark, sf_dir))[1]
 
 
 # --- raw path (K-01) --------------------------------------------------------
@@ -409,6 +411,161 @@ QUERIES.update(
 )
 
 
+# --- what a dashboard and the reports read ----------------------------------------
+def q_dashboard_views(spark, sf_dir):
+    """Overview and summaries by mode, stop, hour and line of the filtered set, from one pass."""
+    return summaries.dashboard_views(_selected(spark, sf_dir, EXAMPLE_FILTERS))
+
+
+def q_dashboard_dataset(spark, sf_dir):
+    """The parts of the dashboard's data that hold a sample size, as (part, name, departures)."""
+    wh = warehouse_for(spark, sf_dir)
+    data = explore.dashboard_dataset(wh.latest, wh.dim_date, wh.dim_stop, wh.dim_line, EXAMPLE_FILTERS)
+    names = {"overview": F.lit("all"), "by_mode": F.col("transport_mode"), "omitted_modes": F.col("transport_mode"), "by_stop": F.col("stop_name"), "by_hour": F.col("departure_hour"), "elevated_lines": F.col("line_label")}
+    parts = [data[part].select(F.lit(part).alias("part"), name.cast("string").alias("name"), "departures") for part, name in names.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_export_order(spark, sf_dir):
+    """Positions of departures in an export of the filtered set (stop, line and aimed time tell a departure)."""
+    ordered = explore.sort_for_export(_selected(spark, sf_dir, EXAMPLE_FILTERS))
+    at = ordered.withColumn("_at", F.monotonically_increasing_id())
+    return at.withColumn("position", F.row_number().over(Window.orderBy("_at"))).select("position", "stop_key", "line_key", "aimed_departure_utc", "collected_at_utc")
+
+
+def q_report_order(spark, sf_dir):
+    """Positions in the reports by mode, stop and hour and in the quality report by mode."""
+    wh, latest = _latest(spark, sf_dir)
+    lists = [
+        ("mode", reports.delay_by_mode(latest, wh.dim_line), "transport_mode"),
+        ("stop", reports.delay_by_stop(latest, wh.dim_stop), "stop_name"),
+        ("hour", reports.delay_by_hour(latest), "departure_hour"),
+        ("quality", quality_report(testdata.observations(spark, sf_dir))[1], "transport_mode"),
+    ]
+    return reduce(DataFrame.unionByName, [explore.numbered(df, kind, key) for kind, df, key in lists])
+
+
+def _counts(spark, sf_dir):
+    """The two-load warehouse and its maintained counts; the second load replaced some estimates."""
+    wh = current_warehouse(spark, two_batch_warehouse_root_for(spark, sf_dir))
+    return wh, reports.current_counts(wh.counts)
+
+
+def q_counts_coverage(spark, sf_dir):
+    wh, counts = _counts(spark, sf_dir)
+    return reports.coverage(counts, wh.dim_date, weight="n")
+
+
+def q_counts_delay_by_mode(spark, sf_dir):
+    wh, counts = _counts(spark, sf_dir)
+    return reports.delay_by_mode(counts, wh.dim_line, weight="n")
+
+
+def q_counts_delay_by_stop(spark, sf_dir):
+    wh, counts = _counts(spark, sf_dir)
+    return reports.delay_by_stop(counts, wh.dim_stop, weight="n")
+
+
+def q_counts_delay_by_hour(spark, sf_dir):
+    return reports.delay_by_hour(_counts(spark, sf_dir)[1], weight="n")
+
+
+def q_counts_worst_lines(spark, sf_dir):
+    wh, counts = _counts(spark, sf_dir)
+    return reports.worst_lines(counts, wh.dim_line, weight="n").drop("line_name")
+
+
+# --- loads that meet, and what is refused ------------------------------------------
+def q_overlapping_loads(spark, sf_dir):
+    """Two loads of half the observations each; the second starts and ends before the first one publishes."""
+
+    def load(root: str) -> None:
+        observations = testdata.observations(spark, sf_dir)
+        odd = F.coalesce(F.conv(F.substring("line_id", 2, 20), 10, 10).cast("long") % 2 == 1, F.lit(False))
+        late = VersionedStore(spark, root)
+        publish = late.publish
+
+        def overtaken(*args, **kwargs):
+            late.publish = publish
+            load_batch(spark, observations.filter(~odd), VersionedStore(spark, root))
+            return publish(*args, **kwargs)
+
+        late.publish = overtaken
+        load_batch(spark, observations.filter(odd), late)
+
+    wh = current_warehouse(spark, built(spark, sf_dir, "warehouse-overlap", load))
+    rows = wh.fact.join(wh.dim_line.select("line_key", "line_id"), "line_key").join(wh.dim_stop.select("stop_key", "stop_place_id"), "stop_key")
+    return rows.select("collected_at_utc", "stop_place_id", "line_id", "service_journey_id", "aimed_departure_utc", "delay_seconds", "date_key")
+
+
+def q_refused_rows(spark, sf_dir):
+    """Rules that a batch with missing journeys and hours past 23 breaks, read from what its refusal stored."""
+    moved = F.when(F.col("realtime"), F.col("departure_hour")).otherwise(F.col("departure_hour") + 12)
+    batch = testdata.observations(spark, sf_dir, dirty=True).withColumn("departure_hour", moved)
+    store = VersionedStore(spark, scratch_path(spark, "refused"))
+    try:
+        load_batch(spark, batch, store)
+    except StagingConstraintError as refused:
+        rows = spark.read.parquet(refused.path)
+    if store.current() is not None:
+        raise AssertionError("a refused batch must not be published")
+    return rows.select(F.explode("rules").alias("rule"), "stop_place_id").groupBy("rule", "stop_place_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_dim_stop_second_load(spark, sf_dir):
+    """Stops after a load that renames the even ones."""
+    wh = current_warehouse(spark, _renamed_root(spark, sf_dir))
+    return wh.dim_stop
+
+
+def q_dim_quay_second_load(spark, sf_dir):
+    """Quays after a load that moves those of number 1 to the next stop and takes the name from those of number 2."""
+    wh = current_warehouse(spark, _renamed_root(spark, sf_dir))
+    return wh.dim_quay.join(wh.dim_stop.select("stop_key", "stop_place_id"), "stop_key").select("quay_key", "quay_id", "quay_name", "stop_place_id")
+
+
+def _renamed_root(spark, sf_dir) -> str:
+    """Every mapped observation, then a copy collected 800 days later with other attributes of stops and quays."""
+
+    def load(root: str) -> None:
+        observations = testdata.observations(spark, sf_dir)
+        load_batch(spark, observations, VersionedStore(spark, root))
+        number = F.substring("stop_place_id", 2, 9).cast("int")
+        quay = F.substring_index("quay_id", ":", -1)
+        moved = F.when(quay == "Q1", F.concat(F.lit("S"), ((number + 1) % 5).cast("string"))).otherwise(F.col("stop_place_id"))
+        stop = F.substring("_stop", 2, 9)
+        later = observations.withColumn("_stop", moved).withColumns(
+            {
+                "collected_at_utc": F.timestamp_add("DAY", F.lit(800), "collected_at_utc"),
+                "quay_name": F.when(quay != "Q2", F.col("quay_name")),
+                "stop_place_id": F.col("_stop"),
+                "stop_name": F.concat(F.lit("Stop "), stop, F.when(stop.cast("int") % 2 == 0, F.lit(" South")).otherwise(F.lit(""))),
+            }
+        )
+        load_batch(spark, later.drop("_stop"), VersionedStore(spark, root))
+
+    return built(spark, sf_dir, "warehouse-renamed", load)
+
+
+QUERIES.update(
+    {
+        "dashboard_views": q_dashboard_views,
+        "dashboard_dataset": q_dashboard_dataset,
+        "export_order": q_export_order,
+        "report_order": q_report_order,
+        "counts_coverage": q_counts_coverage,
+        "counts_delay_by_mode": q_counts_delay_by_mode,
+        "counts_delay_by_stop": q_counts_delay_by_stop,
+        "counts_delay_by_hour": q_counts_delay_by_hour,
+        "counts_worst_lines": q_counts_worst_lines,
+        "overlapping_loads": q_overlapping_loads,
+        "refused_rows": q_refused_rows,
+        "dim_stop_second_load": q_dim_stop_second_load,
+        "dim_quay_second_load": q_dim_quay_second_load,
+    }
+)
+
+
 # --- streaming (R-01..R-04) -----------------------------------------------------
 def event_quarters(spark, sf_dir):
     """The events in four parts by time, each landed as a folder of files: paths, oldest first."""
@@ -424,19 +581,19 @@ def event_quarters(spark, sf_dir):
     return [f"{root}/part={i}" for i in range(4)]
 
 
-def _feed(spark, paths, sink, checkpoint, columns):
-    """Stream one folder after another into ``sink``, each in a run of its own."""
-    for i, path in enumerate(paths):
-        obs = testdata.observations_from_events(ingest.stream_table(spark, path))
-        # Batch numbers go on from run to run: each run has its own checkpoint here, being another source.
-        ingest.run_available(columns(obs), lambda batch, n, i=i: sink(batch, 1000 * i + n), f"{checkpoint}-{i}")
+def _feed(spark, paths, run, landing, columns):
+    """Land one folder of events after another, and run the stream from one checkpoint after each."""
+    for path in paths:
+        spark.read.parquet(path).write.mode("append").parquet(landing)
+        run(columns(testdata.observations_from_events(ingest.stream_table(spark, landing))))
 
 
 def q_stream_latest(spark, sf_dir):
     """Latest estimates over a stream that brings the newest quarter of the events first."""
     root = scratch_path(spark, "stream-latest")
-    _feed(spark, event_quarters(spark, sf_dir)[::-1], ingest.latest_sink(f"{root}/rows"), f"{root}/checkpoint", lambda o: o)
-    return ingest.read_latest(spark, f"{root}/rows")
+    table = state.latest_table(spark, f"{root}/table")
+    _feed(spark, event_quarters(spark, sf_dir)[::-1], lambda o: state.stream_latest(o, table, f"{root}/checkpoint"), f"{root}/landing", lambda o: o)
+    return table.read()
 
 
 def q_stream_dedup(spark, sf_dir):
@@ -444,17 +601,26 @@ def q_stream_dedup(spark, sf_dir):
     root = scratch_path(spark, "stream-dedup")
     quarters = event_quarters(spark, sf_dir)
     whole = built(spark, sf_dir, "events-copy", lambda p: testdata.read_table(spark, sf_dir, "events").write.parquet(p))
-    _feed(spark, [whole, quarters[2], quarters[0]], ingest.dedup_sink(f"{root}/rows"), f"{root}/checkpoint", board_observations)
-    return ingest.read_dedup(spark, f"{root}/rows")
+    table = state.dedup_table(spark, f"{root}/table")
+    _feed(spark, [whole, quarters[2], quarters[0]], lambda o: state.stream_dedup(o, table, f"{root}/checkpoint"), f"{root}/landing", board_observations)
+    return table.read()
+
+
+def q_stream_ingest(spark, sf_dir):
+    """Landed multi-line files through the incremental ETL."""
+    root = scratch_path(spark, "stream-ingest")
+    ingest.run_incremental_etl(spark, landed_boards_for(spark, sf_dir), f"{root}/silver", f"{root}/rejects", f"{root}/checkpoint")
+    return ingest.read_dedup(spark, f"{root}/silver")
 
 
 def q_stream_upsert(spark, sf_dir):
     """Every quarter loaded into the star schema, newest first."""
     root = scratch_path(spark, "stream-upsert")
-    _feed(spark, event_quarters(spark, sf_dir)[::-1], ingest.upsert_each_batch(spark, f"{root}/gold"), f"{root}/checkpoint", lambda o: o)
+    sink = ingest.upsert_each_batch(spark, f"{root}/gold")
+    _feed(spark, event_quarters(spark, sf_dir)[::-1], lambda o: ingest.run_available(o, sink, f"{root}/checkpoint"), f"{root}/landing", lambda o: o)
     wh = current_warehouse(spark, f"{root}/gold")
     rows = wh.latest.join(wh.dim_line.select("line_key", "line_id"), "line_key").join(wh.dim_stop.select("stop_key", "stop_place_id"), "stop_key")
     return rows.select("collected_at_utc", "stop_place_id", "line_id", "service_journey_id", "aimed_departure_utc", "delay_seconds")
 
 
-QUERIES.update({"stream_latest": q_stream_latest, "stream_dedup": q_stream_dedup, "stream_upsert": q_stream_upsert})
+QUERIES.update({"stream_latest": q_stream_latest, "stream_dedup": q_stream_dedup, "stream_ingest": q_stream_ingest, "stream_upsert": q_stream_upsert})

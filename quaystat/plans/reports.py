@@ -2,7 +2,9 @@
 
 Averages and rates are rounded to one decimal, half away from zero, from
 exact integer sums and counts; medians/p90 are exact interpolated
-percentiles. Dimension joins are equi-joins on surrogate keys; Catalyst
+percentiles. Each report takes the latest estimates or, with ``weight="n"``, the
+maintained counts of a warehouse (``current_counts``), which need neither the estimates nor a
+ranking. Dimension joins are equi-joins on surrogate keys; Catalyst
 broadcasts a dimension only when its measured size is under the broadcast
 threshold and shuffles otherwise.
 """
@@ -19,43 +21,49 @@ MEDIAN = ("median_delay_seconds", 0.5)
 P90 = ("p90_delay_seconds", 0.9)
 
 
-def coverage(latest: DataFrame, dim_date: DataFrame) -> DataFrame:
+def current_counts(counts: DataFrame) -> DataFrame:
+    """Counts that stand for any estimate; those that were all taken away remain stored as 0."""
+    return counts.filter(F.col("n") > 0)
+
+
+def coverage(latest: DataFrame, dim_date: DataFrame, weight: str | None = None) -> DataFrame:
     """First/last service date, departures, stops and lines."""
     j = latest.join(dim_date.select("date_key", "full_date"), "date_key")
     return j.agg(
         F.min("full_date").alias("first_service_date"),
         F.max("full_date").alias("last_service_date"),
-        F.count(F.lit(1)).alias("unique_departures"),
+        (F.coalesce(F.sum(weight), F.lit(0)) if weight else F.count(F.lit(1))).alias("unique_departures"),
         F.count_distinct("stop_key").alias("monitored_stops"),
         F.count_distinct("line_key").alias("distinct_lines"),
     )
 
 
-def delay_by_mode(latest: DataFrame, dim_line: DataFrame) -> DataFrame:
+def delay_by_mode(latest: DataFrame, dim_line: DataFrame, weight: str | None = None) -> DataFrame:
     j = latest.join(dim_line.select("line_key", "transport_mode"), "line_key")
     return (
         j.groupBy("transport_mode")
-        .agg(*rounded_stats([MEDIAN, P90], long_rate=True))
+        .agg(*rounded_stats([MEDIAN, P90], long_rate=True, weight=weight))
         .orderBy(F.col("average_delay_seconds").desc(), F.col("transport_mode"))
     )
 
 
-def delay_by_stop(latest: DataFrame, dim_stop: DataFrame) -> DataFrame:
+def delay_by_stop(latest: DataFrame, dim_stop: DataFrame, weight: str | None = None) -> DataFrame:
     """Grouped by stop *name*: two stops sharing a name form one row."""
     j = latest.join(dim_stop.select("stop_key", "stop_name"), "stop_key")
     return (
         j.groupBy("stop_name")
-        .agg(*rounded_stats([MEDIAN]))
+        .agg(*rounded_stats([MEDIAN], weight=weight))
         .orderBy(F.col("average_delay_seconds").desc(), F.col("stop_name"))
     )
 
 
-def delay_by_hour(latest: DataFrame) -> DataFrame:
-    return latest.groupBy("departure_hour").agg(*rounded_stats([MEDIAN])).orderBy("departure_hour")
+def delay_by_hour(latest: DataFrame, weight: str | None = None) -> DataFrame:
+    return latest.groupBy("departure_hour").agg(*rounded_stats([MEDIAN], weight=weight)).orderBy("departure_hour")
 
 
 def worst_lines(
-    latest: DataFrame, dim_line: DataFrame, minimum_sample: int = MINIMUM_GROUP_SAMPLE, top: int = TOP_LINES
+    latest: DataFrame, dim_line: DataFrame, minimum_sample: int = MINIMUM_GROUP_SAMPLE, top: int = TOP_LINES,
+    weight: str | None = None,
 ) -> DataFrame:
     """Lines with at least ``minimum_sample`` departures, by the *rounded*
     share over 3 minutes, then departures; ``line_id`` settles the top-k."""
@@ -63,7 +71,7 @@ def worst_lines(
     j = latest.join(
         dim_line.select("line_key", "line_id", "transport_mode", "line_public_code", "line_name"), "line_key"
     )
-    stats = rounded_stats()
+    stats = rounded_stats(weight=weight)
     return (
         j.groupBy("line_id", "transport_mode", "line_public_code", "line_name")
         .agg(*[c for c in stats])

@@ -24,9 +24,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystat.operators import checks, keys, upsert
+from quaystat.operators import checks, counts, keys, upsert
 from quaystat.operators.ranking import first_per_group
 from quaystat.schema import (
+    COUNTS_DDL,
+    COUNTS_KEY,
     DEPARTURE_KEY,
     DIM_DATE_DDL,
     DIM_LINE_DDL,
@@ -57,6 +59,7 @@ class Warehouse:
     dim_line: DataFrame
     fact: DataFrame
     latest: DataFrame
+    counts: DataFrame | None = None
     manifest: Manifest | None = None
     stats: dict = field(default_factory=dict)
 
@@ -98,12 +101,13 @@ def read_warehouse(spark: SparkSession, store: VersionedStore, manifest: Manifes
     manifest = manifest or store.current()
     if manifest is None:
         tables = {name: _empty(spark, ddl) for name, ddl in DIMENSIONS.items()}
-        return Warehouse(fact=_empty(spark, FACT_DDL), latest=_empty(spark, LATEST_DDL), **tables)
+        return Warehouse(fact=_empty(spark, FACT_DDL), latest=_empty(spark, LATEST_DDL), counts=_empty(spark, COUNTS_DDL), **tables)
     body = manifest.body
     tables = {name: spark.read.schema(DIMENSIONS[name]).parquet(path) for name, path in body["tables"].items()}
     fact = _read_versions(spark, store, "fact", body["fact"])
     latest = _read_versions(spark, store, "latest", body["latest"])
-    return Warehouse(fact=fact, latest=latest, manifest=manifest, stats=body, **tables)
+    held = _read_versions(spark, store, "counts", body["counts"])
+    return Warehouse(fact=fact, latest=latest, counts=held, manifest=manifest, stats=body, **tables)
 
 
 def latest_between(spark: SparkSession, store: VersionedStore, warehouse: Warehouse, first: int, last: int) -> DataFrame:
@@ -141,14 +145,14 @@ class Layout:
 LAYOUTS = {
     "fact": Layout(FACT_DDL, "collected_date", FACT_KEY, [VERSION_COLUMN]),
     "latest": Layout(LATEST_DDL, "aimed_date", DEPARTURE_KEY, ["collected_at_utc", VERSION_COLUMN, "observation_key"]),
+    "counts": Layout(COUNTS_DDL, "service_day", COUNTS_KEY, [VERSION_COLUMN]),
 }
 
 
-def _read_versions(
-    spark: SparkSession, store: VersionedStore, table: str, dates: dict[str, list[int]], days: Sequence[str] | None = None
+def read_versions(
+    spark: SparkSession, store: VersionedStore, table: str, layout: Layout, dates: dict[str, list[int]], days: Sequence[str] | None = None
 ) -> DataFrame:
     """Current rows of the given dates (all by default), from exactly the listed directories."""
-    layout = LAYOUTS[table]
     wanted = {d: vs for d, vs in dates.items() if days is None or d in days}
 
     def scan(some: dict[str, list[int]]) -> DataFrame:
@@ -165,13 +169,12 @@ def _read_versions(
     return out if out is not None else _empty(spark, layout.ddl)
 
 
-def _append(df: DataFrame, store: VersionedStore, table: str, version: int) -> None:
+def append_version(df: DataFrame, store: VersionedStore, table: str, layout: Layout, version: int) -> None:
     """Write rows as this version's directories beside the older ones (never overwrites).
 
     Rows are clustered by date first, so a date's number of files follows its size and not the
     number of tasks; a date too large for one task is split.
     """
-    layout = LAYOUTS[table]
     (
         df.select(*layout.columns)
         .hint("rebalance", layout.date_column)
@@ -182,6 +185,14 @@ def _append(df: DataFrame, store: VersionedStore, table: str, version: int) -> N
     )
 
 
+def _read_versions(spark: SparkSession, store: VersionedStore, table: str, dates: dict[str, list[int]], days: Sequence[str] | None = None) -> DataFrame:
+    return read_versions(spark, store, table, LAYOUTS[table], dates, days)
+
+
+def _append(df: DataFrame, store: VersionedStore, table: str, version: int) -> None:
+    append_version(df, store, table, LAYOUTS[table], version)
+
+
 #: Times a load is built anew when another one published first.
 RETRIES = 20
 
@@ -235,7 +246,7 @@ def _refuse(broken: DataFrame, store: VersionedStore, version: int, rules: Colum
 def _upsert_and_publish(spark: SparkSession, staging: DataFrame, shape, store: VersionedStore) -> LoadResult:
     current = store.current()
     old = read_warehouse(spark, store, current)
-    prev = current.body if current else {"tables": {}, "max_keys": {}, "fact": {}, "fact_rows": 0, "latest": {}}
+    prev = current.body if current else {"tables": {}, "max_keys": {}, "fact": {}, "fact_rows": 0, "latest": {}, "counts": {}}
     version = store.claim()  # after reading the current version, so later versions have higher numbers
     days, aimed_days = ({str(d) for d in shape[c]} for c in ("collected", "aimed"))
 
@@ -251,7 +262,7 @@ def _upsert_and_publish(spark: SparkSession, staging: DataFrame, shape, store: V
     known = [d for d in days if d in prev["fact"]]
     stored = _read_versions(spark, store, "fact", prev["fact"], known) if known else None
     delta = write(keys.placed(upsert.fact_delta(rows, stored)), "delta")
-    counts, spans = _delta_counts(delta, prev)
+    sizes, spans = _delta_counts(delta, prev)
     violations = write(checks.delta_violations(delta, dims, changed), "violations")
     if not violations.isEmpty():
         path = store.table_path(version, "violations")
@@ -260,12 +271,23 @@ def _upsert_and_publish(spark: SparkSession, staging: DataFrame, shape, store: V
     start = max_keys.get("fact", 0)
     delta = keys.with_row_ids(delta, "observation_key", start, F.col("_new"))
     _append(delta, store, "fact", version)
-    max_keys["fact"] = start + counts["rows"]
+    max_keys["fact"] = start + sizes["rows"]
     # Candidates for the latest estimates come from the rows just written, keys included.
     written = _read_versions(spark, store, "fact", {d: [version] for d in days})
     candidates = written.withColumn("aimed_date", F.to_date("aimed_departure_utc"))
     order = [F.col("collected_at_utc").desc(), F.col("observation_key").desc()]
-    _append(first_per_group(candidates, DEPARTURE_KEY, order), store, "latest", version)
+    candidates = first_per_group(candidates, DEPARTURE_KEY, order)
+    touched = [d for d in aimed_days if d in prev["latest"]]
+    before = _read_versions(spark, store, "latest", prev["latest"], touched) if touched else None
+    # Only estimates that replace the stored one are written; what they replace leaves the counts.
+    newer = write(counts.newer_estimates(candidates, before), "newer")
+    _append(newer, store, "latest", version)
+    changes = write(counts.count_changes(newer), "changes")
+    count_days = {str(r["d"]) for r in changes.select(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("d")).distinct().collect()}
+    held = [d for d in count_days if d in prev["counts"]]
+    totals = _read_versions(spark, store, "counts", prev["counts"], held) if held else None
+    _append(counts.new_totals(changes, totals), store, "counts", version)
+    latest_days = {str(r["aimed_date"]) for r in newer.select("aimed_date").distinct().collect()}
 
     def add(table: str, new: set[str]) -> dict[str, list[int]]:
         return {**prev[table], **{d: [*prev[table].get(d, []), version] for d in sorted(new)}}
@@ -273,15 +295,17 @@ def _upsert_and_publish(spark: SparkSession, staging: DataFrame, shape, store: V
     body = {
         "tables": tables,
         "fact": add("fact", days),
-        "fact_rows": prev["fact_rows"] + counts["new"],
-        "latest": add("latest", aimed_days),
+        "fact_rows": prev["fact_rows"] + sizes["new"],
+        "latest": add("latest", latest_days),
+        "counts": add("counts", count_days),
         "latest_dates": spans,
         "max_keys": max_keys,
         "staged_rows": shape["rows"],
     }
     store.publish(version, body, base=current.version if current else 0)
-    store.delete(f"v{version}/delta")
-    return LoadResult(shape["rows"], body["fact_rows"], shape["rows"] - counts["rows"], version)
+    for name in ("delta", "newer", "changes"):  # they only served the load
+        store.delete(f"v{version}/{name}")
+    return LoadResult(shape["rows"], body["fact_rows"], shape["rows"] - sizes["rows"], version)
 
 
 def _dimensions(spark, staging, service_dates, old: Warehouse, prev: dict, store: VersionedStore, version: int, write) -> tuple[dict, dict, dict, list]:
@@ -330,13 +354,13 @@ def _delta_counts(delta: DataFrame, prev: dict) -> tuple[dict, dict]:
     by_day = delta.groupBy(F.to_date("aimed_departure_utc").alias("day")).agg(
         F.min("date_key").alias("lo"), F.max("date_key").alias("hi"), F.count(F.lit(1)).alias("rows"), F.count_if("_new").alias("new")
     )
-    counts = {"rows": 0, "new": 0}
+    sizes = {"rows": 0, "new": 0}
     for r in by_day.collect():  # one row per day
         lo, hi = spans.get(str(r["day"]), (r["lo"], r["hi"]))
         spans[str(r["day"])] = [min(lo, r["lo"]), max(hi, r["hi"])]
-        counts["rows"] += r["rows"]
-        counts["new"] += r["new"]
-    return counts, spans
+        sizes["rows"] += r["rows"]
+        sizes["new"] += r["new"]
+    return sizes, spans
 
 
 def compact(spark: SparkSession, store: VersionedStore, max_versions: int = 1) -> int | None:
@@ -347,7 +371,7 @@ def compact(spark: SparkSession, store: VersionedStore, max_versions: int = 1) -
     """
     for _ in range(RETRIES):
         current = store.current()
-        body = dict(current.body) if current else {"fact": {}, "latest": {}}
+        body = dict(current.body) if current else {t: {} for t in LAYOUTS}
         many = {t: [d for d, vs in body[t].items() if len(vs) > max_versions] for t in LAYOUTS}
         if not any(many.values()):
             return None

@@ -95,6 +95,13 @@ LATEST_DDL = (
     "delay_seconds INT, departure_hour SMALLINT, aimed_date DATE"
 )
 
+# Maintained report state: how many latest estimates have these values. ``service_day`` is the date of ``date_key``.
+COUNTS_KEY = ["date_key", "stop_key", "line_key", "departure_hour", "delay_seconds"]
+COUNTS_DDL = (
+    "date_key INT, stop_key BIGINT, line_key BIGINT, departure_hour SMALLINT, delay_seconds INT, "
+    "n BIGINT, service_day DATE"
+)
+
 # Columns of the latest-estimate view (the rank helper is dropped).
 LATEST_COLUMNS = [
     "observation_key", "collected_at_utc", "date_key", "stop_key", "quay_key",

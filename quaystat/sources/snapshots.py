@@ -28,6 +28,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def require_path(spark: SparkSession, path: str, what: str) -> None:
     if not path_exists(spark, path):
         raise MissingInputError(f"no {what} at {path}")
@@ -61,10 +66,16 @@ def read_snapshots(spark: SparkSession, path: str, multi_line: bool = True) -> D
     return df.withColumn(SOURCE_FILE_COLUMN, F.col("_metadata.file_path"))
 
 
-def stream_snapshots(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The same snapshots as a file stream (new files only, per checkpoint)."""
+def stream_snapshots(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, archive: str | None = None) -> DataFrame:
+    """The same snapshots as a file stream (new files only, per checkpoint).
+
+    With ``archive`` (a folder outside ``path``) files of batches that are done move there, so that a run lists the
+    files that landed since and not all that ever did.
+    """
     reader = _options(spark.readStream)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     df = reader.json(path)
     return df.withColumn(SOURCE_FILE_COLUMN, F.col("_metadata.file_path"))

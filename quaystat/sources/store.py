@@ -87,6 +87,11 @@ class VersionedStore:
             return []
         return [s.getPath().getName() for s in self._fs.listStatus(path) if s.isDirectory()]
 
+    def glob(self, relative: str) -> list[str]:
+        """Paths below the root that match a pattern."""
+        found = self._fs.globStatus(self._Path(f"{self.root}/{relative}"))
+        return [f.getPath().toString() for f in found] if found else []
+
     def version_dirs(self) -> list[int]:
         return sorted(int(m.group(1)) for d in self.list_dirs("") if (m := _DIR.match(d)))
 

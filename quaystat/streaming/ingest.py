@@ -1,15 +1,15 @@
 """Incremental processing of recurring snapshots (Structured Streaming).
 
 * R-01 ``snapshot_observations``: new snapshot files -> valid observations.
-* R-02 ``dedup_sink``: rows whose dedup key was not stored before.
-* R-03 ``latest_sink``: latest estimate per departure.
+* R-02 ``dedup_sink``: rows whose dedup key was not stored before (``state.stream_dedup`` keeps them in state).
+* R-03 ``latest_sink``: newest rows per departure and batch (``state.stream_latest`` keeps them in state).
 * R-04 ``upsert_each_batch``: every micro-batch is loaded into the star schema
   (replaying a batch is harmless: conflicts resolve on natural keys).
 
-All state lives in stored tables, one directory per micro-batch, and not behind
+Here the sinks' state lives in stored tables, by date and then by micro-batch, and not behind
 a watermark: a snapshot that arrives late, in whatever order, counts as if it had
-come in time. A replayed batch overwrites its own directory, so a restart never
-repeats a row.
+come in time. A replayed batch overwrites its own directories, so a restart never
+repeats a row; only the dates that a batch touches are listed and read.
 """
 
 from __future__ import annotations
@@ -23,13 +23,15 @@ from quaystat.operators.flatten import (
     REJECT_COLUMN,
     dedup_observations,
     flatten_snapshots,
+    is_valid,
+    label,
     validate,
 )
 from quaystat.operators.latest import newest_first
 from quaystat.operators.ranking import first_per_group
 from quaystat.plans.warehouse import load_batch
 from quaystat.schema import DEDUP_KEY, OBSERVATION_COLUMNS, OBSERVATION_DDL
-from quaystat.sources.snapshots import path_exists, stream_snapshots
+from quaystat.sources.snapshots import path_exists, remove_path, stream_snapshots
 from quaystat.sources.store import VersionedStore
 
 Sink = Callable[[DataFrame, int], None]
@@ -44,14 +46,20 @@ def snapshot_observations(spark: SparkSession, raw_path: str, max_files_per_trig
     return checked.filter(REJECT_COLUMN + " IS NULL").select(*OBSERVATION_COLUMNS)
 
 
-def _batch_path(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={batch_id}"
+def _stored(spark: SparkSession, path: str, date_column: str, days: list[str] | None = None) -> DataFrame:
+    """Stored rows, of the given days only if there are any named: then no other day is listed."""
+    paths = [path] if days is None else [f"{path}/{date_column}={d}" for d in days]
+    paths = [p for p in paths if path_exists(spark, p)]
+    schema = f"{OBSERVATION_DDL}, batch_id BIGINT, {date_column} DATE"
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
 
 
-def _stored(spark: SparkSession, path: str, date_column: str) -> DataFrame:
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], f"{OBSERVATION_DDL}, batch_id BIGINT, {date_column} DATE")
-    return spark.read.schema(f"{OBSERVATION_DDL}, batch_id BIGINT, {date_column} DATE").parquet(path)
+def _store_batch(rows: DataFrame, path: str, date_column: str, batch_id: int) -> None:
+    """Write a micro-batch below its dates; a replay replaces what the first try wrote there."""
+    named = rows.hint("rebalance", date_column).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_column, "batch_id").parquet(path)
 
 
 def latest_sink(path: str) -> Sink:
@@ -62,8 +70,7 @@ def latest_sink(path: str) -> Sink:
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         newest = first_per_group(batch, LATEST_KEY, newest_first(OBSERVATION_COLUMNS, LATEST_KEY))
-        dated = newest.withColumn("aimed_date", F.to_date("aimed_departure_utc")).hint("rebalance", "aimed_date")
-        dated.write.mode("overwrite").partitionBy("aimed_date").parquet(_batch_path(path, batch_id))
+        _store_batch(newest.withColumn("aimed_date", F.to_date("aimed_departure_utc")), path, "aimed_date", batch_id)
 
     return sink
 
@@ -79,19 +86,19 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
 def dedup_sink(path: str) -> Sink:
     """Store rows whose (collected, stop, journey, quay, aimed) no earlier batch stored, by collected date.
 
-    Earlier rows are looked up on the batch's own dates only: the date is part of the join and prunes the scan.
+    Earlier rows are looked up on the batch's own dates only, which are all that is listed.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         own = dedup_observations(batch.select(*OBSERVATION_COLUMNS))
         own = own.withColumn("collected_date", F.to_date("collected_at_utc"))
-        earlier = _stored(spark, path, "collected_date").filter(F.col("batch_id") < batch_id)
+        days = [str(r["d"]) for r in batch.select(F.to_date("collected_at_utc").alias("d")).distinct().collect()]  # a row per day
+        earlier = _stored(spark, path, "collected_date", days).filter(F.col("batch_id") < batch_id)
         same = earlier["collected_date"] == own["collected_date"]
         for c in DEDUP_KEY:
             same &= earlier[c].eqNullSafe(own[c])
-        new = own.join(earlier, same, "left_anti").hint("rebalance", "collected_date")
-        new.write.mode("overwrite").partitionBy("collected_date").parquet(_batch_path(path, batch_id))
+        _store_batch(own.join(earlier, same, "left_anti"), path, "collected_date", batch_id)
 
     return sink
 
@@ -130,30 +137,32 @@ def stream_table(spark: SparkSession, path: str, max_files_per_trigger: int | No
 
 
 def silver_batches_sink(silver_path: str, rejects_path: str) -> Sink:
-    """foreachBatch sink for the incremental ETL: the labelled batch is written once,
-    rejects are split from it, and valid rows go through ``dedup_sink``, so a call
-    seen again in a later batch is stored once."""
+    """foreachBatch sink for the incremental ETL: the labelled batch is stored while
+    it is split. Rejects, corrupt files among them, go to their own folder by batch, and valid rows through
+    ``dedup_sink``, so a call seen again in a later batch is stored once."""
     store_valid = dedup_sink(silver_path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        labelled = f"{_batch_path(rejects_path + '-labelled', batch_id)}"
+        labelled = f"{rejects_path}-labelled/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(labelled)
         checked = spark.read.schema(batch.schema).parquet(labelled)
-        store_valid(checked.filter(F.col(REJECT_COLUMN).isNull()), batch_id)
+        store_valid(checked.filter(is_valid()), batch_id)
         checked.filter(F.col(REJECT_COLUMN).isNotNull()).select(
             "source_file", REJECT_COLUMN, "raw_collected_at", "service_journey_id"
-        ).write.mode("overwrite").parquet(_batch_path(rejects_path, batch_id))
+        ).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+        remove_path(spark, labelled)
 
     return sink
 
 
 def run_incremental_etl(
     spark: SparkSession, raw_path: str, silver_path: str, rejects_path: str, checkpoint: str,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = None, archive: str | None = None,
 ) -> None:
     """Process the snapshot files that landed since the last run (the polling
-    loop's output) into silver, then stop. Restartable from ``checkpoint``."""
-    snaps = stream_snapshots(spark, raw_path, max_files_per_trigger)
-    checked = validate(flatten_snapshots(snaps, keep_raw=True))
+    loop's output) into silver, then stop. Restartable from ``checkpoint``. With ``archive`` files that are
+    done move out of the landing folder."""
+    snaps = stream_snapshots(spark, raw_path, max_files_per_trigger, archive)
+    checked = label(flatten_snapshots(snaps, keep_raw=True, keep_empty=True))
     run_available(checked, silver_batches_sink(silver_path, rejects_path), checkpoint)

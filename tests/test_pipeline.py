@@ -33,8 +33,9 @@ def test_refresh_stops_at_the_first_error(spark, tmp_root):
     _land_two_snapshots(raw)
     jobs.refresh(spark, raw, silver, gold)
     write_landed(tmp_root + "/empty", snapshot([]))
-    with pytest.raises(jobs.NoObservationsError):
+    with pytest.raises(jobs.NoObservationsError) as failed:
         jobs.refresh(spark, tmp_root + "/empty", silver, gold)
+    assert failed.value.stage == "observations" and "stage 'observations'" in failed.value.__notes__[0]
     assert jobs.read_silver(spark, silver).count() == 3 and spark.table("fact_departure_observation").count() == 3
 
 
