@@ -93,6 +93,7 @@ def run_etl(spark: SparkSession, raw_path: str, silver_root: str, strict_fields:
     boards = notes.get
     result = EtlResult(documents.get["n"], kept.get["n"], dropped.get["n"], version, boards[EMPTY_BOARD], boards[NULL_BOARD], boards[CORRUPT_FILE])
     store.publish(version, {"observations": path["observations"], "rejects": path["rejects"], "counts": vars(result)})
+    store.delete(f"v{version}/labelled")  # it only served the split
     return result
 
 

@@ -127,12 +127,14 @@ VERSION_COLUMN = "v"
 
 @dataclass(frozen=True)
 class Layout:
-    """A table of dated versions: its columns, date partition, key and which row of a key is current."""
+    """A table of dated versions: its columns, date partition, key, which row of a key is current, and
+    the columns that files are sorted by and carry Bloom filters for, so that filters on them skip pages and row groups."""
 
     ddl: str
     date_column: str
     key: Sequence[str]
     order: Sequence[str]
+    cluster: Sequence[str] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -143,8 +145,8 @@ class Layout:
 
 
 LAYOUTS = {
-    "fact": Layout(FACT_DDL, "collected_date", FACT_KEY, [VERSION_COLUMN]),
-    "latest": Layout(LATEST_DDL, "aimed_date", DEPARTURE_KEY, ["collected_at_utc", VERSION_COLUMN, "observation_key"]),
+    "fact": Layout(FACT_DDL, "collected_date", FACT_KEY, [VERSION_COLUMN], ["line_key", "stop_key"]),
+    "latest": Layout(LATEST_DDL, "aimed_date", DEPARTURE_KEY, ["collected_at_utc", VERSION_COLUMN, "observation_key"], ["line_key", "stop_key"]),
     "counts": Layout(COUNTS_DDL, "service_day", COUNTS_KEY, [VERSION_COLUMN]),
 }
 
@@ -175,14 +177,13 @@ def append_version(df: DataFrame, store: VersionedStore, table: str, layout: Lay
     Rows are clustered by date first, so a date's number of files follows its size and not the
     number of tasks; a date too large for one task is split.
     """
-    (
-        df.select(*layout.columns)
-        .hint("rebalance", layout.date_column)
-        .withColumn(VERSION_COLUMN, F.lit(version))
-        .write.mode("append")
-        .partitionBy(layout.date_column, VERSION_COLUMN)
-        .parquet(f"{store.root}/{table}")
-    )
+    rows = df.select(*layout.columns).hint("rebalance", layout.date_column).withColumn(VERSION_COLUMN, F.lit(version))
+    if layout.cluster:
+        rows = rows.sortWithinPartitions(layout.date_column, *layout.cluster)
+    writer = rows.write.mode("append").partitionBy(layout.date_column, VERSION_COLUMN)
+    for column in layout.cluster:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(f"{store.root}/{table}")
 
 
 def _read_versions(spark: SparkSession, store: VersionedStore, table: str, dates: dict[str, list[int]], days: Sequence[str] | None = None) -> DataFrame:
@@ -414,6 +415,14 @@ def retain(store: VersionedStore, keep: int = 1) -> int:
     return gone
 
 
+def retain_silver(store: VersionedStore, keep: int = 1) -> int:
+    """The same for a store of full refreshes, whose versions share no files: older manifests and versions go."""
+    versions = store.versions()
+    for v in versions[:-keep]:
+        store.delete_manifest(v)
+    return sum(store.delete(f"v{v}") for v in store.version_dirs() if versions and v < versions[-keep:][0])
+
+
 def fact_row_count(warehouse: Warehouse) -> int:
     """Number of fact rows of the published version, from its manifest."""
     return int(warehouse.stats.get("fact_rows", 0))

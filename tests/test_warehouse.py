@@ -11,15 +11,18 @@ from quaystat.operators.keys import parts_ahead, placed, with_dense_keys, with_r
 from quaystat.operators.latest import latest_estimates
 from quaystat.plans import explore
 from quaystat.plans.warehouse import (
+    LAYOUTS,
     DeltaConstraintError,
     EmptyLoadError,
     StagingConstraintError,
+    append_version,
     compact,
     fact_row_count,
     latest_between,
     load_batch,
     read_warehouse,
     retain,
+    retain_silver,
 )
 from quaystat.sources.store import LostRaceError, VersionedStore
 
@@ -303,3 +306,41 @@ def test_unchanged_dimensions_are_not_written(spark, tmp_root):
     load_batch(spark, observations_df(spark, [_doc("J1", "stop:0", quay=("quay:31", "Renamed"))]), store)
     tables = store.current().body["tables"]
     assert {n: p.split("/")[-2] for n, p in tables.items()} == {"dim_date": "v1", "dim_stop": "v1", "dim_line": "v1", "dim_quay": "v2"}
+
+
+def _rows_scanned(df):
+    """Rows that the scan of an executed plan handed on: those of pages and row groups that weren't skipped."""
+    frame = df._jdf
+    frame.collectToPython()
+    plan = frame.queryExecution().executedPlan()
+    while "Scan" not in plan.nodeName():
+        plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_line_filter_skips_pages(spark, tmp_root):  # F-04, F-06
+    store = _store(spark, tmp_root)
+    i = F.col("id")
+    rows = spark.range(0, 200_000, numPartitions=4).select(
+        i.alias("observation_key"), F.lit(dt.datetime(2026, 9, 17, 8)).cast("timestamp_ntz").alias("collected_at_utc"), F.lit(20260917).alias("date_key"),
+        (i * 7919 % 50).alias("stop_key"), F.lit(None).cast("long").alias("quay_key"), (i * 104_729 % 400).alias("line_key"), i.cast("string").alias("service_journey_id"),
+        F.lit("x").alias("destination"), F.lit(True).alias("realtime"), *[F.lit(dt.datetime(2026, 9, 17, 9)).cast("timestamp_ntz").alias(f"{c}_departure_utc") for c in ("aimed", "expected", "actual")],
+        (i % 600).cast("int").alias("delay_seconds"), F.lit(11).cast("smallint").alias("departure_hour"), F.lit(dt.date(2026, 9, 17)).alias("aimed_date"),
+    )
+    append_version(rows, store, "latest", LAYOUTS["latest"], 1)
+    table = spark.read.parquet(store.root + "/latest")
+    assert _rows_scanned(table.filter("line_key >= 0").select("line_key")) == 200_000
+    few = table.filter(F.col("line_key").isin(3, 7)).select("line_key")
+    assert few.count() == 1000 and _rows_scanned(few) < 100_000
+    # Inside the range of values but in no file: the Bloom filter knows.
+    odd = rows.filter("line_key % 2 = 0")
+    append_version(odd, store, "even", LAYOUTS["latest"], 1)
+    assert _rows_scanned(spark.read.parquet(store.root + "/even").filter("line_key = 101").select("line_key")) == 0
+
+
+def test_silver_retention(spark, tmp_root):
+    store = _store(spark, tmp_root)
+    for v in (1, 2, 3):
+        spark.range(v).write.parquet(store.table_path(v, "observations"))
+        store.publish(v, {"observations": store.table_path(v, "observations")})
+    assert retain_silver(store, keep=2) == 1 and store.versions() == [2, 3] and store.version_dirs() == [2, 3]
