@@ -39,7 +39,10 @@ BUDGET = 1024
 HISTORY = 256
 CHUNK_TURNS = 256
 NO_ID = "none"
-_TURN = re.compile(r"### ((?:[^\\:]|\\.)*): ((?:[^\\<]|\\.|<(?!/turn>))*)</turn>\n", re.S)
+#: Characters unescaped at once.
+PIECE = 1 << 16
+_ROLE = re.compile(r"### ((?:[^\\:]++|\\.)*+): ", re.S)
+_END = "</turn>\n"
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
 
@@ -52,21 +55,47 @@ def escape_role(role: Column) -> Column:
 
 
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(r"\1", text)
+    """Drop the backslash before each escaped character, a piece of text at a time."""
+    out, at = [], 0
+    while at < len(text):
+        stop = at + PIECE
+        while stop < len(text) and text[stop - 1] == "\\":
+            stop += 1
+        out.append(_ESCAPED.sub(r"\1", text[at:stop]))
+        at = stop
+    return "".join(out)
 
 
 def read_turns(text: str) -> list[tuple[str, str]]:
-    """(role, text) of every turn of a formatted window; fails on anything else in it."""
+    """(role, text) of every turn of a formatted window; fails on anything else in it.
+
+    A turn ends at the first mark with an even number of backslashes before it: marks in texts have
+    one more. Only places are kept while looking, so memory stays a small multiple of the turn.
+    """
     out, at = [], 0
     while at < len(text):
-        m = _TURN.match(text, at)
-        if m is None:
+        m = _ROLE.match(text, at)
+        end = _unescaped(text, _END, m.end()) if m else -1
+        if end < 0:
             raise ValueError(f"no turn at character {at}")
-        out.append((unescape(m[1]), unescape(m[2])))
-        at = m.end()
+        out.append((unescape(m[1]), unescape(text[m.end() : end])))
+        at = end + len(_END)
     return out
 
 
+def _unescaped(text: str, mark: str, at: int) -> int:
+    """Place of the first ``mark`` from ``at`` on that no backslash escapes, or -1."""
+    found = text.find(mark, at)
+    while found >= 0:
+        before = found
+        while before > at and text[before - 1] == "\\":
+            before -= 1
+        if (found - before) % 2 == 0:
+            return found
+        found = text.find(mark, found + 1)
+    return -1
+
+
 def _with_tokens(rows: DataFrame, tokenizer: str) -> DataFrame:
     """``rows`` plus tokens, the number of ids of the formatted turn."""
     names = rows.columns

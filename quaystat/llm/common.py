@@ -55,6 +55,18 @@ def batch(columns: dict[str, object], types: dict[str, pa.DataType]) -> pa.Recor
     )
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, lengthened where a column is called so already, in whatever case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; other letters stay."""
     return F.translate(text, UPPER, UPPER.lower())

@@ -127,12 +127,22 @@ def _encoder(tokenizer: str, width: int):
             for at in range(0, b.num_rows, ENCODE_ROWS):
                 part = b.slice(at, ENCODE_ROWS)
                 ids = words.encode(part.column(1).to_pylist())
-                packed = [np.frombuffer(x, "<u4").astype("<u2").tobytes() if width == 2 else x for x in ids]
+                packed = [_packed(x, width) for x in ids]
                 yield batch({"key": part.column(0), "ids": packed}, kinds)
 
     return run
 
 
+def _packed(ids: bytes, width: int) -> bytes:
+    """Ids of four bytes in ``width`` bytes; an id that doesn't fit is an error."""
+    if width == 4:
+        return ids
+    values = np.frombuffer(ids, "<u4")
+    if len(values) and int(values.max()) >> (8 * width):
+        raise ValueError(f"token id {int(values.max())} doesn't fit {width} bytes: choose a larger width")
+    return values.astype(f"<u{width}").tobytes()
+
+
 def _writer(path: str, width: int):
     kinds = {"key": pa.int64(), "shard": pa.int32(), "position": pa.int64(), "offset": pa.int64(), "n_tokens": pa.int64()}
 

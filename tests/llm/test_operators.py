@@ -447,3 +447,26 @@ def test_chat(spark, budget, history):
 def test_chat_of_an_empty_table(spark):
     rows = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.windows(rows, WORDS)).count() == 0
+
+
+def test_reading_turns_takes_little_memory():
+    import tracemalloc
+
+    said = "word \\ ### </turn> " * 300_000
+    escaped = said.replace("\\", "\\\\").replace("###", "\\###").replace("</turn>", "\\</turn>")
+    text = f"### user: {escaped}</turn>\n### a\\:b: x</turn>\n"
+    tracemalloc.start()
+    got = chat.read_turns(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [("user", said), ("a:b", "x")] and peak < 8 * len(text)
+    for broken in ("### user: x", "### user: x\\</turn>\n", "user: x</turn>\n", "### a\\: x</turn>\n"):
+        with pytest.raises(ValueError):
+            chat.read_turns(broken)
+
+
+def test_ids_that_do_not_fit_are_an_error():
+    ids = np.array([1, 65_535], "<u4").tobytes()
+    assert np.frombuffer(token_shards._packed(ids, 2), "<u2").tolist() == [1, 65_535] and token_shards._packed(ids, 4) == ids
+    with pytest.raises(ValueError):
+        token_shards._packed(np.array([65_536], "<u4").tobytes(), 2)

@@ -58,6 +58,32 @@ def test_passages_are_cut_at_whole_characters(spark):
     assert got[3] is None and got[4] == "short" and got[1].startswith("a") and "é" not in got[1] and got[2].endswith("other tail")
 
 
+def test_copies_of_a_passage_go(spark):
+    same, shared = "".join(f"w{k} " for k in range(130)), "".join(f"s{k} " for k in range(80))
+    rows = [(1, same + shared), (2, same + shared), (3, "own words " + shared), (4, "x"), (4, "x")]
+    got = [(r["doc_id"], r["text"]) for r in pipeline.cut_passages(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()]
+    assert sorted(got) == [(3, "own words"), (4, "x"), (4, "x")]  # the blank before the passage is alike as well
+
+
+def test_names_the_stages_use_come_back_as_they_were(spark, tmp_path):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    names = ["__key", "__Kept", "__id", "__hash", "__hash_of", "__copy", "__quality", "__digest", "__left", "starts", "kept", "key"]
+    text = "some words that make a text with enough shingles to matter here "
+    rows = [(k, t, *[f"{n}{k}" for n in names]) for k, t in ((3, text), (1, text), (5, f"other {item} words"), (7, "y" * 250), (8, "z" + "y" * 250))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    for stage in (pipeline.drop_near_duplicates, pipeline.cut_passages, pipeline.drop_benchmark):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.count()
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in out.collect() for n in names)
+
+
+def test_repeated_rows_keep_the_same_one(spark):
+    rows = [(1, "a text of words", f"n{k}") for k in range(20)]
+    kept = {pipeline.drop_near_duplicates(spark, spark.createDataFrame(part, "doc_id long, text string, note string").repartition(3), SF).first()["note"] for part in (rows, rows[::-1])}
+    assert len(kept) == 1
+
+
 def test_empty_documents(spark, docs):
     now = docs.limit(0)
     for name, stage in pipeline.STAGES:
@@ -69,4 +95,4 @@ def test_registered(spark):
     import __spark_entry__ as entry
 
     numbers = [int(m[1]) for n in entry.queries() if (m := re.match(r"op(\d+)_", n))]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in entry.queries()
