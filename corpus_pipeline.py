@@ -15,6 +15,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, MapType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from quaystat.llm import common, decontaminate, packing, quality, simhash, suffix_dedup
@@ -23,58 +24,71 @@ from quaystat.llm import common, decontaminate, packing, quality, simhash, suffi
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality ranking, learnt from the labels, accepts."""
     ranker = quality.learn(docs, common.table(spark, sf_dir, "labels"))
-    return quality.score(docs, ranker, docs.columns, "__quality").where(F.col("__quality") >= quality.THRESHOLD).drop("__quality")
+    (score,) = common.unused(docs.columns, "__quality")
+    return quality.score(docs, ranker, docs.columns, score).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each SimHash component: that of the least id (rows without id last, then by text)."""
+    """One row of each SimHash component: that of the least id (rows without id last, then by text).
+
+    Of rows with the same id and text the one with the least hash of all its columns stays.
+    """
     found = simhash.near_duplicates(docs)
+    own_id, own_hash, hash_of, copy = common.unused(docs.columns, "__id", "__hash", "__hash_of", "__copy")
     best = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("text_hash").isNull().alias("no_text"), "text_hash")
-    chosen = found.groupBy("component").agg(F.min(best).alias("best")).select("best.*").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    marked = docs.withColumn("__hash_of", F.xxhash64("text"))
-    kept = marked.join(chosen, marked["doc_id"].eqNullSafe(chosen["__id"]) & marked["__hash_of"].eqNullSafe(chosen["__hash"]), "left_semi")
-    # Repeated rows share id and text: the first stands for them.
-    copy = F.row_number().over(Window.partitionBy("doc_id", "__hash_of").orderBy(F.lit(0)))
-    return kept.withColumn("__copy", copy).where("__copy = 1").select(*docs.columns)
+    chosen = found.groupBy("component").agg(F.min(best).alias("best")).select("best.*").select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash))
+    marked = docs.withColumn(hash_of, F.xxhash64("text"))
+    kept = marked.join(chosen, marked["doc_id"].eqNullSafe(chosen[own_id]) & marked[hash_of].eqNullSafe(chosen[own_hash]), "left_semi")
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, MapType)]  # maps have no hash
+    first = F.row_number().over(Window.partitionBy("doc_id", hash_of).orderBy(F.xxhash64(*hashed)))
+    return kept.withColumn(copy, first).where(F.col(copy) == 1).select(*docs.columns)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that occur elsewhere; one left without words goes."""
-    _, _, kept = suffix_dedup.repeated_passages(docs)
+    """Documents without the passages that occur elsewhere; one left without words goes.
+
+    All that copies of a text hold occurs elsewhere, so they go if they are long enough for a passage.
+    """
+    _, texts, kept = suffix_dedup.repeated_passages(docs)
+    digest, left = common.unused(docs.columns, "__digest", "__left")
+    found = texts.join(kept, "key", "left").select(F.col("digest").alias(digest), F.when(F.col("copies") > 1, F.lit(b"")).otherwise(F.col("kept")).alias(left))
     whole = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    key = F.xxhash64("doc_id", F.unhex(F.sha2(whole, 256)))
-    return _replace_texts(docs.withColumn("__key", key), kept.select(F.col("key").alias("__key"), "kept"), docs.columns)
+    return _replace_texts(docs.withColumn(digest, F.unhex(F.sha2(whole, 256))), found.where(F.col(left).isNotNull()), docs.columns, digest, left)
 
 
-def _replace_texts(docs: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:
-    """``docs`` with the bytes ``kept`` by __key for text, where there are any; part characters at the cuts go."""
+def _replace_texts(docs: DataFrame, found: DataFrame, columns: list[str], key: str, left: str) -> DataFrame:
+    """``docs`` with the bytes ``left`` by ``key`` for text, where there are any; part characters at the cuts go."""
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [None if x is None else x.decode(errors="ignore") for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["__key", "__kept"])
+            texts = [x.decode(errors="ignore") for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[key, left])
 
-    texts = kept.mapInArrow(decode, "__key long, __kept string")
-    joined = docs.join(texts, "__key", "left")
-    joined = joined.where(F.col("__kept").isNull() | F.col("__kept").rlike("\\S"))
-    text = F.coalesce("__kept", "text")
-    new = {"text": text, "n_chars": F.when(F.col("__kept").isNotNull(), F.length("__kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in columns else {"text": text}
-    return joined.select(*[new.get(c, F.col(c)).alias(c) for c in columns])
+    texts = found.select(key, left).mapInArrow(decode, StructType([found.schema[key], StructField(left, StringType())]))
+    joined = docs.join(texts, key, "left")
+    joined = joined.where(F.col(left).isNull() | F.col(left).rlike("\\S"))
+    new = {"text": F.coalesce(left, "text")}
+    if "n_chars" in columns:
+        new["n_chars"] = F.when(F.col(left).isNotNull(), F.length(left).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return joined.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words inside benchmark windows; one left without words goes."""
     found = decontaminate.hits(docs, common.table(spark, sf_dir, "benchmark")).where(F.size("starts") > 0)
-    spans = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "starts", "stops").distinct()
-    marked = docs.withColumn("__key", F.xxhash64("doc_id", "text")).withColumn("__hash_of", F.xxhash64("text"))
-    same = marked["doc_id"].eqNullSafe(spans["__id"]) & (marked["__hash_of"] == spans["__hash"])
-    hit = marked.join(spans, same).select("__key", F.col("text").cast("binary"), "starts", "stops").dropDuplicates(["__key"])
+    own_id, own_hash, hash_of, key, left = common.unused(docs.columns, "__id", "__hash", "__hash_of", "__key", "__left")
+    spans = found.select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash), F.col("starts"), F.col("stops")).distinct()
+    marked = docs.withColumn(key, F.xxhash64("doc_id", "text")).withColumn(hash_of, F.xxhash64("text"))
+    texts = marked.select(key, "doc_id", hash_of, F.col("text").cast("binary").alias("text"))
+    same = texts["doc_id"].eqNullSafe(spans[own_id]) & (texts[hash_of] == spans[own_hash])
+    hit = texts.join(spans, same).select(key, "text", "starts", "stops").dropDuplicates([key])
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [decontaminate.without(t, x, y) for t, x, y in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary())], names=["__key", "kept"])
+            cut = [decontaminate.without(t, x, y) for t, x, y in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cut, pa.binary())], names=[key, left])
 
-    return _replace_texts(marked, hit.mapInArrow(clean, "__key long, kept binary"), docs.columns)
+    cleaned = hit.mapInArrow(clean, StructType([StructField(key, LongType()), StructField(left, BinaryType())]))
+    return _replace_texts(marked, cleaned, docs.columns, key, left)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
