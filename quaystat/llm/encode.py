@@ -20,7 +20,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept per worker process before the memory is emptied.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 300_000
 #: Longer words are encoded each time.
 WORD_CHARS_KEPT = 48
 #: Closing marks that form one token run of their own behind a word of letters.
@@ -81,7 +81,8 @@ def plain_core(word: str) -> str | None:
 class WordMemory:
     """Ids of words as little-endian uint32 bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int | None = None):
+        self.kept = kept
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -138,7 +139,7 @@ class WordMemory:
         found = [split_words(t, self.special) for t in texts]
         new = set().union(*found).difference(self.words)
         if new:
-            if len(self.words) + len(new) > WORDS_KEPT:  # emptied: the group's own words are learnt again
+            if len(self.words) + len(new) > (self.kept or WORDS_KEPT):  # emptied: the group's own words are learnt again
                 self.words = {"": b""}
                 new = set().union(*found)
             self.learn(new)
@@ -160,14 +161,14 @@ class WordMemory:
                 start, chars = i + 1, 0
 
 
-_MEMORIES: dict[str, WordMemory] = {}
+_MEMORIES: dict[tuple[str, int | None], WordMemory] = {}
 
 
-def memory(path: str) -> WordMemory:
-    """The process's memory for the vocabulary at ``path``."""
-    if path not in _MEMORIES:
-        _MEMORIES[path] = WordMemory(path)
-    return _MEMORIES[path]
+def memory(path: str, kept: int | None = None) -> WordMemory:
+    """The process's memory for the vocabulary at ``path``, of ``kept`` words (``WORDS_KEPT``)."""
+    if (path, kept) not in _MEMORIES:
+        _MEMORIES[path, kept] = WordMemory(path, kept)
+    return _MEMORIES[path, kept]
 
 
 def forget() -> None:

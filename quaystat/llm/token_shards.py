@@ -43,6 +43,8 @@ LEVEL_BITS = 2
 LEVELS = 40
 #: Texts encoded between two Arrow batches of ids.
 ENCODE_ROWS = 1000
+#: Words whose ids a worker keeps, some 150 bytes each; the encoder is all that its stage holds.
+WORDS_KEPT = 1_500_000
 DIRECTORY = "key long, shard int, position long, offset long, n_tokens long"
 
 
@@ -122,7 +124,7 @@ def _encoder(tokenizer: str, width: int):
     kinds = {"key": pa.int64(), "ids": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = memory(tokenizer)
+        words = memory(tokenizer, WORDS_KEPT)
         for b in batches:
             for at in range(0, b.num_rows, ENCODE_ROWS):
                 part = b.slice(at, ENCODE_ROWS)
