@@ -105,7 +105,11 @@ def read_silver(spark: SparkSession, silver_root: str) -> DataFrame:
 
 
 def load_warehouse(spark: SparkSession, silver: DataFrame, warehouse_root: str, strict: bool = True) -> LoadResult:
-    return load_batch(spark, silver, VersionedStore(spark, warehouse_root), strict=strict)
+    """Load a batch; views registered over this warehouse then show the new version."""
+    result = load_batch(spark, silver, VersionedStore(spark, warehouse_root), strict=strict)
+    if _VIEWED.get(spark.sparkContext.applicationId) == warehouse_root:
+        register_views(spark, warehouse_root)
+    return result
 
 
 # The warehouse's table and view names.
@@ -119,6 +123,16 @@ VIEW_NAMES = {
 }
 
 
+#: The warehouse that each application's views lie over.
+_VIEWED: dict[str, str] = {}
+
+
+def sql(spark: SparkSession, warehouse_root: str, text: str) -> DataFrame:
+    """A query over the views, on the version that is published when it is asked: also one from another application."""
+    register_views(spark, warehouse_root)
+    return spark.sql(text)
+
+
 def register_views(spark: SparkSession, warehouse_root: str) -> dict[str, DataFrame]:
     """Expose the current gold version under the warehouse's names, so the
     analysis can also be written as Spark SQL. The latest view is the
@@ -134,6 +148,7 @@ def register_views(spark: SparkSession, warehouse_root: str) -> dict[str, DataFr
     }
     for key, df in frames.items():
         df.createOrReplaceTempView(VIEW_NAMES[key])
+    _VIEWED[spark.sparkContext.applicationId] = warehouse_root
     return frames
 
 

@@ -28,10 +28,10 @@ from quaystat.plans.jobs import (
     landed_boards_for,
     quality_report,
     read_silver,
-    register_views,
     run_etl,
     silver_from_snapshots,
     snapshots_for,
+    sql,
     two_batch_warehouse_root_for,
     warehouse_for,
     warehouse_root_for,
@@ -341,11 +341,12 @@ def q_worst_line_order(spark, sf_dir):
 
 def q_view_sql(spark, sf_dir):
     """A business question as SQL over the registered views."""
-    register_views(spark, warehouse_root_for(spark, sf_dir))
-    return spark.sql(
+    return sql(
+        spark,
+        warehouse_root_for(spark, sf_dir),
         """SELECT line.transport_mode, COUNT(*) AS departures, COUNT_IF(estimate.delay_seconds > 180) AS late
            FROM v_latest_departure_estimate AS estimate JOIN dim_line AS line ON estimate.line_key = line.line_key
-           GROUP BY line.transport_mode"""
+           GROUP BY line.transport_mode""",
     )
 
 

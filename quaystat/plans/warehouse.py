@@ -17,7 +17,7 @@ not grow with superseded versions. Dimensions are written in full per version.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaystat.operators import checks, counts, keys, upsert
+from quaystat.operators.candidates import key_bits, may_match
 from quaystat.operators.ranking import first_per_group
 from quaystat.schema import (
     COUNTS_DDL,
@@ -152,15 +153,20 @@ LAYOUTS = {
 
 
 def read_versions(
-    spark: SparkSession, store: VersionedStore, table: str, layout: Layout, dates: dict[str, list[int]], days: Sequence[str] | None = None
+    spark: SparkSession, store: VersionedStore, table: str, layout: Layout, dates: dict[str, list[int]], days: Sequence[str] | None = None,
+    only: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Current rows of the given dates (all by default), from exactly the listed directories."""
+    """Current rows of the given dates (all by default), from exactly the listed directories.
+
+    ``only`` is a filter on columns of the table's key: it takes all rows of a key or none, so it applies before ranking.
+    """
     wanted = {d: vs for d, vs in dates.items() if days is None or d in days}
 
     def scan(some: dict[str, list[int]]) -> DataFrame:
         root = f"{store.root}/{table}"
         paths = [f"{root}/{layout.date_column}={d}/{VERSION_COLUMN}={v}" for d, vs in some.items() for v in vs]
-        return spark.read.schema(f"{layout.ddl}, {VERSION_COLUMN} INT").option("basePath", root).parquet(*paths)
+        rows = spark.read.schema(f"{layout.ddl}, {VERSION_COLUMN} INT").option("basePath", root).parquet(*paths)
+        return only(rows) if only else rows
 
     single = {d: vs for d, vs in wanted.items() if len(vs) == 1}
     several = {d: vs for d, vs in wanted.items() if len(vs) > 1}
@@ -190,6 +196,16 @@ def _read_versions(spark: SparkSession, store: VersionedStore, table: str, dates
     return read_versions(spark, store, table, LAYOUTS[table], dates, days)
 
 
+def stored_candidates(spark: SparkSession, store: VersionedStore, table: str, dates: dict[str, list[int]], days: Sequence[str], staging: DataFrame) -> DataFrame:
+    """Stored rows of the given dates that a batch can meet: what it can't is left out before any shuffle.
+
+    The bits come from the key's columns that the staging names itself, so no dimension is joined for them.
+    """
+    columns = [c for c in LAYOUTS[table].key if c in staging.columns]
+    bits = key_bits(staging, columns)
+    return read_versions(spark, store, table, LAYOUTS[table], dates, days, lambda rows: may_match(rows, bits, columns))
+
+
 def _append(df: DataFrame, store: VersionedStore, table: str, version: int) -> None:
     append_version(df, store, table, LAYOUTS[table], version)
 
@@ -261,7 +277,7 @@ def _upsert_and_publish(spark: SparkSession, staging: DataFrame, shape, store: V
     # The delta is stored once without ids: then one count per task says where each task's ids begin.
     rows = upsert.fact_rows(staging, dims["dim_date"], dims["dim_stop"], dims["dim_line"], dims["dim_quay"])
     known = [d for d in days if d in prev["fact"]]
-    stored = _read_versions(spark, store, "fact", prev["fact"], known) if known else None
+    stored = stored_candidates(spark, store, "fact", prev["fact"], known, staging) if known else None
     delta = write(keys.placed(upsert.fact_delta(rows, stored)), "delta")
     sizes, spans = _delta_counts(delta, prev)
     violations = write(checks.delta_violations(delta, dims, changed), "violations")
@@ -279,7 +295,7 @@ def _upsert_and_publish(spark: SparkSession, staging: DataFrame, shape, store: V
     order = [F.col("collected_at_utc").desc(), F.col("observation_key").desc()]
     candidates = first_per_group(candidates, DEPARTURE_KEY, order)
     touched = [d for d in aimed_days if d in prev["latest"]]
-    before = _read_versions(spark, store, "latest", prev["latest"], touched) if touched else None
+    before = stored_candidates(spark, store, "latest", prev["latest"], touched, staging) if touched else None
     # Only estimates that replace the stored one are written; what they replace leaves the counts.
     newer = write(counts.newer_estimates(candidates, before), "newer")
     _append(newer, store, "latest", version)

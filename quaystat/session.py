@@ -38,6 +38,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/quaystat-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI with its scheme, as Spark resolves it, for file systems opened by Python workers."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return re.sub(r"^file:/(?!/)", "file:///", uri)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the local bench (UI off, AQE on)."""
     return (

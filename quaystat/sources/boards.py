@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaystat.functions.time import EPOCH, epoch_seconds, ntz_literal, to_local
+from quaystat.session import qualified
 
 # Fixed value: the "board" variant floors collection instants to 6 hours.
 BOARD_SECONDS = 6 * 3600
@@ -113,8 +114,44 @@ def board_snapshots(obs: DataFrame) -> DataFrame:
     return docs.withColumn("data", F.struct(F.when(~((stop == "S4") & (hour == "12")), payload).alias("stopPlace")))
 
 
-def land_boards(obs: DataFrame, path: str) -> None:
-    """Write board snapshots as landed files: one document a file, by day and stop."""
-    day, stop = F.substring("collected_at_utc", 1, 10), F.col("stop_place_id")
-    docs = board_snapshots(obs).withColumns({"day": day, "stop": stop})
-    docs.write.option("maxRecordsPerFile", 1).partitionBy("day", "stop").json(path)
+def land_boards(obs: DataFrame, path: str) -> int:
+    """Write board snapshots in the landing layout (see ``snapshots``), one document a file; returns their number.
+
+    A file is written under a temporary name and then moved, so a stream never sees half a document, and a
+    task that runs again puts the same document in the same place. A stop has one board an instant.
+    """
+    at = F.col("collected_at_utc")
+    name = F.concat_ws(
+        "/",
+        F.substring(at, 1, 10),
+        F.translate("stop_place_id", ":", "_"),
+        F.concat(F.translate(F.substring(at, 1, 19), "-:", ""), F.lit("Z.json")),
+    )
+    docs = board_snapshots(obs).select(name.alias("name"), F.to_json(F.struct("collected_at_utc", "stop_place_id", "data")).alias("document"))
+    root = qualified(obs.sparkSession, path)
+
+    def write(batches):  # pickled by value, so workers need not import this package
+        import os
+        import posixpath
+
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+
+        fs, base = pafs.FileSystem.from_uri(root)
+        made = set()
+        for b in batches:
+            for name, document in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                final = posixpath.join(base, name)
+                folder = posixpath.dirname(final)
+                if folder not in made:
+                    fs.create_dir(folder, recursive=True)
+                    made.add(folder)
+                tmp = f"{final}.{os.urandom(6).hex()}.tmp"
+                with fs.open_output_stream(tmp) as out:
+                    out.write(document.encode("utf-8"))
+                if fs.get_file_info(final).type != pafs.FileType.NotFound:
+                    fs.delete_file(final)
+                fs.move(tmp, final)
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    return docs.mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
