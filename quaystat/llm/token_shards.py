@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 
 from quaystat.llm.common import batch, cut, drop_at_exit
 from quaystat.llm.encode import forget, memory
-from quaystat.session import scratch_path
+from quaystat.session import qualified, scratch_path
 
 #: Keys of one index part; a part is built and searched within one task.
 PART_KEYS = 50_000
@@ -60,7 +60,7 @@ class Store:
 
 
 def _fs(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    return pafs.FileSystem.from_uri(path)
 
 
 def _mix(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -190,6 +190,7 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, shards: int, key: s
     they are read and only ids are shuffled.
     """
     spark = docs.sparkSession
+    path = qualified(spark, path)  # a path without scheme means the same place to Spark and to Python workers
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     cuts = rows.select(F.percentile_approx("key", [i / shards for i in range(1, shards)] or [0.5], 20 * shards).alias("c")).first()["c"] if shards > 1 else []
     bounds = np.unique(np.array(cuts or [], np.int64))
@@ -264,6 +265,7 @@ def build_store(spark: SparkSession, docs: DataFrame, tokenizer: str, shards: in
     if path is None:
         path = scratch_path(spark, "token-shards")
         drop_at_exit(spark, path)
+    path = qualified(spark, path)
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     directory = write_shards(docs, tokenizer, path, shards, width=width)
     index = cut(build_index(directory), "token-index")
