@@ -38,7 +38,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quaystat.llm.common import batch, partition_count, table
 
@@ -48,6 +47,8 @@ GRAM = 50
 GROUP_SUFFIXES = 60_000
 HOT_SUFFIXES = 20_000
 WINDOWS = 500_000
+#: Tasks over which the rows of one gram are dealt when they are counted.
+SALTS = 16
 _PLACE = np.uint64((1 << 20) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -364,6 +365,22 @@ def _removed(length: int):
     return run
 
 
+def _repeated(grams: DataFrame, parts: int) -> DataFrame:
+    """``grams`` (key, gram, place) of which there are several, with their number n.
+
+    A gram's rows are dealt over ``SALTS`` tasks, counted there and the counts added up; the
+    sums go back to those tasks alone that hold rows of the gram.
+    """
+    salted = grams.withColumn("salt", F.pmod(F.xxhash64("key", "place"), F.lit(SALTS)).cast("int"))
+    # Count and join share one shuffle: the count names all columns, and what joins ask for (no nulls) holds for both.
+    dealt = salted.where("key is not null and gram is not null and salt is not null").repartition(parts, "gram", "salt")
+    counted = dealt.groupBy("gram", "salt").agg(F.expr("count(key, place)").alias("n"))
+    total = counted.groupBy("gram").agg(F.sum("n").alias("n"), F.bit_or(F.expr("shiftleft(1, salt)")).alias("salts")).where("n > 1")
+    held = F.filter(F.array(*[F.lit(i) for i in range(SALTS)]), lambda i: F.getbit("salts", i) == 1)
+    total = total.select("gram", "n", F.explode(held).alias("salt"))
+    return dealt.join(total.hint("merge"), ["gram", "salt"]).select("key", "gram", "place", "n")
+
+
 def repeated_passages(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What of ``docs`` is repeated, as three tables.
 
@@ -383,7 +400,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
     own = texts.join(by_text.select("key").hint("merge"), "key", "left_semi")
 
     grams = own.mapInArrow(_anchor_rows(length), "key long, gram long, place int")
-    several = grams.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).where("n > 1")
+    several = _repeated(grams, n)
     at = several.groupBy("key").agg(F.collect_list(F.struct("gram", "place", (F.col("n") > HOT_SUFFIXES).alias("hot"))).alias("at"))
     suffixes = own.join(at.hint("merge"), "key").select("key", "text", "at").mapInArrow(_contexts(length), SUFFIX)
     dealt = F.when(F.col("hot"), F.xxhash64("gram", "before", "after")).otherwise(F.col("gram"))

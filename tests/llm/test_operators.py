@@ -470,3 +470,17 @@ def test_ids_that_do_not_fit_are_an_error():
     assert np.frombuffer(token_shards._packed(ids, 2), "<u2").tolist() == [1, 65_535] and token_shards._packed(ids, 4) == ids
     with pytest.raises(ValueError):
         token_shards._packed(np.array([65_536], "<u4").tobytes(), 2)
+
+
+@pytest.mark.parametrize("salts", [1, 16])
+def test_grams_are_counted_over_salts(spark, monkeypatch, salts):
+    monkeypatch.setattr(suffix_dedup, "SALTS", salts)
+    rows = [(k, 7, p) for k in range(300) for p in range(3)] + [(1, 8, 0), (2, 9, 5), (3, 9, 5), (4, -1, 1)] + [(5, 10, p) for p in range(2)]
+    got = suffix_dedup._repeated(spark.createDataFrame(rows, "key long, gram long, place int").repartition(3), 4).collect()
+    n = Counter(g for _, g, _ in rows)
+    assert Counter(tuple(r) for r in got) == Counter((*r, n[r[1]]) for r in rows if n[r[1]] > 1)
+
+
+def test_shards_at_a_path_without_scheme(spark, tmp_path, docs):
+    store = token_shards.build_store(spark, docs, WORDS, shards=2, path=str(tmp_path / "shards"))
+    assert store.path == f"file://{tmp_path}/shards" and token_shards.read_documents(store.directory, store).count() == len(TEXTS)
