@@ -92,3 +92,37 @@ def test_nearest_is_exact():
         best, got = index.nearest(vectors[q], 10, skip=q)
         assert np.allclose(got, cosine[order], atol=2e-5)
         assert set(best[got > got[-1] + 1e-4].tolist()) == {i for i in order if cosine[i] > got[-1] + 1e-4}
+
+
+def test_quality_learns_from_every_row(spark, monkeypatch):
+    """Rows beyond any sample count: the model is the minimum over all pairs, whatever the blocks."""
+    import zlib
+
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 10**6)
+    words = ["plain words of a text", "x9 ## 77 $$ zz", "short", "a a a a", "Some, other. Text!"]
+    rows = [(i, " ".join(words[(i * k) % 5] for k in range(1, 2 + i % 7)) + "!" * (i % 3)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = [(i, int((i * 7) % 5 > 1 or i % 11 == 0)) for i, _ in rows]
+    whole = quality.learn(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    kept = [(t, y) for (i, t), (_, y) in zip(rows, labels, strict=True) if zlib.crc32(str(i).encode()) % 5]
+    x, y = np.array([quality.features(t.encode()) for t, _ in kept]).astype("f4").astype(float), np.array([y for _, y in kept])
+    here = quality.fit(x, y, np.ones(len(y)))
+    assert np.allclose(whole.mean, x.mean(axis=0)) and np.allclose(whole.weights, here.weights, atol=1e-4)
+    s = whole.raw(x)
+
+    def balanced(cut):
+        return (s[y == 0] <= cut).mean() - (s[y == 1] <= cut).mean()
+
+    assert balanced(whole.cut) >= max(balanced(c) for c in s) - 1e-9
+    # More copies of one row move the model: it is counted each time.
+    more = docs.unionAll(spark.createDataFrame([rows[1]] * 50, "doc_id long, text string"))
+    assert not np.allclose(quality.learn(more, spark.createDataFrame(labels, "doc_id long, quality int")).mean, whole.mean)
+
+
+def test_a_rare_label_meets_every_block(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 8)
+    rows = [(i, "word " * (i % 40 + 3) + str(i)) for i in range(200)] + [(1000, "?! ?! ?!"), (1001, "?? !!"), (1002, "!!"), (1003, "??")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in rows], "doc_id long, quality int")
+    found = {r["doc_id"]: r["score"] for r in quality.score(docs, quality.learn(docs, labels), ["doc_id"]).collect()}
+    assert max(found[i] for i in range(1000, 1004)) < quality.THRESHOLD <= min(found[i] for i in range(200))
