@@ -41,16 +41,20 @@ GENERATIONS = 6
 #: Bins filled less than this share go to the next round.
 WELL_FILLED = 0.999
 ROUNDS = 3
+#: Words that the operator's own encoder keeps per worker process; in the pipeline, whose workers hold other things, it keeps ``encode.WORDS_KEPT``.
+WORDS_KEPT = 1_500_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SOLUTION = "block long, island int, fitness double, uids binary, lens binary, bins binary"
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, limit: int = SEQUENCE_TOKENS) -> DataFrame:
-    """Pieces of at most ``limit`` ids of every whole document, each with the checksum of its ids."""
+def cut_pieces(docs: DataFrame, tokenizer: str, limit: int = SEQUENCE_TOKENS, kept: int | None = None) -> DataFrame:
+    """Pieces of at most ``limit`` ids of every whole document, each with the checksum of its ids.
+
+    ``kept``: words that the encoder of a worker process keeps; they decide on time and memory only."""
     kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = memory(tokenizer)
+        words = memory(tokenizer, kept)
         for b in batches:
             rows = []
             parts = (b.slice(at, 1000) for at in range(0, b.num_rows, 1000))
@@ -230,4 +234,4 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents")
-    return pack(cut_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return pack(cut_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), kept=WORDS_KEPT))

@@ -484,3 +484,10 @@ def test_grams_are_counted_over_salts(spark, monkeypatch, salts):
 def test_shards_at_a_path_without_scheme(spark, tmp_path, docs):
     store = token_shards.build_store(spark, docs, WORDS, shards=2, path=str(tmp_path / "shards"))
     assert store.path == f"file://{tmp_path}/shards" and token_shards.read_documents(store.directory, store).count() == len(TEXTS)
+
+
+def test_pieces_do_not_depend_on_the_words_kept(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"Word{i % 7}, other-{i} and 日本{i}. The end") for i in range(60)] + [(60, None)], "doc_id long, text string")
+    few, many = (packing.cut_pieces(docs, WORDS, limit=8, kept=n).orderBy("doc_id", "piece").collect() for n in (5, packing.WORDS_KEPT))
+    assert few == many and len(many) > 61
+    assert packing.WORDS_KEPT > encode.WORDS_KEPT
