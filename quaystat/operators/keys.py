@@ -58,6 +58,6 @@ def with_row_ids(stored: DataFrame, key_column: str, start: int, fresh: Column)
     of tasks and rows. Ids of parts that hold rows with ids of their own have gaps.
     """
     counts = stored.groupBy("_part").agg((F.max("_pos") + 1).alias("_n"))
-    numbered = stored.join(parts_ahead(counts), "_part")
+    numbered = stored.join(F.broadcast(parts_ahead(counts)), "_part")  # one row per task: the stored rows stay where they are
     own = F.lit(start).cast("long") + F.col("_ahead") + F.col("_pos") + 1
     return numbered.withColumn(key_column, F.when(fresh, own).otherwise(F.col(key_column))).drop("_part", "_pos", "_ahead")

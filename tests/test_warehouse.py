@@ -24,6 +24,7 @@ from quaystat.plans.warehouse import (
     retain,
     retain_silver,
 )
+from quaystat.schema import FACT_KEY
 from quaystat.sources.store import LostRaceError, VersionedStore
 
 
@@ -344,3 +345,32 @@ def test_silver_retention(spark, tmp_root):
         spark.range(v).write.parquet(store.table_path(v, "observations"))
         store.publish(v, {"observations": store.table_path(v, "observations")})
     assert retain_silver(store, keep=2) == 1 and store.versions() == [2, 3] and store.version_dirs() == [2, 3]
+
+
+def test_row_ids_leave_stored_rows_where_they_are(spark, tmp_root):  # U-06
+    placed(spark.range(3000).withColumn("observation_key", F.lit(None).cast("long"))).write.parquet(tmp_root + "/placed")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the stored rows were many
+    try:
+        rows = with_row_ids(spark.read.parquet(tmp_root + "/placed"), "observation_key", 10, F.lit(True))
+        assert sorted(r["observation_key"] for r in rows.collect()) == list(range(11, 3011))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join " in line and "Join [_part" in line]
+        assert joins and all("BroadcastHashJoin" in line for line in joins)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keys_are_written_as_texts_only_if_one_may_repeat(spark):  # U-08
+    key = [f"{k} {'timestamp_ntz' if k.endswith('utc') else 'long' if k == 'stop_key' else 'string'}" for k in FACT_KEY]
+    at = dt.datetime(2026, 9, 17, 8)
+    schema = ", ".join([*key, *(f"{c} long" for c in checks.FACT_REFERENCES if c not in FACT_KEY)])
+    values = {"collected_at_utc": at, "stop_key": 1, "service_journey_id": "J1", "aimed_departure_utc": at}
+    row = lambda **new: tuple({**values, **new}.get(c.split(" ")[0], 1) for c in schema.split(", "))
+    dims = {t: spark.createDataFrame([(1,)], f"{pk} long") for t, pk in checks.FACT_REFERENCES.values()}
+    sound = spark.createDataFrame([row(), row(service_journey_id="J2"), row(service_journey_id=None)], schema)
+    assert not checks.may_repeat(sound, FACT_KEY)
+    assert checks.delta_violations(sound, dims, []).count() == 0
+    for new in ({}, {"service_journey_id": None}):
+        twice = sound.unionAll(spark.createDataFrame([row(**new)], schema))
+        assert checks.may_repeat(twice, FACT_KEY)
+        assert [(r["rule"], r["rows"]) for r in checks.delta_violations(twice, dims, []).collect()] == [("fact.natural", 2)]
